@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, line_dedup
+from tidemark.llm import bpe, line_dedup, minhash_dedup, quality, toxicity
 from tidemark.llm.common import table
 
 
@@ -20,12 +20,27 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.kept_digests(docs, maps)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score_quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.classes(table(spark, sf_dir, "documents").select("doc_id", "text"), width=4, need=80)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.grade(docs, model).select("doc_id", "p_toxic", "severity", "grade", "toxic")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
 def queries() -> dict:
-    return {"op1_line_dedup": op1_line_dedup, "op10_bpe": op10_bpe}
+    return {f.__name__: f for f in (op1_line_dedup, op4_quality, op8_minhash, op9_toxicity, op10_bpe)}
 
 
 ORACLES: dict[str, str] = {}
@@ -49,5 +64,23 @@ FROM marked GROUP BY doc_id
 """
 
 
+ORACLES["op8_minhash"] = r"""
+WITH RECURSIVE tok AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM tok),
+sized AS (SELECT doc_id, len(s) AS n FROM sets),
+flat AS (SELECT doc_id, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sized p ON p.doc_id = a JOIN sized q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM sets UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT a AS doc_id, (SELECT n FROM sized WHERE doc_id = a)::BIGINT AS n_shingles, min(b) AS component_id, min(b) = a AS kept FROM reach GROUP BY a
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
