@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, line_dedup, minhash_dedup, quality, toxicity
+from tidemark.llm import bpe, embedding_dedup, line_dedup, minhash_dedup, quality, toxicity
 from tidemark.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), threshold=0.93)
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.classes(table(spark, sf_dir, "documents").select("doc_id", "text"), width=4, need=80)
 
@@ -40,7 +44,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_dedup, op4_quality, op8_minhash, op9_toxicity, op10_bpe)}
+    return {f.__name__: f for f in (op1_line_dedup, op4_quality, op6_embeddings, op8_minhash, op9_toxicity, op10_bpe)}
 
 
 ORACLES: dict[str, str] = {}
@@ -64,6 +68,17 @@ FROM marked GROUP BY doc_id
 """
 
 
+ORACLES["op6_embeddings"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding::DOUBLE[], lambda x: x <> 0)) > 0),
+links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND p.vec_id <> q.vec_id AND list_cosine_similarity(p.e, q.e) >= 0.93),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT r.a AS vec_id, (SELECT count(*) FROM links WHERE links.a = r.a)::BIGINT AS n_links, min(r.b) AS component_id, min(r.b) = r.a AS kept FROM reach r GROUP BY r.a
+"""
+
 ORACLES["op8_minhash"] = r"""
 WITH RECURSIVE tok AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
