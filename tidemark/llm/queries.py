@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, embedding_dedup, line_dedup, minhash_dedup, quality, toxicity
+from tidemark.llm import bpe, embedding_dedup, fingerprint, line_dedup, minhash_dedup, quality, toxicity
 from tidemark.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), threshold=0.93)
 
 
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.classes(table(spark, sf_dir, "documents").select("doc_id", "text"), width=4, need=80)
 
@@ -44,7 +48,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_dedup, op4_quality, op6_embeddings, op8_minhash, op9_toxicity, op10_bpe)}
+    return {f.__name__: f for f in (op1_line_dedup, op4_quality, op6_embeddings, op7_fingerprint, op8_minhash, op9_toxicity, op10_bpe)}
 
 
 ORACLES: dict[str, str] = {}
