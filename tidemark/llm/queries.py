@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, embedding_dedup, fingerprint, line_dedup, minhash_dedup, quality, toxicity
+from tidemark.llm import bpe, embedding_dedup, fingerprint, license_scan, line_dedup, minhash_dedup, quality, toxicity
 from tidemark.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.kept_digests(docs, maps)
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.score_quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
@@ -48,7 +52,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_dedup, op4_quality, op6_embeddings, op7_fingerprint, op8_minhash, op9_toxicity, op10_bpe)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_licenses, op4_quality, op6_embeddings, op7_fingerprint, op8_minhash, op9_toxicity, op10_bpe)}
 
 
 ORACLES: dict[str, str] = {}
