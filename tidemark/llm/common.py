@@ -6,7 +6,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -78,27 +78,30 @@ def stream_by(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Record
 def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) -> DataFrame:
     """Connected components of undirected ``edges`` as (node, component).
 
-    ``component`` is the smallest node reachable.  Every round takes the
-    smallest label among a node and its neighbours and then follows labels
-    once more, so long chains halve from round to round; rounds go on until
-    nothing changes.  Self-loops may be given to name isolated nodes; null
-    ends are ignored.  An empty input gives no rows.
+    ``component`` is the smallest node reachable.  In every round each node
+    points to the smallest of itself and its neighbours, pointers are followed
+    once more, and the graph is contracted along them: edges get the pointed-to
+    ends, and those within one node go.  So the edges shrink from round to
+    round, until none is left.  Self-loops and null ends are ignored.  An empty
+    input gives no rows.
     """
-    e = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u is not null and v is not null")
-    both = cut(e.union(e.select("v", "u")).distinct())
-    labels = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("l")).withColumnRenamed("u", "node")
-    labels = cut(labels)
+    e = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
+    e = cut(e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    labels = None
     for _ in range(most):
-        near = both.join(labels.select(F.col("node").alias("v"), "l"), "v").groupBy("u").agg(F.min("l").alias("m"))
-        step = labels.join(near.withColumnRenamed("u", "node"), "node").select("node", "l", F.least("l", "m").alias("m"))
-        hop = labels.select(F.col("node").alias("m"), F.col("l").alias("h"))
-        new = cut(step.join(hop, "m").select("node", F.col("l").alias("was"), F.least("m", "h").alias("l")))
-        changed = new.where("was <> l").limit(1).count()
-        labels = new.select("node", "l")
-        if not changed:
-            return labels.withColumnRenamed("l", "component")
+        both = e.union(e.select("v", "u"))
+        near = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("p"))
+        near = cut(near.select(F.col("u").alias("node"), "p"))
+        far = near.select(F.col("node").alias("p"), F.col("p").alias("pp"))
+        point = cut(near.join(far, "p").select("node", F.col("pp").alias("to")))
+        if labels is None:
+            labels = point.withColumnRenamed("to", "component")
+        else:
+            step = point.select(F.col("node").alias("component"), "to")
+            labels = cut(labels.join(step, "component", "left").select("node", F.coalesce("to", "component").alias("component")))
+        ends = [point.select(F.col("node").alias(x), F.col("to").alias(f"to_{x}")) for x in ("u", "v")]
+        moved = e.join(ends[0], "u").join(ends[1], "v").where("to_u <> to_v")
+        e = cut(moved.select(F.least("to_u", "to_v").alias("u"), F.greatest("to_u", "to_v").alias("v")).distinct())
+        if e.limit(1).count() == 0:
+            return labels
     raise RuntimeError(f"components did not settle in {most} rounds")
-
-
-def hex_bytes(col: Column | str) -> Column:
-    return F.lower(F.hex(col))

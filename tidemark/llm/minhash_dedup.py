@@ -35,6 +35,7 @@ from tidemark.llm.hashing import PLACE, mix, shingle_sets
 BANDS, ROWS = 10, 3
 BLOCK = 256
 COLUMNS = 4096  # shingles counted at once
+PART = 400  # texts hashed at once; bounds a worker's memory
 
 _rng = np.random.Generator(np.random.PCG64(77))
 _A = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -63,8 +64,8 @@ def _signatures(width: int, bands: int, rows: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, PART):
+                b = whole.slice(at, PART)
                 flat, off = shingle_sets(b.column(1), width)
                 n = np.diff(off)
                 full = np.flatnonzero(n > 0)
@@ -84,8 +85,8 @@ def _signatures(width: int, bands: int, rows: int):
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, PART):
+                b = whole.slice(at, PART)
                 flat, off = shingle_sets(b.column(1), width)
                 raw = flat.tobytes()
                 sets = pa.array([raw[i * 8 : j * 8] for i, j in zip(off[:-1], off[1:], strict=True)], pa.binary())
