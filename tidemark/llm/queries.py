@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, embedding_dedup, fingerprint, license_scan, line_dedup, minhash_dedup, quality, toxicity
+from tidemark.llm import bpe, embedding_dedup, fingerprint, license_scan, line_dedup, minhash_dedup, mixing, quality, substring_dedup, toxicity
 from tidemark.llm.common import table
 
 
@@ -24,11 +24,20 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.score_quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mix(docs, mixing.default_weights(docs), share=0.5, epochs=2, seed=11)
+
+
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), threshold=0.93)
 
@@ -52,7 +61,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_dedup, op2_licenses, op4_quality, op6_embeddings, op7_fingerprint, op8_minhash, op9_toxicity, op10_bpe)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_licenses, op3_substring_dedup, op4_quality, op5_mixing, op6_embeddings, op7_fingerprint, op8_minhash, op9_toxicity, op10_bpe)}
 
 
 ORACLES: dict[str, str] = {}
