@@ -23,10 +23,12 @@ from tidemark.llm.common import cut
 from tidemark.llm.hashing import BYTE, LOWER, PLACE, SPACE, mix, powers, row_slices, text_bytes
 
 OPENINGS = (4, 5, 6, 7)
+BITS = 44  # of a feature's hash, so that it fits beside a row's number
 GRADES = (1, 3, 6)  # telling words from which a toxic sample row has grade 1, 2, 3
-SAMPLE = 3000  # toxic rows that a model is fitted on, at most; clean ones: CLEAN times as many
+SAMPLE = 2000  # toxic rows that a model is fitted on, at most; clean ones: CLEAN times as many
 CLEAN = 3
 KEPT = 2048  # features kept
+TOXIC_AT = 0.4  # P(grade >= 1) from which a text is called toxic; on labelled rows outside the sample clean texts stay below 0.14 in 999 of 1000 cases
 ODDS = 2.0  # least absolute log odds of a feature; common words, near 0, would add up in long texts
 
 
@@ -55,7 +57,7 @@ def word_features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray
             b = a + k if k else ends[fits]
             hashes.append(mix((total[b] - total[a]) * down[a] + PLACE[40 + k]))
             rows.append(row[fits])
-        yield i, np.concatenate(rows), np.concatenate(hashes)
+        yield i, np.concatenate(rows), np.concatenate(hashes) >> np.uint64(64 - BITS)
 
 
 def _row_counts(row: np.ndarray, column: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,9 +70,9 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         y = b.column(2).to_numpy(zero_copy_only=False)
         for i, row, h in word_features(b.column(1)):
-            both = np.unique(np.stack([row.astype(np.uint64), h], 1), axis=0)
-            f, at = np.unique(both[:, 1], return_inverse=True)
-            toxic = np.bincount(at, y[i + both[:, 0].astype(np.int64)], len(f)).astype(np.int64)
+            both = np.unique((row.astype(np.uint64) << np.uint64(BITS)) | h)
+            f, at = np.unique(both & np.uint64(2**BITS - 1), return_inverse=True)
+            toxic = np.bincount(at, y[i + (both >> np.uint64(BITS)).astype(np.int64)], len(f)).astype(np.int64)
             yield pa.record_batch([pa.array(f.view(np.int64)), pa.array(toxic), pa.array(np.bincount(at, minlength=len(f)) - toxic)], names=["f", "toxic", "clean"])
 
 
@@ -81,30 +83,37 @@ def _vectors(kept: np.ndarray):
         for b in batches:
             cols: list[list[int]] = [[] for _ in range(b.num_rows)]
             counts: list[list[int]] = [[] for _ in range(b.num_rows)]
-            for r, c, n in _hits(b.column(1), kept):
-                cols[r].append(c)
-                counts[r].append(n)
+            for part in _counts(b.column(1), kept):
+                for r, c, n in zip(*(x.tolist() for x in part), strict=True):
+                    cols[r].append(c)
+                    counts[r].append(n)
             yield pa.record_batch([b.column(2), pa.array(cols, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], names=["y", "cols", "counts"])
 
     return run
 
 
-def _hits(texts: pa.Array, kept: np.ndarray) -> Iterator[tuple[int, int, int]]:
+def _counts(texts: pa.Array, kept: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row, column in ``kept`` and count of every kept feature that stands in a text."""
+    maybe = np.zeros(1 << 20, dtype=bool)
+    maybe[kept >> np.uint64(BITS - 20)] = True
     for i, row, h in word_features(texts):
+        few = maybe[h >> np.uint64(BITS - 20)]
+        row, h = row[few], h[few]
         at = np.minimum(np.searchsorted(kept, h), len(kept) - 1)
         hit = kept[at] == h
-        for r, c, n in zip(*_row_counts(row[hit], at[hit], len(kept)), strict=True):
-            yield i + int(r), int(c), int(n)
+        r, c, n = _row_counts(row[hit], at[hit], len(kept))
+        yield i + r, c, n
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, levels: int, steps: int = 600, rate: float = 0.05, l2: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(x: np.ndarray, grade: np.ndarray, levels: int, steps: int = 1000, rate: float = 0.1, l2: float = 3e-6) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds of P(grade >= k) = sigmoid(x.w - t_k), by full-batch Adam on the likelihood."""
     p = np.concatenate([np.zeros(x.shape[1]), [1.0], np.full(levels - 1, np.log(1.5))])
     m, v = np.zeros_like(p), np.zeros_like(p)
     k = levels
+    back = np.ascontiguousarray(x.T)
     for step in range(1, steps + 1):
         w, t = p[: x.shape[1]], np.cumsum(np.concatenate([p[-k:][:1], np.exp(p[-k:][1:])]))
-        s = x @ w
+        s = (x @ w.astype(x.dtype)).astype(float)
         above = 1 / (1 + np.exp(-np.clip(s[:, None] - t, -30, 30)))  # P(grade >= 1..k)
         full = np.concatenate([np.ones((len(s), 1)), above, np.zeros((len(s), 1))], 1)
         at = np.arange(len(s))
@@ -116,7 +125,7 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, levels: int, steps: int = 600,
         np.add.at(gt, grade[grade > 0] - 1, (pad[at, grade] / prob / len(s))[grade > 0])
         np.add.at(gt, grade[grade < k], -(pad[at, grade + 1] / prob / len(s))[grade < k])
         free = np.concatenate([[1.0], np.exp(p[-k:][1:])])
-        g = np.concatenate([x.T @ gs + l2 * w, np.cumsum(gt[::-1])[::-1] * free])
+        g = np.concatenate([(back @ gs.astype(x.dtype)).astype(float) + l2 * w, np.cumsum(gt[::-1])[::-1] * free])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return p[: x.shape[1]], np.cumsum(np.concatenate([p[-k:][:1], np.exp(p[-k:][1:])]))
@@ -157,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
 
 
 def grade(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and p_toxic (grade 1 or more), severity (expected grade, 0 to 3), grade (most likely), toxic (p_toxic >= 0.5).
+    """All columns of ``docs`` and p_toxic (grade 1 or more), severity (expected grade, 0 to 3), grade (most likely), toxic (p_toxic >= TOXIC_AT).
 
     A null or empty text has no features and so the model's base grade, 0;
     every row is graded by itself, ties and repeated rows alike; columns of
@@ -173,14 +182,11 @@ def grade(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
         for b in batches:
             s = np.zeros(b.num_rows)
             if len(kept):
-                for i, row, h in word_features(b.column(b.schema.get_field_index(text_col))):
-                    at = np.minimum(np.searchsorted(kept, h), len(kept) - 1)
-                    hit = kept[at] == h
-                    r, c, n = _row_counts(row[hit], at[hit], len(kept))
-                    np.add.at(s, i + r, w[c] * np.log1p(n))
+                for r, c, n in _counts(b.column(b.schema.get_field_index(text_col)), kept):
+                    np.add.at(s, r, w[c] * np.log1p(n))
             above = 1 / (1 + np.exp(-np.clip(s[:, None] - t, -30, 30)))
             full = np.concatenate([np.ones((len(s), 1)), above, np.zeros((len(s), 1))], 1)
-            yield pa.record_batch([*b.columns, pa.array(above[:, 0]), pa.array(above.sum(1)), pa.array(np.argmax(full[:, :-1] - full[:, 1:], 1).astype(np.int32)), pa.array(above[:, 0] >= 0.5)], names=[*kept_cols, *ours])
+            yield pa.record_batch([*b.columns, pa.array(above[:, 0]), pa.array(above.sum(1)), pa.array(np.argmax(full[:, :-1] - full[:, 1:], 1).astype(np.int32)), pa.array(above[:, 0] >= TOXIC_AT)], names=[*kept_cols, *ours])
 
     schema = docs.select(*kept_cols).schema
     for name, kind in (("p_toxic", "double"), ("severity", "double"), ("grade", "integer"), ("toxic", "boolean")):
