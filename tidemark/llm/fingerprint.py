@@ -50,6 +50,8 @@ def _to_cells(df: DataFrame, keys: list[str], signed: str) -> DataFrame:
 
 def sketches(df: DataFrame, keys: list[str], elements: str, cells: int = CELLS) -> DataFrame:
     """``keys``, fingerprint: the cells in use as text, ``cell:count:digest:check`` with ``cells=`` before them."""
+    # dealt out by the document before digests become cells, so that no later step moves cells
+    df = df.select(*keys, elements).repartition(*[F.col(k) for k in keys])
     one = _to_cells(df.withColumn("m", F.lit(cells)), keys, f"transform({elements}, e -> struct(e as el, 1 as sign))")
     shown = F.concat_ws(":", F.lpad(F.hex("cell"), 4, "0"), F.col("n").cast("string"), F.lower(F.hex("k")), F.lower(F.hex("c")))
     whole = one.groupBy(*keys).agg(F.concat_ws(",", F.array_sort(F.collect_list(shown))).alias("cells_text"))
@@ -88,7 +90,8 @@ def differences(pairs: DataFrame, keys: list[str], cells: int = CELLS, sweeps: i
     done: list[DataFrame] = []
     m = cells
     while True:
-        out = _peeled(todo.withColumn("m", F.lit(m)), keys, sweeps)
+        # dealt out by the pair while it still is two short arrays; its cells then stay where they are
+        out = _peeled(todo.repartition(*[F.col(k) for k in keys]).withColumn("m", F.lit(m)), keys, sweeps)
         if not digests:
             out = out.select(*keys, (F.size("gone_a") + F.size("gone_b")).alias("gone"), "open")
         out = cut(out)
