@@ -205,7 +205,10 @@ def held_out(id_col: str = "doc_id"):
 def train(known: DataFrame, labels: DataFrame, sample: int = 20_000) -> AdditiveModel:
     """Fit on at most ``sample`` labelled rows that aren't held out, those with the smallest hash of their id."""
     rows = known.where(~held_out()).join(labels.where("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality")), "doc_id")
-    got = rows.select("doc_id", "features", "quality", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id", "features").limit(sample).toPandas()
+    rows = cut(rows.select("doc_id", "features", "quality", F.xxhash64("doc_id").alias("h")))
+    # the hash range holds a little more than the sample, so that no task sends rows that the limit would drop
+    rows = rows.where(F.pmod("h", F.lit(1 << 20)) < int(min(1.0, 1.3 * sample / max(1, rows.count()) + 1e-5) * (1 << 20)))
+    got = rows.orderBy("h", "doc_id", "features").limit(sample).toPandas()
     x = np.array(got["features"].tolist(), dtype=float).reshape(len(got), len(FEATURES))
     return fit(x, got["quality"].to_numpy(dtype=float))
 
