@@ -221,3 +221,434 @@ def _(s, d):
     w = World(s, d)
     spans = w.snaps.select("entity", "kind", "date", "entry").join(w.ends.where("h = 1"), "date").select("entity", "kind", "date", "entry", "h", "end_date")
     return sn.max_drawdown(w.prices, spans).select("entity", "kind", "date", "h", "max_drawdown", "fall_from_entry")
+
+
+# -- fundamentals -------------------------------------------------------------------------------------------
+
+_K = "entity, quarter, kind, date"
+
+
+@query("fund_base", f"SELECT {_K}, datekey, reportperiod, {r6('revenue', 'assets')} FROM base", "base")
+def _(s, d):
+    return World(s, d).base().select(*KEY, "datekey", "reportperiod", "revenue", "assets")
+
+
+@query("meta_features", f"SELECT {_K}, (date - datekey)::BIGINT AS age_days, coalesce(date - datekey <= 135, false) AS fresh_135, coalesce(date - datekey <= 400, false) AS fresh_400, netinc < 0 AS loss_making, assets - liabilities < 0 AS negative_equity FROM base", "base")
+def _(s, d):
+    return fu.meta(World(s, d).base()).select(*KEY, "age_days", "fresh_135", "fresh_400", "loss_making", "negative_equity")
+
+
+@query("lag_match", f"SELECT b.entity, b.quarter, b.kind, b.date, {', '.join(f'round(l.revenue_t{k}, 6) + 0.0::DOUBLE AS revenue_t{k}' for k in (1, 2, 3))} FROM base b LEFT JOIN lagged l ON b.entity = l.entity AND b.quarter = l.quarter AND b.kind = l.kind AND b.date = l.date", "base", "lagged")
+def _(s, d):
+    w = World(s, d)
+    return fu.lag_match(w.base(), w.filings, KEY, "revenue")
+
+
+@query("history_buckets", f"SELECT {_K}, off::BIGINT AS off, {r6('revenue', 'prev_revenue')} FROM hist WHERE kind = 'median'", "hist")
+def _(s, d):
+    w = World(s, d)
+    return fu.history_buckets(w.base().where("kind = 'median'"), w.filings, KEY, ["revenue"]).select(*KEY, "off", "revenue", "prev_revenue")
+
+
+@query("dividend_record", f"""SELECT {_K}, count(dividends) AS years_known, count(*) FILTER (dividends > 0) AS years_paid, count(*) FILTER (ok) AS streak, count(*) FILTER (prev_dividends > 0 AND dividends < 0.8::DOUBLE * prev_dividends) AS cuts FROM (
+  SELECT *, bool_and(dividends > 0 AND off = rn2 - 1) OVER (PARTITION BY {_K} ORDER BY off ROWS UNBOUNDED PRECEDING) AS ok FROM (SELECT *, row_number() OVER (PARTITION BY {_K} ORDER BY off) AS rn2 FROM divh)) GROUP BY ALL""".replace("GROUP BY ALL", f"GROUP BY {_K}"), "divh")
+def _(s, d):
+    w = World(s, d)
+    return fu.dividend_record(fu.history_buckets(w.base(), w.filings, KEY, ["dividends"], 10, fu.YEAR_DAYS), KEY, "dividends")
+
+
+def _trend_sql() -> str:
+    cols = []
+    for w, least in {4: 3, 8: 5, 12: 7, 20: 11}.items():
+        ok = f"count(*) FILTER (off < {w} AND revenue > 0) >= {least} AND count(*) FILTER (off < {w} AND revenue <= 0) = 0"
+        x, y, good = "-off / 4.0::DOUBLE", "ln(CASE WHEN revenue > 0 THEN revenue END)", f"off < {w} AND revenue > 0"
+        pair = f"off <= {w - 2} AND prev_revenue IS NOT NULL AND revenue IS NOT NULL"
+        cols += [
+            f"round(CASE WHEN {ok} THEN regr_slope({y}, {x}) FILTER ({good}) END, 6) + 0.0::DOUBLE AS revenue_slope_{w}", f"round(CASE WHEN {ok} THEN regr_r2({y}, {x}) FILTER ({good}) END, 6) + 0.0::DOUBLE AS revenue_r2_{w}",
+            f"round(CASE WHEN count(*) FILTER ({pair}) >= {least - 1} THEN (count(*) FILTER ({pair} AND revenue > prev_revenue))::DOUBLE / count(*) FILTER ({pair}) END, 6) + 0.0::DOUBLE AS revenue_up_{w}",
+            f"count(*) FILTER (off < {w} AND revenue IS NOT NULL) AS revenue_n_{w}",
+        ]
+    return f"SELECT {_K}, {', '.join(cols)} FROM hist GROUP BY {_K}"
+
+
+@query("trend_features", _trend_sql(), "hist")
+def _(s, d):
+    w = World(s, d)
+    return fu.trend_stats(fu.history_buckets(w.base(), w.filings, KEY, ["revenue"]), KEY, "revenue")
+
+
+@query("market_inputs", f"SELECT {_K}, {r6('marketcap', 'ev')} FROM feat", "feat")
+def _(s, d):
+    return fu.market_inputs(World(s, d).base()).select(*KEY, "marketcap", "ev")
+
+
+def _div(n: str, m: str) -> str:
+    return f"CASE WHEN {m} > 0 THEN {n} / ({m}) END"
+
+
+_FAMILY_SQL = {
+    "valuation_features": {"earnings_yield": _div("netinc", "marketcap"), "sales_yield": _div("revenue", "marketcap"), "cash_yield": _div("ncfo", "marketcap"), "ebit_to_ev": _div("ebit", "ev"), "book_yield": _div("(assets - liabilities)", "marketcap"), "ev_to_marketcap": _div("ev", "marketcap"), "dividend_yield": _div("dividends", "marketcap")},
+    "profitability_features": {"gross_margin": _div("gp", "revenue"), "net_margin": _div("netinc", "revenue"), "roa": _div("netinc", "assets"), "roe": _div("netinc", "assets - liabilities"), "gp_to_assets": _div("gp", "assets"), "accruals": _div("(netinc - ncfo)", "assets")},
+    "growth_features": {"revenue_growth_1y": _div("(revenue - revenue_t1)", "revenue_t1"), "revenue_cagr_3y": "CASE WHEN revenue_t3 > 0 AND revenue >= 0 THEN pow(revenue / revenue_t3, 1.0::DOUBLE / 3) - 1 END"},
+    "solvency_features": {
+        "current_ratio": _div("assetsc", "liabilitiesc"), "debt_to_assets": _div("debt", "assets"),
+        "altman_z2": f"6.56 * {_div('(assetsc - liabilitiesc)', 'assets')} + 3.26 * {_div('retearn', 'assets')} + 6.72 * {_div('ebit', 'assets')} + 1.05 * {_div('(assets - liabilities)', 'liabilities')}",
+        "zmijewski": f"-4.336 - 4.513 * {_div('netinc', 'assets')} + 5.679 * {_div('liabilities', 'assets')} + 0.004 * {_div('assetsc', 'liabilitiesc')}",
+    },
+    "quality_features": {"f_score": "(netinc > 0)::INT + (ncfo > 0)::INT + (ncfo > netinc)::INT + (revenue > revenue_t1)::INT", "revenue_sd": "CASE WHEN revenue_t1 IS NOT NULL AND revenue_t2 IS NOT NULL AND revenue_t3 IS NOT NULL THEN list_stddev_samp([revenue, revenue_t1, revenue_t2, revenue_t3]) END"},
+}
+
+
+def _family(cols: list[str]):
+    return lambda s, d: World(s, d).families().select(*KEY, *cols)
+
+
+for _name, _cols in _FAMILY_SQL.items():
+    _body = ", ".join(f"({e})::BIGINT AS {c}" if c == "f_score" else f"round({e}, 6) + 0.0::DOUBLE AS {c}" for c, e in _cols.items())
+    query(_name, f"SELECT {_K}, {_body} FROM feat", "feat")(_family(list(_cols)))
+
+
+@query("relvalue_features", f"""SELECT {_K}, round(CASE WHEN n >= 11 AND med > 0 THEN sales_yield / med END, 6) + 0.0::DOUBLE AS rel, round(CASE WHEN n >= 11 AND sales_yield IS NOT NULL THEN (below + equal / 2.0::DOUBLE) / n END, 6) + 0.0::DOUBLE AS pct FROM (
+  SELECT f.entity, f.quarter, f.kind, f.date, f.sales_yield, count(*) AS n, median(h.y) AS med, count(*) FILTER (h.y < f.sales_yield) AS below, count(*) FILTER (h.y = f.sales_yield) AS equal
+  FROM fam f JOIN (SELECT b.entity, b.quarter, b.kind, b.date, b.off, CASE WHEN c.close * b.shares > 0 THEN b.revenue / (c.close * b.shares) END AS y FROM (
+      SELECT h.entity, h.quarter, h.kind, h.date, h.off, h.revenue, h.k_date, q.shares, least(h.k_date, h.period + 45) AS anchor FROM hist h JOIN fil q ON q.entity = h.entity AND q.datekey = h.k_date AND q.reportperiod = h.period WHERE h.kind = 'median') b
+    ASOF JOIN px c ON b.entity = c.entity AND b.anchor >= c.date WHERE b.anchor - c.date <= 14) h ON f.entity = h.entity AND f.quarter = h.quarter AND f.kind = h.kind AND f.date = h.date
+  WHERE h.y IS NOT NULL GROUP BY f.entity, f.quarter, f.kind, f.date, f.sales_yield)""", "fam", "hist", "px", "fil")
+def _(s, d):
+    w = World(s, d)
+    base = w.base().where("kind = 'median'")
+    f = w.filings.withColumn("known_on", F.col("datekey")).withColumn("about", F.col("reportperiod"))
+    hist = fu.history_buckets(base, f, KEY, ["revenue", "shares", "known_on", "about"]).withColumn("anchor", F.least("known_on", F.date_add("about", 45)))
+    priced = asof_join(hist, w.prices.select("entity", F.col("date").alias("p_date"), F.col("close").alias("p")), ["entity"], "anchor", "p_date", ["p"], "inner", True, 14)
+    cap = F.col("p") * F.col("shares")
+    priced = priced.select(*KEY, F.when(cap > 0, F.col("revenue") / F.when(cap > 0, cap)).alias("h_sales_yield"))
+    return fu.relative_to_history(fu.valuation(fu.market_inputs(base)), priced, KEY, "sales_yield")
+
+
+@query("returns_series", f"SELECT entity, date, ix, {r6('ret', 'log_ret', 'dollar')}, one_day FROM ser", "ser")
+def _(s, d):
+    w = World(s, d)
+    return fu.returns_series(w.prices, w.calendar).select("entity", "date", "ix", "ret", "log_ret", "dollar", "one_day")
+
+
+@query("technical_features", f"""SELECT entity, quarter, kind, date, round(entry / max_by(close, ix) FILTER (b BETWEEN 21 AND 42) - 1, 6) + 0.0::DOUBLE AS mom_21, round(entry / max_by(close, ix) FILTER (b BETWEEN 126 AND 147) - 1, 6) + 0.0::DOUBLE AS mom_126,
+  round(entry / max(close) FILTER (b < 252) - 1, 6) + 0.0::DOUBLE AS dist_high, round(max(ret) FILTER (b < 21 AND one_day), 6) + 0.0::DOUBLE AS max_ret,
+  round(CASE WHEN count(*) FILTER (b < 252 AND one_day AND bench_ret IS NOT NULL) >= 15 THEN regr_slope(ret, bench_ret) FILTER (b < 252 AND one_day) END, 6) + 0.0::DOUBLE AS beta,
+  round(CASE WHEN count(*) FILTER (b < 252 AND log_ret IS NOT NULL) >= 15 THEN stddev_samp(log_ret) FILTER (b < 252) * sqrt(252.0::DOUBLE) END, 6) + 0.0::DOUBLE AS vol,
+  round(median(dollar) FILTER (b < 63), 6) + 0.0::DOUBLE AS med_dollar, round(avg(abs(ret) / dollar) FILTER (b < 252), 6) + 0.0::DOUBLE AS illiquidity, count(*) AS n_obs
+FROM (SELECT s.entity, s.quarter, s.kind, s.date, s.entry, c.ix - r.ix AS b, r.ix, r.close, r.ret, r.log_ret, r.dollar, r.one_day, m.bench_ret FROM snap s JOIN cal c ON c.date = s.date
+  JOIN ser r ON r.entity = s.entity AND r.ix BETWEEN c.ix - 252 AND c.ix LEFT JOIN bret m ON m.ix = r.ix) GROUP BY entity, quarter, kind, date, entry""", "snap", "cal", "ser", "bret")
+def _(s, d):
+    w = World(s, d)
+    return fu.window_features(w.snaps, fu.returns_series(w.prices, w.calendar), fu.benchmark_returns(bind.benchmark(s, d), w.calendar), w.calendar).drop("entry")
+
+
+# -- cross-section ------------------------------------------------------------------------------------------
+
+_RANKED = ["earnings_yield", "sales_yield", "gross_margin", "roa"]
+
+
+def _ranked_sql(cols: dict[str, tuple[float, float] | None], part: str, src: str = "fam") -> str:
+    out = []
+    for c, pin in cols.items():
+        side = f"sign({c} - {pin[0]})" if pin else "0"
+        pr = f"percent_rank() OVER (PARTITION BY {part}, {c} IS NULL, {side} ORDER BY {c})"
+        r = f"CASE WHEN {side} = 0 THEN {pin[1]} WHEN {side} < 0 THEN {pr} * {pin[1]} ELSE {pin[1]} + (1 - {pin[1]}) * {pr} END" if pin else pr
+        out.append(f"round(CASE WHEN {c} IS NOT NULL AND count({c}) OVER (PARTITION BY {part}) >= 20 THEN {r} END, 6) + 0.0::DOUBLE AS {c}_rank")
+    return f"SELECT {_K}, {', '.join(out)} FROM {src}"
+
+
+@query("full_rank", _ranked_sql(dict.fromkeys(_RANKED), "quarter, kind"), "fam")
+def _(s, d):
+    return pn.cross_rank(World(s, d).families(), KEY, dict.fromkeys(_RANKED), ["quarter", "kind"])
+
+
+@query("pinned_rank", _ranked_sql({"dividend_yield": (0.0, 0.5), "roa": (0.0, 0.25)}, "quarter, kind"), "fam")
+def _(s, d):
+    return pn.cross_rank(World(s, d).families(), KEY, {"dividend_yield": (0.0, 0.5), "roa": (0.0, 0.25)}, ["quarter", "kind"])
+
+
+@query("sector_rank", _ranked_sql({"roa": None}, "quarter, kind, sector", "(SELECT f.*, s.sector FROM fam f JOIN sup s ON f.entity = s.entity)"), "fam", "sup")
+def _(s, d):
+    f = World(s, d).families().join(bind.entities(s, d).select("entity", "sector"), "entity")
+    return pn.cross_rank(f, KEY, {"roa": None}, ["quarter", "kind", "sector"])
+
+
+@query("composites", """SELECT entity, quarter, kind, date, round(CASE WHEN count(s) OVER w >= 20 AND s IS NOT NULL THEN percent_rank() OVER (PARTITION BY quarter, kind, s IS NULL ORDER BY s) END, 6) + 0.0::DOUBLE AS magic_rank FROM (
+  SELECT entity, quarter, kind, date, round(CASE WHEN ebit_to_ev IS NOT NULL AND count(ebit_to_ev) OVER p >= 20 THEN percent_rank() OVER (PARTITION BY quarter, kind, ebit_to_ev IS NULL ORDER BY ebit_to_ev) END
+    + CASE WHEN roa IS NOT NULL AND count(roa) OVER p >= 20 THEN percent_rank() OVER (PARTITION BY quarter, kind, roa IS NULL ORDER BY roa) END, 9) AS s FROM fam WINDOW p AS (PARTITION BY quarter, kind)) WINDOW w AS (PARTITION BY quarter, kind)""", "fam")
+def _(s, d):
+    f = World(s, d).families()
+    r = pn.cross_rank(f, KEY, {"ebit_to_ev": None, "roa": None}, ["quarter", "kind"]).withColumn("magic", F.round(F.col("ebit_to_ev_rank") + F.col("roa_rank"), 9))
+    return pn.cross_rank(r, KEY, {"magic": None}, ["quarter", "kind"])
+
+
+@query("group_medians_g", """SELECT f.entity, f.quarter, f.kind, f.date, round(m.roa, 6) + 0.0::DOUBLE AS med_roa, ((f.ncfo > f.netinc)::INT + (f.roa > m.roa)::INT + (f.gross_margin > m.gm)::INT)::BIGINT AS g_score
+FROM (SELECT f.*, s.sector FROM fam f JOIN sup s ON f.entity = s.entity) f LEFT JOIN (SELECT f.quarter, f.kind, s.sector, CASE WHEN count(roa) >= 5 THEN median(roa) END AS roa, CASE WHEN count(gross_margin) >= 5 THEN median(gross_margin) END AS gm
+  FROM fam f JOIN sup s ON f.entity = s.entity GROUP BY ALL) m ON f.quarter = m.quarter AND f.kind = m.kind AND f.sector = m.sector""", "fam", "sup")
+def _(s, d):
+    f = World(s, d).families().join(bind.entities(s, d).select("entity", "sector"), "entity")
+    by = ["quarter", "kind", "sector"]
+    return pn.growth_score(f, pn.group_medians(f, by, ["roa", "gross_margin"]), by, ["roa", "gross_margin"], F.col("ncfo") > F.col("netinc")).select(*KEY, "med_roa", "g_score")
+
+
+_TIES = "(SELECT quarter, kind, unnest(['returned', 'lines']) AS \"column\", unnest([r, n]) AS value FROM (SELECT l_suppkey, date_trunc('quarter', l_shipdate)::DATE AS quarter, l_linestatus AS kind, (count(*) FILTER (l_returnflag = 'R'))::DOUBLE AS r, count(*)::DOUBLE AS n FROM lineitem GROUP BY ALL))"
+_AUDIT = f"""SELECT "column", kind, sum(n)::BIGINT AS n_rows, count(DISTINCT quarter) AS n_partitions, count(DISTINCT value) AS n_values, count(*) AS n_pairs,
+  round(coalesce(sum(n) FILTER (n > 1), 0)::DOUBLE / sum(n), 6) + 0.0::DOUBLE AS tie_mass, round(coalesce(sum(n) FILTER (n > 1 AND spread = 1), 0)::DOUBLE / sum(n), 6) + 0.0::DOUBLE AS keyed_mass,
+  round(max(n::DOUBLE / size) FILTER (n > 1 AND spread = 1), 6) + 0.0::DOUBLE AS max_key_share
+FROM (SELECT *, count(*) OVER (PARTITION BY "column", kind, value) AS spread, sum(n) OVER (PARTITION BY "column", kind, quarter) AS size FROM (SELECT "column", kind, quarter, value, count(*) AS n FROM {_TIES} GROUP BY ALL)) GROUP BY "column", kind"""
+
+
+def _audit(s, d):
+    g = bind.table(s, d, "lineitem").groupBy("l_suppkey", F.trunc("l_shipdate", "quarter").alias("quarter"), F.col("l_linestatus").alias("kind")).agg(F.count_if(F.col("l_returnflag") == "R").cast("double").alias("returned"), F.count("*").cast("double").alias("lines"))
+    return pn.tie_audit(g, ["returned", "lines"], "quarter", "kind")
+
+
+@query("tie_audit", _AUDIT)
+def _(s, d):
+    return _audit(s, d).drop("at_partition", "at_value")
+
+
+@query("audit_gate", f'SELECT "column", max(max_key_share) AS worst, coalesce(max(max_key_share) > 0.02::DOUBLE, false) AS flagged FROM ({_AUDIT}) GROUP BY "column"')
+def _(s, d):
+    return pn.audit_gate(_audit(s, d))
+
+
+_WEIGHTS = """SELECT w.entity, w.quarter, w.kind, w.date, round(avg(1.0::DOUBLE / c.open), 6) + 0.0::DOUBLE AS weight FROM (SELECT * FROM obs WHERE h = 1 AND observable) w
+  JOIN (SELECT entity, day, count(*) AS open FROM (SELECT entity, unnest(generate_series(date, label_end, INTERVAL 1 DAY))::DATE AS day FROM obs WHERE h = 1 AND observable) GROUP BY 1, 2) c ON c.entity = w.entity AND c.day BETWEEN w.date AND w.label_end GROUP BY w.entity, w.quarter, w.kind, w.date"""
+
+
+def _weights(s, d):
+    o = World(s, d).observations((1,)).where("observable")
+    return pn.uniqueness_weights(o, "entity", "date", "label_end", KEY)
+
+
+query("uniqueness_weights", _WEIGHTS, "obs")(_weights)
+
+
+@query("effective_sample", f"SELECT kind, count(*) AS n, round(sum(weight), 3) + 0.0::DOUBLE AS effective FROM ({_WEIGHTS}) GROUP BY kind", "obs")
+def _(s, d):
+    return _weights(s, d).groupBy("kind").agg(F.count("*").alias("n"), F.round(F.sum(F.round("weight", 6)), 3).alias("effective"))
+
+
+@query("assembled_panel", f"""SELECT f.entity, f.quarter, f.kind, f.date, round(f.sales_yield, 6) + 0.0::DOUBLE AS sales_yield, round(f.roa, 6) + 0.0::DOUBLE AS roa, round(l.cagr, 6) + 0.0::DOUBLE AS cagr, w.weight
+FROM fam f LEFT JOIN (SELECT * FROM lab WHERE h = 1) l ON f.entity = l.entity AND f.quarter = l.quarter AND f.kind = l.kind LEFT JOIN ({_WEIGHTS}) w ON f.entity = w.entity AND f.quarter = w.quarter AND f.kind = w.kind""", "fam", "lab", "obs")
+def _(s, d):
+    from tidemark.plans.assemble import assemble
+
+    w = World(s, d)
+    return assemble(w.families().select(*KEY, "sales_yield", "roa"), w.labels().where("h = 1").select("entity", "quarter", "kind", "cagr"), _weights(s, d))
+
+
+# -- splits -------------------------------------------------------------------------------------------------
+
+
+@query("fold_calendar", "SELECT scheme, fold::BIGINT AS fold, h::BIGINT AS h, test_start, test_end, 30::BIGINT AS embargo_days FROM folds", "folds")
+def _(s, d):
+    return pn.fold_calendar(World(s, d).observations())
+
+
+def _tags(s, d):
+    o = World(s, d).observations()
+    f = pn.fold_calendar(o)
+    return f, pn.tag_roles(o, f)
+
+
+@query("role_tags", f"SELECT scheme, fold::BIGINT AS fold, h::BIGINT AS h, {_K}, role FROM tags", "tags")
+def _(s, d):
+    return _tags(s, d)[1].select("scheme", "fold", "h", *KEY, "role")
+
+
+@query("fold_manifest", "SELECT f.scheme, f.fold::BIGINT AS fold, f.h::BIGINT AS h, f.test_start, f.test_end, 30::BIGINT AS embargo_days, " + ", ".join(f"count(*) FILTER (t.role = '{r}') AS n_{r}" for r in ("train", "test", "purged", "embargoed")) + " FROM folds f LEFT JOIN tags t ON f.scheme = t.scheme AND f.fold = t.fold AND f.h = t.h GROUP BY f.scheme, f.fold, f.h, f.test_start, f.test_end", "folds", "tags")
+def _(s, d):
+    return pn.fold_manifest(*_tags(s, d))
+
+
+_BUCKET = "(('0x' || substr(md5({}), 1, 8))::BIGINT % 5)"
+
+
+@query("entity_holdout", f"SELECT {_K}, CASE WHEN {_BUCKET.format('entity::VARCHAR')} = 0 THEN 'test' ELSE 'train' END AS role FROM snap WHERE date < DATE '2000-01-01'", "snap")
+def _(s, d):
+    return pn.hash_split(World(s, d).snaps, ["entity"], F.col("date") < F.lit("2000-01-01").cast("date")).select(*KEY, "role")
+
+
+@query("random_kfold", f"SELECT {_K}, k.k::BIGINT AS fold, CASE WHEN {_BUCKET.format(chr(39).join(['entity::VARCHAR || ', '|', ' || quarter::VARCHAR || ', '|', ' || kind']))} = k.k THEN 'test' ELSE 'train' END AS role FROM snap CROSS JOIN (VALUES (0), (1), (2), (3), (4)) k(k) WHERE date < DATE '2000-01-01'", "snap")
+def _(s, d):
+    return pn.random_folds(World(s, d).snaps, ["entity", "quarter", "kind"], F.col("date") < F.lit("2000-01-01").cast("date")).select(*KEY, "fold", "role")
+
+
+@query("training_rows", f"SELECT {_K} FROM snap s WHERE EXISTS (SELECT 1 FROM tags t WHERE t.scheme = 'holdout' AND t.h = 1 AND t.role = 'train' AND t.entity = s.entity AND t.quarter = s.quarter AND t.kind = s.kind)", "snap", "tags")
+def _(s, d):
+    w = World(s, d)
+    t = _tags(s, d)[1].where("scheme = 'holdout' and h = 1 and role = 'train'")
+    return w.snaps.join(t.select("entity", "quarter", "kind"), ["entity", "quarter", "kind"], "left_semi").select(*KEY)
+
+
+# -- inference ----------------------------------------------------------------------------------------------
+
+_LATEST = "(SELECT p.entity, date_trunc('quarter', m.d)::DATE AS quarter, 'inference' AS kind, p.date, p.entry, (m.ix - c.ix)::BIGINT AS age FROM (SELECT entity, max(date) AS date, max_by(close, date) AS entry FROM px GROUP BY entity) p JOIN cal c ON c.date = p.date CROSS JOIN (SELECT max(date) AS d, max(ix) AS ix FROM cal) m WHERE m.ix - c.ix <= 60)"
+
+
+@query("latest_snapshots", f"SELECT * FROM {_LATEST}", "px", "cal")
+def _(s, d):
+    w = World(s, d)
+    return sn.latest_snapshots(w.prices, w.calendar, 60)
+
+
+@query("inference_panel", f"SELECT s.entity, s.date, f.datekey, round(f.revenue / CASE WHEN s.entry * f.shares > 0 THEN s.entry * f.shares END, 6) + 0.0::DOUBLE AS sales_yield FROM {_LATEST} s ASOF LEFT JOIN fil1 f ON s.entity = f.entity AND s.date >= f.datekey", "px", "cal", "fil1")
+def _(s, d):
+    w = World(s, d)
+    f = w.filings
+    base = fu.fund_base(sn.latest_snapshots(w.prices, w.calendar, 60), f, [c for c in f.columns if c not in ("entity", "datekey", "reportperiod")], True)
+    return fu.valuation(fu.market_inputs(base)).select("entity", "date", "datekey", "sales_yield")
+
+
+# -- reports ------------------------------------------------------------------------------------------------
+
+_MED = "(SELECT b.*, s.sector, b.date - b.datekey AS age FROM base b JOIN sup s ON b.entity = s.entity WHERE b.kind = 'median')"
+
+
+def _median_base(s, d):
+    return World(s, d).base().where("kind = 'median'").join(bind.entities(s, d).select("entity", "sector"), "entity").withColumn("age", F.datediff("date", "datekey"))
+
+
+@query("coverage_by_year", f"SELECT year(date)::BIGINT AS year, count(*) AS n, round(median(age), 6) + 0.0::DOUBLE AS median_age, round(avg((datekey IS NOT NULL)::INT), 6) + 0.0::DOUBLE AS with_filing, round(avg((coalesce(age <= 135, false))::INT), 6) + 0.0::DOUBLE AS fresh FROM {_MED} GROUP BY 1", "base", "sup")
+def _(s, d):
+    return _median_base(s, d).groupBy(F.year("date").alias("year")).agg(F.count("*").alias("n"), F.median("age").alias("median_age"), F.avg(F.col("datekey").isNotNull().cast("double")).alias("with_filing"), F.avg(F.coalesce(F.col("age") <= 135, F.lit(False)).cast("double")).alias("fresh"))
+
+
+@query("coverage_by_sector", f"SELECT sector, count(*) AS n, round(median(age), 6) + 0.0::DOUBLE AS median_age, round(avg((datekey IS NOT NULL)::INT), 6) + 0.0::DOUBLE AS with_filing FROM {_MED} GROUP BY 1", "base", "sup")
+def _(s, d):
+    return _median_base(s, d).groupBy("sector").agg(F.count("*").alias("n"), F.median("age").alias("median_age"), F.avg(F.col("datekey").isNotNull().cast("double")).alias("with_filing"))
+
+
+@query("history_presence", "SELECT b.entity, b.quarter, count(*) FILTER (p.date > b.date - 372) AS n_12m, count(*) AS n_36m FROM snap b JOIN px p ON p.entity = b.entity AND p.date > b.date - 1116 AND p.date <= b.date WHERE b.kind = 'median' GROUP BY b.entity, b.quarter", "snap", "px")
+def _(s, d):
+    from tidemark.operators.asof import band_join
+
+    w = World(s, d)
+    day = lambda c: F.datediff(c, F.lit("1990-01-01").cast("date"))
+    a = w.snaps.where("kind = 'median'").select("entity", "quarter", day(F.col("date")).alias("s_day"))
+    j = band_join(a, w.prices.withColumn("day", day(F.col("date"))), ["entity"], "s_day", "day", 1115, [])
+    return j.groupBy("entity", "quarter").agg(F.count_if(F.col("day") > F.col("s_day") - 372).alias("n_12m"), F.count("*").alias("n_36m"))
+
+
+_NULLS = " UNION ALL ".join(f"SELECT '{c}' AS field, year(date)::BIGINT AS year, sector, count(*) AS n, round(avg(({c} IS NULL)::INT), 6) + 0.0::DOUBLE AS null_rate FROM (SELECT f.*, s.sector FROM fam f JOIN sup s ON f.entity = s.entity) GROUP BY 2, 3" for c in ("earnings_yield", "ebit_to_ev", "revenue_growth_1y", "revenue_t3"))
+
+
+def _null_rates(s, d):
+    f = World(s, d).families().join(bind.entities(s, d).select("entity", "sector"), "entity").withColumn("year", F.year("date"))
+    return qr.null_rates(f, ["year", "sector"], ["earnings_yield", "ebit_to_ev", "revenue_growth_1y", "revenue_t3"])
+
+
+query("null_rates", _NULLS, "fam", "sup")(_null_rates)
+
+
+@query("top_null_rates", "SELECT field, rate FROM (SELECT field, round(sum(n * null_rate) / sum(n), 4) + 0.0::DOUBLE AS rate FROM (" + _NULLS + ") GROUP BY field) ORDER BY rate DESC, field LIMIT 15", "fam", "sup")
+def _(s, d):
+    return qr.top_null_rates(_null_rates(s, d)).withColumn("rate", F.round("rate", 4))
+
+
+_BUCKETS = "CASE WHEN age IS NULL THEN 'none' WHEN age <= 45 THEN '000-045' WHEN age <= 90 THEN '046-090' WHEN age <= 135 THEN '091-135' WHEN age <= 180 THEN '136-180' WHEN age <= 400 THEN '181-400' ELSE '401-' END"
+
+
+@query("staleness_buckets", f"SELECT bucket, n, round(flag, 6) + 0.0::DOUBLE AS flag_share, round(n::DOUBLE / sum(n) OVER (), 6) + 0.0::DOUBLE AS share FROM (SELECT {_BUCKETS} AS bucket, count(*) AS n, avg((l.cagr >= 0)::INT) AS flag FROM {_MED} m LEFT JOIN (SELECT * FROM lab WHERE h = 1) l ON m.entity = l.entity AND m.quarter = l.quarter AND m.kind = l.kind GROUP BY 1)", "base", "sup", "lab")
+def _(s, d):
+    lab = World(s, d).labels().where("h = 1").select("entity", "quarter", "kind", (F.col("cagr") >= 0).alias("gain"))
+    return qr.staleness_buckets(_median_base(s, d).join(lab, ["entity", "quarter", "kind"], "left"), "age", "gain")
+
+
+@query("staleness_by_year", f"SELECT year, fresh, n, round(n::DOUBLE / sum(n) OVER (PARTITION BY year), 6) + 0.0::DOUBLE AS share FROM (SELECT year(date)::BIGINT AS year, coalesce(age <= 135, false) AS fresh, count(*) AS n FROM {_MED} GROUP BY 1, 2)", "base", "sup")
+def _(s, d):
+    return qr.staleness_by_year(_median_base(s, d), "age", "date")
+
+
+@query("update_lag", "SELECT year(o_orderdate)::BIGINT AS year, count(lag) AS n, round(median(lag), 6) + 0.0::DOUBLE AS median_lag, round(quantile_cont(lag, 0.95), 6) + 0.0::DOUBLE AS p95_lag, round(avg((lag > 35)::INT), 6) + 0.0::DOUBLE AS share_late FROM (SELECT o.o_orderdate, l.l_shipdate::DATE - o.o_orderdate::DATE AS lag FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey) GROUP BY 1")
+def _(s, d):
+    j = bind.table(s, d, "orders").join(bind.table(s, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return qr.update_lag(j, F.datediff("l_shipdate", "o_orderdate"), F.year("o_orderdate"))
+
+
+@query("md5_sample", "SELECT o_custkey, o_orderkey FROM orders ORDER BY md5(o_custkey::VARCHAR || '|' || o_orderkey::VARCHAR), o_custkey, o_orderkey LIMIT 50")
+def _(s, d):
+    return qr.md5_sample(bind.table(s, d, "orders").select("o_custkey", "o_orderkey"), 50, "o_custkey", "o_orderkey")
+
+
+_REPL = "(SELECT o_totalprice AS reported, sum(l_extendedprice) AS computed, sum(l_extendedprice * (1 - l_discount)) AS latest FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_totalprice)"
+
+
+def _reported(s, d):
+    j = bind.table(s, d, "orders").join(bind.table(s, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return j.groupBy("o_orderkey", F.col("o_totalprice").alias("reported")).agg(F.sum("l_extendedprice").alias("computed"), F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("latest"))
+
+
+@query("replication_error", f"SELECT round(s, 6) + 0.0::DOUBLE AS scale, count(*) AS n, round(median(e), 6) + 0.0::DOUBLE AS median_err, round(quantile_cont(e, 0.9), 6) + 0.0::DOUBLE AS p90_err, round(avg((e <= 0.01::DOUBLE)::INT), 6) + 0.0::DOUBLE AS within_1pct, round(avg((e <= 0.05::DOUBLE)::INT), 6) + 0.0::DOUBLE AS within_5pct FROM (SELECT s, abs(reported / (computed * s) - 1) AS e FROM {_REPL} CROSS JOIN (SELECT median(reported / computed) AS s FROM {_REPL} WHERE reported > 0 AND computed > 0) WHERE reported > 0 AND computed > 0) GROUP BY s")
+def _(s, d):
+    return qr.replication_error(_reported(s, d), "reported", "computed")
+
+
+@query("source_discrimination", f"SELECT count(*) AS n, count(*) FILTER (abs(ln(reported / computed)) < abs(ln(reported / latest))) AS first_nearer, count(*) FILTER (abs(ln(reported / computed)) > abs(ln(reported / latest))) AS latest_nearer FROM {_REPL} WHERE reported > 0 AND computed > 0 AND latest > 0 AND abs(computed / latest - 1) > 0.01::DOUBLE")
+def _(s, d):
+    return qr.source_discrimination(_reported(s, d), "reported", "computed", "latest")
+
+
+_LONG = " UNION ALL ".join(f"SELECT entity, quarter, '{c}' AS feature, {c}::DOUBLE AS value FROM fam WHERE {c} IS NOT NULL" for c in ("sales_yield", "roa", "gross_margin"))
+
+
+@query("intra_group_variation", f"SELECT feature, count(*) AS n_groups, round(avg((hi > lo)::INT), 6) + 0.0::DOUBLE AS share_differ, round(median((hi - lo) / nullif(abs(mid), 0)), 6) + 0.0::DOUBLE AS median_range FROM (SELECT entity, quarter, feature, count(*) AS n, max(value) AS hi, min(value) AS lo, quantile_disc(value, 0.5) AS mid FROM ({_LONG}) GROUP BY ALL HAVING count(*) >= 2) GROUP BY feature", "fam")
+def _(s, d):
+    f = World(s, d).families()
+    return qr.intra_group_variation(qr.long_form(f, ["entity", "quarter"], ["sales_yield", "roa", "gross_margin"]), ["entity", "quarter"])
+
+
+@query("filing_straddle", "SELECT count(*) AS n_groups, count(*) FILTER (k > 1) AS n_straddle, round((count(*) FILTER (k > 1))::DOUBLE / count(*), 6) + 0.0::DOUBLE AS share FROM (SELECT entity, quarter, count(DISTINCT coalesce(datekey::VARCHAR, 'none')) AS k FROM base GROUP BY 1, 2)", "base")
+def _(s, d):
+    return qr.straddle(World(s, d).base(), ["entity", "quarter"], "datekey")
+
+
+_FLIP = {"gain": "cagr >= 0", "cagr_5": "cagr >= 0.05::DOUBLE", "never": "NULL::BOOLEAN"}
+
+
+@query("flip_rates", " UNION ALL ".join(f"SELECT '{n}' AS flag, count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS n_groups, count(*) FILTER (a <> b) AS n_flips, round((count(*) FILTER (a <> b))::DOUBLE / nullif(count(*) FILTER (a IS NOT NULL AND b IS NOT NULL), 0), 6) + 0.0::DOUBLE AS rate FROM (SELECT entity, quarter, bool_or({e}) FILTER (kind = 'low') AS a, bool_or({e}) FILTER (kind = 'high') AS b FROM lab WHERE h = 1 GROUP BY 1, 2)" for n, e in _FLIP.items()), "lab")
+def _(s, d):
+    lab = World(s, d).labels().where("h = 1").select("entity", "quarter", "kind", (F.col("cagr") >= 0).alias("gain"), (F.col("cagr") >= 0.05).alias("cagr_5"), F.lit(None).cast("boolean").alias("never"))
+    return qr.flip_rates(lab, ["entity", "quarter"], "kind", "low", "high", ["gain", "cagr_5", "never"])
+
+
+@query("variance_decomposition", f"SELECT feature, sum(n)::BIGINT AS n, round(sum(n * v) / (sum(n * v) + sum(n * (m - g) * (m - g))), 6) + 0.0::DOUBLE AS within_share FROM (SELECT *, sum(n * m) OVER (PARTITION BY feature) / sum(n) OVER (PARTITION BY feature) AS g FROM (SELECT feature, entity, quarter, count(*) AS n, var_pop(value) AS v, avg(value) AS m FROM ({_LONG}) GROUP BY ALL)) GROUP BY feature", "fam")
+def _(s, d):
+    return qr.variance_decomposition(World(s, d).families(), ["entity", "quarter"], ["sales_yield", "roa", "gross_margin"])
+
+
+@query("serial_corr", "SELECT k.k::BIGINT AS lag, count(*) AS n, round(corr(a.cagr, b.cagr), 6) + 0.0::DOUBLE AS corr FROM (SELECT * FROM lab WHERE h = 1 AND kind = 'median') a CROSS JOIN (VALUES (1), (2), (4), (8)) k(k) JOIN (SELECT * FROM lab WHERE h = 1 AND kind = 'median') b ON a.entity = b.entity AND b.quarter = (a.quarter + to_months(3 * k.k))::DATE GROUP BY 1", "lab")
+def _(s, d):
+    return qr.serial_correlation(World(s, d).labels().where("h = 1 and kind = 'median'"), "entity", "quarter", "cagr", [1, 2, 4, 8])
+
+
+_SPACE = "(SELECT entity, quarter, sales_yield AS x, roa AS y, gross_margin AS z FROM fam WHERE kind = 'median' AND sales_yield IS NOT NULL AND roa IS NOT NULL AND gross_margin IS NOT NULL)"
+
+
+def _space(s, d):
+    return World(s, d).families().where("kind = 'median' and sales_yield is not null and roa is not null and gross_margin is not null").select("entity", "quarter", F.col("sales_yield").alias("x"), F.col("roa").alias("y"), F.col("gross_margin").alias("z"))
+
+
+@query("nearest_twin", f"""SELECT s_e, s_q, t_e, t_q, round(d2, 6) + 0.0::DOUBLE AS d2, CASE WHEN t_e = s_e AND gap <= 12 THEN 'same entity, near' WHEN t_e = s_e THEN 'same entity, far' WHEN t_q = s_q THEN 'same quarter' ELSE 'other' END AS relation FROM (
+  SELECT *, abs(12 * (year(s_q) - year(t_q)) + month(s_q) - month(t_q)) AS gap, row_number() OVER (PARTITION BY s_e, s_q ORDER BY d2, t_e, t_q) AS rn FROM (
+    SELECT a.entity AS s_e, a.quarter AS s_q, b.entity AS t_e, b.quarter AS t_q, round((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z), 9) AS d2
+    FROM (SELECT * FROM {_SPACE} ORDER BY md5(entity::VARCHAR || '|' || quarter::VARCHAR), entity, quarter LIMIT 200) a JOIN {_SPACE} b ON a.entity <> b.entity OR a.quarter <> b.quarter)) WHERE rn = 1""", "fam")
+def _(s, d):
+    sp = _space(s, d)
+    return qr.nearest_neighbours(sp, qr.md5_sample(sp, 200, "entity", "quarter"), ["x", "y", "z"], "entity", "quarter")
+
+
+@query("random_partners", """WITH t AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5(o_orderkey::VARCHAR), o_orderkey) AS rn, count(*) OVER () AS n FROM (SELECT o_orderkey FROM orders ORDER BY md5(o_orderkey::VARCHAR), o_orderkey LIMIT 500))
+SELECT a.o_orderkey, b.o_orderkey AS p_o_orderkey FROM t a JOIN t b ON b.rn = 1 + ('0x' || substr(md5('p|' || a.o_orderkey::VARCHAR), 1, 8))::BIGINT % a.n""")
+def _(s, d):
+    return qr.random_partners(qr.md5_sample(bind.table(s, d, "orders").select("o_orderkey"), 500, "o_orderkey"), ["o_orderkey"])
+
+
+@query("purge_cost", "SELECT b.b AS boundary, h.h::BIGINT AS h, count(*) FILTER (date < b.b) AS n_before, count(*) FILTER (date < b.b AND (date + to_years(h.h))::DATE + 30 < b.b) AS n_train, count(*) FILTER (date < b.b AND NOT (date + to_years(h.h))::DATE + 30 < b.b) AS n_purged, count(*) FILTER (date >= b.b) AS n_after FROM snap CROSS JOIN (SELECT make_date(y, 1, 1) AS b FROM unnest(generate_series((SELECT min(year(date)) + 2 FROM snap), (SELECT max(year(date)) FROM snap))) t(y)) b CROSS JOIN (VALUES (1), (2), (3)) h(h) GROUP BY 1, 2", "snap")
+def _(s, d):
+    w = World(s, d)
+    years = w.snaps.agg(F.min(F.year("date")).alias("lo"), F.max(F.year("date")).alias("hi")).where("lo + 2 <= hi").select(F.explode(F.sequence(F.col("lo") + 2, F.col("hi"))).alias("y"))
+    return qr.purge_cost(w.snaps, years.select(F.make_date("y", F.lit(1), F.lit(1)).alias("boundary")), (1, 2, 3))
