@@ -9,10 +9,11 @@ decides the cell, so a ``slack`` of that length loses nothing, and the default,
 half of it, loses a pair only if over half of the difference points straight at
 the border (in 64 dimensions about four standard deviations).
 
-Inside a (label, cell), the vectors that visit meet those at home, in blocks:
-one task gets two blocks and multiplies them.  Only counts and a spanning
-forest of the links leave a task.  A pair that two cells both see is counted
-in one.
+Inside a (label, cell), the vectors that visit (those at home do, too) meet
+those at home, in blocks: one task gets a block of each and multiplies them.
+Only counts and a spanning forest of the links leave a task.  A visitor counts
+every resident that it links with; the resident counts the visitor as well if
+it doesn't visit the visitor's home itself.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ from tidemark.llm.minhash_dedup import forest
 SAMPLE = 20_000  # vectors that centres are fitted on, at most
 PER_CELL = 2_000  # vectors aimed at for a cell
 MOST_CELLS = 4_096  # bounds the centres that every task holds
-BLOCK = 512
+BLOCK = 512  # residents multiplied at once
+VISITORS = 2_048  # by so many visitors
 PART = 65_536  # vectors assigned at once
 
 
@@ -50,8 +52,11 @@ def fit_centres(x: np.ndarray, k: int, rounds: int = 12, seed: int = 5) -> np.nd
 
 
 def _matrix(col: pa.Array) -> np.ndarray:
+    """Unit rows in double precision, scaled by their largest component first, so that squares neither vanish nor overflow."""
     n = len(col)
-    return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
+    x = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
+    x = x / np.abs(x).max(1)[:, None]
+    return x / np.linalg.norm(x, axis=1)[:, None]
 
 
 def _cells(centres: np.ndarray, slack: float):
@@ -62,7 +67,6 @@ def _cells(centres: np.ndarray, slack: float):
             for at in range(0, whole.num_rows, PART):
                 b = whole.slice(at, PART)
                 x = _matrix(b.column(2))
-                x /= np.linalg.norm(x, axis=1)[:, None]
                 s = x @ centres.T
                 home = np.argmax(s, 1)
                 visit = s[np.arange(len(s)), home][:, None] - s <= gap[home]
@@ -75,42 +79,37 @@ def _cells(centres: np.ndarray, slack: float):
 
 
 def _links(threshold: float):
-    """Links between visitors and residents of one block pair: counts and a forest."""
+    """Links between a block of visitors and one of residents: counts and a forest."""
 
     def run(g: pa.Table) -> pa.RecordBatch | None:
-        g = g.combine_chunks()
-        b = g.to_batches()[0]
-        cell, i, j = (b.column(k)[0].as_py() for k in ("cell", "i", "j"))
-        ids, home, block = (b.column(k).to_numpy() for k in ("id", "home", "own"))
-        x = _matrix(b.column("v"))
-        x /= np.linalg.norm(x, axis=1)[:, None]
-        lists, lengths = b.column("cells").flatten().to_numpy(), b.column("cells").value_lengths().to_numpy()
-        resident = home == cell
-        cos = np.clip(x @ x.T, -1, 1)
-        link = cos >= threshold
-        link &= resident[:, None] | resident[None, :]  # two visitors meet where one of them lives
-        if i != j:
-            link &= block[:, None] != block[None, :]  # within one block they met in that block's own task
-        np.fill_diagonal(link, False)
-        # a visitor and a resident that also visits the visitor's home meet twice; the smaller cell counts
-        homes, at = np.unique(home, return_inverse=True)
-        visits = np.zeros((len(ids), len(homes)), dtype=bool)
-        where = np.minimum(np.searchsorted(homes, lists), len(homes) - 1)
-        hit = homes[where] == lists
-        visits[np.repeat(np.arange(len(ids)), lengths)[hit], where[hit]] = True
-        twice = visits[:, at].T & (home < cell)[:, None] & ~resident[:, None] & resident[None, :]
-        link &= ~(twice | twice.T)
-        n = link.sum(1)
-        if not n.any():
+        b = g.combine_chunks().to_batches()[0]
+        here = b.column("resident").to_numpy(zero_copy_only=False)
+        if not here.any() or here.all():
+            return None
+        r, v = (b.filter(pa.array(k)) for k in (here, ~here))
+        r_id, v_id = r.column("id").to_numpy(), v.column("id").to_numpy()
+        link = (_matrix(v.column("v")) @ _matrix(r.column("v")).T >= threshold) & (v_id[:, None] != r_id[None, :])
+        rows, cols = np.flatnonzero(link.any(1)), np.flatnonzero(link.any(0))
+        if not len(rows):
             return None
-        p, q = forest(link, np.arange(len(ids)))
-        root = np.arange(len(ids))
-        root[p] = q
-        some = n > 0
-        # ids are numbers of vectors, so the smallest number of the rows linked here names the forest's root
-        least = np.full(len(ids), np.iinfo(np.int64).max)
-        np.minimum.at(least, root, ids)
-        return pa.record_batch([pa.array(ids[some]), pa.array(n[some].astype(np.int64)), pa.array(least[root][some])], names=["id", "n", "to"])
+        link, r_id, v_id = link[np.ix_(rows, cols)], r_id[cols], v_id[rows]
+        home = v.column("home").to_numpy()[rows]
+        lists = r.column("cells").take(pa.array(cols))
+        homes, at = np.unique(home, return_inverse=True)
+        returns = np.zeros((len(cols), len(homes)), dtype=bool)  # does the resident visit that home
+        flat, length = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+        where = np.minimum(np.searchsorted(homes, flat), len(homes) - 1)
+        hit = homes[where] == flat
+        returns[np.repeat(np.arange(len(cols)), length)[hit], where[hit]] = True
+        to_resident = (link & ~returns[:, at].T).sum(0)
+        ids, number = np.unique(np.concatenate([v_id, r_id]), return_inverse=True)
+        n = np.bincount(number, np.concatenate([link.sum(1), to_resident]), len(ids)).astype(np.int64)
+        both = np.zeros((len(ids), len(ids)), dtype=bool)
+        both[np.ix_(number[: len(v_id)], number[len(v_id) :])] = link
+        p, q = forest(both | both.T, ids)
+        to = ids.copy()
+        to[np.searchsorted(ids, p)] = q
+        return pa.record_batch([pa.array(ids), pa.array(n), pa.array(to)], names=["id", "n", "to"])
 
     return run
 
@@ -130,29 +129,35 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.93, slack: float | Non
     with nothing and is kept; other columns are ignored; an empty table gives
     no rows.
     """
-    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
-    sound = F.expr("v is not null and size(v) > 0 and forall(v, e -> e is not null and not isnan(e) and abs(e) < double('inf'))")
-    usable = v.where("id is not null and label is not null").where(sound).where(F.expr("exists(v, e -> e <> 0)")).groupBy("id").agg(F.max(F.struct("label", "v")).alias("x")).select("id", "x.label", "x.v")
-    # scaled by the largest component, so that squares neither vanish nor overflow
-    usable = cut(usable.withColumn("v", F.expr("transform(v, e -> e / array_max(transform(v, w -> abs(w))))")))
+    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).alias("v"))
+    sound = F.expr("v is not null and size(v) > 0 and forall(v, e -> e is not null and not isnan(e) and abs(e) < double('inf')) and exists(v, e -> e <> 0)")
+    usable = v.where("id is not null and label is not null").where(sound).groupBy("id").agg(F.max(F.struct("label", "v")).alias("x")).select("id", "x.label", "x.v")
+    usable = cut(usable)
     dims = usable.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     base = v.select("id")
     if not dims:
         return base.select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     usable = usable.where(F.size("v") == dims[0].d)
     total = dims[0].n
-    got = usable.select("v", "id").orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toPandas()
-    x = np.array(got["v"].tolist(), dtype=np.float64)
+    # the hash range holds a little more than the sample, so that no task sends rows that the limit would drop
+    some = usable.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(min(1.0, 1.3 * sample / total + 1e-5) * (1 << 20)))
+    got = some.select("v", "id").orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toPandas()
+    x = np.array(got["v"].tolist(), dtype=np.float64).reshape(len(got), -1)
+    x /= np.abs(x).max(1)[:, None]
     x /= np.linalg.norm(x, axis=1)[:, None]
     centres = fit_centres(x, max(1, min(MOST_CELLS, math.ceil(total / per_cell))))
     if slack is None:
         slack = math.sqrt(max(0.0, 2 - 2 * threshold)) / 2
-    placed = cut(usable.select("id", "label", "v").mapInArrow(_cells(centres, slack), "id long, label long, v array<double>, home int, cells array<int>"))
+    kind = dict(usable.dtypes)["v"]
+    placed = cut(usable.select("id", "label", "v").mapInArrow(_cells(centres, slack), f"id long, label long, v {kind}, home int, cells array<int>"))
     visits = placed.withColumn("cell", F.explode("cells"))
-    size = visits.groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    v2 = visits.join(size, ["label", "cell"]).withColumn("own", F.expr("cast(pmod(xxhash64(id), blocks) as int)")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    v2 = v2.select("label", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "home", "cells", "v")
-    found = cut(stream_by(v2, ["label", "cell", "i", "j"], _links(threshold), "id long, n long, to long"))
+    size = visits.groupBy("label", "cell").agg(F.ceil(F.count_if(F.col("cell") == F.col("home")) / BLOCK).cast("int").alias("blocks"), F.ceil(F.count("*") / VISITORS).cast("int").alias("parts"))
+    dealt = visits.join(size, ["label", "cell"]).where("blocks > 0").withColumn("h", F.xxhash64("id"))
+    one = ["label", "cell", "i", "j", "id", "home", "cells", "v"]
+    block, part = F.expr("cast(pmod(h, blocks) as int)"), F.expr("cast(pmod(shiftright(h, 20), parts) as int)")
+    residents = dealt.where("cell = home").withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*one, F.lit(True).alias("resident"))
+    visitors = dealt.withColumn("j", part).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*one, F.lit(False).alias("resident"))
+    found = cut(stream_by(residents.unionByName(visitors), ["label", "cell", "i", "j"], _links(threshold), "id long, n long, to long"))
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
     comp = components(found.where("id <> to"), "id", "to").withColumnRenamed("node", "id")
     out = base.join(counts, "id", "left").join(comp, "id", "left")
