@@ -80,14 +80,14 @@ def uniqueness_weights(windows: DataFrame, by: str, start: str, end: str, key: l
     weight is a difference of two of its values.
     """
     w = windows.where(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) <= F.col(end)))
-    edges = w.select(by, F.explode(F.array(F.struct(F.col(start).alias("d"), F.lit(1).alias("x")), F.struct(F.date_add(end, 1).alias("d"), F.lit(-1).alias("x")))).alias("e")).select(by, "e.d", "e.x")
-    step = edges.groupBy(by, "d").agg(F.sum("x").alias("x"))
-    run = Window.partitionBy(by).orderBy("d")
-    step = step.withColumn("open", F.sum("x").over(run.rowsBetween(Window.unboundedPreceding, 0))).withColumn("len", F.datediff(F.lead("d").over(run), F.col("d")))
-    piece = F.when(F.col("open") > 0, F.col("len") / F.col("open")).otherwise(0.0)
-    step = step.withColumn("before", F.coalesce(F.sum(piece).over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))).select(by, "d", "before")
-    a = step.select(by, F.col("d").alias(start), F.col("before").alias("__a"))
-    b = step.select(by, F.date_sub("d", 1).alias(end), F.col("before").alias("__b"))
+    edges = w.select(by, F.explode(F.array(F.struct(F.col(start).alias("d"), F.lit(1).alias("x")), F.struct(F.date_add(end, 1).alias("d"), F.lit(-1).alias("x")))).alias("__edge")).select(by, F.col("__edge.d").alias("__d"), F.col("__edge.x").alias("__x"))
+    step = edges.groupBy(by, "__d").agg(F.sum("__x").alias("__x"))
+    run = Window.partitionBy(by).orderBy("__d")
+    step = step.withColumn("__open", F.sum("__x").over(run.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__len", F.datediff(F.lead("__d").over(run), F.col("__d")))
+    piece = F.when(F.col("__open") > 0, F.col("__len") / F.col("__open")).otherwise(0.0)
+    step = step.withColumn("__before", F.coalesce(F.sum(piece).over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))).select(by, "__d", "__before")
+    a = step.select(by, F.col("__d").alias(start), F.col("__before").alias("__a"))
+    b = step.select(by, F.date_sub("__d", 1).alias(end), F.col("__before").alias("__b"))
     out = w.join(a, [by, start]).join(b, [by, end])
     days = F.datediff(F.col(end), F.col(start)) + 1
     return windows.select(*key).join(out.select(*key, ((F.col("__b") - F.col("__a")) / days).alias("weight")), key, "left")

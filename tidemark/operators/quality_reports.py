@@ -76,7 +76,7 @@ def intra_group_variation(long: DataFrame, by: list[str]) -> DataFrame:
 def straddle(df: DataFrame, by: list[str], col: str) -> DataFrame:
     """Groups that see more than one filing, 'none' being a state of its own."""
     g = df.groupBy(*by).agg(F.count_distinct(F.coalesce(F.col(col).cast("string"), F.lit("none"))).alias("k"))
-    return g.agg(F.count("*").alias("n_groups"), F.count_if("k > 1").alias("n_straddle")).withColumn("share", F.try_divide(F.col("n_straddle").cast("double"), F.col("n_groups").cast("double")))
+    return g.agg(F.count("*").alias("n_groups"), F.count_if(F.col("k") > 1).alias("n_straddle")).withColumn("share", F.try_divide(F.col("n_straddle").cast("double"), F.col("n_groups").cast("double")))
 
 
 def flip_rates(df: DataFrame, by: list[str], kind: str, a: str, b: str, flags: list[str]) -> DataFrame:

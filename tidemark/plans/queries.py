@@ -70,6 +70,10 @@ class World:
     def windows(self) -> DataFrame:
         return sn.terminal_windows(self.ends, self.calendar)
 
+    def flagged(self) -> DataFrame:
+        """Labels with growth rounded to 9 places before it meets a threshold: sums in another order may differ beyond that."""
+        return self.labels().withColumn("cagr", F.round("cagr", 9)).withColumn("excess", F.round("excess", 9))
+
     def labels(self) -> DataFrame:
         w = self.windows
         stats = sn.terminal_stats(sn.forward_paths(self.snaps, w, self.prices))
@@ -198,20 +202,21 @@ def _(s, d):
     return World(s, d).windows
 
 
-@query("forward_cagr", f"SELECT entity, quarter, kind, h::BIGINT AS h, {r6('cagr', 'p2p', 'cagr_min', 'cagr_max', 'bench_cagr', 'excess', 'loss')}, cagr >= 0.05::DOUBLE AS cagr_ge_5, excess > 0 AS beat FROM lab", "lab")
+@query("forward_cagr", f"SELECT entity, quarter, kind, h::BIGINT AS h, {r6('cagr', 'p2p', 'cagr_min', 'cagr_max', 'bench_cagr', 'excess', 'loss')}, round(cagr, 9) >= 0.05::DOUBLE AS cagr_ge_5, round(excess, 9) > 0 AS beat FROM lab", "lab")
 def _(s, d):
-    return World(s, d).labels().select("entity", "quarter", "kind", "h", "cagr", "p2p", "cagr_min", "cagr_max", "bench_cagr", "excess", "loss", "cagr_ge_5", "beat")
+    x = World(s, d).flagged().withColumn("cagr_ge_5", F.col("cagr") >= 0.05).withColumn("beat", F.col("excess") > 0)
+    return x.select("entity", "quarter", "kind", "h", "cagr", "p2p", "cagr_min", "cagr_max", "bench_cagr", "excess", "loss", "cagr_ge_5", "beat")
 
 
-@query("label_wide", """SELECT s.entity, s.quarter, s.kind, s.date, """ + ", ".join(f"round(max(l.cagr) FILTER (l.h = {h}), 6) + 0.0::DOUBLE AS cagr_{h}y, round(max(l.excess) FILTER (l.h = {h}), 6) + 0.0::DOUBLE AS excess_{h}y, bool_or(l.excess > 0) FILTER (l.h = {h}) AS beat_{h}y" for h in (1, 2, 3)) + " FROM snap s LEFT JOIN lab l ON s.entity = l.entity AND s.quarter = l.quarter AND s.kind = l.kind GROUP BY ALL", "snap", "lab")
+@query("label_wide", """SELECT s.entity, s.quarter, s.kind, s.date, """ + ", ".join(f"round(max(l.cagr) FILTER (l.h = {h}), 6) + 0.0::DOUBLE AS cagr_{h}y, round(max(l.excess) FILTER (l.h = {h}), 6) + 0.0::DOUBLE AS excess_{h}y, bool_or(round(l.excess, 9) > 0) FILTER (l.h = {h}) AS beat_{h}y" for h in (1, 2, 3)) + " FROM snap s LEFT JOIN lab l ON s.entity = l.entity AND s.quarter = l.quarter AND s.kind = l.kind GROUP BY ALL", "snap", "lab")
 def _(s, d):
     w = World(s, d)
-    return sn.label_wide(w.labels(), w.snaps)
+    return sn.label_wide(w.flagged().withColumn("beat", F.col("excess") > 0), w.snaps)
 
 
-@query("label_summary", "SELECT h::BIGINT AS h, count(*) AS n, count(*) FILTER (cagr >= 0) AS n_gain, count(*) FILTER (excess > 0) AS n_beat, round(avg(cagr), 6) + 0.0::DOUBLE AS mean_cagr FROM lab GROUP BY h", "lab")
+@query("label_summary", "SELECT h::BIGINT AS h, count(*) AS n, count(*) FILTER (round(cagr, 9) >= 0) AS n_gain, count(*) FILTER (round(excess, 9) > 0) AS n_beat, round(avg(cagr), 6) + 0.0::DOUBLE AS mean_cagr FROM lab GROUP BY h", "lab")
 def _(s, d):
-    return World(s, d).labels().groupBy("h").agg(F.count("*").alias("n"), F.count_if(F.col("cagr") >= 0).alias("n_gain"), F.count_if(F.col("beat")).alias("n_beat"), F.avg("cagr").alias("mean_cagr"))
+    return World(s, d).flagged().groupBy("h").agg(F.count("*").alias("n"), F.count_if(F.col("cagr") >= 0).alias("n_gain"), F.count_if(F.col("excess") > 0).alias("n_beat"), F.avg("cagr").alias("mean_cagr"))
 
 
 @query("max_drawdown", """SELECT entity, kind, date, h::BIGINT AS h, round(max(dd), 6) + 0.0::DOUBLE AS max_drawdown, round(greatest(1 - min(close) / any_value(entry), 0), 6) + 0.0::DOUBLE AS fall_from_entry FROM (
@@ -552,9 +557,9 @@ def _(s, d):
 _BUCKETS = "CASE WHEN age IS NULL THEN 'none' WHEN age <= 45 THEN '000-045' WHEN age <= 90 THEN '046-090' WHEN age <= 135 THEN '091-135' WHEN age <= 180 THEN '136-180' WHEN age <= 400 THEN '181-400' ELSE '401-' END"
 
 
-@query("staleness_buckets", f"SELECT bucket, n, round(flag, 6) + 0.0::DOUBLE AS flag_share, round(n::DOUBLE / sum(n) OVER (), 6) + 0.0::DOUBLE AS share FROM (SELECT {_BUCKETS} AS bucket, count(*) AS n, avg((l.cagr >= 0)::INT) AS flag FROM {_MED} m LEFT JOIN (SELECT * FROM lab WHERE h = 1) l ON m.entity = l.entity AND m.quarter = l.quarter AND m.kind = l.kind GROUP BY 1)", "base", "sup", "lab")
+@query("staleness_buckets", f"SELECT bucket, n, round(flag, 6) + 0.0::DOUBLE AS flag_share, round(n::DOUBLE / sum(n) OVER (), 6) + 0.0::DOUBLE AS share FROM (SELECT {_BUCKETS} AS bucket, count(*) AS n, avg((round(l.cagr, 9) >= 0)::INT) AS flag FROM {_MED} m LEFT JOIN (SELECT * FROM lab WHERE h = 1) l ON m.entity = l.entity AND m.quarter = l.quarter AND m.kind = l.kind GROUP BY 1)", "base", "sup", "lab")
 def _(s, d):
-    lab = World(s, d).labels().where("h = 1").select("entity", "quarter", "kind", (F.col("cagr") >= 0).alias("gain"))
+    lab = World(s, d).flagged().where("h = 1").select("entity", "quarter", "kind", (F.col("cagr") >= 0).alias("gain"))
     return qr.staleness_buckets(_median_base(s, d).join(lab, ["entity", "quarter", "kind"], "left"), "age", "gain")
 
 
@@ -606,12 +611,12 @@ def _(s, d):
     return qr.straddle(World(s, d).base(), ["entity", "quarter"], "datekey")
 
 
-_FLIP = {"gain": "cagr >= 0", "cagr_5": "cagr >= 0.05::DOUBLE", "never": "NULL::BOOLEAN"}
+_FLIP = {"gain": "round(cagr, 9) >= 0", "cagr_5": "round(cagr, 9) >= 0.05::DOUBLE", "never": "NULL::BOOLEAN"}
 
 
 @query("flip_rates", " UNION ALL ".join(f"SELECT '{n}' AS flag, count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS n_groups, count(*) FILTER (a <> b) AS n_flips, round((count(*) FILTER (a <> b))::DOUBLE / nullif(count(*) FILTER (a IS NOT NULL AND b IS NOT NULL), 0), 6) + 0.0::DOUBLE AS rate FROM (SELECT entity, quarter, bool_or({e}) FILTER (kind = 'low') AS a, bool_or({e}) FILTER (kind = 'high') AS b FROM lab WHERE h = 1 GROUP BY 1, 2)" for n, e in _FLIP.items()), "lab")
 def _(s, d):
-    lab = World(s, d).labels().where("h = 1").select("entity", "quarter", "kind", (F.col("cagr") >= 0).alias("gain"), (F.col("cagr") >= 0.05).alias("cagr_5"), F.lit(None).cast("boolean").alias("never"))
+    lab = World(s, d).flagged().where("h = 1").select("entity", "quarter", "kind", (F.col("cagr") >= 0).alias("gain"), (F.col("cagr") >= 0.05).alias("cagr_5"), F.lit(None).cast("boolean").alias("never"))
     return qr.flip_rates(lab, ["entity", "quarter"], "kind", "low", "high", ["gain", "cagr_5", "never"])
 
 
