@@ -42,37 +42,37 @@ def _cell(el: str, m: str, j: int) -> str:
 
 
 def _to_cells(df: DataFrame, keys: list[str], signed: str) -> DataFrame:
-    """Cells of exploded (el, sign) rows: keys, m, cell, n, k, c."""
-    places = ", ".join(_cell("el", "m", j) for j in range(3))
-    rows = df.selectExpr(*keys, "m", f"inline({signed})").selectExpr(*keys, "m", "el", "sign", "xxhash64(el, 99) as chk", f"explode(array({places})) as cell")
-    return rows.groupBy(*keys, "m", "cell").agg(F.sum("sign").alias("n"), F.bit_xor("el").alias("k"), F.bit_xor("chk").alias("c"))
+    """Cells of exploded (_el, _sign) rows: keys, _m, _cell, _n, _k, _c."""
+    places = ", ".join(_cell("_el", "_m", j) for j in range(3))
+    rows = df.selectExpr(*keys, "_m", f"inline({signed})").selectExpr(*keys, "_m", "_el", "_sign", "xxhash64(_el, 99) as _chk", f"explode(array({places})) as _cell")
+    return rows.groupBy(*keys, "_m", "_cell").agg(F.sum("_sign").alias("_n"), F.bit_xor("_el").alias("_k"), F.bit_xor("_chk").alias("_c"))
 
 
 def sketches(df: DataFrame, keys: list[str], elements: str, cells: int = CELLS) -> DataFrame:
     """``keys``, fingerprint: the cells in use as text, ``cell:count:digest:check`` with ``cells=`` before them."""
     # dealt out by the document before digests become cells, so that no later step moves cells
     df = df.select(*keys, elements).repartition(*[F.col(k) for k in keys])
-    one = _to_cells(df.withColumn("m", F.lit(cells)), keys, f"transform({elements}, e -> struct(e as el, 1 as sign))")
-    shown = F.concat_ws(":", F.lpad(F.hex("cell"), 4, "0"), F.col("n").cast("string"), F.lower(F.hex("k")), F.lower(F.hex("c")))
-    whole = one.groupBy(*keys).agg(F.concat_ws(",", F.array_sort(F.collect_list(shown))).alias("cells_text"))
-    return whole.select(*keys, F.concat(F.lit(f"{cells}="), "cells_text").alias("fingerprint"))
+    one = _to_cells(df.withColumn("_m", F.lit(cells)), keys, f"transform({elements}, e -> struct(e as _el, 1 as _sign))")
+    shown = F.concat_ws(":", F.lpad(F.hex("_cell"), 4, "0"), F.col("_n").cast("string"), F.lower(F.hex("_k")), F.lower(F.hex("_c")))
+    whole = one.groupBy(*keys).agg(F.concat_ws(",", F.array_sort(F.collect_list(shown))).alias("_text"))
+    return whole.select(*keys, F.concat(F.lit(f"{cells}="), "_text").alias("fingerprint"))
 
 
 def _peeled(pairs: DataFrame, keys: list[str], sweeps: int) -> DataFrame:
     """``keys``, gone_a, gone_b (digests only in a, only in b), open (cells that stay)."""
-    both = "concat(transform(a, e -> struct(e as el, 1 as sign)), transform(b, e -> struct(e as el, -1 as sign)))"
-    cells = _to_cells(pairs, keys, both).withColumn("found", F.lit(None).cast("long"))
+    both = "concat(transform(a, e -> struct(e as _el, 1 as _sign)), transform(b, e -> struct(e as _el, -1 as _sign)))"
+    cells = _to_cells(pairs, keys, both).withColumn("_found", F.lit(None).cast("long"))
     for r in range(3 * sweeps):
         t = r % 3
-        pure = f"cell >= {t} * (m div 3) and cell < {t + 1} * (m div 3) and abs(n) = 1 and c = xxhash64(k, 99)"
-        own = "struct(cell, n, k, c, found)"
-        out = ", ".join(f"struct({_cell('k', 'm', j)} as cell, -n as n, k, c, found)" for j in range(3))
-        took = "struct(-1 as cell, n, 0L as k, 0L as c, k as found)"
-        cells = cells.selectExpr(*keys, "m", f"inline(case when {pure} then array({own}, {out}, {took}) else array({own}) end)")
-        cells = cells.groupBy(*keys, "m", "cell", "found").agg(F.sum("n").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c"))
-        cells = cells.where("cell = -1 or n <> 0 or k <> 0 or c <> 0")
-    side = lambda sign: F.array_sort(F.collect_list(F.when((F.col("cell") == -1) & (F.col("n") == sign), F.col("found"))))
-    return cells.groupBy(*keys).agg(side(1).alias("gone_a"), side(-1).alias("gone_b"), F.sum(F.when(F.col("cell") >= 0, 1).otherwise(0)).alias("open"))
+        pure = f"_cell >= {t} * (_m div 3) and _cell < {t + 1} * (_m div 3) and abs(_n) = 1 and _c = xxhash64(_k, 99)"
+        own = "struct(_cell, _n, _k, _c, _found)"
+        out = ", ".join(f"struct({_cell('_k', '_m', j)} as _cell, -_n as _n, _k, _c, _found)" for j in range(3))
+        took = "struct(-1 as _cell, _n, 0L as _k, 0L as _c, _k as _found)"
+        cells = cells.selectExpr(*keys, "_m", f"inline(case when {pure} then array({own}, {out}, {took}) else array({own}) end)")
+        cells = cells.groupBy(*keys, "_m", "_cell", "_found").agg(F.sum("_n").alias("_n"), F.bit_xor("_k").alias("_k"), F.bit_xor("_c").alias("_c"))
+        cells = cells.where("_cell = -1 or _n <> 0 or _k <> 0 or _c <> 0")
+    side = lambda sign: F.array_sort(F.collect_list(F.when((F.col("_cell") == -1) & (F.col("_n") == sign), F.col("_found"))))
+    return cells.groupBy(*keys).agg(side(1).alias("gone_a"), side(-1).alias("gone_b"), F.sum(F.when(F.col("_cell") >= 0, 1).otherwise(0)).alias("open"))
 
 
 def differences(pairs: DataFrame, keys: list[str], cells: int = CELLS, sweeps: int = SWEEPS, digests: bool = True) -> DataFrame:
@@ -91,7 +91,7 @@ def differences(pairs: DataFrame, keys: list[str], cells: int = CELLS, sweeps: i
     m = cells
     while True:
         # dealt out by the pair while it still is two short arrays; its cells then stay where they are
-        out = _peeled(todo.repartition(*[F.col(k) for k in keys]).withColumn("m", F.lit(m)), keys, sweeps)
+        out = _peeled(todo.repartition(*[F.col(k) for k in keys]).withColumn("_m", F.lit(m)), keys, sweeps)
         if not digests:
             out = out.select(*keys, (F.size("gone_a") + F.size("gone_b")).alias("gone"), "open")
         out = cut(out)
