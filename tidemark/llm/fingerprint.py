@@ -7,7 +7,7 @@ and digests and check sums are joined by exclusive or.  Sketches of two texts
 subtract cell by cell, so that what both hold vanishes.  Peeling then takes the
 sub-tables in turn: a cell that holds one digest alone gives it away, and it
 leaves its other cells.  A pair whose cells aren't all empty in the end is done
-again with a sketch four times as large.
+again with a sketch ``GROWTH`` times as large.
 
 All cells of a pair stay in one partition, so peeling shuffles nothing; the
 rows of a pair are bounded by its own paragraphs.
@@ -25,8 +25,8 @@ from tidemark.llm.common import cut
 
 PIECE = 256
 CELLS = 96  # of a fingerprint; also the first size for peeling
-GROWTH = 4
-SWEEPS = 6  # times that each sub-table is peeled
+GROWTH = 8
+SWEEPS = 4  # times that each sub-table is peeled; more would lengthen the plan, and a larger sketch needs fewer
 ID_PART = 200_000  # ids numbered by one task
 
 
@@ -158,10 +158,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = both.withColumn("edited", edited).select("kid", "h", "doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), paragraph_digests(F.col("text")).alias("a"), paragraph_digests(F.col("edited")).alias("b"), "n_kid", "n_h")
     base = cut(base)
     after = base.select(F.col("kid").alias("n_kid"), F.col("h").alias("n_h"), F.col("a").alias("next_a"))
-    near_e = differences(base.select("kid", "h", "a", "b"), ["kid", "h"], digests=False).select("kid", "h", F.col("likeness").alias("near_edited"))
-    near_n = differences(base.select("kid", "h", "n_kid", "n_h", "a").join(after, ["n_kid", "n_h"]).select("kid", "h", "a", F.col("next_a").alias("b")), ["kid", "h"], digests=False).select("kid", "h", F.col("likeness").alias("near_next"))
-    one = sketches(base, ["kid", "h"], "a")
-    two = sketches(base, ["kid", "h"], "b").withColumnRenamed("fingerprint", "edited_fingerprint")
+    # the likeness to the edited text (kind 0) and to the next document (1) are found together
+    key = ["kid", "h", "kind"]
+    pairs = base.select("kid", "h", F.lit(0).alias("kind"), "a", "b").unionByName(base.select("kid", "h", "n_kid", "n_h", "a").join(after, ["n_kid", "n_h"]).select("kid", "h", F.lit(1).alias("kind"), "a", F.col("next_a").alias("b")))
+    of = lambda c, k, name: F.max(F.when(F.col("kind") == k, F.col(c))).alias(name)
+    near = differences(pairs, key, digests=False).groupBy("kid", "h").agg(of("likeness", 0, "near_edited"), of("likeness", 1, "near_next"))
+    sides = base.select("kid", "h", F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.col("a").alias("d")), F.struct(F.lit(1).alias("kind"), F.col("b").alias("d")))))
+    shown = sketches(sides, key, "d").groupBy("kid", "h").agg(of("fingerprint", 0, "fingerprint"), of("fingerprint", 1, "edited_fingerprint"))
     empty = F.lit(f"{CELLS}=")
-    out = base.select("kid", "h", "doc_id", "n_chars", "edited_sha256").join(one, ["kid", "h"], "left").join(two, ["kid", "h"], "left").join(near_e, ["kid", "h"], "left").join(near_n, ["kid", "h"], "left")
+    out = base.select("kid", "h", "doc_id", "n_chars", "edited_sha256").join(shown, ["kid", "h"], "left").join(near, ["kid", "h"], "left")
     return out.select("doc_id", "n_chars", "edited_sha256", F.coalesce("fingerprint", empty).alias("fingerprint"), F.coalesce("edited_fingerprint", empty).alias("edited_fingerprint"), "near_edited", "near_next")
