@@ -48,10 +48,20 @@ def _to_cells(df: DataFrame, keys: list[str], signed: str) -> DataFrame:
     return rows.groupBy(*keys, "_m", "_cell").agg(F.sum("_sign").alias("_n"), F.bit_xor("_el").alias("_k"), F.bit_xor("_chk").alias("_c"))
 
 
+def _dealt(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows dealt out by ``keys`` while they still are short arrays.
+
+    Each becomes about a hundred cells in place, so there are four times as
+    many partitions as the session's shuffles have, a number that is kept.
+    """
+    n = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *[F.col(k) for k in keys])
+
+
 def sketches(df: DataFrame, keys: list[str], elements: str, cells: int = CELLS) -> DataFrame:
     """``keys``, fingerprint: the cells in use as text, ``cell:count:digest:check`` with ``cells=`` before them."""
     # dealt out by the document before digests become cells, so that no later step moves cells
-    df = df.select(*keys, elements).repartition(*[F.col(k) for k in keys])
+    df = _dealt(df.select(*keys, elements), keys)
     one = _to_cells(df.withColumn("_m", F.lit(cells)), keys, f"transform({elements}, e -> struct(e as _el, 1 as _sign))")
     shown = F.concat_ws(":", F.lpad(F.hex("_cell"), 4, "0"), F.col("_n").cast("string"), F.lower(F.hex("_k")), F.lower(F.hex("_c")))
     whole = one.groupBy(*keys).agg(F.concat_ws(",", F.array_sort(F.collect_list(shown))).alias("_text"))
@@ -91,7 +101,7 @@ def differences(pairs: DataFrame, keys: list[str], cells: int = CELLS, sweeps: i
     m = cells
     while True:
         # dealt out by the pair while it still is two short arrays; its cells then stay where they are
-        out = _peeled(todo.repartition(*[F.col(k) for k in keys]).withColumn("_m", F.lit(m)), keys, sweeps)
+        out = _peeled(_dealt(todo, keys).withColumn("_m", F.lit(m)), keys, sweeps)
         if not digests:
             out = out.select(*keys, (F.size("gone_a") + F.size("gone_b")).alias("gone"), "open")
         out = cut(out)
