@@ -29,11 +29,12 @@ def _known(base: DataFrame, filings: DataFrame, key: list[str], values: list[str
     return b.join(f, "entity").where((F.col("k_date") < F.col("date")) & (F.col("period") <= F.col("t0"))).withColumn("gap", F.datediff("t0", "period"))
 
 
-def lag_match(base: DataFrame, filings: DataFrame, key: list[str], value: str, lags: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """``value`` k years before the base period, within 30 days, newest version known; columns value_t1, ..."""
-    k = _known(base, filings, key, [value]).withColumn("k", F.round(F.col("gap") / 365).cast("int")).where(F.col("k").isin(*lags) & (F.abs(F.col("gap") - F.col("k") * 365) <= SLACK))
+def lag_match(base: DataFrame, filings: DataFrame, key: list[str], value: str | list[str], lags: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+    """Values k years before the base period, within 30 days, newest version known; columns value_t1, ..."""
+    values = [value] if isinstance(value, str) else value
+    k = _known(base, filings, key, values).withColumn("k", F.round(F.col("gap") / 365).cast("int")).where(F.col("k").isin(*lags) & (F.abs(F.col("gap") - F.col("k") * 365) <= SLACK))
     best = latest_by(k, [*key, "k"], F.col("k_date").desc(), F.col("period").desc())
-    wide = best.groupBy(*key).agg(*[F.max(F.when(F.col("k") == n, F.col(value))).alias(f"{value}_t{n}") for n in lags])
+    wide = best.groupBy(*key).agg(*[F.max(F.when(F.col("k") == n, F.col(v))).alias(f"{v}_t{n}") for v in values for n in lags])
     return base.select(*key).join(wide, key, "left")
 
 
@@ -161,3 +162,10 @@ def window_features(snaps: DataFrame, series: DataFrame, bench: DataFrame, calen
         F.avg(F.when(year, F.try_divide(F.abs("ret"), F.col("dollar")))).alias("illiquidity"), F.count("*").alias("n_obs"),
     )
     return g
+
+
+def family(df: DataFrame, name: str, key: list[str]) -> DataFrame:
+    """One feature family as a projection: ``key`` and the family's columns in the registry's order."""
+    from tidemark.functions.families import FAMILIES
+
+    return df.selectExpr(*key, *[f"{e} AS {n}" for n, e in FAMILIES[name].items()])

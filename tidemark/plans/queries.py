@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, ShortType
 
+from tidemark.functions import families as fam
 from tidemark.functions.exprs import md5_number
 from tidemark.operators import fundamentals as fu
 from tidemark.operators import identity as idn
@@ -204,14 +205,14 @@ def _(s, d):
 
 @query("forward_cagr", f"SELECT entity, quarter, kind, h::BIGINT AS h, {r6('cagr', 'p2p', 'cagr_min', 'cagr_max', 'bench_cagr', 'excess', 'loss')}, round(cagr, 9) >= 0.05::DOUBLE AS cagr_ge_5, round(excess, 9) > 0 AS beat FROM lab", "lab")
 def _(s, d):
-    x = World(s, d).flagged().withColumn("cagr_ge_5", F.col("cagr") >= 0.05).withColumn("beat", F.col("excess") > 0)
+    x = World(s, d).labels().withColumn("cagr_ge_5", F.round("cagr", 9) >= 0.05).withColumn("beat", F.round("excess", 9) > 0)
     return x.select("entity", "quarter", "kind", "h", "cagr", "p2p", "cagr_min", "cagr_max", "bench_cagr", "excess", "loss", "cagr_ge_5", "beat")
 
 
 @query("label_wide", """SELECT s.entity, s.quarter, s.kind, s.date, """ + ", ".join(f"round(max(l.cagr) FILTER (l.h = {h}), 6) + 0.0::DOUBLE AS cagr_{h}y, round(max(l.excess) FILTER (l.h = {h}), 6) + 0.0::DOUBLE AS excess_{h}y, bool_or(round(l.excess, 9) > 0) FILTER (l.h = {h}) AS beat_{h}y" for h in (1, 2, 3)) + " FROM snap s LEFT JOIN lab l ON s.entity = l.entity AND s.quarter = l.quarter AND s.kind = l.kind GROUP BY ALL", "snap", "lab")
 def _(s, d):
     w = World(s, d)
-    return sn.label_wide(w.flagged().withColumn("beat", F.col("excess") > 0), w.snaps)
+    return sn.label_wide(w.labels().withColumn("beat", F.round("excess", 9) > 0), w.snaps)
 
 
 @query("label_summary", "SELECT h::BIGINT AS h, count(*) AS n, count(*) FILTER (round(cagr, 9) >= 0) AS n_gain, count(*) FILTER (round(excess, 9) > 0) AS n_beat, round(avg(cagr), 6) + 0.0::DOUBLE AS mean_cagr FROM lab GROUP BY h", "lab")
@@ -657,3 +658,48 @@ def _(s, d):
     w = World(s, d)
     years = w.snaps.agg(F.min(F.year("date")).alias("lo"), F.max(F.year("date")).alias("hi")).where("lo + 2 <= hi").select(F.explode(F.sequence(F.col("lo") + 2, F.col("hi"))).alias("y"))
     return qr.purge_cost(w.snaps, years.select(F.make_date("y", F.lit(1), F.lit(1)).alias("boundary")), (1, 2, 3))
+
+
+# -- whole families over all fields -------------------------------------------------------------------------
+
+_FULL = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in bind.FULL_FIELDS.items())
+_LAGS = fam.lagged_fields()
+_FULL_SQL = f"""full_f AS (SELECT entity, datekey, reportperiod, {_FULL} FROM fv),
+full_1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, datekey ORDER BY reportperiod DESC) AS rn FROM full_f) WHERE rn = 1),
+full_b AS (SELECT s.*, f.* EXCLUDE (entity, rn) FROM (SELECT * FROM snap WHERE kind = 'median') s ASOF LEFT JOIN full_1 f ON s.entity = f.entity AND s.date > f.datekey),
+full_l AS (SELECT {_K}, {", ".join(f"max({v}) FILTER (k = {n}) AS {v}_t{n}" for v in _LAGS for n in (1, 2, 3))} FROM (
+  SELECT *, row_number() OVER (PARTITION BY {_K}, k ORDER BY k_date DESC, period DESC) AS rn FROM (
+    SELECT b.entity, b.quarter, b.kind, b.date, f.datekey AS k_date, f.reportperiod AS period, b.reportperiod - f.reportperiod AS gap, round((b.reportperiod - f.reportperiod) / CAST(365 AS DOUBLE))::INT AS k, {", ".join(f"f.{v}" for v in _LAGS)}
+    FROM full_b b JOIN full_f f ON b.entity = f.entity AND f.datekey < b.date AND f.reportperiod <= b.reportperiod) WHERE k IN (1, 2, 3) AND abs(gap - k * 365) <= 30) WHERE rn = 1 GROUP BY {_K}),
+full_x AS (SELECT b.*, l.* EXCLUDE ({_K}), CASE WHEN entry * sharesbas * sharefactor > 0 THEN entry * sharesbas * sharefactor END AS marketcap, CASE WHEN entry * sharesbas * sharefactor > 0 THEN entry * sharesbas * sharefactor END + debt - cashneq AS ev
+  FROM full_b b LEFT JOIN full_l l ON b.entity = l.entity AND b.quarter = l.quarter AND b.kind = l.kind AND b.date = l.date)"""
+
+
+def full_inputs(s, d) -> DataFrame:
+    """Median snapshots with every field, its lags, marketcap and ev."""
+    w, f = World(s, d), bind.full_filings(s, d)
+    base = fu.fund_base(w.snaps.where("kind = 'median'"), f, list(bind.FULL_FIELDS))
+    x = base.join(fu.lag_match(base, f, KEY, _LAGS), KEY, "left")
+    cap = F.col("entry") * F.col("sharesbas") * F.col("sharefactor")
+    return x.withColumn("marketcap", F.when(cap > 0, cap)).withColumn("ev", F.col("marketcap") + F.col("debt") - F.col("cashneq"))
+
+
+def _full_family(name: str):
+    return lambda s, d: fu.family(full_inputs(s, d), name, KEY)
+
+
+def _full_sql(name: str) -> str:
+    out = []
+    for c, e in fam.FAMILIES[name].items():
+        if c == "piotroski_f":
+            out.append(f"CAST({e} AS BIGINT) AS {c}")
+        elif c.startswith("piotroski_") or c in ("two_year_loss", "liab_gt_assets"):
+            out.append(f"{e} AS {c}")
+        else:
+            out.append(f"round(CAST({e} AS DOUBLE), 6) + 0.0::DOUBLE AS {c}")
+    return sql("", "fv", "snap").rstrip() + ",\n" + _FULL_SQL + f"\nSELECT {_K}, {', '.join(out)} FROM full_x"
+
+
+for _name in fam.FAMILIES:
+    query(f"family_{_name}", "")(_full_family(_name))
+    ORACLES[f"family_{_name}"] = _full_sql(_name)
