@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import bounded_batches
+
 CHUNK_CHARS = 8_000_000  # texts encoded together; bounds a task's memory
 
 
@@ -253,9 +255,9 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     rows that repeat an id are encoded each; a null id stays null; other
     columns are ignored; an empty table gives no rows.
     """
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_encoded(_share(docs.sparkSession, path), False), "doc_id long, n_tokens long, ids array<int>, decoded string")
+    return bounded_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_encoded(_share(docs.sparkSession, path), False), "doc_id long, n_tokens long, ids array<int>, decoded string")
 
 
 def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """As ``encode``, with digests in place of ids and decoded text: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_encoded(_share(docs.sparkSession, path), True), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return bounded_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_encoded(_share(docs.sparkSession, path), True), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

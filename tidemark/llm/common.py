@@ -23,6 +23,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(df: DataFrame, rows: int = 2_000) -> DataFrame:
+    """``df``, with the session's Arrow batches lowered to ``rows`` rows if they are larger.
+
+    Spark's own limit of 10,000 rows fits numbers; as many texts would take a
+    hundred MB and more of each worker, and as much of the JVM beside its heap.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get(BATCH_ROWS)) > rows or int(conf.get(BATCH_ROWS)) <= 0:
+        conf.set(BATCH_ROWS, str(rows))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

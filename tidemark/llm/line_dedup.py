@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tidemark.llm.common import cut, join_null_safe
+from tidemark.llm.common import bounded_batches, cut, join_null_safe
 
 STRIP = " \t\n\x0b\x0c\r"
 NO_ID = -(2**63)  # stands for a null id inside tasks
@@ -156,7 +156,7 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row_hash"), text.alias("text"))
+    return bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row_hash"), text.alias("text"))
 
 
 def line_keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5) -> DataFrame:

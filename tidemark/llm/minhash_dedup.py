@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, cut, join_null_safe, stream_by
+from tidemark.llm.common import bounded_batches, components, cut, join_null_safe, stream_by
 from tidemark.llm.hashing import PLACE, mix, shingle_sets
 
 BANDS, ROWS = 10, 3
@@ -160,7 +160,7 @@ def classes(docs: DataFrame, width: int = 5, need: int = 80, out_of: int = 100,
     null id get a null component and are kept; other columns are ignored; an
     empty table gives no rows.
     """
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    d = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sig = cut(d.mapInArrow(_signatures(width, bands, rows), "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>"))
     named = sig.where("doc_id is not null and n_shingles > 0")
     reps = cut(named.groupBy("d1", "d2", "n_shingles").agg(F.min_by(F.struct("doc_id", "keys"), "doc_id").alias("x")).select("d1", "d2", "n_shingles", F.col("x.doc_id").alias("rep"), F.col("x.keys").alias("keys")))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import bounded_batches, cut
 from tidemark.llm.hashing import PLACE, row_slices, text_bytes, word_hashes
 
 FEATURES = [
@@ -194,7 +194,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             off = pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1])
             yield pa.record_batch([b.column(0), pa.ListArray.from_arrays(off, pa.array(x.ravel()))], names=["doc_id", "features"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, features array<double>")
+    return bounded_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, features array<double>")
 
 
 def held_out(id_col: str = "doc_id"):

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tidemark.llm.common import join_null_safe
+from tidemark.llm.common import bounded_batches, join_null_safe
 from tidemark.llm.hashing import BYTE, mix, powers, row_slices, text_bytes
 
 MEAN = 24  # bytes to the next cut, beyond LEAST
@@ -136,7 +136,7 @@ def repeated_passages(docs: DataFrame, least_bytes: int = RUN, id_col: str = "do
     texts apart); rows with a null id count as one document, smaller than all
     others; other columns are ignored; an empty table gives no rows.
     """
-    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row_hash"), F.col(text_col).alias("text"))
+    rows = bounded_batches(docs).where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row_hash"), F.col(text_col).alias("text"))
     chunks = rows.mapInArrow(_chunks(MEAN, LEAST, MOST), "digest long, doc long, row_hash long, start int, n int")
     place = F.struct("doc", "start")
     shared = chunks.groupBy("digest").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo.doc <> hi.doc")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import bounded_batches, cut
 from tidemark.llm.hashing import BYTE, LOWER, PLACE, SPACE, mix, powers, row_slices, text_bytes
 
 OPENINGS = (4, 5, 6, 7)
@@ -188,7 +188,7 @@ def grade(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
             full = np.concatenate([np.ones((len(s), 1)), above, np.zeros((len(s), 1))], 1)
             yield pa.record_batch([*b.columns, pa.array(above[:, 0]), pa.array(above.sum(1)), pa.array(np.argmax(full[:, :-1] - full[:, 1:], 1).astype(np.int32)), pa.array(above[:, 0] >= TOXIC_AT)], names=[*kept_cols, *ours])
 
-    schema = docs.select(*kept_cols).schema
+    schema = bounded_batches(docs).select(*kept_cols).schema
     for name, kind in (("p_toxic", "double"), ("severity", "double"), ("grade", "integer"), ("toxic", "boolean")):
         schema = schema.add(name, kind)
     return docs.select(*[F.col(f"`{c}`") for c in kept_cols]).mapInArrow(run, schema)
