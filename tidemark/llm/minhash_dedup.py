@@ -162,8 +162,9 @@ def classes(docs: DataFrame, width: int = 5, need: int = 80, out_of: int = 100,
     """
     d = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sig = cut(d.mapInArrow(_signatures(width, bands, rows), "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>"))
+    n = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a representative becomes a hundred rows in place
     named = sig.where("doc_id is not null and n_shingles > 0")
-    reps = cut(named.groupBy("d1", "d2", "n_shingles").agg(F.min_by(F.struct("doc_id", "keys"), "doc_id").alias("x")).select("d1", "d2", "n_shingles", F.col("x.doc_id").alias("rep"), F.col("x.keys").alias("keys")))
+    reps = cut(named.groupBy("d1", "d2", "n_shingles").agg(F.min_by(F.struct("doc_id", "keys"), "doc_id").alias("x")).select("d1", "d2", "n_shingles", F.col("x.doc_id").alias("rep"), F.col("x.keys").alias("keys")).repartition(n, "rep"))
     tables = F.expr(f"flatten(transform(slice(keys, 1, {bands}), (a, i) -> transform(slice(keys, {bands + 1}, {bands}), (b, j) -> xxhash64(a, b, i, j))))")
     entries = reps.select("rep", F.explode(tables).alias("key"))
     roots = entries.groupBy("key").agg(F.min("rep").alias("root"), F.max("rep").alias("most")).where("root < most").select("key", "root")
