@@ -67,7 +67,7 @@ def budgets(leaves: DataFrame, weights: DataFrame, budget: float, epochs: float)
     for i, level in enumerate(LEVELS):
         path = list(LEVELS[: i + 1])
         own = weights.where(F.col("level") == level).groupBy(F.col("name").alias(level)).agg(F.max("weight").cast("double").alias("weight"))
-        kids = rows.groupBy(*path).agg(F.sum("cap").alias("cap")).join(F.broadcast(own), level, "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
+        kids = rows.groupBy(*path).agg(F.sum("cap").alias("cap")).join(own, level, "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
         if given is None:
             kids = kids.withColumn("budget", F.lit(min(float(budget), float(total)))).withColumn("top", F.lit(0))
             given = water_fill(kids, ["top"], level).drop("top")
