@@ -24,6 +24,7 @@ from pyspark.sql.window import Window
 from tidemark.llm.common import cut
 
 PIECE = 256
+NO_ID = -(2**63)  # stands for a null id
 CELLS = 96  # of a fingerprint; also the first size for peeling
 GROWTH = 8
 SWEEPS = 4  # times that each sub-table is peeled; more would lengthen the plan, and a larger sketch needs fewer
@@ -155,17 +156,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ignored; an empty table gives no rows.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn("kid", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("h", F.xxhash64("text"))
+    # both uses below take the same columns of it, so that texts are shuffled once
+    d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("kid"), text.alias("text")).withColumn("h", F.xxhash64("text"))
     ids = cut(d.select("kid", "h", F.length("text").alias("n")).groupBy("kid", "h").agg(F.max("n").alias("n")))
     order = cut(numbered(ids))
     before = order.select(F.expr("pmod(rn + 1, total)").alias("rn"), F.col("kid").alias("p_kid"), F.col("h").alias("p_h"), F.expr("n div 2").cast("int").alias("p_need"))
     links = cut(order.join(before, "rn").select("kid", "h", "n", "p_kid", "p_h", "p_need"))
-    once = d.join(links, ["kid", "h"])
+    once = d.dropDuplicates(["kid", "h"]).join(links, ["kid", "h"])
     heads = once.select(F.col("p_kid").alias("kid"), F.col("p_h").alias("h"), F.expr("substring(text, 1, p_need)").alias("head"), F.col("kid").alias("n_kid"), F.col("h").alias("n_h"))
-    own = once.select("kid", "h", "doc_id", "text", "n").dropDuplicates(["kid", "h"])
-    both = own.join(heads.dropDuplicates(["kid", "h"]), ["kid", "h"])
+    both = once.select("kid", "h", "text", "n").join(heads, ["kid", "h"])
     edited = F.expr("concat(substring(text, 1, n - (n div 2)), head)")
-    base = both.withColumn("edited", edited).select("kid", "h", "doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), paragraph_digests(F.col("text")).alias("a"), paragraph_digests(F.col("edited")).alias("b"), "n_kid", "n_h")
+    base = both.withColumn("edited", edited).select("kid", "h", F.when(F.col("kid") != NO_ID, F.col("kid")).alias("doc_id"), F.col("n").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), paragraph_digests(F.col("text")).alias("a"), paragraph_digests(F.col("edited")).alias("b"), "n_kid", "n_h")
     base = cut(base)
     after = base.select(F.col("kid").alias("n_kid"), F.col("h").alias("n_h"), F.col("a").alias("next_a"))
     # the likeness to the edited text (kind 0) and to the next document (1) are found together
