@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,3 +194,39 @@ def test_passages(spark):
     clean = {r.doc_id: r.text for r in substring_dedup.remove_repeats(d).collect()}
     assert clean[None] == passage and len(clean[11]) < len(rows[11][1]) - 300 and clean[7] == rows[7][1] and clean[100] is None
     assert substring_dedup.repeated_passages(d.limit(0)).count() == 0
+
+
+def test_passage_whose_pieces_stand_elsewhere(spark):
+    rng = random.Random(7)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    passage = words(90)
+    w = passage.split()
+    rows = [(i, words(30) + " " + " ".join(w[3 * i : 3 * i + 9]) + " " + words(30)) for i in range(28)]  # pieces too short to count
+    rows += [(100, words(40) + " " + passage + " " + words(40)), (101, words(50) + " " + passage + " " + words(9))]
+    rows += [(50, words(9) + " " + " ".join(w[20:70]) + " " + words(9))]  # a piece that counts, in a smaller document
+    got = substring_dedup.repeated_passages(docs_of(spark, rows)).collect()
+    text = {i: t.encode() for i, t in rows}
+    assert {r.doc_id for r in got} == {50, 100, 101}
+    for d in (100, 101):
+        held = {x for r in got if r.doc_id == d for x in range(r.start, r.start + r.n_bytes)}
+        a = text[d].index(passage.encode())
+        assert held <= set(range(a, a + len(passage))) and len(held) >= len(passage) - 150
+        assert len(held) == max(held) - min(held) + 1
+    assert any(r.removed and r.other_doc_id == 50 for r in got if r.doc_id == 100)
+    clean = {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs_of(spark, rows)).collect()}
+    assert clean[50] == rows[-1][1] and len(clean[101]) < len(rows[-2][1]) - len(passage) + 150
+
+
+def test_tail_behind_a_large_chunk_counts():
+    rng = np.random.default_rng(5)
+    raw = rng.integers(97, 123, 6000).astype(np.uint8)
+    raw[1000:1700] = raw[3000:3300] = 122  # chunks far above the least
+    e = substring_dedup.cuts(raw)
+    s = np.concatenate([[0], e[:-1]])
+    (batch,) = substring_dedup._windows(128)(iter([pa.record_batch([pa.array([1]), pa.array([2]), pa.array([raw.tobytes().decode()])], names=["d", "h", "t"])]))
+    got = {(int(x) >> 32, (int(x) >> 32) + (int(x) & 0xFFFFFFFF)) for x in batch.column(3).to_pylist()}
+    for i in range(len(s)):
+        for j in range(i, min(i + 12, len(s))):
+            if e[j] - s[i] >= 128:  # the windows within any long enough run cover it
+                inside = [(a, z) for a, z in got if a >= s[i] and z <= e[j]]
+                assert {x for a, z in inside for x in range(a, z)} == set(range(s[i], e[j]))

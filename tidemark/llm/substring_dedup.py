@@ -3,10 +3,10 @@
 A text's bytes are cut where the gear hash of the last 32 bytes falls below a
 bound, unless another such place lies less than ``LEAST`` bytes before; the
 rule looks at near bytes only, so chunks find themselves again after an
-insertion.  Chunks are grouped by digest; a digest knows its first and last
-holder, and each chunk learns a partner document from them.  Neighbouring
-chunks that sit at the same distance from the same partner join to a run, and
-runs of enough bytes are repeated passages.
+insertion.  Every shortest run of chunks that spans ``RUN`` bytes is a window;
+windows are grouped by digest, and those that two documents hold are repeated,
+whichever documents hold the chunks alone.  A repeated passage is the union of
+repeated windows.
 """
 
 from collections.abc import Iterator
@@ -63,7 +63,14 @@ def cuts(raw: np.ndarray, mean: int = MEAN, least: int = LEAST, most: int = MOST
     return ends[np.diff(ends, prepend=0) > 0]
 
 
-def _chunks(mean: int, least: int, most: int):
+def _windows(least: int):
+    """Digests of all shortest runs of chunks that span ``least`` bytes, counted from each chunk on and from each chunk back.
+
+    Within a shared run of chunks that is long enough every chunk lies in such
+    a window that lies in the run: from a chunk on, or back from it, or from
+    the first chunk of the run on.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw, off = text_bytes(b.column(2))
@@ -77,33 +84,60 @@ def _chunks(mean: int, least: int, most: int):
                 starts, ends, rows = [], [], []
                 for r in range(i, j):
                     a, z = off[r] - off[i], off[r + 1] - off[i]
-                    e = cuts(part[a:z], mean, least, most)
+                    e = cuts(part[a:z])
                     ends.append(e + a)
                     starts.append(np.concatenate([[0], e[:-1]]) + a if len(e) else e)
                     rows.append(np.full(len(e), r, dtype=np.int64))
                 s, e, r = np.concatenate(starts), np.concatenate(ends), np.concatenate(rows)
-                digest = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64)) if len(s) else np.zeros(0, np.uint64)
-                yield pa.record_batch([pa.array(digest.view(np.int64)), pa.array(doc[r]), pa.array(own[r]), pa.array((s - (off[r] - off[i])).astype(np.int32)), pa.array((e - s).astype(np.int32))], names=["digest", "doc", "row_hash", "start", "n"])
+                if not len(s):
+                    continue
+                own_at = np.arange(len(s))
+                on = np.searchsorted(e, s + least)
+                fits = on < len(s)
+                fits[fits] = r[on[fits]] == r[fits]
+                back = np.searchsorted(s, e - least, side="right") - 1
+                more = back >= 0
+                more[more] = r[back[more]] == r[more]
+                more[more] = on[back[more]] != own_at[more]  # else it's a window from a chunk on already
+                first, last = np.concatenate([own_at[fits], back[more]]), np.concatenate([on[fits], own_at[more]])
+                if not len(first):
+                    continue
+                s, e, r = s[first], e[last], r[first]
+                digest = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+                place = ((s - (off[r] - off[i])).astype(np.int64) << 32) | (e - s)
+                yield pa.record_batch([pa.array(digest.view(np.int64)), pa.array(doc[r]), pa.array(own[r]), pa.array(place)], names=["digest", "doc", "row_hash", "place"])
 
     return run
 
 
-def _runs(least: int):
-    """Runs of neighbouring chunks with one partner at one distance, from rows sorted by document and start."""
+def _spans():
+    """Unions of repeated windows, apart for those that a smaller document holds and others, from rows sorted by document and place."""
 
-    def close(cols: list[np.ndarray]) -> pa.RecordBatch | None:
-        doc, row, start, n, other, delta, first = cols
-        fresh = np.ones(len(doc), dtype=bool)
-        fresh[1:] = (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]) | (start[1:] != start[:-1])
-        doc, row, start, n, other, delta, first = (c[fresh] for c in cols)
-        new = np.ones(len(doc), dtype=bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]) | (other[1:] != other[:-1]) | (delta[1:] != delta[:-1]) | (start[1:] != start[:-1] + n[:-1])
-        at = np.flatnonzero(new)
-        size = np.add.reduceat(n, at)
-        at, size = at[size >= least], size[size >= least]
-        if not len(at):
+    def union(cols: list[np.ndarray], removed: bool) -> pa.RecordBatch | None:
+        doc, row, place, other = (c[(cols[3] < cols[0]) == removed] for c in cols)
+        if not len(doc):
             return None
-        return pa.record_batch([pa.array(doc[at]), pa.array(row[at]), pa.array(start[at]), pa.array(size.astype(np.int32)), pa.array(other[at]), pa.array(first[at])], names=["doc", "row_hash", "start", "n_bytes", "other", "removed"])
+        text = np.ones(len(doc), dtype=bool)
+        text[1:] = (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])
+        base = np.cumsum(text) << 32
+        start = base + (place >> 32)
+        far = np.maximum.accumulate(start + (place & 0xFFFFFFFF))
+        new = text.copy()
+        new[1:] |= start[1:] > far[:-1]
+        at = np.flatnonzero(new)
+        size = far[np.append(at[1:], len(doc)) - 1] - start[at]
+        # the partner of most windows
+        span = np.cumsum(new) - 1
+        by = np.lexsort((other, span))
+        span, met = span[by], other[by]
+        edge = np.flatnonzero(np.append(True, (span[1:] != span[:-1]) | (met[1:] != met[:-1])))
+        best = np.lexsort((met[edge], -np.diff(np.append(edge, len(met))), span[edge]))
+        _, one = np.unique(span[edge][best], return_index=True)
+        partner = met[edge][best][one]
+        return pa.record_batch([pa.array(doc[at]), pa.array(row[at]), pa.array((place[at] >> 32).astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(partner), pa.array(np.full(len(at), removed))], names=["doc", "row_hash", "start", "n_bytes", "other", "removed"])
+
+    def close(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        return (x for x in (union(cols, True), union(cols, False)) if x is not None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -113,12 +147,13 @@ def _runs(least: int):
             cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
             if held is not None:
                 cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
-            last = int(np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))[-1]) + 1 if (cols[0] != cols[0][-1]).any() or (cols[1] != cols[1][-1]).any() else 0
+            before = (cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1])
+            last = int(np.flatnonzero(before)[-1]) + 1 if before.any() else 0
             held = [c[last:] for c in cols]
-            if last and (out := close([c[:last] for c in cols])) is not None:
-                yield out
-        if held is not None and (out := close(held)) is not None:
-            yield out
+            if last:
+                yield from close([c[:last] for c in cols])
+        if held is not None:
+            yield from close(held)
 
     return run
 
@@ -127,9 +162,13 @@ def repeated_passages(docs: DataFrame, least_bytes: int = RUN, id_col: str = "do
     """One row for each repeated passage: doc_id, row_hash, start, n_bytes, other_doc_id, removed.
 
     ``start`` and ``n_bytes`` count UTF-8 bytes and never split a character.
-    ``other_doc_id`` holds the same bytes: the smallest id that does, or for
-    that document itself the largest.  ``removed`` says that a smaller id holds
-    the passage, so that exactly the first one stays.
+    A passage is a union of windows of ``least_bytes`` or more, each of which
+    stands in another document too, whichever that is.  ``removed`` says that a
+    smaller id holds each of its windows, so that exactly the first one stays;
+    a passage of which a part is removed gives rows of both kinds, which may
+    overlap.  ``other_doc_id`` is a hint: the document met in most windows,
+    where a window meets the smallest id that holds it, or for that document
+    itself the largest; it need not hold the whole passage.
 
     Edge cases: null and empty texts have no passage; a passage must stand in
     two ids, so rows that repeat an id don't make one (``row_hash`` tells their
@@ -137,14 +176,12 @@ def repeated_passages(docs: DataFrame, least_bytes: int = RUN, id_col: str = "do
     others; other columns are ignored; an empty table gives no rows.
     """
     rows = bounded_batches(docs).where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row_hash"), F.col(text_col).alias("text"))
-    chunks = rows.mapInArrow(_chunks(MEAN, LEAST, MOST), "digest long, doc long, row_hash long, start int, n int")
-    place = F.struct("doc", "start")
-    shared = chunks.groupBy("digest").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo.doc <> hi.doc")
-    met = chunks.join(shared, "digest")
-    partner = F.when(F.col("doc") != F.col("lo.doc"), F.col("lo")).otherwise(F.col("hi"))
-    met = met.withColumn("p", partner).select("doc", "row_hash", "start", "n", F.col("p.doc").alias("other"), (F.col("start") - F.col("p.start")).alias("delta"), (F.col("doc") != F.col("lo.doc")).alias("removed"))
+    windows = rows.mapInArrow(_windows(least_bytes), "digest long, doc long, row_hash long, place long")
+    shared = windows.groupBy("digest").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi")
+    partner = F.when(F.col("doc") != F.col("lo"), F.col("lo")).otherwise(F.col("hi"))
+    met = windows.join(shared, "digest").select("doc", "row_hash", "place", partner.alias("other"))
     by = ["doc", "row_hash"]
-    out = met.repartition(*by).sortWithinPartitions(*by, "start").mapInArrow(_runs(least_bytes), "doc long, row_hash long, start int, n_bytes int, other long, removed boolean")
+    out = met.repartition(*by).sortWithinPartitions(*by, "place").mapInArrow(_spans(), "doc long, row_hash long, start int, n_bytes int, other long, removed boolean")
     real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return out.select(real("doc").alias("doc_id"), "row_hash", "start", "n_bytes", real("other").alias("other_doc_id"), "removed")
 
