@@ -72,6 +72,32 @@ def test_licences(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_licence_lines_without_a_licence_word(spark):
+    lines = {
+        "Available under CC BY 4.0.": "cc-by", "Distributed under CC BY-SA 4.0.": "cc-by-sa", "Available under CC0 1.0.": "cc0", "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: Apache-2.0": "apache",
+        "you may not use this file except in compliance with the": "apache", "and associated documentation files, to deal in the Software without restriction": "mit", "// SPDX-License-Identifier: GPL-2.0-only": "gpl",
+    }
+    plain = ["mit", "Mit", "the", "of the", "this work", "2", "available under the bridge", "It may be used in the following year.", text_of(3), text_of(30)]
+    rows = [*enumerate(lines), *[(100 + i, t) for i, t in enumerate(plain)], *[(500 + i, text_of(20)) for i in range(300)]]
+    got = {r.doc_id: r.families for r in license_scan.scan_documents(frame(spark, rows)).collect()}
+    assert [got[i] for i in range(len(lines))] == list(lines.values())
+    assert not any(f for i, f in got.items() if i >= 100)
+
+
+def test_shared_part_before_scoring_is_that_of_scoring(spark):
+    cut_up = [" ".join(w[i : i + n]) for _, t in license_scan.TEMPLATES for w in [t.split()] for n in (1, 2, 4, 9) for i in range(0, len(w), 3)]
+    rows = [(i, " ".join([*t.split(), *text_of(i % 9).split()])) for i, t in enumerate(cut_up)]
+    got = {r.doc_id: r.ok for r in frame(spark, rows).select("doc_id", license_scan.shares_enough(F.col("text")).alias("ok")).collect()}
+
+    def grams(t):
+        w = re.findall("[a-z0-9]+", t.lower())
+        return {tuple(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)}
+
+    shapes = [grams(t) for _, t in license_scan.TEMPLATES]
+    want = {i: any(len(grams(t) & x) / max(1, min(len(grams(t)), len(x))) >= license_scan.SHARED for x in shapes) for i, t in rows}
+    assert got == want and 0 < sum(want.values()) < len(want)
+
+
 def paragraphs(t):
     return Counter(re.findall(r"[^\n]{1,256}", t))
 
