@@ -130,12 +130,80 @@ def test_blocks_of_a_large_group(spark, monkeypatch):
     assert got == brute_classes(rows, 4, 80)
 
 
+def test_weakly_alike_documents_are_no_candidates(spark):
+    # many documents of similarity 0.2 to 0.5 with one another, and some true pairs among them
+    rng = random.Random(6)
+    fresh = lambda n: [f"x{rng.randrange(10**9)}" for _ in range(n)]
+    shared = fresh(60)
+    rows = []
+    for i in range(120):
+        k = rng.randint(22, 40)
+        rows.append((i, " ".join(shared[:k] + fresh(60 - k // 2))))
+    for i in range(0, 120, 10):
+        rows.append((1000 + i, rows[i][1] + " tail"))
+    want = brute_classes(rows, 4, 80)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.classes(docs_of(spark, rows), 4).collect()}
+    assert got == want and len({c for _, c in want.values()}) == 120
+
+
+def test_a_group_in_which_not_all_link_with_the_smallest(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 6)
+    monkeypatch.setattr(minhash_dedup, "STARS", 1)
+    rng = random.Random(2)
+    fresh = lambda n: [f"y{rng.randrange(10**9)}" for _ in range(n)]
+    words, rows = fresh(300), []
+    for i in range(30):  # each is a few words on from the one before, so the ends don't link
+        words = [*words[8:], *fresh(8)]
+        rows.append(((i * 37) % 101, " ".join(words)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.classes(docs_of(spark, rows), 4).collect()}
+    assert got == brute_classes(rows, 4, 80)
+
+
 def test_components_of_a_long_chain(spark):
     ids = list(range(200))
     random.shuffle(ids)
-    edges = spark.createDataFrame([*zip(ids[:120], ids[1:120], strict=False), *zip(ids[120:], ids[121:], strict=False), (500, 500), (None, 3)], "a long, b long")
-    got = {r.node: r.component for r in common.components(edges).collect()}
-    assert {got[i] for i in ids[:120]} == {min(ids[:120])} and {got[i] for i in ids[120:]} == {min(ids[120:])}
+    # a chain of shuffled ids, one of ascending ids, a star
+    pairs = [*zip(ids[:120], ids[1:120], strict=False), *[(i, i + 1) for i in range(1000, 2500)], *[(5000, 5001 + i) for i in range(300)], (500, 500), (None, 3)]
+    got = {r.node: r.component for r in common.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert {got[i] for i in ids[:120]} == {min(ids[:120])} and {got[i] for i in range(1000, 2501)} == {1000} and {got[5001 + i] for i in range(300)} == {5000}
+    assert not {500, 3} & got.keys() - set(ids[:120])
+
+
+def test_join_of_frequent_keys(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT", 4)
+    left = spark.createDataFrame([(1, i) for i in range(60)] + [(k, k) for k in range(2, 40)], "k int, x int")
+    right = left.groupBy("k").agg(F.count("*").alias("n")).where("k <> 7")
+    assert sorted(map(tuple, common.join_counted(left, right, ["k"], "n").select("k", "x", "n").collect())) == sorted(map(tuple, left.join(right, "k").select("k", "x", "n").collect()))
+
+
+def brute_vectors(x, labels, threshold):
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    link = (u @ u.T >= threshold) & (labels[:, None] == labels[None, :])
+    np.fill_diagonal(link, False)
+    label = np.arange(len(x))
+    while True:
+        low = np.minimum(label, np.where(link, label[None, :], len(x)).min(1))
+        low = low[low]
+        if (low == label).all():
+            return link.sum(1), label
+        label = low
+
+
+@pytest.mark.parametrize("two_levels", [False, True])
+def test_many_cells_lose_no_link(spark, monkeypatch, two_levels):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 64)
+    monkeypatch.setattr(embedding_dedup, "TILE", 50)
+    if two_levels:
+        monkeypatch.setattr(embedding_dedup, "TOP", 16)
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(700, 64))
+    near = base[:600] + rng.normal(size=(600, 64)) * np.linalg.norm(base[:600], axis=1)[:, None] * rng.uniform(0.02, 0.06, 600)[:, None]
+    x = np.concatenate([base, near, np.repeat(base[:3], 40, 0)]).astype(np.float32).astype(float)
+    labels = np.concatenate([np.arange(700) % 2, np.arange(600) % 2, np.repeat(np.arange(3) % 2, 40)])
+    df = spark.createDataFrame([(i, [float(c) for c in v], int(y)) for i, (v, y) in enumerate(zip(x, labels, strict=True))], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.link_vectors(df, 0.93, per_cell=6).collect()}
+    n, comp = brute_vectors(x, labels, 0.93)
+    assert n.sum() > 2000 and got == {i: (int(n[i]), int(comp[i])) for i in range(len(x))}
 
 
 def test_embeddings(spark):
@@ -143,10 +211,10 @@ def test_embeddings(spark):
     x = rng.normal(size=(120, 16))
     x = np.concatenate([x, x[:40] + rng.normal(size=(40, 16)) * 0.08, np.repeat(x[:1], 30, 0)])
     rows = [(i, [float(np.float32(v)) for v in r], int(i % 2)) for i, r in enumerate(x)]
-    rows += [(900, None, 1), (901, [0.0] * 16, 1), (902, [float("nan")] * 16, 1), (903, [None] + [1.0] * 15, 1), (904, rows[0][1], None), (905, [1e-200] * 16, 0), (906, [2e-200] * 16, 0), (907, [1.0, 2.0], 0), (908, [], 0)]
+    rows += [(900, None, 1), (901, [0.0] * 16, 1), (902, [float("nan")] * 16, 1), (903, [None] + [1.0] * 15, 1), (904, rows[0][1], None), (905, [1e-200] * 16, 0), (906, [2e-200] * 16, 0), (907, [1.0, 2.0], 0), (908, [], 0), (909, [2.0, 4.0], 0), (910, [5.0, -1.0], 0), (911, rows[0][1], 0)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("v", F.lit(1)).withColumn("cell", F.lit(2))
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.link_vectors(df, 0.93, per_cell=20).collect()}
-    fine = [(i, np.array(v) / np.max(np.abs(v)), y) for i, v, y in rows if i < 900 or i in (905, 906)]
+    fine = [(i, np.array(v) / np.max(np.abs(v)), y) for i, v, y in rows if i < 900 or i in (905, 906, 907, 909, 910, 911)]
     up = {r[0]: r[0] for r in rows}
     n = dict.fromkeys(up, 0)
 
@@ -157,7 +225,7 @@ def test_embeddings(spark):
 
     for a, v, y in fine:
         for b, w, z in fine:
-            if a < b and y == z and v @ w / np.linalg.norm(v) / np.linalg.norm(w) >= 0.93:
+            if a < b and y == z and len(v) == len(w) and v @ w / np.linalg.norm(v) / np.linalg.norm(w) >= 0.93:
                 n[a] += 1
                 n[b] += 1
                 p, q = sorted((top(a), top(b)))

@@ -3,31 +3,53 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the cluster's shared checkpoint folder.
+def _shared_folder(df: DataFrame) -> str:
+    """``spark.checkpoint.dir`` of the session, as its context uses it.
 
-    The folder is ``spark.checkpoint.dir`` of the session.  Only where that is
-    unset (tests, a laptop) a temporary folder is used.
+    Only a local session (tests, a laptop) that has none gets a temporary
+    folder; on a cluster that would lose data with its machine, so it's an error.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         set_to = sc.getConf().get("spark.checkpoint.dir", None)
+        if set_to is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(set_to or tempfile.mkdtemp(prefix="tidemark-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` materialised by a checkpoint, its partitions and their order as they are."""
+    _shared_folder(df)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` materialised as a Parquet table beside the checkpoints.
+
+    Its size is then known: a checkpoint keeps the optimiser's guess, which
+    every join multiplies, so that loops of joins would end in numbers of
+    millions of digits.  Partitions and their order aren't kept.
+    """
+    path = f"{_shared_folder(df)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def bounded_batches(df: DataFrame, rows: int = 2_000) -> DataFrame:
-    """``df``, with the session's Arrow batches lowered to ``rows`` rows if they are larger.
+    """``df``, with the session's Arrow batches lowered to ``rows`` rows if they are larger, for whatever it runs from now on.
 
     Spark's own limit of 10,000 rows fits numbers; as many texts would take a
     hundred MB and more of each worker, and as much of the JVM beside its heap.
@@ -90,33 +112,78 @@ def stream_by(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Record
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) -> DataFrame:
+HOT = 1_000  # a key with more than a HOT-th of all rows is joined by broadcast; there are fewer than HOT such keys
+
+
+def join_counted(left: DataFrame, right: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Inner equi-join with ``right``, unique by ``keys``, whose column ``count`` is at least the number of left rows of a key.
+
+    Keys with more than a ``HOT``-th of all rows are joined where their left
+    rows are, by a broadcast of fewer than ``HOT`` rows; the others are
+    shuffled.  So no task gets all rows of a frequent key.  Both sides are read
+    twice and should be written or cheap.
+    """
+    total = right.agg(F.sum(count).alias("__total"))
+    marked = right.crossJoin(F.broadcast(total)).withColumn("__hot", F.col(count) * HOT > F.col("__total")).drop("__total")
+    hot = marked.where("__hot").drop("__hot")
+    often = left.join(F.broadcast(hot), keys)
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(marked.where("not __hot").drop("__hot"), keys)
+    return often.unionByName(rest)
+
+
+def spanning_edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (node, smallest node of its component) that connect what the edges (a, b) connect."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = at[: len(a)], at[len(a) :]
+    label = np.arange(len(ids))
+    while True:
+        p, q = label[u], label[v]
+        if (p == q).all():
+            break
+        low = np.minimum(p, q)
+        np.minimum.at(label, p, low)
+        np.minimum.at(label, q, low)
+        while (label[label] != label).any():
+            label = label[label]
+    node = np.flatnonzero(label != np.arange(len(ids)))
+    return ids[node], ids[label[node]]
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of undirected ``edges`` as (node, component).
 
     ``component`` is the smallest node reachable.  In every round each node
-    points to the smallest of itself and its neighbours, pointers are followed
-    once more, and the graph is contracted along them: edges get the pointed-to
-    ends, and those within one node go.  So the edges shrink from round to
-    round, until none is left.  Self-loops and null ends are ignored.  An empty
-    input gives no rows.
+    points to the first of itself and its neighbours in an order by hash, a new
+    one for each round; pointers are followed once more, and the graph is
+    contracted along them: edges get the pointed-to ends, and those within one
+    node go.  Whatever ids a long chain has, a round leaves a fraction of it.
+    Every round takes at least the neighbours of the first node away, so the
+    rounds end.  Self-loops and null ends are ignored.  An empty input gives no
+    rows.
     """
     e = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
-    e = cut(e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    e = written(e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     labels = None
-    for _ in range(most):
+    turn = 0
+    while True:
+        order = lambda c, t=turn: F.struct(F.xxhash64(c, F.lit(t)).alias("o"), F.col(c).alias("x"))
         both = e.union(e.select("v", "u"))
-        near = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("p"))
-        near = cut(near.select(F.col("u").alias("node"), "p"))
-        far = near.select(F.col("node").alias("p"), F.col("p").alias("pp"))
-        point = cut(near.join(far, "p").select("node", F.col("pp").alias("to")))
+        near = both.groupBy("u").agg(F.min(order("v")).alias("m"), F.count("*").alias("n"))
+        near = written(near.select(F.col("u").alias("node"), F.least(F.col("m"), order("u"))["x"].alias("p"), "n"))
+        # at most the neighbours of a node and itself point to it
+        far = near.select(F.col("node").alias("p"), F.col("p").alias("to"), (F.col("n") + 1).alias("n"))
+        point = written(join_counted(near.select("node", "p"), far, ["p"], "n").select("node", "to").join(near.select("node", "n"), "node"))
         if labels is None:
-            labels = point.withColumnRenamed("to", "component")
+            labels = point.select("node", F.col("to").alias("component"))
         else:
-            step = point.select(F.col("node").alias("component"), "to")
-            labels = cut(labels.join(step, "component", "left").select("node", F.coalesce("to", "component").alias("component")))
-        ends = [point.select(F.col("node").alias(x), F.col("to").alias(f"to_{x}")) for x in ("u", "v")]
-        moved = e.join(ends[0], "u").join(ends[1], "v").where("to_u <> to_v")
-        e = cut(moved.select(F.least("to_u", "to_v").alias("u"), F.greatest("to_u", "to_v").alias("v")).distinct())
+            sizes = labels.groupBy("component").agg(F.count("*").alias("n"))
+            step = sizes.join(point.select(F.col("node").alias("component"), "to"), "component", "left")
+            labels = written(join_counted(labels, written(step), ["component"], "n").select("node", F.coalesce("to", "component").alias("component")))
+        ends = [point.select(F.col("node").alias(x), F.col("to").alias(f"to_{x}"), "n") for x in ("u", "v")]
+        moved = join_counted(join_counted(e, ends[0], ["u"], "n").drop("n"), ends[1], ["v"], "n").where("to_u <> to_v")
+        e = written(moved.select(F.least("to_u", "to_v").alias("u"), F.greatest("to_u", "to_v").alias("v")).distinct())
         if e.limit(1).count() == 0:
-            return labels
-    raise RuntimeError(f"components did not settle in {most} rounds")
+            break
+        turn += 1
+    least = written(labels.groupBy("component").agg(F.min("node").alias("least"), F.count("*").alias("n")))
+    return join_counted(labels, least, ["component"], "n").select("node", F.col("least").alias("component"))
