@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, embedding_dedup, fingerprint, license_scan, line_dedup, minhash_dedup, mixing, quality, substring_dedup, toxicity
 from tidemark.llm.common import table
@@ -35,7 +36,8 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return mixing.mix(docs, mixing.default_weights(docs), share=0.5, epochs=2, seed=11)
+    out = mixing.mix(docs, mixing.default_weights(docs), share=0.5, epochs=2, seed=11)
+    return out.select("doc_id", "domain", "lang", "source", "n_tokens", F.col("copies").cast("long").alias("copies"), F.round("leaf_budget", 3).alias("leaf_budget"))
 
 
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +87,36 @@ FROM marked GROUP BY doc_id
 """
 
 
+
+def _fill(src: str, parent: str, child: str) -> str:
+    """Shares of ``budget`` by weight, none above ``cap``: the level is the largest of those with the first k children full."""
+    return f"""SELECT *, CASE WHEN weight > 0 THEN least(cap, greatest(weight * max(level) OVER (PARTITION BY {parent}), 0)) ELSE 0 END AS give FROM (
+    SELECT *, CASE WHEN weight > 0 THEN (budget - coalesce(sum(CASE WHEN weight > 0 THEN cap END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) END AS level
+    FROM {src} WINDOW w AS (PARTITION BY {parent} ORDER BY CASE WHEN weight > 0 THEN cap / weight END NULLS LAST, {child}))"""
+
+
+_TURN = "('0x' || substr(md5({}), 1, 15))::BIGINT"
+ORACLES["op5_mixing"] = f"""
+WITH r AS (
+  SELECT doc_id, lang, source, CASE WHEN n = '' THEN 'other' ELSE 'domain' || (n::BIGINT % 3) END AS domain, md5(t) AS h,
+    greatest(len(list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')), 1)::BIGINT AS n_tokens
+  FROM (SELECT doc_id, coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source, coalesce(text, '') AS t, regexp_extract(coalesce(source, 'none'), '([0-9]{{1,9}})$', 1) AS n FROM documents)),
+weights(level, name, weight) AS (VALUES {", ".join(f"('{a}', '{b}', {w}::DOUBLE)" for a, b, w in mixing.WEIGHTS)}),
+leaves AS (SELECT domain, lang, source, sum(n_tokens)::DOUBLE AS tokens FROM r GROUP BY ALL),
+k3 AS (SELECT l.*, coalesce(w.weight, 1) AS weight, CASE WHEN coalesce(w.weight, 1) > 0 THEN 2 * tokens ELSE 0 END AS cap FROM leaves l LEFT JOIN weights w ON w.level = 'source' AND w.name = l.source),
+k2 AS (SELECT l.*, coalesce(w.weight, 1) AS weight, CASE WHEN coalesce(w.weight, 1) > 0 THEN c ELSE 0 END AS cap FROM (SELECT domain, lang, sum(cap) AS c FROM k3 GROUP BY ALL) l LEFT JOIN weights w ON w.level = 'lang' AND w.name = l.lang),
+k1 AS (SELECT l.*, coalesce(w.weight, 1) AS weight, CASE WHEN coalesce(w.weight, 1) > 0 THEN c ELSE 0 END AS cap FROM (SELECT domain, sum(cap) AS c FROM k2 GROUP BY ALL) l LEFT JOIN weights w ON w.level = 'domain' AND w.name = l.domain),
+g1 AS ({_fill("(SELECT *, least((SELECT sum(tokens) FROM leaves) * 0.5::DOUBLE, sum(cap) OVER ()) AS budget FROM k1)", "1", "domain")}),
+g2 AS ({_fill("(SELECT k2.*, g1.give AS budget FROM k2 JOIN g1 ON k2.domain = g1.domain)", "domain", "lang")}),
+g3 AS ({_fill("(SELECT k3.*, g2.give AS budget FROM k3 JOIN g2 ON k3.domain = g2.domain AND k3.lang = g2.lang)", "domain, lang", "source")}),
+plan AS (SELECT domain, lang, source, give, floor(give / tokens + 1e-12)::BIGINT AS whole, give - floor(give / tokens + 1e-12) * tokens AS rest FROM g3),
+placed AS (
+  SELECT r.*, p.give, p.whole, p.rest, xor({_TURN.format("'11|' || coalesce(doc_id::VARCHAR, 'none') || '|' || h")}, {_TURN.format("'11|epoch|' || whole::VARCHAR")}) AS place
+  FROM r JOIN plan p ON r.domain = p.domain AND r.lang = p.lang AND r.source = p.source)
+SELECT doc_id, domain, lang, source, n_tokens, copies, round(give, 3) AS leaf_budget FROM (
+  SELECT *, whole + (coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place, doc_id, h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < rest)::BIGINT AS copies FROM placed) WHERE copies > 0
+"""
+
 ORACLES["op6_embeddings"] = r"""
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
