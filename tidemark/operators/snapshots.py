@@ -8,8 +8,10 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.exprs import add_years
 from tidemark.operators.asof import asof_join, latest_by
+from tidemark.sources.io import materialized
 
 KINDS = ("median", "low", "high")
+HORIZONS = (1, 2, 3, 5)  # years
 
 
 def trading_calendar(prices: DataFrame) -> DataFrame:
@@ -20,13 +22,16 @@ def trading_calendar(prices: DataFrame) -> DataFrame:
 def touch_snapshots(prices: DataFrame) -> DataFrame:
     """Three rows per (entity, quarter): the earliest date at the lowest, discrete median and highest price.
 
-    entity, quarter, n_days, kind, date, entry.
+    entity, quarter, n_days, kind, date, entry.  One aggregation: a quarter's
+    prints, some sixty at most, are sorted as an array.
     """
-    p = prices.withColumn("quarter", F.trunc("date", "quarter"))
-    g = p.groupBy("entity", "quarter").agg(F.count("*").alias("n_days"), F.min("close").alias("low"), F.max("close").alias("high"), F.expr("percentile_disc(0.5) within group (order by close)").alias("median"))
-    long = g.select("entity", "quarter", "n_days", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("entry")) for k in KINDS])).alias("x")).select("entity", "quarter", "n_days", "x.kind", "x.entry")
-    hit = long.join(p.select("entity", "quarter", "date", F.col("close").alias("entry")), ["entity", "quarter", "entry"])
-    return hit.groupBy("entity", "quarter", "n_days", "kind", "entry").agg(F.min("date").alias("date"))
+    days = F.array_sort(F.collect_list(F.struct("close", "date")))
+    g = prices.where("close is not null").groupBy("entity", F.trunc("date", "quarter").alias("quarter")).agg(days.alias("days"))
+    n = F.size("days")
+    at = lambda c: F.filter("days", lambda x: x["close"] == c)[0]
+    picks = {"median": F.get("days", F.floor((n + 1) / 2).cast("int") - 1)["close"], "low": F.get("days", F.lit(0))["close"], "high": F.get("days", n - 1)["close"]}
+    rows = F.array(*[F.struct(F.lit(k).alias("kind"), at(c)["date"].alias("date"), c.alias("entry")) for k, c in picks.items()])
+    return g.select("entity", "quarter", n.cast("long").alias("n_days"), F.inline(rows))
 
 
 def latest_snapshots(prices: DataFrame, calendar: DataFrame, max_age: int = 5) -> DataFrame:
@@ -36,7 +41,7 @@ def latest_snapshots(prices: DataFrame, calendar: DataFrame, max_age: int = 5) -
     return last.join(F.broadcast(calendar), "date").crossJoin(F.broadcast(end)).where(F.col("end_ix") - F.col("ix") <= max_age).select("entity", F.trunc("as_of", "quarter").alias("quarter"), F.lit("inference").alias("kind"), "date", "entry", (F.col("end_ix") - F.col("ix")).alias("age"))
 
 
-def horizon_ends(dates: DataFrame, calendar: DataFrame, horizons: tuple[int, ...] = (1, 2, 3, 5)) -> DataFrame:
+def horizon_ends(dates: DataFrame, calendar: DataFrame, horizons: tuple[int, ...] = HORIZONS) -> DataFrame:
     """date, h, end_date, end_ix for each observable (date, horizon): the last trading day at or before date + h years."""
     if any(h < 1 for h in horizons):
         raise ValueError("horizons are whole years, 1 at least")
@@ -53,14 +58,37 @@ def terminal_windows(ends: DataFrame, calendar: DataFrame, window: int = 21) ->
     return days.join(F.broadcast(calendar.withColumnRenamed("date", "day")), "ix").select("date", "h", (F.col("ix") - F.col("end_ix") + window - 1).alias("pos"), "day")
 
 
-def forward_paths(snaps: DataFrame, windows: DataFrame, prices: DataFrame) -> DataFrame:
-    """entity, kind, date, entry, h, pos, day, close: the price on each window day, the last print carried on."""
-    need = snaps.select("entity", "kind", "quarter", "date", "entry").join(windows, "date")
-    return asof_join(need, prices.select("entity", F.col("date").alias("print_date"), "close"), ["entity"], "day", "print_date", ["close"], how="inner")
+def terminal_prices(snaps: DataFrame, ends: DataFrame, prices: DataFrame, calendar: DataFrame, window: int = 21) -> DataFrame:
+    """Average, lowest, highest and last price over the ``window`` trading days that end at each horizon end, the last print carried on.
 
-
-def terminal_stats(paths: DataFrame) -> DataFrame:
-    return paths.groupBy("entity", "quarter", "kind", "date", "entry", "h").agg(F.avg("close").alias("avg_end"), F.min("close").alias("min_end"), F.max("close").alias("max_end"), F.max_by("close", "pos").alias("last_end"))
+    entity, quarter, kind, date, entry, h, end_date, avg_end, min_end, max_end,
+    last_end; days before the first print don't count.  Prints and horizon ends
+    are put together and sorted once within the entity.  The sum of carried
+    prices up to a day is a running sum over prints (the price before, times
+    the days since) plus the last price times the days since it, so a window's
+    sum is a difference of two of these; no snapshot x day rows are made.
+    """
+    asks = snaps.select("entity", "quarter", "kind", "date", "entry").join(F.broadcast(ends), "date")
+    payload = F.struct("quarter", "kind", "date", "entry", "h", "end_date")
+    asked = asks.select("entity", F.col("end_ix").cast("long").alias("ix"), F.lit(1).alias("side"), F.lit(None).cast("double").alias("p"), payload.alias("ask"))
+    prints = prices.where("close is not null").join(F.broadcast(calendar), "date").select("entity", F.col("ix").cast("long").alias("ix"), F.lit(0).alias("side"), F.col("close").alias("p"), F.lit(None).cast(asked.schema["ask"].dataType).alias("ask"))
+    rows = asked.unionByName(prints)
+    order = Window.partitionBy("entity").orderBy("ix", "side")
+    here = F.when(F.col("p").isNotNull(), F.struct("p", "ix"))
+    before = F.last(here, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("was", before).withColumn("piece", F.when(F.col("p").isNotNull(), F.coalesce(F.col("was.p") * (F.col("ix") - F.col("was.ix")), F.lit(0.0))))
+    rows = rows.withColumn("run", F.sum("piece").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    by_day = Window.partitionBy("entity").orderBy("ix")
+    state = F.when(F.col("p").isNotNull(), F.struct("run", "p", "ix"))
+    last = lambda to: F.last(state, ignorenulls=True).over(by_day.rangeBetween(Window.unboundedPreceding, to))
+    inside = by_day.rangeBetween(1 - window, 0)
+    rows = rows.withColumn("at_end", last(0)).withColumn("at_start", last(1 - window)).withColumn("at_before", last(-window))
+    rows = rows.withColumn("first_ix", F.min(F.when(F.col("p").isNotNull(), F.col("ix"))).over(by_day.rangeBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("lo", F.min("p").over(inside)).withColumn("hi", F.max("p").over(inside)).where(F.col("ask").isNotNull() & F.col("at_end").isNotNull())
+    upto = lambda c, ix: F.col(f"{c}.run") + F.col(f"{c}.p") * (ix - F.col(f"{c}.ix") + 1)
+    total = upto("at_end", F.col("ix")) - F.coalesce(upto("at_before", F.col("ix") - window), F.lit(0.0))
+    n = F.least(F.lit(window).cast("long"), F.col("ix"), F.col("ix") - F.col("first_ix") + 1)
+    return rows.select("entity", "ask.*", (total / n).alias("avg_end"), F.least("lo", F.col("at_start.p")).alias("min_end"), F.greatest("hi", F.col("at_start.p")).alias("max_end"), F.col("at_end.p").alias("last_end"))
 
 
 def growth(end, entry, h):
@@ -89,16 +117,16 @@ def bench_stats(windows: DataFrame, bench: DataFrame) -> DataFrame:
     return ends.join(F.broadcast(entry), "date")
 
 
-def label_wide(long: DataFrame, snaps: DataFrame, horizons: tuple[int, ...] = (1, 2, 3), cols: tuple[str, ...] = ("cagr", "excess", "beat")) -> DataFrame:
+def label_wide(long: DataFrame, snaps: DataFrame, horizons: tuple[int, ...] = HORIZONS, cols: tuple[str, ...] = ("cagr", "excess", "beat")) -> DataFrame:
     """One row per snapshot with a column per horizon; snapshots without any label stay, all null."""
     aggs = [F.max(F.when(F.col("h") == h, F.col(c))).alias(f"{c}_{h}y") for h in horizons for c in cols]
     return snaps.select("entity", "quarter", "kind", "date").join(long.groupBy("entity", "quarter", "kind").agg(*aggs), ["entity", "quarter", "kind"], "left")
 
 
 def delisted_in_window(long: DataFrame, ends: DataFrame) -> DataFrame:
-    """'false', or the reason when the entity's last print lies before the horizon's end."""
+    """Labels with ``ended``: the reason where the entity's last print lies before the horizon's end, else 'false'."""
     j = long.join(ends.select("entity", "last_date", "reason"), "entity", "left")
-    return j.withColumn("ended", F.when(F.col("last_date").isNull() | (F.col("last_date") >= F.col("end_date")), "false").otherwise(F.col("reason")))
+    return j.withColumn("ended", F.when(F.col("last_date") < F.col("end_date"), F.col("reason")).otherwise("false")).drop("last_date", "reason")
 
 
 def max_drawdown(prices: DataFrame, spans: DataFrame) -> DataFrame:
@@ -114,10 +142,11 @@ def max_drawdown(prices: DataFrame, spans: DataFrame) -> DataFrame:
     down = Window.partitionBy("entity", "q").orderBy("date").rowsBetween(0, Window.unboundedFollowing)
     p = p.withColumn("pre_max", F.max("close").over(up)).withColumn("pre_min", F.min("close").over(up)).withColumn("suf_max", F.max("close").over(down)).withColumn("suf_min", F.min("close").over(down))
     p = p.withColumn("fall", 1 - F.col("suf_min") / F.col("close")).withColumn("drop", 1 - F.col("close") / F.col("pre_max"))
-    p = p.withColumn("pre_dd", F.max("drop").over(up)).withColumn("suf_dd", F.max("fall").over(down))
+    # used four times below, so it is written once
+    p = materialized(p.withColumn("pre_dd", F.max("drop").over(up)).withColumn("suf_dd", F.max("fall").over(down)))
     blocks = p.groupBy("entity", "q").agg(F.max("close").alias("hi"), F.min("close").alias("lo"), F.max("drop").alias("dd"))
     s = spans.withColumn("q0", F.trunc("date", "quarter"))
-    ends = asof_join(s, p.select("entity", F.col("date").alias("x_date"), F.col("q").alias("q1"), "pre_max", "pre_min", "pre_dd"), ["entity"], "end_date", "x_date", ["q1", "pre_max", "pre_min", "pre_dd"], how="inner")
+    ends = materialized(asof_join(s, p.select("entity", F.col("date").alias("x_date"), F.col("q").alias("q1"), "pre_max", "pre_min", "pre_dd"), ["entity"], "end_date", "x_date", ["q1", "pre_max", "pre_min", "pre_dd"], how="inner"))
     first = ends.join(p.select("entity", "date", "suf_max", "suf_min", "suf_dd"), ["entity", "date"])
     key = ["entity", "kind", "date", "entry", "h"]
     # within one quarter the span is cut on both sides, so its days are read as they are

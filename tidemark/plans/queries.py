@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from tidemark.operators import snapshots as sn
 from tidemark.operators.asof import asof_join, validity_join
 from tidemark.plans.sql_base import sql
 from tidemark.sources import binding as bind
+from tidemark.sources.io import materialized
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,20 +54,26 @@ def r6(*cols: str) -> str:
 
 
 class World:
-    """The relations of one data directory, built once for a query."""
+    """The relations of one data directory.  Those that other steps build on are written once for a query and read from there."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
-        self.prices = bind.prices(spark, sf_dir)
-        self.calendar = sn.trading_calendar(self.prices)
 
-    @property
+    @cached_property
+    def prices(self) -> DataFrame:
+        return materialized(bind.prices(self.spark, self.dir))
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return materialized(sn.trading_calendar(self.prices))
+
+    @cached_property
     def snaps(self) -> DataFrame:
-        return sn.touch_snapshots(self.prices)
+        return materialized(sn.touch_snapshots(self.prices))
 
-    @property
+    @cached_property
     def ends(self) -> DataFrame:
-        return sn.horizon_ends(self.snaps, self.calendar)
+        return materialized(sn.horizon_ends(self.snaps, self.calendar))
 
     @property
     def windows(self) -> DataFrame:
@@ -76,26 +84,30 @@ class World:
         return self.labels().withColumn("cagr", F.round("cagr", 9)).withColumn("excess", F.round("excess", 9))
 
     def labels(self) -> DataFrame:
-        w = self.windows
-        stats = sn.terminal_stats(sn.forward_paths(self.snaps, w, self.prices))
-        return sn.label_long(stats, sn.bench_stats(w, bind.benchmark(self.spark, self.dir)))
+        stats = sn.terminal_prices(self.snaps, self.ends, self.prices, self.calendar)
+        return sn.label_long(stats, sn.bench_stats(self.windows, bind.benchmark(self.spark, self.dir)))
 
-    @property
+    @cached_property
     def filings(self) -> DataFrame:
-        return bind.filings(self.spark, self.dir)
+        return materialized(bind.filings(self.spark, self.dir))
 
     def base(self, allow_exact: bool = False) -> DataFrame:
         f = self.filings
         return fu.fund_base(self.snaps, f, [c for c in f.columns if c not in ("entity", "datekey", "reportperiod")], allow_exact)
 
+    @cached_property
+    def known(self) -> DataFrame:
+        """``base``, written for steps that use it more than once."""
+        return materialized(self.base())
+
     def features(self) -> DataFrame:
-        b = self.base()
+        b = self.known
         return fu.market_inputs(b).join(fu.lag_match(b, self.filings, KEY, "revenue"), KEY, "left")
 
     def families(self) -> DataFrame:
         return fu.quality_family(fu.solvency(fu.growth_family(fu.profitability(fu.valuation(self.features())))))
 
-    def observations(self, horizons: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+    def observations(self, horizons: tuple[int, ...] = sn.HORIZONS) -> DataFrame:
         last = self.calendar.agg(F.max("date").alias("__last"))
         o = self.snaps.withColumn("h", F.explode(F.array(*map(F.lit, horizons)))).withColumn("label_end", F.add_months("date", F.col("h") * 12))
         return o.crossJoin(F.broadcast(last)).withColumn("observable", F.col("label_end") <= F.col("__last")).select(*KEY, "h", "label_end", "observable")
@@ -209,7 +221,7 @@ def _(s, d):
     return x.select("entity", "quarter", "kind", "h", "cagr", "p2p", "cagr_min", "cagr_max", "bench_cagr", "excess", "loss", "cagr_ge_5", "beat")
 
 
-@query("label_wide", """SELECT s.entity, s.quarter, s.kind, s.date, """ + ", ".join(f"round(max(l.cagr) FILTER (l.h = {h}), 6) + 0.0::DOUBLE AS cagr_{h}y, round(max(l.excess) FILTER (l.h = {h}), 6) + 0.0::DOUBLE AS excess_{h}y, bool_or(round(l.excess, 9) > 0) FILTER (l.h = {h}) AS beat_{h}y" for h in (1, 2, 3)) + " FROM snap s LEFT JOIN lab l ON s.entity = l.entity AND s.quarter = l.quarter AND s.kind = l.kind GROUP BY ALL", "snap", "lab")
+@query("label_wide", """SELECT s.entity, s.quarter, s.kind, s.date, """ + ", ".join(f"round(max(l.cagr) FILTER (l.h = {h}), 6) + 0.0::DOUBLE AS cagr_{h}y, round(max(l.excess) FILTER (l.h = {h}), 6) + 0.0::DOUBLE AS excess_{h}y, bool_or(round(l.excess, 9) > 0) FILTER (l.h = {h}) AS beat_{h}y" for h in (1, 2, 3, 5)) + " FROM snap s LEFT JOIN lab l ON s.entity = l.entity AND s.quarter = l.quarter AND s.kind = l.kind GROUP BY ALL", "snap", "lab")
 def _(s, d):
     w = World(s, d)
     return sn.label_wide(w.labels().withColumn("beat", F.round("excess", 9) > 0), w.snaps)
@@ -222,10 +234,10 @@ def _(s, d):
 
 @query("max_drawdown", """SELECT entity, kind, date, h::BIGINT AS h, round(max(dd), 6) + 0.0::DOUBLE AS max_drawdown, round(greatest(1 - min(close) / any_value(entry), 0), 6) + 0.0::DOUBLE AS fall_from_entry FROM (
   SELECT s.entity, s.kind, s.date, s.entry, e.h, p.close, 1 - p.close / max(p.close) OVER (PARTITION BY s.entity, s.kind, s.date, e.h ORDER BY p.date) AS dd
-  FROM snap s JOIN ends e ON s.date = e.date JOIN px p ON p.entity = s.entity AND p.date BETWEEN s.date AND e.end_date WHERE e.h = 1) GROUP BY ALL""".replace(" GROUP BY ALL", " GROUP BY entity, kind, date, h"), "snap", "ends", "px")
+  FROM snap s JOIN ends e ON s.date = e.date JOIN px p ON p.entity = s.entity AND p.date BETWEEN s.date AND e.end_date) GROUP BY ALL""".replace(" GROUP BY ALL", " GROUP BY entity, kind, date, h"), "snap", "ends", "px")
 def _(s, d):
     w = World(s, d)
-    spans = w.snaps.select("entity", "kind", "date", "entry").join(w.ends.where("h = 1"), "date").select("entity", "kind", "date", "entry", "h", "end_date")
+    spans = w.snaps.select("entity", "kind", "date", "entry").join(F.broadcast(w.ends), "date").select("entity", "kind", "date", "entry", "h", "end_date")
     return sn.max_drawdown(w.prices, spans).select("entity", "kind", "date", "h", "max_drawdown", "fall_from_entry")
 
 
@@ -247,7 +259,7 @@ def _(s, d):
 @query("lag_match", f"SELECT b.entity, b.quarter, b.kind, b.date, {', '.join(f'round(l.revenue_t{k}, 6) + 0.0::DOUBLE AS revenue_t{k}' for k in (1, 2, 3))} FROM base b LEFT JOIN lagged l ON b.entity = l.entity AND b.quarter = l.quarter AND b.kind = l.kind AND b.date = l.date", "base", "lagged")
 def _(s, d):
     w = World(s, d)
-    return fu.lag_match(w.base(), w.filings, KEY, "revenue")
+    return fu.lag_match(w.known, w.filings, KEY, "revenue")
 
 
 @query("history_buckets", f"SELECT {_K}, off::BIGINT AS off, {r6('revenue', 'prev_revenue')} FROM hist WHERE kind = 'median'", "hist")
@@ -653,11 +665,11 @@ def _(s, d):
     return qr.random_partners(qr.md5_sample(bind.table(s, d, "orders").select("o_orderkey"), 500, "o_orderkey"), ["o_orderkey"])
 
 
-@query("purge_cost", "SELECT b.b AS boundary, h.h::BIGINT AS h, count(*) FILTER (date < b.b) AS n_before, count(*) FILTER (date < b.b AND (date + to_years(h.h))::DATE + 30 < b.b) AS n_train, count(*) FILTER (date < b.b AND NOT (date + to_years(h.h))::DATE + 30 < b.b) AS n_purged, count(*) FILTER (date >= b.b) AS n_after FROM snap CROSS JOIN (SELECT make_date(y, 1, 1) AS b FROM unnest(generate_series((SELECT min(year(date)) + 2 FROM snap), (SELECT max(year(date)) FROM snap))) t(y)) b CROSS JOIN (VALUES (1), (2), (3)) h(h) GROUP BY 1, 2", "snap")
+@query("purge_cost", "SELECT b.b AS boundary, h.h::BIGINT AS h, count(*) FILTER (date < b.b) AS n_before, count(*) FILTER (date < b.b AND (date + to_years(h.h))::DATE + 30 < b.b) AS n_train, count(*) FILTER (date < b.b AND NOT (date + to_years(h.h))::DATE + 30 < b.b) AS n_purged, count(*) FILTER (date >= b.b) AS n_after FROM snap CROSS JOIN (SELECT make_date(y, 1, 1) AS b FROM unnest(generate_series((SELECT min(year(date)) + 2 FROM snap), (SELECT max(year(date)) FROM snap))) t(y)) b CROSS JOIN (VALUES (1), (2), (3), (5)) h(h) GROUP BY 1, 2", "snap")
 def _(s, d):
     w = World(s, d)
     years = w.snaps.agg(F.min(F.year("date")).alias("lo"), F.max(F.year("date")).alias("hi")).where("lo + 2 <= hi").select(F.explode(F.sequence(F.col("lo") + 2, F.col("hi"))).alias("y"))
-    return qr.purge_cost(w.snaps, years.select(F.make_date("y", F.lit(1), F.lit(1)).alias("boundary")), (1, 2, 3))
+    return qr.purge_cost(w.snaps, years.select(F.make_date("y", F.lit(1), F.lit(1)).alias("boundary")), sn.HORIZONS)
 
 
 # -- whole families over all fields -------------------------------------------------------------------------

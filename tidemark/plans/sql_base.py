@@ -86,7 +86,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "bret": (["bench", "cal"], "SELECT c.ix, b.bench / lag(b.bench) OVER (ORDER BY c.ix) - 1 AS bench_ret FROM bench b JOIN cal c ON b.date = c.date"),
     "obs": (["snap", "cal"], """
   SELECT s.entity, s.quarter, s.kind, s.date, h.h, (s.date + to_years(h.h))::DATE AS label_end, (s.date + to_years(h.h))::DATE <= (SELECT max(date) FROM cal) AS observable
-  FROM snap s CROSS JOIN (VALUES (1), (2), (3)) h(h)"""),
+  FROM snap s CROSS JOIN (VALUES (1), (2), (3), (5)) h(h)"""),
     "folds": (["obs"], """
   SELECT 'holdout' AS scheme, y1 AS fold, h, make_date(y1, 1, 1) AS test_start, DATE '9999-12-31' AS test_end FROM (SELECT h, min(year(date)) AS y0, max(year(date)) AS y1 FROM obs WHERE observable GROUP BY h)
   UNION ALL SELECT 'walkforward', f.y, h, make_date(f.y, 1, 1), make_date(f.y + 1, 1, 1) FROM (SELECT h, min(year(date)) AS y0, max(year(date)) AS y1 FROM obs WHERE observable GROUP BY h) s, unnest(generate_series(s.y0 + 2 + s.h, s.y1 - 1)) f(y)"""),

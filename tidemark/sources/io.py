@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -45,6 +47,22 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, out_path: str, spec: Tabl
     return sorted_parquet(read_csv(spark, csv_path, spec), out_path, list(spec.sort_by), mode)
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder ``spark.checkpoint.dir`` and read back, for relations that many steps of a query use.
+
+    Only a local session that has no such folder gets a temporary one.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        set_to = sc.getConf().get("spark.checkpoint.dir", None)
+        if set_to is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(set_to or tempfile.mkdtemp(prefix="tidemark-"))
+    path = f"{sc.getCheckpointDir()}/relation-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def csv_report(df: DataFrame, path: str, order: list[str]) -> None:
     """A small report as one CSV file with a header."""
     df.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
@@ -94,10 +112,13 @@ def write_version(df: DataFrame, root: str, version: str, sort_by: list[str], en
         if spark.read.parquet(f"{staging}/audit").where("flagged").limit(1).count():
             raise ValueError(f"the audit flags columns; see {staging}/audit")
     manifest(spark.read.parquet(f"{staging}/dataset"), version, entity, weights).coalesce(1).write.mode("overwrite").json(f"{staging}/manifest")
-    if fs.exists(to):
-        fs.delete(to, True)
+    replaced = _paths(spark, f"{root}/.replaced_v{version}")[1]
+    if fs.exists(to) and not fs.rename(to, replaced):
+        raise OSError(f"{final} can't be moved away")
     if not fs.rename(_paths(spark, staging)[1], to):
+        fs.rename(replaced, to)  # the old version stays what it was
         raise OSError(f"{staging} can't be renamed")
+    fs.delete(replaced, True)
     return final
 
 
