@@ -68,6 +68,35 @@ def trend_stats(hist: DataFrame, key: list[str], value: str, windows: dict[int,
     return hist.groupBy(*key).agg(*aggs)
 
 
+TREND_WINDOWS = {4: 3, 8: 5, 12: 7, 20: 11}  # quarters: least observations
+
+
+def trend_family(hist: DataFrame, key: list[str], series: dict[str, str], positive: tuple[str, ...] = (), windows: dict[int, int] | None = None) -> DataFrame:
+    """Trend columns of several ``series`` (column: name) from one pass over the history.
+
+    {name}_trend_{w}q, _consistency_{w}q and _up_frac_{w}q as in ``trend_stats``
+    (a constant series fits with 1), {name}_positive_frac_{w}q for those in
+    ``positive`` (null below the least observations), and fund_history_quarters.
+    """
+    aggs = []
+    for value, name in series.items():
+        prev = F.col(f"prev_{value}")
+        v, x, y = F.col(value), -F.col("off") / F.lit(4.0), safe_ln(F.col(value))
+        for w, least in (windows or TREND_WINDOWS).items():
+            inside = F.col("off") < w
+            good = inside & (v > 0)
+            ok = (F.count_if(good) >= least) & (F.count_if(inside & (v <= 0)) == 0)
+            fit = lambda f, ok=ok, good=good, y=y, x=x: F.when(ok, f(F.when(good, y), F.when(good, x)))
+            aggs += [fit(F.regr_slope).alias(f"{name}_trend_{w}q"), fit(F.regr_r2).alias(f"{name}_consistency_{w}q")]
+            pair = (F.col("off") <= w - 2) & prev.isNotNull() & v.isNotNull()
+            n = F.count_if(pair)
+            aggs.append(F.when(n >= least - 1, F.try_divide(F.count_if(pair & (v > prev)).cast("double"), n.cast("double"))).alias(f"{name}_up_frac_{w}q"))
+            if name in positive:
+                m = F.count_if(inside & v.isNotNull())
+                aggs.append(F.when(m >= least, F.try_divide(F.count_if(good).cast("double"), m.cast("double"))).alias(f"{name}_positive_frac_{w}q"))
+    return hist.groupBy(*key).agg(*aggs, F.count("*").alias("fund_history_quarters"))
+
+
 def dividend_record(hist: DataFrame, key: list[str], value: str) -> DataFrame:
     """Years known, years paid, streak of paid years from the newest on, cuts below 0.8 of the year before."""
     w = Window.partitionBy(*key).orderBy("off")
@@ -77,12 +106,21 @@ def dividend_record(hist: DataFrame, key: list[str], value: str) -> DataFrame:
     return rows.groupBy(*key).agg(F.count(value).alias("years_known"), F.count_if(paid).alias("years_paid"), F.count_if("on").alias("streak"), F.count_if((F.col(f"prev_{value}") > 0) & (F.col(value) < 0.8 * F.col(f"prev_{value}"))).alias("cuts"))
 
 
-def relative_to_history(cur: DataFrame, hist: DataFrame, key: list[str], ratio: str, least: int = 11) -> DataFrame:
-    """Current ratio over its own median, and its midrank among past ratios; null below ``least`` observations."""
-    j = hist.where(F.col(f"h_{ratio}").isNotNull()).join(cur.select(*key, ratio), key)
-    g = j.groupBy(*key, ratio).agg(F.count("*").alias("n"), F.median(f"h_{ratio}").alias("med"), F.count_if(F.col(f"h_{ratio}") < F.col(ratio)).alias("below"), F.count_if(F.col(f"h_{ratio}") == F.col(ratio)).alias("equal"))
-    ok = F.col("n") >= least
-    return g.select(*key, F.when(ok & (F.col("med") > 0), F.col(ratio) / F.col("med")).alias("rel"), F.when(ok & F.col(ratio).isNotNull(), (F.col("below") + F.col("equal") / F.lit(2.0)) / F.col("n")).alias("pct"))
+def relative_to_history(cur: DataFrame, hist: DataFrame, key: list[str], ratios: list[str], least: int = 11) -> DataFrame:
+    """{ratio}_vs_5y_median and {ratio}_5y_pctile of each of ``ratios``, all in one pass.
+
+    The current ratio over the median of its own history (null unless the
+    median is positive), and its midrank among past ratios; null below
+    ``least`` observations.
+    """
+    j = hist.select(*key, *[F.col(r).alias(f"h_{r}") for r in ratios]).join(cur.select(*key, *ratios), key)
+    out = []
+    for r in ratios:
+        h, c = F.col(f"h_{r}"), F.max(r)
+        n, med = F.count(h), F.median(h)
+        below, equal = F.count_if(h < F.col(r)), F.count_if(h == F.col(r))
+        out += [F.when((n >= least) & (med > 0), c / F.when(med > 0, med)).alias(f"{r}_vs_5y_median"), F.when((n >= least) & c.isNotNull(), (below + equal / F.lit(2.0)) / n).alias(f"{r}_5y_pctile")]
+    return j.groupBy(*key).agg(*out)
 
 
 def market_inputs(base: DataFrame) -> DataFrame:
@@ -91,9 +129,13 @@ def market_inputs(base: DataFrame) -> DataFrame:
     return base.withColumn("marketcap", cap).withColumn("ev", F.col("marketcap") + F.col("debt") - F.col("cash"))
 
 
-def meta(base: DataFrame) -> DataFrame:
+def meta(base: DataFrame, fresh: tuple[int, ...] = (135, 400), prefix: str = "fresh") -> DataFrame:
+    """Age of the filing in days, freshness flags (false without a filing), sign flags (null without their fields)."""
     age = F.datediff("date", "datekey")
-    return base.withColumn("age_days", age).withColumn("fresh_135", F.coalesce(age <= 135, F.lit(False))).withColumn("fresh_400", F.coalesce(age <= 400, F.lit(False))).withColumn("loss_making", F.col("netinc") < 0).withColumn("negative_equity", F.col("assets") - F.col("liabilities") < 0)
+    out = base.withColumn("age_days", age).withColumn("period_age_days", F.datediff("date", "reportperiod")).withColumn("has_filing", F.col("datekey").isNotNull())
+    for n in fresh:
+        out = out.withColumn(f"{prefix}_{n}", F.coalesce(age <= n, F.lit(False)))
+    return out.withColumn("loss_making", F.col("netinc") < 0).withColumn("negative_equity", F.col("assets") - F.col("liabilities") < 0)
 
 
 def valuation(m: DataFrame) -> DataFrame:
@@ -136,32 +178,44 @@ def returns_series(prices: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def benchmark_returns(bench: DataFrame, calendar: DataFrame) -> DataFrame:
-    """ix, bench_ret over the calendar (some thousand rows, one partition)."""
+    """ix, bench_log_ret over the calendar where the day before has a price, too (some thousand rows, one partition)."""
     b = bench.join(F.broadcast(calendar), "date")
-    return b.select("ix", (F.col("bench") / F.lag("bench").over(Window.orderBy("ix")) - 1).alias("bench_ret"))
+    w = Window.orderBy("ix")
+    return b.select("ix", F.when(F.lag("ix").over(w) == F.col("ix") - 1, F.ln(F.col("bench") / F.lag("bench").over(w))).alias("bench_log_ret"))
+
 
+# least observations of the twelve-month, three-year, five-year and 21-day features
+TECHNICAL_LEAST = {"year": 200, "three": 600, "five": 1000, "month": 15}
 
-def window_features(snaps: DataFrame, series: DataFrame, bench: DataFrame, calendar: DataFrame, lookback: int = 252) -> DataFrame:
-    """Momentum, distance to the high, beta, volatility, liquidity over the last ``lookback`` trading days."""
+
+def window_features(snaps: DataFrame, series: DataFrame, bench: DataFrame, calendar: DataFrame, lookback: int = 1260, least: dict[str, int] | None = None) -> DataFrame:
+    """Momentum, reversal, highs, beta, volatility and liquidity over up to ``lookback`` trading days.
+
+    A reference price k days back is the last print in [k, k + 21] days back.
+    Only returns from one trading day to the next count for max_ret_21d and
+    beta; windows with fewer than ``least`` observations give null.
+    """
     from tidemark.operators.asof import band_join
 
+    need = {**TECHNICAL_LEAST, **(least or {})}
     s = snaps.join(F.broadcast(calendar), "date").select("entity", "kind", "quarter", "date", "entry", F.col("ix").alias("s_ix"))
     d = series.join(F.broadcast(bench), "ix", "left")
-    j = band_join(s, d, ["entity"], "s_ix", "ix", lookback, ["close", "ret", "log_ret", "dollar", "one_day", "bench_ret"])
+    j = band_join(s, d, ["entity"], "s_ix", "ix", lookback, ["close", "ret", "log_ret", "dollar", "one_day", "bench_log_ret"])
     back = F.col("s_ix") - F.col("ix")
     ref = lambda lo: F.max_by(F.when(back.between(lo, lo + 21), F.col("close")), F.when(back.between(lo, lo + 21), F.col("ix")))
-    year = back < 252
-    true_day = year & F.col("one_day")
-    beta_n = F.count_if(true_day & F.col("bench_ret").isNotNull())
-    g = j.groupBy("entity", "quarter", "kind", "date", "entry").agg(
-        (F.col("entry") / ref(21) - 1).alias("mom_21"), (F.col("entry") / ref(126) - 1).alias("mom_126"), (F.col("entry") / F.max(F.when(year, F.col("close"))) - 1).alias("dist_high"),
-        F.max(F.when((back < 21) & F.col("one_day"), F.col("ret"))).alias("max_ret"),
-        F.when(beta_n >= 15, F.regr_slope(F.when(true_day, F.col("ret")), F.when(true_day, F.col("bench_ret")))).alias("beta"),
-        F.when(F.count_if(year & F.col("log_ret").isNotNull()) >= 15, F.stddev_samp(F.when(year, F.col("log_ret"))) * F.sqrt(F.lit(252.0))).alias("vol"),
-        F.median(F.when(back < 63, F.col("dollar"))).alias("med_dollar"),
-        F.avg(F.when(year, F.try_divide(F.abs("ret"), F.col("dollar")))).alias("illiquidity"), F.count("*").alias("n_obs"),
+    only = lambda cond, c: F.when(cond, F.col(c))
+    month, quarter_, year, three, five = (back < n for n in (21, 63, 252, 756, 1260))
+    pair = year & F.col("one_day") & F.col("bench_log_ret").isNotNull()
+    quick = month & F.col("one_day")
+    sigma = lambda cond, n: F.when(F.count(only(cond, "log_ret")) >= n, F.stddev_samp(only(cond, "log_ret")) * F.sqrt(F.lit(252.0)))
+    enough = F.count(only(five, "close")) >= need["five"]
+    return j.groupBy("entity", "quarter", "kind", "date", "entry").agg(
+        (ref(21) / ref(252) - 1).alias("mom_12_2"), (ref(252) / ref(756) - 1).alias("mom_36_12"), (F.col("entry") / ref(126) - 1).alias("ret_6m"), (F.col("entry") / ref(21) - 1).alias("ret_1m"),
+        F.when(F.count_if(quick) >= need["month"], F.max(only(quick, "ret"))).alias("max_ret_21d"), sigma(year, need["year"]).alias("vol_12m"), sigma(three, need["three"]).alias("vol_36m"),
+        F.when(F.count_if(pair) >= need["year"], F.regr_slope(only(pair, "log_ret"), only(pair, "bench_log_ret"))).alias("beta_12m"),
+        (F.col("entry") / F.max(only(year, "close")) - 1).alias("dist_52w_high"), F.when(enough, F.col("entry") / F.max(only(five, "close")) - 1).alias("dist_5y_high"), F.when(enough, F.col("entry") / F.avg(only(five, "close")) - 1).alias("price_vs_5y_avg"),
+        F.median(only(quarter_, "dollar")).alias("dollar_volume_3m"), F.avg(F.when(year, F.try_divide(F.abs("ret"), F.col("dollar")))).alias("amihud_12m"), F.count("*").alias("n_obs"),
     )
-    return g
 
 
 def family(df: DataFrame, name: str, key: list[str]) -> DataFrame:

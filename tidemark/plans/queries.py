@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, ShortType
 
 from tidemark.functions import families as fam
-from tidemark.functions.exprs import md5_number
+from tidemark.functions.exprs import md5_number, safe_ln
 from tidemark.operators import fundamentals as fu
 from tidemark.operators import identity as idn
 from tidemark.operators import panel as pn
@@ -262,17 +262,17 @@ def _(s, d):
     return fu.lag_match(w.known, w.filings, KEY, "revenue")
 
 
-@query("history_buckets", f"SELECT {_K}, off::BIGINT AS off, {r6('revenue', 'prev_revenue')} FROM hist WHERE kind = 'median'", "hist")
+@query("history_buckets", f"SELECT {_K}, off::BIGINT AS off, {r6('revenue', 'prev_revenue')} FROM hist", "hist")
 def _(s, d):
     w = World(s, d)
-    return fu.history_buckets(w.base().where("kind = 'median'"), w.filings, KEY, ["revenue"]).select(*KEY, "off", "revenue", "prev_revenue")
+    return fu.history_buckets(w.known, w.filings, KEY, ["revenue"]).select(*KEY, "off", "revenue", "prev_revenue")
 
 
 @query("dividend_record", f"""SELECT {_K}, count(dividends) AS years_known, count(*) FILTER (dividends > 0) AS years_paid, count(*) FILTER (ok) AS streak, count(*) FILTER (prev_dividends > 0 AND dividends < 0.8::DOUBLE * prev_dividends) AS cuts FROM (
   SELECT *, bool_and(dividends > 0 AND off = rn2 - 1) OVER (PARTITION BY {_K} ORDER BY off ROWS UNBOUNDED PRECEDING) AS ok FROM (SELECT *, row_number() OVER (PARTITION BY {_K} ORDER BY off) AS rn2 FROM divh)) GROUP BY ALL""".replace("GROUP BY ALL", f"GROUP BY {_K}"), "divh")
 def _(s, d):
     w = World(s, d)
-    return fu.dividend_record(fu.history_buckets(w.base(), w.filings, KEY, ["dividends"], 10, fu.YEAR_DAYS), KEY, "dividends")
+    return fu.dividend_record(fu.history_buckets(w.known, w.filings, KEY, ["dividends"], 10, fu.YEAR_DAYS), KEY, "dividends")
 
 
 def _trend_sql() -> str:
@@ -292,7 +292,31 @@ def _trend_sql() -> str:
 @query("trend_features", _trend_sql(), "hist")
 def _(s, d):
     w = World(s, d)
-    return fu.trend_stats(fu.history_buckets(w.base(), w.filings, KEY, ["revenue"]), KEY, "revenue")
+    return fu.trend_stats(fu.history_buckets(w.known, w.filings, KEY, ["revenue"]), KEY, "revenue")
+
+
+_SERIES = {"revenue": "revenue", "tangibles": "tangibles", "ncfo": "ocf"}
+
+
+def _trend_family_sql() -> str:
+    cols = []
+    for v, name in _SERIES.items():
+        for w, least in fu.TREND_WINDOWS.items():
+            ok = f"count(*) FILTER (off < {w} AND {v} > 0) >= {least} AND count(*) FILTER (off < {w} AND {v} <= 0) = 0"
+            pair = f"off <= {w - 2} AND prev_{v} IS NOT NULL AND {v} IS NOT NULL"
+            fit = lambda f: f"round(CASE WHEN {ok} THEN {f}(ln(CASE WHEN {v} > 0 THEN {v} END), -off / 4.0::DOUBLE) FILTER (off < {w} AND {v} > 0) END, 6) + 0.0::DOUBLE"  # noqa: B023, E731
+            cols += [f"{fit('regr_slope')} AS {name}_trend_{w}q", f"{fit('regr_r2')} AS {name}_consistency_{w}q"]
+            cols.append(f"round(CASE WHEN count(*) FILTER ({pair}) >= {least - 1} THEN (count(*) FILTER ({pair} AND {v} > prev_{v}))::DOUBLE / count(*) FILTER ({pair}) END, 6) + 0.0::DOUBLE AS {name}_up_frac_{w}q")
+            if name == "ocf":
+                cols.append(f"round(CASE WHEN count({v}) FILTER (off < {w}) >= {least} THEN (count(*) FILTER (off < {w} AND {v} > 0))::DOUBLE / count({v}) FILTER (off < {w}) END, 6) + 0.0::DOUBLE AS {name}_positive_frac_{w}q")
+    return f"SELECT {_K}, {', '.join(cols)}, count(*) AS fund_history_quarters FROM fullh GROUP BY {_K}"
+
+
+@query("trend_family", _trend_family_sql(), "fullh")
+def _(s, d):
+    w, f = World(s, d), materialized(bind.full_filings(s, d))
+    base = materialized(fu.fund_base(w.snaps, f, []))
+    return fu.trend_family(fu.history_buckets(base, f, KEY, list(_SERIES)), KEY, _SERIES, positive=("ocf",))
 
 
 @query("market_inputs", f"SELECT {_K}, {r6('marketcap', 'ev')} FROM feat", "feat")
@@ -326,21 +350,28 @@ for _name, _cols in _FAMILY_SQL.items():
     query(_name, f"SELECT {_K}, {_body} FROM feat", "feat")(_family(list(_cols)))
 
 
-@query("relvalue_features", f"""SELECT {_K}, round(CASE WHEN n >= 11 AND med > 0 THEN sales_yield / med END, 6) + 0.0::DOUBLE AS rel, round(CASE WHEN n >= 11 AND sales_yield IS NOT NULL THEN (below + equal / 2.0::DOUBLE) / n END, 6) + 0.0::DOUBLE AS pct FROM (
-  SELECT f.entity, f.quarter, f.kind, f.date, f.sales_yield, count(*) AS n, median(h.y) AS med, count(*) FILTER (h.y < f.sales_yield) AS below, count(*) FILTER (h.y = f.sales_yield) AS equal
-  FROM fam f JOIN (SELECT b.entity, b.quarter, b.kind, b.date, b.off, CASE WHEN c.close * b.shares > 0 THEN b.revenue / (c.close * b.shares) END AS y FROM (
-      SELECT h.entity, h.quarter, h.kind, h.date, h.off, h.revenue, h.k_date, q.shares, least(h.k_date, h.period + 45) AS anchor FROM hist h JOIN fil q ON q.entity = h.entity AND q.datekey = h.k_date AND q.reportperiod = h.period WHERE h.kind = 'median') b
-    ASOF JOIN px c ON b.entity = c.entity AND b.anchor >= c.date WHERE b.anchor - c.date <= 14) h ON f.entity = h.entity AND f.quarter = h.quarter AND f.kind = h.kind AND f.date = h.date
-  WHERE h.y IS NOT NULL GROUP BY f.entity, f.quarter, f.kind, f.date, f.sales_yield)""", "fam", "hist", "px", "fil")
+_RATIOS = {"earnings_yield": "netinc", "ocf_yield": "ncfo", "fcf_yield": "fcf", "sales_yield": "revenue", "book_to_market": "equity", "tangible_book_to_market": "tangibles"}
+_REL = ", ".join(
+    f"round(CASE WHEN count(h.{r}) >= 11 AND median(h.{r}) > 0 THEN any_value(f.{r}) / median(h.{r}) END, 6) + 0.0::DOUBLE AS {r}_vs_5y_median, "
+    f"round(CASE WHEN count(h.{r}) >= 11 AND any_value(f.{r}) IS NOT NULL THEN (count(*) FILTER (h.{r} < f.{r}) + count(*) FILTER (h.{r} = f.{r}) / 2.0::DOUBLE) / count(h.{r}) END, 6) + 0.0::DOUBLE AS {r}_5y_pctile"
+    for r in _RATIOS
+)
+_NOW = ", ".join(f"CASE WHEN entry * sharesbas * sharefactor > 0 THEN {v} / (entry * sharesbas * sharefactor) END AS {r}" for r, v in _RATIOS.items())
+_THEN = ", ".join(f"CASE WHEN c.close * b.sharesbas * b.sharefactor > 0 THEN b.{v} / (c.close * b.sharesbas * b.sharefactor) END AS {r}" for r, v in _RATIOS.items())
+
+
+@query("relvalue_features", f"""SELECT f.entity, f.quarter, f.kind, f.date, {_REL} FROM (SELECT {_K}, {_NOW} FROM fullb) f
+  JOIN (SELECT b.entity, b.quarter, b.kind, b.date, {_THEN} FROM (SELECT *, least(k_date, period + 45) AS anchor FROM fullh) b ASOF JOIN px c ON b.entity = c.entity AND b.anchor >= c.date WHERE b.anchor - c.date <= 14) h
+  ON f.entity = h.entity AND f.quarter = h.quarter AND f.kind = h.kind AND f.date = h.date GROUP BY f.entity, f.quarter, f.kind, f.date""", "fullb", "fullh", "px")
 def _(s, d):
     w = World(s, d)
-    base = w.base().where("kind = 'median'")
-    f = w.filings.withColumn("known_on", F.col("datekey")).withColumn("about", F.col("reportperiod"))
-    hist = fu.history_buckets(base, f, KEY, ["revenue", "shares", "known_on", "about"]).withColumn("anchor", F.least("known_on", F.date_add("about", 45)))
+    f = materialized(bind.full_filings(s, d).withColumn("known_on", F.col("datekey")).withColumn("about", F.col("reportperiod")))
+    fields = [*dict.fromkeys(_RATIOS.values()), "sharesbas", "sharefactor"]
+    base = materialized(fu.fund_base(w.snaps, f, fields))
+    hist = fu.history_buckets(base, f, KEY, [*fields, "known_on", "about"]).withColumn("anchor", F.least("known_on", F.date_add("about", 45)))
     priced = asof_join(hist, w.prices.select("entity", F.col("date").alias("p_date"), F.col("close").alias("p")), ["entity"], "anchor", "p_date", ["p"], "inner", True, 14)
-    cap = F.col("p") * F.col("shares")
-    priced = priced.select(*KEY, F.when(cap > 0, F.col("revenue") / F.when(cap > 0, cap)).alias("h_sales_yield"))
-    return fu.relative_to_history(fu.valuation(fu.market_inputs(base)), priced, KEY, "sales_yield")
+    ratios = lambda df, price: df.withColumn("__cap", F.col(price) * F.col("sharesbas") * F.col("sharefactor")).select(*KEY, *[F.when(F.col("__cap") > 0, F.col(v) / F.when(F.col("__cap") > 0, F.col("__cap"))).alias(r) for r, v in _RATIOS.items()])
+    return fu.relative_to_history(ratios(base, "entry"), ratios(priced, "p"), KEY, list(_RATIOS))
 
 
 @query("returns_series", f"SELECT entity, date, ix, {r6('ret', 'log_ret', 'dollar')}, one_day FROM ser", "ser")
@@ -349,16 +380,37 @@ def _(s, d):
     return fu.returns_series(w.prices, w.calendar).select("entity", "date", "ix", "ret", "log_ret", "dollar", "one_day")
 
 
-@query("technical_features", f"""SELECT entity, quarter, kind, date, round(entry / max_by(close, ix) FILTER (b BETWEEN 21 AND 42) - 1, 6) + 0.0::DOUBLE AS mom_21, round(entry / max_by(close, ix) FILTER (b BETWEEN 126 AND 147) - 1, 6) + 0.0::DOUBLE AS mom_126,
-  round(entry / max(close) FILTER (b < 252) - 1, 6) + 0.0::DOUBLE AS dist_high, round(max(ret) FILTER (b < 21 AND one_day), 6) + 0.0::DOUBLE AS max_ret,
-  round(CASE WHEN count(*) FILTER (b < 252 AND one_day AND bench_ret IS NOT NULL) >= 15 THEN regr_slope(ret, bench_ret) FILTER (b < 252 AND one_day) END, 6) + 0.0::DOUBLE AS beta,
-  round(CASE WHEN count(*) FILTER (b < 252 AND log_ret IS NOT NULL) >= 15 THEN stddev_samp(log_ret) FILTER (b < 252) * sqrt(252.0::DOUBLE) END, 6) + 0.0::DOUBLE AS vol,
-  round(median(dollar) FILTER (b < 63), 6) + 0.0::DOUBLE AS med_dollar, round(avg(abs(ret) / dollar) FILTER (b < 252), 6) + 0.0::DOUBLE AS illiquidity, count(*) AS n_obs
-FROM (SELECT s.entity, s.quarter, s.kind, s.date, s.entry, c.ix - r.ix AS b, r.ix, r.close, r.ret, r.log_ret, r.dollar, r.one_day, m.bench_ret FROM snap s JOIN cal c ON c.date = s.date
-  JOIN ser r ON r.entity = s.entity AND r.ix BETWEEN c.ix - 252 AND c.ix LEFT JOIN bret m ON m.ix = r.ix) GROUP BY entity, quarter, kind, date, entry""", "snap", "cal", "ser", "bret")
+_TECHNICAL = ["mom_12_2", "mom_36_12", "ret_6m", "ret_1m", "max_ret_21d", "vol_12m", "vol_36m", "beta_12m", "dist_52w_high", "dist_5y_high", "price_vs_5y_avg", "log_marketcap", "dollar_volume_3m", "amihud_12m"]
+
+
+def _technical_sql(year: int, three: int, five: int, month: int) -> str:
+    ref = lambda k: f"arg_max(close, ix) FILTER (b >= {k} AND b <= {k} + 21)"
+    return f"""SELECT t.entity, t.quarter, t.kind, t.date, {r6(*_TECHNICAL)}, n_obs FROM (SELECT entity, quarter, kind, date, {ref(21)} / {ref(252)} - 1 AS mom_12_2, {ref(252)} / {ref(756)} - 1 AS mom_36_12, any_value(entry) / {ref(126)} - 1 AS ret_6m, any_value(entry) / {ref(21)} - 1 AS ret_1m,
+  CASE WHEN count(*) FILTER (b < 21 AND one_day) >= {month} THEN max(ret) FILTER (b < 21 AND one_day) END AS max_ret_21d,
+  CASE WHEN count(log_ret) FILTER (b < 252) >= {year} THEN stddev_samp(log_ret) FILTER (b < 252) * sqrt(252.0::DOUBLE) END AS vol_12m, CASE WHEN count(log_ret) FILTER (b < 756) >= {three} THEN stddev_samp(log_ret) FILTER (b < 756) * sqrt(252.0::DOUBLE) END AS vol_36m,
+  CASE WHEN count(*) FILTER (b < 252 AND one_day AND bench_log_ret IS NOT NULL) >= {year} THEN regr_slope(log_ret, bench_log_ret) FILTER (b < 252 AND one_day AND bench_log_ret IS NOT NULL) END AS beta_12m,
+  any_value(entry) / max(close) FILTER (b < 252) - 1 AS dist_52w_high, CASE WHEN count(close) FILTER (b < 1260) >= {five} THEN any_value(entry) / max(close) FILTER (b < 1260) - 1 END AS dist_5y_high, CASE WHEN count(close) FILTER (b < 1260) >= {five} THEN any_value(entry) / avg(close) FILTER (b < 1260) - 1 END AS price_vs_5y_avg,
+  median(dollar) FILTER (b < 63) AS dollar_volume_3m, avg(abs(ret) / dollar) FILTER (b < 252) AS amihud_12m, count(*) AS n_obs
+FROM (SELECT s.entity, s.quarter, s.kind, s.date, s.entry, c.ix - r.ix AS b, r.ix, r.close, r.ret, r.log_ret, r.dollar, r.one_day, m.bench_log_ret FROM snap s JOIN cal c ON c.date = s.date
+  JOIN ser r ON r.entity = s.entity AND r.ix BETWEEN c.ix - 1260 AND c.ix LEFT JOIN bret m ON m.ix = r.ix) GROUP BY entity, quarter, kind, date) t
+LEFT JOIN (SELECT {_K}, CASE WHEN marketcap > 0 THEN ln(marketcap) END AS log_marketcap FROM feat) f ON t.entity = f.entity AND t.quarter = f.quarter AND t.kind = f.kind AND t.date = f.date"""
+
+
+def technical(w: World, **least: int) -> DataFrame:
+    t = fu.window_features(w.snaps, materialized(fu.returns_series(w.prices, w.calendar)), fu.benchmark_returns(bind.benchmark(w.spark, w.dir), w.calendar), w.calendar, least=least)
+    cap = fu.market_inputs(w.known).select(*KEY, safe_ln(F.col("marketcap")).alias("log_marketcap"))
+    return t.join(cap, KEY, "left").select(*KEY, *_TECHNICAL, "n_obs")
+
+
+@query("technical_features", _technical_sql(200, 600, 1000, 15), "snap", "cal", "ser", "bret", "feat")
 def _(s, d):
-    w = World(s, d)
-    return fu.window_features(w.snaps, fu.returns_series(w.prices, w.calendar), fu.benchmark_returns(bind.benchmark(s, d), w.calendar), w.calendar).drop("entry")
+    return technical(World(s, d))
+
+
+@query("technical_features_sparse", _technical_sql(15, 45, 75, 2), "snap", "cal", "ser", "bret", "feat")
+def _(s, d):
+    """The same with fewer observations needed, as the entities of the test tables have few prints a year."""
+    return technical(World(s, d), year=15, three=45, five=75, month=2)
 
 
 # -- cross-section ------------------------------------------------------------------------------------------
@@ -674,23 +726,19 @@ def _(s, d):
 
 # -- whole families over all fields -------------------------------------------------------------------------
 
-_FULL = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in bind.FULL_FIELDS.items())
 _LAGS = fam.lagged_fields()
-_FULL_SQL = f"""full_f AS (SELECT entity, datekey, reportperiod, {_FULL} FROM fv),
-full_1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, datekey ORDER BY reportperiod DESC) AS rn FROM full_f) WHERE rn = 1),
-full_b AS (SELECT s.*, f.* EXCLUDE (entity, rn) FROM (SELECT * FROM snap WHERE kind = 'median') s ASOF LEFT JOIN full_1 f ON s.entity = f.entity AND s.date > f.datekey),
-full_l AS (SELECT {_K}, {", ".join(f"max({v}) FILTER (k = {n}) AS {v}_t{n}" for v in _LAGS for n in (1, 2, 3))} FROM (
+_FULL_SQL = f"""full_l AS (SELECT {_K}, {", ".join(f"max({v}) FILTER (k = {n}) AS {v}_t{n}" for v in _LAGS for n in (1, 2, 3))} FROM (
   SELECT *, row_number() OVER (PARTITION BY {_K}, k ORDER BY k_date DESC, period DESC) AS rn FROM (
     SELECT b.entity, b.quarter, b.kind, b.date, f.datekey AS k_date, f.reportperiod AS period, b.reportperiod - f.reportperiod AS gap, round((b.reportperiod - f.reportperiod) / CAST(365 AS DOUBLE))::INT AS k, {", ".join(f"f.{v}" for v in _LAGS)}
-    FROM full_b b JOIN full_f f ON b.entity = f.entity AND f.datekey < b.date AND f.reportperiod <= b.reportperiod) WHERE k IN (1, 2, 3) AND abs(gap - k * 365) <= 30) WHERE rn = 1 GROUP BY {_K}),
+    FROM fullb b JOIN fullf f ON b.entity = f.entity AND f.datekey < b.date AND f.reportperiod <= b.reportperiod) WHERE k IN (1, 2, 3) AND abs(gap - k * 365) <= 30) WHERE rn = 1 GROUP BY {_K}),
 full_x AS (SELECT b.*, l.* EXCLUDE ({_K}), CASE WHEN entry * sharesbas * sharefactor > 0 THEN entry * sharesbas * sharefactor END AS marketcap, CASE WHEN entry * sharesbas * sharefactor > 0 THEN entry * sharesbas * sharefactor END + debt - cashneq AS ev
-  FROM full_b b LEFT JOIN full_l l ON b.entity = l.entity AND b.quarter = l.quarter AND b.kind = l.kind AND b.date = l.date)"""
+  FROM fullb b LEFT JOIN full_l l ON b.entity = l.entity AND b.quarter = l.quarter AND b.kind = l.kind AND b.date = l.date)"""
 
 
 def full_inputs(s, d) -> DataFrame:
-    """Median snapshots with every field, its lags, marketcap and ev."""
-    w, f = World(s, d), bind.full_filings(s, d)
-    base = fu.fund_base(w.snaps.where("kind = 'median'"), f, list(bind.FULL_FIELDS))
+    """Snapshots with every field, its lags, marketcap and ev."""
+    w, f = World(s, d), materialized(bind.full_filings(s, d))
+    base = materialized(fu.fund_base(w.snaps, f, list(bind.FULL_FIELDS)))
     x = base.join(fu.lag_match(base, f, KEY, _LAGS), KEY, "left")
     cap = F.col("entry") * F.col("sharesbas") * F.col("sharefactor")
     return x.withColumn("marketcap", F.when(cap > 0, cap)).withColumn("ev", F.col("marketcap") + F.col("debt") - F.col("cashneq"))
@@ -709,7 +757,7 @@ def _full_sql(name: str) -> str:
             out.append(f"{e} AS {c}")
         else:
             out.append(f"round(CAST({e} AS DOUBLE), 6) + 0.0::DOUBLE AS {c}")
-    return sql("", "fv", "snap").rstrip() + ",\n" + _FULL_SQL + f"\nSELECT {_K}, {', '.join(out)} FROM full_x"
+    return sql("", "fullf", "fullb").rstrip() + ",\n" + _FULL_SQL + f"\nSELECT {_K}, {', '.join(out)} FROM full_x"
 
 
 for _name in fam.FAMILIES:

@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
+from tidemark.sources.binding import FULL_FIELDS
+
+_VALUES = ["revenue", "tangibles", "ncfo", "netinc", "fcf", "equity", "sharesbas", "sharefactor"]
 CTES: dict[str, tuple[list[str], str]] = {
+    "fullf": (["fv"], f"SELECT entity, datekey, reportperiod, {', '.join(f'CAST({e} AS DOUBLE) AS {n}' for n, e in FULL_FIELDS.items())} FROM fv"),
+    "fullb": (["fullf", "snap"], """
+  SELECT s.*, f.* EXCLUDE (entity, rn) FROM snap s ASOF LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, datekey ORDER BY reportperiod DESC) AS rn FROM fullf) WHERE rn = 1) f ON s.entity = f.entity AND s.date > f.datekey"""),
+    "fullh": (["fullf", "fullb"], f"""
+  SELECT *, {', '.join(f'CASE WHEN lag(off) OVER w = off + 1 THEN lag({v}) OVER w END AS prev_{v}' for v in ('revenue', 'tangibles', 'ncfo'))} FROM (
+    SELECT *, row_number() OVER (PARTITION BY entity, quarter, kind, date, off ORDER BY k_date DESC, period DESC) AS rn FROM (
+      SELECT b.entity, b.quarter, b.kind, b.date, f.datekey AS k_date, f.reportperiod AS period, b.reportperiod - f.reportperiod AS gap, round((b.reportperiod - f.reportperiod) / 91.3125::DOUBLE)::INT AS off, {', '.join(f'f.{v}' for v in _VALUES)}
+      FROM fullb b JOIN fullf f ON b.entity = f.entity AND f.datekey < b.date AND f.reportperiod <= b.reportperiod) WHERE off < 20 AND abs(gap - off * 91.3125::DOUBLE) <= 30)
+  WHERE rn = 1 WINDOW w AS (PARTITION BY entity, quarter, kind, date ORDER BY off DESC)"""),
     "sup": ([], """
   SELECT s_suppkey AS entity, 'T' || (s_suppkey - CASE WHEN s_suppkey % 10 = 9 THEN 1 ELSE 0 END) AS ticker,
     CASE WHEN s_suppkey % 10 = 9 THEN DATE '1998-07-01' END AS first_date, CASE WHEN s_suppkey % 10 = 8 THEN DATE '1998-06-30' END AS last_date,
@@ -83,7 +95,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "ser": (["px", "cal"], """
   SELECT entity, date, ix, close, close / prev - 1 AS ret, ln(close / prev) AS log_ret, close * volume AS dollar, coalesce(prev_ix = ix - 1, false) AS one_day FROM (
     SELECT p.*, c.ix, lag(p.close) OVER w AS prev, lag(c.ix) OVER w AS prev_ix FROM px p JOIN cal c ON p.date = c.date WINDOW w AS (PARTITION BY p.entity ORDER BY c.ix))"""),
-    "bret": (["bench", "cal"], "SELECT c.ix, b.bench / lag(b.bench) OVER (ORDER BY c.ix) - 1 AS bench_ret FROM bench b JOIN cal c ON b.date = c.date"),
+    "bret": (["bench", "cal"], "SELECT ix, CASE WHEN lag(ix) OVER w = ix - 1 THEN ln(bench / lag(bench) OVER w) END AS bench_log_ret FROM (SELECT c.ix, b.bench FROM bench b JOIN cal c ON b.date = c.date) WINDOW w AS (ORDER BY ix)"),
     "obs": (["snap", "cal"], """
   SELECT s.entity, s.quarter, s.kind, s.date, h.h, (s.date + to_years(h.h))::DATE AS label_end, (s.date + to_years(h.h))::DATE <= (SELECT max(date) FROM cal) AS observable
   FROM snap s CROSS JOIN (VALUES (1), (2), (3), (5)) h(h)"""),
