@@ -33,6 +33,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+ADAPTIVE = "spark.sql.adaptive.enabled"
+
+
+def cut_as_dealt(df: DataFrame) -> DataFrame:
+    """``cut`` of rows that stay dealt out by their keys: later steps on the same keys shuffle nothing.
+
+    An adaptive plan doesn't tell how its result is dealt out, so the plan of
+    this one step isn't adaptive; ``df`` should fix its number of partitions.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(ADAPTIVE)
+    conf.set(ADAPTIVE, "false")
+    try:
+        return cut(df.select("*"))
+    finally:
+        conf.set(ADAPTIVE, before)
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` materialised as a Parquet table beside the checkpoints.
 
