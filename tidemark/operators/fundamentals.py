@@ -22,28 +22,29 @@ def fund_base(snaps: DataFrame, filings: DataFrame, carry: list[str], allow_exac
     return asof_join(snaps, latest_period(filings), ["entity"], "date", "datekey", ["reportperiod", *carry], allow_exact=allow_exact)
 
 
-def _known(base: DataFrame, filings: DataFrame, key: list[str], values: list[str]) -> DataFrame:
-    """Filings known before each snapshot, at or before the base period (some hundred per entity at most)."""
+def _known(base: DataFrame, filings: DataFrame, key: list[str], values: list[str], allow_exact: bool = False) -> DataFrame:
+    """Filings known before each snapshot (at it, with ``allow_exact``), at or before the base period (some hundred per entity at most)."""
     b = base.select(*key, F.col("reportperiod").alias("t0")).where(F.col("t0").isNotNull())
     f = filings.select("entity", F.col("datekey").alias("k_date"), F.col("reportperiod").alias("period"), *values)
-    return b.join(f, "entity").where((F.col("k_date") < F.col("date")) & (F.col("period") <= F.col("t0"))).withColumn("gap", F.datediff("t0", "period"))
+    known = F.col("k_date") <= F.col("date") if allow_exact else F.col("k_date") < F.col("date")
+    return b.join(f, "entity").where(known & (F.col("period") <= F.col("t0"))).withColumn("gap", F.datediff("t0", "period"))
 
 
-def lag_match(base: DataFrame, filings: DataFrame, key: list[str], value: str | list[str], lags: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+def lag_match(base: DataFrame, filings: DataFrame, key: list[str], value: str | list[str], lags: tuple[int, ...] = (1, 2, 3), allow_exact: bool = False) -> DataFrame:
     """Values k years before the base period, within 30 days, newest version known; columns value_t1, ..."""
     values = [value] if isinstance(value, str) else value
-    k = _known(base, filings, key, values).withColumn("k", F.round(F.col("gap") / 365).cast("int")).where(F.col("k").isin(*lags) & (F.abs(F.col("gap") - F.col("k") * 365) <= SLACK))
+    k = _known(base, filings, key, values, allow_exact).withColumn("k", F.round(F.col("gap") / 365).cast("int")).where(F.col("k").isin(*lags) & (F.abs(F.col("gap") - F.col("k") * 365) <= SLACK))
     best = latest_by(k, [*key, "k"], F.col("k_date").desc(), F.col("period").desc())
     wide = best.groupBy(*key).agg(*[F.max(F.when(F.col("k") == n, F.col(v))).alias(f"{v}_t{n}") for v in values for n in lags])
     return base.select(*key).join(wide, key, "left")
 
 
-def history_buckets(base: DataFrame, filings: DataFrame, key: list[str], values: list[str], n: int = 20, spacing: float = QUARTER_DAYS) -> DataFrame:
+def history_buckets(base: DataFrame, filings: DataFrame, key: list[str], values: list[str], n: int = 20, spacing: float = QUARTER_DAYS, allow_exact: bool = False) -> DataFrame:
     """The newest known version in each bucket 0..n-1 back from the base period, with the next older bucket's values.
 
     ``prev_*`` is null unless the next older bucket is the very next one.
     """
-    k = _known(base, filings, key, values).withColumn("off", F.round(F.col("gap") / spacing).cast("int"))
+    k = _known(base, filings, key, values, allow_exact).withColumn("off", F.round(F.col("gap") / spacing).cast("int"))
     k = k.where((F.col("off") < n) & (F.abs(F.col("gap") - F.col("off") * spacing) <= SLACK))
     best = latest_by(k, [*key, "off"], F.col("k_date").desc(), F.col("period").desc())
     w = Window.partitionBy(*key).orderBy(F.col("off").desc())

@@ -34,11 +34,24 @@ def touch_snapshots(prices: DataFrame) -> DataFrame:
     return g.select("entity", "quarter", n.cast("long").alias("n_days"), F.inline(rows))
 
 
-def latest_snapshots(prices: DataFrame, calendar: DataFrame, max_age: int = 5) -> DataFrame:
-    """The last print of each entity, kept if at most ``max_age`` trading days old at the calendar's end."""
-    end = calendar.agg(F.max("ix").alias("end_ix"), F.max("date").alias("as_of"))
-    last = prices.groupBy("entity").agg(F.max("date").alias("date"), F.max_by("close", "date").alias("entry"))
-    return last.join(F.broadcast(calendar), "date").crossJoin(F.broadcast(end)).where(F.col("end_ix") - F.col("ix") <= max_age).select("entity", F.trunc("as_of", "quarter").alias("quarter"), F.lit("inference").alias("kind"), "date", "entry", (F.col("end_ix") - F.col("ix")).alias("age"))
+def resolve_as_of(calendar: DataFrame, as_of: str | None = None) -> DataFrame:
+    """One row, as_of and end_ix: the last trading day at or before ``as_of`` (the calendar's end, if none is given)."""
+    c = calendar if as_of is None else calendar.where(F.col("date") <= F.lit(as_of).cast("date"))
+    return c.agg(F.max("date").alias("as_of"), F.max("ix").alias("end_ix"))
+
+
+def latest_snapshots(prices: DataFrame, calendar: DataFrame, max_age: int = 5, as_of: str | None = None) -> DataFrame:
+    """The last print of each entity at ``as_of``, kept if at most ``max_age`` trading days old then; all in the quarter of that day."""
+    end = resolve_as_of(calendar, as_of)
+    p = prices if as_of is None else prices.where(F.col("date") <= F.lit(as_of).cast("date"))
+    last = p.groupBy("entity").agg(F.max("date").alias("date"), F.max_by("close", "date").alias("entry"))
+    age = F.col("end_ix") - F.col("ix")
+    return last.join(F.broadcast(calendar), "date").crossJoin(F.broadcast(end)).where(age <= max_age).select("entity", F.trunc("as_of", "quarter").alias("quarter"), F.lit("inference").alias("kind"), "date", "entry", age.alias("age"))
+
+
+def snapshot_summary(snaps: DataFrame) -> DataFrame:
+    """kind, n, n_entities, first and last date, share of snapshots on the last day of three or more prints."""
+    return snaps.groupBy("kind").agg(F.count("*").alias("n"), F.count_distinct("entity").alias("n_entities"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.median("n_days").alias("median_days"))
 
 
 def horizon_ends(dates: DataFrame, calendar: DataFrame, horizons: tuple[int, ...] = HORIZONS) -> DataFrame:

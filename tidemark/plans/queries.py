@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, ShortType
 
 from tidemark.functions import families as fam
-from tidemark.functions.exprs import md5_number, safe_ln
+from tidemark.functions import registry as reg
+from tidemark.functions.exprs import md5_number
 from tidemark.operators import fundamentals as fu
 from tidemark.operators import identity as idn
 from tidemark.operators import panel as pn
 from tidemark.operators import quality_reports as qr
 from tidemark.operators import snapshots as sn
 from tidemark.operators.asof import asof_join, validity_join
+from tidemark.plans import wide
 from tidemark.plans.sql_base import sql
 from tidemark.sources import binding as bind
 from tidemark.sources.io import materialized
@@ -56,6 +58,8 @@ def r6(*cols: str) -> str:
 class World:
     """The relations of one data directory.  Those that other steps build on are written once for a query and read from there."""
 
+    exact = False  # whether a filing of the snapshot's own date is known
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
 
@@ -295,7 +299,7 @@ def _(s, d):
     return fu.trend_stats(fu.history_buckets(w.known, w.filings, KEY, ["revenue"]), KEY, "revenue")
 
 
-_SERIES = {"revenue": "revenue", "tangibles": "tangibles", "ncfo": "ocf"}
+_SERIES = wide.SERIES
 
 
 def _trend_family_sql() -> str:
@@ -314,9 +318,7 @@ def _trend_family_sql() -> str:
 
 @query("trend_family", _trend_family_sql(), "fullh")
 def _(s, d):
-    w, f = World(s, d), materialized(bind.full_filings(s, d))
-    base = materialized(fu.fund_base(w.snaps, f, []))
-    return fu.trend_family(fu.history_buckets(base, f, KEY, list(_SERIES)), KEY, _SERIES, positive=("ocf",))
+    return wide.Features(World(s, d)).trend()
 
 
 @query("market_inputs", f"SELECT {_K}, {r6('marketcap', 'ev')} FROM feat", "feat")
@@ -350,7 +352,7 @@ for _name, _cols in _FAMILY_SQL.items():
     query(_name, f"SELECT {_K}, {_body} FROM feat", "feat")(_family(list(_cols)))
 
 
-_RATIOS = {"earnings_yield": "netinc", "ocf_yield": "ncfo", "fcf_yield": "fcf", "sales_yield": "revenue", "book_to_market": "equity", "tangible_book_to_market": "tangibles"}
+_RATIOS = wide.RATIOS
 _REL = ", ".join(
     f"round(CASE WHEN count(h.{r}) >= 11 AND median(h.{r}) > 0 THEN any_value(f.{r}) / median(h.{r}) END, 6) + 0.0::DOUBLE AS {r}_vs_5y_median, "
     f"round(CASE WHEN count(h.{r}) >= 11 AND any_value(f.{r}) IS NOT NULL THEN (count(*) FILTER (h.{r} < f.{r}) + count(*) FILTER (h.{r} = f.{r}) / 2.0::DOUBLE) / count(h.{r}) END, 6) + 0.0::DOUBLE AS {r}_5y_pctile"
@@ -364,14 +366,7 @@ _THEN = ", ".join(f"CASE WHEN c.close * b.sharesbas * b.sharefactor > 0 THEN b.{
   JOIN (SELECT b.entity, b.quarter, b.kind, b.date, {_THEN} FROM (SELECT *, least(k_date, period + 45) AS anchor FROM fullh) b ASOF JOIN px c ON b.entity = c.entity AND b.anchor >= c.date WHERE b.anchor - c.date <= 14) h
   ON f.entity = h.entity AND f.quarter = h.quarter AND f.kind = h.kind AND f.date = h.date GROUP BY f.entity, f.quarter, f.kind, f.date""", "fullb", "fullh", "px")
 def _(s, d):
-    w = World(s, d)
-    f = materialized(bind.full_filings(s, d).withColumn("known_on", F.col("datekey")).withColumn("about", F.col("reportperiod")))
-    fields = [*dict.fromkeys(_RATIOS.values()), "sharesbas", "sharefactor"]
-    base = materialized(fu.fund_base(w.snaps, f, fields))
-    hist = fu.history_buckets(base, f, KEY, [*fields, "known_on", "about"]).withColumn("anchor", F.least("known_on", F.date_add("about", 45)))
-    priced = asof_join(hist, w.prices.select("entity", F.col("date").alias("p_date"), F.col("close").alias("p")), ["entity"], "anchor", "p_date", ["p"], "inner", True, 14)
-    ratios = lambda df, price: df.withColumn("__cap", F.col(price) * F.col("sharesbas") * F.col("sharefactor")).select(*KEY, *[F.when(F.col("__cap") > 0, F.col(v) / F.when(F.col("__cap") > 0, F.col("__cap"))).alias(r) for r, v in _RATIOS.items()])
-    return fu.relative_to_history(ratios(base, "entry"), ratios(priced, "p"), KEY, list(_RATIOS))
+    return wide.Features(World(s, d)).relvalue()
 
 
 @query("returns_series", f"SELECT entity, date, ix, {r6('ret', 'log_ret', 'dollar')}, one_day FROM ser", "ser")
@@ -380,7 +375,7 @@ def _(s, d):
     return fu.returns_series(w.prices, w.calendar).select("entity", "date", "ix", "ret", "log_ret", "dollar", "one_day")
 
 
-_TECHNICAL = ["mom_12_2", "mom_36_12", "ret_6m", "ret_1m", "max_ret_21d", "vol_12m", "vol_36m", "beta_12m", "dist_52w_high", "dist_5y_high", "price_vs_5y_avg", "log_marketcap", "dollar_volume_3m", "amihud_12m"]
+_TECHNICAL = reg.columns("technical", late=False)
 
 
 def _technical_sql(year: int, three: int, five: int, month: int) -> str:
@@ -396,21 +391,15 @@ FROM (SELECT s.entity, s.quarter, s.kind, s.date, s.entry, c.ix - r.ix AS b, r.i
 LEFT JOIN (SELECT {_K}, CASE WHEN marketcap > 0 THEN ln(marketcap) END AS log_marketcap FROM feat) f ON t.entity = f.entity AND t.quarter = f.quarter AND t.kind = f.kind AND t.date = f.date"""
 
 
-def technical(w: World, **least: int) -> DataFrame:
-    t = fu.window_features(w.snaps, materialized(fu.returns_series(w.prices, w.calendar)), fu.benchmark_returns(bind.benchmark(w.spark, w.dir), w.calendar), w.calendar, least=least)
-    cap = fu.market_inputs(w.known).select(*KEY, safe_ln(F.col("marketcap")).alias("log_marketcap"))
-    return t.join(cap, KEY, "left").select(*KEY, *_TECHNICAL, "n_obs")
-
-
 @query("technical_features", _technical_sql(200, 600, 1000, 15), "snap", "cal", "ser", "bret", "feat")
 def _(s, d):
-    return technical(World(s, d))
+    return wide.technical(World(s, d))
 
 
 @query("technical_features_sparse", _technical_sql(15, 45, 75, 2), "snap", "cal", "ser", "bret", "feat")
 def _(s, d):
     """The same with fewer observations needed, as the entities of the test tables have few prints a year."""
-    return technical(World(s, d), year=15, three=45, five=75, month=2)
+    return wide.technical(World(s, d), **wide.SPARSE)
 
 
 # -- cross-section ------------------------------------------------------------------------------------------
@@ -735,17 +724,8 @@ full_x AS (SELECT b.*, l.* EXCLUDE ({_K}), CASE WHEN entry * sharesbas * sharefa
   FROM fullb b LEFT JOIN full_l l ON b.entity = l.entity AND b.quarter = l.quarter AND b.kind = l.kind AND b.date = l.date)"""
 
 
-def full_inputs(s, d) -> DataFrame:
-    """Snapshots with every field, its lags, marketcap and ev."""
-    w, f = World(s, d), materialized(bind.full_filings(s, d))
-    base = materialized(fu.fund_base(w.snaps, f, list(bind.FULL_FIELDS)))
-    x = base.join(fu.lag_match(base, f, KEY, _LAGS), KEY, "left")
-    cap = F.col("entry") * F.col("sharesbas") * F.col("sharefactor")
-    return x.withColumn("marketcap", F.when(cap > 0, cap)).withColumn("ev", F.col("marketcap") + F.col("debt") - F.col("cashneq"))
-
-
 def _full_family(name: str):
-    return lambda s, d: fu.family(full_inputs(s, d), name, KEY)
+    return lambda s, d: fu.family(wide.Features(World(s, d)).inputs, name, KEY)
 
 
 def _full_sql(name: str) -> str:
@@ -763,3 +743,57 @@ def _full_sql(name: str) -> str:
 for _name in fam.FAMILIES:
     query(f"family_{_name}", "")(_full_family(_name))
     ORACLES[f"family_{_name}"] = _full_sql(_name)
+
+
+# -- the wide panel -----------------------------------------------------------------------------------------
+
+_META = f"""SELECT {_K}, datekey AS fund_datekey, reportperiod AS fund_reportperiod, (date - datekey)::BIGINT AS fundamentals_age_days, coalesce(date - datekey <= 183, false) AS has_filing_183d, coalesce(date - datekey <= 365, false) AS has_filing_365d,
+  equity <= 0 AS negative_equity, ebitda <= 0 AS negative_ebitda, CASE WHEN entry * sharesbas * sharefactor > 0 THEN entry * sharesbas * sharefactor END + debt - cashneq <= 0 AS negative_ev FROM fullb"""
+
+
+@query("meta_family", _META, "fullb")
+def _(s, d):
+    return wide.Features(World(s, d)).meta()
+
+
+_DIVIDENDS = f"""SELECT {_K}, count(*) FILTER (div > 0) AS div_years_paid_10y, count(*) FILTER (ok) AS div_streak_10y, count(*) FILTER (prev_div > 0 AND div < 0.8::DOUBLE * prev_div) AS div_cuts_10y, count(div) AS div_history_years_10y FROM (
+  SELECT *, bool_and(div > 0 AND off = rn2 - 1) OVER (PARTITION BY {_K} ORDER BY off ROWS UNBOUNDED PRECEDING) AS ok FROM (SELECT *, row_number() OVER (PARTITION BY {_K} ORDER BY off) AS rn2 FROM fulld)) GROUP BY {_K}"""
+
+
+@query("dividend_family", _DIVIDENDS, "fulld")
+def _(s, d):
+    return wide.Features(World(s, d)).dividends()
+
+
+_CLASSES = "SELECT entity, sector, industry, industry AS famaindustry, category AS scalemarketcap, code::BIGINT AS siccode FROM sup"
+
+
+def _wide_sql(edit=lambda x: x) -> str:
+    """All families side by side, each by its own SQL, in the registry's order."""
+    parts = {"f0": ORACLES["meta_family"], **{f"f{i}": ORACLES[f"family_{n}"] for i, n in enumerate(fam.FAMILIES, 1)}, "f6": ORACLES["trend_family"], "f7": ORACLES["dividend_family"], "f8": ORACLES["relvalue_features"], "f9": ORACLES["technical_features_sparse"]}
+    joins = " ".join(f"LEFT JOIN ({edit(x)}) {n} USING (entity, quarter, kind, date)" for n, x in parts.items() if n != "f0")
+    return f"SELECT {_K}, {', '.join(reg.columns(late=False))} FROM ({edit(parts['f0'])}) f0 {joins} LEFT JOIN ({edit(sql(_CLASSES, 'sup'))}) c USING (entity)"
+
+
+def _register_wide() -> None:
+    wide_sql = _wide_sql()
+    query("wide_panel", wide_sql)(lambda s, d: wide.Features(World(s, d)).all())
+    query("panel_ranks", _ranked_sql(reg.rank_specs(), "quarter, kind", f"({wide_sql})"))(lambda s, d: wide.ranks(wide.rounded(wide.Features(World(s, d)).all())))
+    query("panel_sector_ranks", _ranked_sql(reg.sector_specs(), "quarter, kind, sector", f"({wide_sql})"))(lambda s, d: wide.sector_ranks(wide.rounded(wide.Features(World(s, d)).all())))
+    used = {c: reg.rank_specs()[c] for c in ("vol_36m", "mom_12_2", "net_payout_yield", "ebit_to_ev", "roc_greenblatt")}
+    first = _ranked_sql(used, "quarter, kind", f"({wide_sql})")
+    scores = f"SELECT {_K}, round((1 - vol_36m_rank) + mom_12_2_rank + net_payout_yield_rank, 9) AS conservative_score, round(ebit_to_ev_rank + roc_greenblatt_rank, 9) AS magic_formula_score FROM ({first})"
+    both = f"SELECT * FROM ({scores}) x JOIN ({_ranked_sql(dict.fromkeys(['conservative_score', 'magic_formula_score']), 'quarter, kind', f'({scores})')}) y USING (entity, quarter, kind, date)"
+    query("panel_composites", f"SELECT {_K}, {r6('conservative_score', 'magic_formula_score')}, conservative_score_rank, magic_formula_score_rank FROM ({both})")(lambda s, d: wide.composites(wide.ranks(wide.rounded(wide.Features(World(s, d)).all()), list(used))))
+    med = ", ".join(f"CASE WHEN count({c}) >= 5 THEN median({c}) END AS m_{c}" for c in wide.MOHANRAM)
+    beats = " + ".join(f"(w.{c} {'>' if up else '<'} m.m_{c})::INT" for c, up in wide.MOHANRAM.items())
+    query("mohanram_g7", f"SELECT w.entity, w.quarter, w.kind, w.date, ({beats} + (w.cfo_to_assets > w.roa)::INT)::BIGINT AS mohanram_g7 FROM ({wide_sql}) w LEFT JOIN (SELECT quarter, kind, famaindustry, {med} FROM ({wide_sql}) GROUP BY ALL) m ON w.quarter = m.quarter AND w.kind = m.kind AND w.famaindustry = m.famaindustry")(lambda s, d: wide.mohanram(wide.rounded(wide.Features(World(s, d)).all())))
+    ranks = _ranked_sql(reg.rank_specs(), "quarter, kind", f"({wide_sql})")
+    names = [f"{c}_rank" for c in reg.rank_specs()]
+    long = f"(SELECT quarter, kind, unnest([{', '.join(repr(n) for n in names)}]) AS \"column\", unnest([{', '.join(names)}]) AS value FROM ({ranks}))"
+    audit = _AUDIT.replace(_TIES, f"(SELECT * FROM {long} WHERE value IS NOT NULL)")
+    query("panel_rank_audit", audit)(lambda s, d: pn.tie_audit(wide.rounded(wide.ranks(wide.rounded(wide.Features(World(s, d)).all()))), names, "quarter", "kind").drop("at_partition", "at_value"))
+    query("panel_audit_gate", f'SELECT "column", max(max_key_share) AS worst, coalesce(max(max_key_share) > 0.02::DOUBLE, false) AS flagged FROM ({audit}) GROUP BY "column"')(lambda s, d: pn.audit_gate(pn.tie_audit(wide.rounded(wide.ranks(wide.rounded(wide.Features(World(s, d)).all()))), names, "quarter", "kind")))
+
+
+_register_wide()

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from tidemark.sources.binding import FULL_FIELDS
 
-_VALUES = ["revenue", "tangibles", "ncfo", "netinc", "fcf", "equity", "sharesbas", "sharefactor"]
+_VALUES = ["ncfdiv", "revenue", "tangibles", "ncfo", "netinc", "fcf", "equity", "sharesbas", "sharefactor"]
 CTES: dict[str, tuple[list[str], str]] = {
     "fullf": (["fv"], f"SELECT entity, datekey, reportperiod, {', '.join(f'CAST({e} AS DOUBLE) AS {n}' for n, e in FULL_FIELDS.items())} FROM fv"),
     "fullb": (["fullf", "snap"], """
   SELECT s.*, f.* EXCLUDE (entity, rn) FROM snap s ASOF LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, datekey ORDER BY reportperiod DESC) AS rn FROM fullf) WHERE rn = 1) f ON s.entity = f.entity AND s.date > f.datekey"""),
+    "fulld": (["fullf", "fullb"], """
+  SELECT *, CASE WHEN lag(off) OVER w = off + 1 THEN lag(div) OVER w END AS prev_div FROM (
+    SELECT *, row_number() OVER (PARTITION BY entity, quarter, kind, date, off ORDER BY k_date DESC, period DESC) AS rn FROM (
+      SELECT b.entity, b.quarter, b.kind, b.date, f.datekey AS k_date, f.reportperiod AS period, b.reportperiod - f.reportperiod AS gap, round((b.reportperiod - f.reportperiod) / 365.25::DOUBLE)::INT AS off, -f.ncfdiv AS div
+      FROM fullb b JOIN fullf f ON b.entity = f.entity AND f.datekey < b.date AND f.reportperiod <= b.reportperiod) WHERE off < 10 AND abs(gap - off * 365.25::DOUBLE) <= 30)
+  WHERE rn = 1 WINDOW w AS (PARTITION BY entity, quarter, kind, date ORDER BY off DESC)"""),
     "fullh": (["fullf", "fullb"], f"""
   SELECT *, {', '.join(f'CASE WHEN lag(off) OVER w = off + 1 THEN lag({v}) OVER w END AS prev_{v}' for v in ('revenue', 'tangibles', 'ncfo'))} FROM (
     SELECT *, row_number() OVER (PARTITION BY entity, quarter, kind, date, off ORDER BY k_date DESC, period DESC) AS rn FROM (
