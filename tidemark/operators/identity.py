@@ -45,6 +45,17 @@ def active_by_year(df: DataFrame, first: str, last: str, start_year: int, today)
     return rows.withColumn("year", F.explode(F.sequence("__lo", "__to"))).groupBy("year").agg(F.count("*").alias("n_active"), F.count_if(F.col(last).isNotNull()).alias("n_ended"))
 
 
+def unplaceable(df: DataFrame, first: str, last: str) -> DataFrame:
+    """How many entities can't be placed in time: n_rows, n_unplaceable (no first date), n_only_end (but a last one)."""
+    lost = F.col(first).isNull()
+    return df.agg(F.count("*").alias("n_rows"), F.count_if(lost).alias("n_unplaceable"), F.count_if(lost & F.col(last).isNotNull()).alias("n_only_end"))
+
+
+def in_universe(prices: DataFrame, flags: DataFrame, price: str) -> DataFrame:
+    """Prices above 0 (null ones go) of the entities flagged ``in_universe``."""
+    return prices.where(F.col(price) > 0).join(flags.where("in_universe").select("entity"), "entity", "left_semi")
+
+
 def end_reasons(entities: DataFrame, actions: DataFrame, last_prices: DataFrame, grace_days: int = 30) -> DataFrame:
     """entity, last_date, last_close, reason of ended entities; the strongest reason near the end, else 'unknown'."""
     ended = entities.where("delisted").select("entity", "ticker").join(last_prices, "entity")

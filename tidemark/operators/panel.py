@@ -72,23 +72,24 @@ def audit_gate(audit: DataFrame, most: float = 0.02) -> DataFrame:
     return audit.groupBy("column").agg(F.max("max_key_share").alias("worst")).withColumn("flagged", F.coalesce(F.col("worst") > most, F.lit(False)))
 
 
-def uniqueness_weights(windows: DataFrame, by: str, start: str, end: str, key: list[str]) -> DataFrame:
+def uniqueness_weights(windows: DataFrame, by: str | list[str], start: str, end: str, key: list[str]) -> DataFrame:
     """Average of 1 / (windows open on the day) over the days of each window, both ends included.
 
     Boundaries change the count by one; between them it is constant, so the
     integral of 1 / count is a running sum over boundaries and a window's
     weight is a difference of two of its values.
     """
+    by = [by] if isinstance(by, str) else by
     w = windows.where(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) <= F.col(end)))
-    edges = w.select(by, F.explode(F.array(F.struct(F.col(start).alias("d"), F.lit(1).alias("x")), F.struct(F.date_add(end, 1).alias("d"), F.lit(-1).alias("x")))).alias("__edge")).select(by, F.col("__edge.d").alias("__d"), F.col("__edge.x").alias("__x"))
-    step = edges.groupBy(by, "__d").agg(F.sum("__x").alias("__x"))
-    run = Window.partitionBy(by).orderBy("__d")
+    edges = w.select(*by, F.explode(F.array(F.struct(F.col(start).alias("d"), F.lit(1).alias("x")), F.struct(F.date_add(end, 1).alias("d"), F.lit(-1).alias("x")))).alias("__edge")).select(*by, F.col("__edge.d").alias("__d"), F.col("__edge.x").alias("__x"))
+    step = edges.groupBy(*by, "__d").agg(F.sum("__x").alias("__x"))
+    run = Window.partitionBy(*by).orderBy("__d")
     step = step.withColumn("__open", F.sum("__x").over(run.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__len", F.datediff(F.lead("__d").over(run), F.col("__d")))
     piece = F.when(F.col("__open") > 0, F.col("__len") / F.col("__open")).otherwise(0.0)
-    step = step.withColumn("__before", F.coalesce(F.sum(piece).over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))).select(by, "__d", "__before")
-    a = step.select(by, F.col("__d").alias(start), F.col("__before").alias("__a"))
-    b = step.select(by, F.date_sub("__d", 1).alias(end), F.col("__before").alias("__b"))
-    out = w.join(a, [by, start]).join(b, [by, end])
+    step = step.withColumn("__before", F.coalesce(F.sum(piece).over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))).select(*by, "__d", "__before")
+    a = step.select(*by, F.col("__d").alias(start), F.col("__before").alias("__a"))
+    b = step.select(*by, F.date_sub("__d", 1).alias(end), F.col("__before").alias("__b"))
+    out = w.join(a, [*by, start]).join(b, [*by, end])
     days = F.datediff(F.col(end), F.col(start)) + 1
     return windows.select(*key).join(out.select(*key, ((F.col("__b") - F.col("__a")) / days).alias("weight")), key, "left")
 
@@ -129,6 +130,24 @@ def fold_manifest(folds: DataFrame, tags: DataFrame) -> DataFrame:
     return j.select(*folds.columns, *[F.coalesce(f"n_{r}", F.lit(0)).alias(f"n_{r}") for r in ("train", "test", "purged", "embargoed")])
 
 
+def diagnostic_folds(horizons: tuple[int, ...], like: DataFrame, folds: int = 5) -> DataFrame:
+    """Fold rows of the hash schemes, which have no test dates: entity_holdout (fold 0) and random_kfold (0 to folds - 1) for each horizon."""
+    rows = F.array(*[F.struct(F.lit(s).alias("scheme"), F.lit(k).alias("fold"), F.lit(h).alias("h")) for h in horizons for s, n in (("entity_holdout", 1), ("random_kfold", folds)) for k in range(n)])
+    none = F.lit(None).cast("date")
+    return like.sparkSession.range(1).select(F.inline(rows)).select("*", none.alias("test_start"), none.alias("test_end"), F.lit(0).alias("embargo_days"))
+
+
+def write_splits(tags: list[DataFrame], path: str, key: list[str], mode: str = "errorifexists") -> None:
+    """All tags (scheme, fold, h, key..., role) as one table, in folders by scheme and horizon, sorted inside."""
+    cols = ["scheme", "fold", "h", *key, "role"]
+    every = reduce(DataFrame.unionByName, [t.select(*cols) for t in tags])
+    every.repartition("scheme", "h", key[0]).sortWithinPartitions("scheme", "h", "fold", *key).write.mode(mode).partitionBy("scheme", "h").parquet(path)
+
+
+def role_summary(tags: DataFrame) -> DataFrame:
+    return tags.groupBy("scheme", "h", "role").agg(F.count("*").alias("n"), F.count_distinct("fold").alias("n_folds"))
+
+
 def hash_split(obs: DataFrame, cols: list[str], before: Column, buckets: int = 5) -> DataFrame:
     """Bucket 0 of an md5 of ``cols`` is the test, the others train; rows not ``before`` are left out."""
     return obs.where(before).withColumn("role", F.when(md5_bucket(buckets, *[F.col(c) for c in cols]) == 0, "test").otherwise("train"))

