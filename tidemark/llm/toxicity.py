@@ -5,8 +5,15 @@ stem is met whatever its ending.  A first aggregation counts in how many toxic
 and clean sample documents each feature stands; the most telling ones are kept
 (a fixed number).  One weight for each feature is shared by all thresholds of
 the ordered grades; the result is P(grade >= k) for every k and the expected
-grade.  ``labels.toxic`` is 0 or 1; grades of toxic rows for training follow
-from how many telling words the row holds.
+grade.
+
+``labels.toxic`` is 0 or 1, so the grades of toxic rows for training come from
+elsewhere: the sample is cut in two by a hash, the log odds of features are
+counted in each half, and a toxic row's severity is the sum of the other half's
+odds over the telling features it holds, each once.  The thirds of that severity among the
+toxic rows are the grades 1 to 3.  So no row has a part in its own grade, and
+the regression's weights have none at all; but a grade still says how much
+telling language a text has, as no human has graded it.
 """
 
 from __future__ import annotations
@@ -18,13 +25,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.llm.common import bounded_batches, cut
 from tidemark.llm.hashing import BYTE, LOWER, PLACE, SPACE, mix, powers, row_slices, text_bytes
 
 OPENINGS = (4, 5, 6, 7)
 BITS = 44  # of a feature's hash, so that it fits beside a row's number
-GRADES = (1, 3, 6)  # telling words from which a toxic sample row has grade 1, 2, 3
+LEVELS = 3  # grades above 0
 SAMPLE = 2000  # toxic rows that a model is fitted on, at most; clean ones: CLEAN times as many
 CLEAN = 3
 KEPT = 2048  # features kept
@@ -66,14 +74,15 @@ def _row_counts(row: np.ndarray, column: np.ndarray, width: int) -> tuple[np.nda
 
 
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many toxic and clean rows of the batch each feature stands."""
+    """In how many toxic and clean rows of the batch each feature stands, and in how many of the second half."""
     for b in batches:
-        y = b.column(2).to_numpy(zero_copy_only=False)
+        y, half = (b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in (2, 3))
         for i, row, h in word_features(b.column(1)):
             both = np.unique((row.astype(np.uint64) << np.uint64(BITS)) | h)
             f, at = np.unique(both & np.uint64(2**BITS - 1), return_inverse=True)
-            toxic = np.bincount(at, y[i + (both >> np.uint64(BITS)).astype(np.int64)], len(f)).astype(np.int64)
-            yield pa.record_batch([pa.array(f.view(np.int64)), pa.array(toxic), pa.array(np.bincount(at, minlength=len(f)) - toxic)], names=["f", "toxic", "clean"])
+            row = i + (both >> np.uint64(BITS)).astype(np.int64)
+            counts = [np.bincount(at, w[row], len(f)).astype(np.int64) for w in (y, 1 - y, y * half, (1 - y) * half)]
+            yield pa.record_batch([pa.array(f.view(np.int64)), *map(pa.array, counts)], names=["f", "toxic", "clean", "toxic2", "clean2"])
 
 
 def _vectors(kept: np.ndarray):
@@ -87,7 +96,7 @@ def _vectors(kept: np.ndarray):
                 for r, c, n in zip(*(x.tolist() for x in part), strict=True):
                     cols[r].append(c)
                     counts[r].append(n)
-            yield pa.record_batch([b.column(2), pa.array(cols, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], names=["y", "cols", "counts"])
+            yield pa.record_batch([b.column(2), b.column(3), pa.array(cols, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], names=["y", "half", "cols", "counts"])
 
     return run
 
@@ -142,39 +151,59 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     for c in (0, 1):
         one = y.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample if c else CLEAN * sample)
         ids = one if ids is None else ids.union(one)
-    rows = cut(docs.select("doc_id", "text").join(F.broadcast(cut(ids)), "doc_id").select("doc_id", "text", "toxic"))  # (1 + CLEAN) * sample ids at most
-    n = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if len(n) < 2:
+    half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 1
+    rows = cut(docs.select("doc_id", "text").join(F.broadcast(cut(ids)), "doc_id").select("doc_id", "text", "toxic", half.alias("half")))  # (1 + CLEAN) * sample ids at most
+    n = {(int(r.toxic), bool(r.half)): r.n for r in rows.groupBy("toxic", "half").agg(F.count("*").alias("n")).collect()}
+    n_of = lambda c: n.get((c, False), 0) + n.get((c, True), 0)
+    if not n_of(0) or not n_of(1):
         return none
-    seen = rows.mapInArrow(_presence, "f long, toxic long, clean long").groupBy("f").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
-    odds = F.log((F.col("a") + 0.5) / (n[1.0] + 1)) - F.log((F.col("b") + 0.5) / (n[0.0] + 1))
-    best = seen.where(F.col("a") + F.col("b") >= 5).withColumn("odds", odds).where(F.abs("odds") >= ODDS).withColumn("z", F.abs("odds") / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))).orderBy(F.desc("z"), "f").limit(KEPT).select("f", "odds", "a").toPandas()
+    seen = rows.mapInArrow(_presence, "f long, toxic long, clean long, toxic2 long, clean2 long").groupBy("f").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"), F.sum("toxic2").alias("a2"), F.sum("clean2").alias("b2"))
+    odds = F.log((F.col("a") + 0.5) / (n_of(1) + 1)) - F.log((F.col("b") + 0.5) / (n_of(0) + 1))
+    best = seen.where(F.col("a") + F.col("b") >= 5).withColumn("odds", odds).where(F.abs("odds") >= ODDS).withColumn("z", F.abs("odds") / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))).orderBy(F.desc("z"), "f").limit(KEPT).drop("z", "odds").toPandas()
     if best.empty:
         return none
     h = best["f"].to_numpy().astype(np.int64).view(np.uint64)
     o = np.argsort(h)
-    kept, odds_of, often = h[o], best["odds"].to_numpy()[o], best["a"].to_numpy()[o]
-    got = rows.select("doc_id", "text", "toxic").mapInArrow(_vectors(kept), "y double, cols array<int>, counts array<int>").toPandas()
+    kept = h[o]
+    got = rows.select("doc_id", "text", "toxic", "half").mapInArrow(_vectors(kept), "y double, half boolean, cols array<int>, counts array<int>").toPandas()
     x = np.zeros((len(got), len(kept)), dtype=np.float32)
     for r, (c, k) in enumerate(zip(got["cols"], got["counts"], strict=True)):
         x[r, np.asarray(c, int)] = np.log1p(np.asarray(k, float))
-    telling = (odds_of >= 3) & (often >= 5)
-    words = np.array([max([k for c, k in zip(c_, k_, strict=True) if telling[c]], default=0) + sum(telling[c] for c in c_) / (len(OPENINGS) + 1) for c_, k_ in zip(got["cols"], got["counts"], strict=True)])
-    grade = np.where(got["y"].to_numpy() > 0, 1 + (words >= GRADES[1]) + (words >= GRADES[2]), 0).astype(int)
-    w, t = fit_ordinal(x, grade, len(GRADES))
+    count = {c: best[c].to_numpy()[o].astype(float) for c in ("a", "b", "a2", "b2")}
+    severity = _other_half(x > 0, got["half"].to_numpy().astype(bool), count, n)
+    toxic = got["y"].to_numpy() > 0
+    edges = np.quantile(severity[toxic], [k / LEVELS for k in range(1, LEVELS)])
+    grades = np.where(toxic, 1 + (severity[:, None] > edges).sum(1), 0).astype(int)
+    w, t = fit_ordinal(x, grades, LEVELS)
     return {"features": kept.view(np.int64).tolist(), "weights": w.tolist(), "thresholds": t.tolist()}
 
 
-def grade(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _other_half(held: np.ndarray, half: np.ndarray, count: dict[str, np.ndarray], n: dict[tuple[int, bool], int]) -> np.ndarray:
+    """Sum over the features of each row of their positive log odds in the half that the row isn't in."""
+    second = np.log((count["a2"] + 0.5) / (n.get((1, True), 0) + 1)) - np.log((count["b2"] + 0.5) / (n.get((0, True), 0) + 1))
+    first = np.log((count["a"] - count["a2"] + 0.5) / (n.get((1, False), 0) + 1)) - np.log((count["b"] - count["b2"] + 0.5) / (n.get((0, False), 0) + 1))
+    return np.where(half, held @ np.maximum(first, 0), held @ np.maximum(second, 0))
+
+
+RESULTS = {"p_toxic": "double", "severity": "double", "grade": "integer", "toxic": "boolean"}
+
+
+def grade(docs: DataFrame, model: dict, text_col: str = "text", names: dict[str, str] | None = None) -> DataFrame:
     """All columns of ``docs`` and p_toxic (grade 1 or more), severity (expected grade, 0 to 3), grade (most likely), toxic (p_toxic >= TOXIC_AT).
 
-    A null or empty text has no features and so the model's base grade, 0;
-    every row is graded by itself, ties and repeated rows alike; columns of
-    those four names in ``docs`` are replaced; an empty table gives no rows.
+    A null or empty text has no features and so the model's base grade, 0; a
+    very long text is read whole, in one task; every row is graded by itself,
+    ties and repeated rows alike; a column of ``docs`` keeps its values, and a
+    result of the same name gets ``_`` before it (or what ``names`` says); an
+    empty table gives no rows.
     """
     spec = json.dumps(model)
-    ours = ["p_toxic", "severity", "grade", "toxic"]
-    kept_cols = [c for c in docs.columns if c not in ours]
+    ours = []
+    for name in RESULTS:
+        name = (names or {}).get(name, name)
+        while name in docs.columns:
+            name = f"_{name}"
+        ours.append(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = json.loads(spec)
@@ -186,14 +215,17 @@ def grade(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                     np.add.at(s, r, w[c] * np.log1p(n))
             above = 1 / (1 + np.exp(-np.clip(s[:, None] - t, -30, 30)))
             full = np.concatenate([np.ones((len(s), 1)), above, np.zeros((len(s), 1))], 1)
-            yield pa.record_batch([*b.columns, pa.array(above[:, 0]), pa.array(above.sum(1)), pa.array(np.argmax(full[:, :-1] - full[:, 1:], 1).astype(np.int32)), pa.array(above[:, 0] >= TOXIC_AT)], names=[*kept_cols, *ours])
+            results = [pa.array(above[:, 0]), pa.array(above.sum(1)), pa.array(np.argmax(full[:, :-1] - full[:, 1:], 1).astype(np.int32)), pa.array(above[:, 0] >= TOXIC_AT)]
+            yield pa.record_batch([*b.columns, *results], names=[*b.schema.names, *ours])
 
-    schema = bounded_batches(docs).select(*kept_cols).schema
-    for name, kind in (("p_toxic", "double"), ("severity", "double"), ("grade", "integer"), ("toxic", "boolean")):
+    schema = StructType(list(bounded_batches(docs).schema.fields))
+    for name, kind in zip(ours, RESULTS.values(), strict=True):
         schema = schema.add(name, kind)
-    return docs.select(*[F.col(f"`{c}`") for c in kept_cols]).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def drop_toxic(docs: DataFrame, model: dict) -> DataFrame:
-    """The rows of ``docs`` that aren't toxic, with its columns."""
-    return grade(docs.withColumnRenamed("toxic", "__toxic") if "toxic" in docs.columns else docs, model).where("not toxic").select(*docs.columns)
+    """The rows of ``docs`` that aren't toxic, with its columns as they are."""
+    names = {n: f"__{n}" for n in RESULTS}
+    out = grade(docs, model, names=names)
+    return out.where(~F.col(out.columns[-1])).select(*[F.col(f"`{c}`") for c in docs.columns])
