@@ -31,3 +31,35 @@ def test_alignment(spark):
     check_aligned(a, a)
     with pytest.raises(ValueError):
         check_aligned(a, a.limit(2))
+
+
+def test_forced_version_replaces_the_old_one(spark, tmp_path):
+    df = spark.range(10).selectExpr("id as entity", "0.5D as weight")
+    path = io.write_version(df, str(tmp_path), "1.0", ["entity"], "entity", ["weight"])
+    io.write_version(df.limit(4), str(tmp_path), "1.0", ["entity"], "entity", ["weight"], force=True)
+    assert spark.read.parquet(f"{path}/dataset").count() == 4 and not (tmp_path / ".replaced_v1.0").exists()
+
+
+def test_relation_and_inference_writers(spark, tmp_path):
+    df = spark.range(5).selectExpr("id as entity", "cast(id % 2 as int) as age")
+    assert io.write_relation(df, "t", str(tmp_path), ["entity"], str(tmp_path / "csv")) == 5
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv" / "t")).count() == 5
+    path = io.write_inference(df, str(tmp_path), "2000-06-30", ["entity", "age"], ["entity"], "age")
+    m = spark.read.json(f"{path}/manifest").first()
+    assert (m.as_of, m.n_rows, m.n_stale, m.columns) == ("2000-06-30", 5, 2, ["entity", "age"])
+    with pytest.raises(FileExistsError):
+        io.write_inference(df, str(tmp_path), "2000-06-30", ["entity", "age"], ["entity"], "age")
+    with pytest.raises(ValueError):
+        io.write_inference(df, str(tmp_path), "2000-07-01", ["age", "entity"], ["entity"], "age")
+
+
+def test_splits_table(spark, tmp_path):
+    from tidemark.operators import panel as pn
+
+    tags = spark.createDataFrame([("holdout", 1999, 1, 5, "train"), ("holdout", 1999, 1, 6, "test")], "scheme string, fold int, h int, entity int, role string")
+    more = spark.createDataFrame([("random_kfold", 0, 2, 5, "test")], "scheme string, fold int, h int, entity int, role string")
+    pn.write_splits([tags, more], str(tmp_path / "splits"), ["entity"])
+    back = spark.read.parquet(str(tmp_path / "splits"))
+    assert back.count() == 3 and {(r.scheme, r.h, r.role, r.n) for r in pn.role_summary(back).collect()} == {("holdout", 1, "train", 1), ("holdout", 1, "test", 1), ("random_kfold", 2, "test", 1)}
+    folds = pn.diagnostic_folds((1, 5), tags)
+    assert folds.count() == 12 and folds.where("test_start is not null").count() == 0

@@ -30,6 +30,22 @@ def _known(base: DataFrame, filings: DataFrame, key: list[str], values: list[str
     return b.join(f, "entity").where(known & (F.col("period") <= F.col("t0"))).withColumn("gap", F.datediff("t0", "period"))
 
 
+def levels_with_flows(filings: DataFrame, level_dim: str, flow_dim: str, levels: list[str], flows: list[str]) -> DataFrame:
+    """Filings of ``level_dim`` with the flows of the row of ``flow_dim`` that has the same key; without one the flows are null."""
+    key = ["entity", "datekey", "reportperiod"]
+    of = lambda dim, c: F.max(F.when(F.col("dimension") == dim, F.col(c))).alias(c)
+    rows = filings.where(F.col("dimension").isin(level_dim, flow_dim)).groupBy(*key).agg(F.count_if(F.col("dimension") == level_dim).alias("__n"), *[of(level_dim, c) for c in levels], *[of(flow_dim, c) for c in flows])
+    return rows.where("__n > 0").drop("__n")
+
+
+def lag_presence(base: DataFrame, filings: DataFrame, key: list[str], lags: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+    """``key``, has_t0 and has_t{k}: whether a filing of k years before the base period was known."""
+    k = _known(base, filings, key, [])
+    near = k.groupBy(*key).agg(*[F.bool_or(F.abs(F.col("gap") - n * 365) <= SLACK).alias(f"has_t{n}") for n in lags])
+    out = base.select(*key, F.col("datekey").isNotNull().alias("has_t0")).join(near, key, "left")
+    return out.select(*key, "has_t0", *[F.coalesce(f"has_t{n}", F.lit(False)).alias(f"has_t{n}") for n in lags])
+
+
 def lag_match(base: DataFrame, filings: DataFrame, key: list[str], value: str | list[str], lags: tuple[int, ...] = (1, 2, 3), allow_exact: bool = False) -> DataFrame:
     """Values k years before the base period, within 30 days, newest version known; columns value_t1, ..."""
     values = [value] if isinstance(value, str) else value

@@ -140,3 +140,48 @@ def purge_cost(snaps: DataFrame, boundaries: DataFrame, horizons: tuple[int, ...
     kept = before & (end < F.col("boundary"))
     n = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
     return j.groupBy("boundary", "h").agg(n(before).alias("n_before"), n(kept).alias("n_train"), n(before & ~kept).alias("n_purged"), n(~before).alias("n_after"))
+
+
+def tier_flags(df: DataFrame, least_12m: int = 200, least_36m: int = 600) -> DataFrame:
+    """t0 to t3 (a filing, and all lags up to k), p12 and p36 (enough prints) from has_t0..3, n_12m, n_36m."""
+    t = F.col("has_t0")
+    flags = {"t0": t}
+    for k in (1, 2, 3):
+        t = t & F.col(f"has_t{k}")
+        flags[f"t{k}"] = t
+    return df.withColumns(flags | {"p12": F.coalesce(F.col("n_12m") >= least_12m, F.lit(False)), "p36": F.coalesce(F.col("n_36m") >= least_36m, F.lit(False))})
+
+
+def newest_by_dimension(filings: DataFrame, dimensions: tuple[str, ...], entity: str = "entity") -> DataFrame:
+    """One filing per (dimension, entity, datekey): the newest period."""
+    w = Window.partitionBy("dimension", entity, "datekey").orderBy(F.col("reportperiod").desc())
+    return filings.where(F.col("dimension").isin(*dimensions)).withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+
+
+def two_sided(daily: DataFrame, filings: DataFrame, first: str, latest: str, value: str) -> DataFrame:
+    """Daily rows with ``value`` as first reported (rows without one go) and as restated later, each as known the day before."""
+    from tidemark.operators.asof import asof_join
+
+    side = lambda dim: filings.where(F.col("dimension") == dim).select("entity", F.col("datekey").alias(f"datekey_{dim.lower()}"), F.col(value).alias(f"{value}_{dim.lower()}"))
+    out = asof_join(daily, side(first), ["entity"], "date", f"datekey_{first.lower()}", [f"{value}_{first.lower()}"], how="inner", allow_exact=False)
+    return asof_join(out, side(latest), ["entity"], "date", f"datekey_{latest.lower()}", [f"{value}_{latest.lower()}"], allow_exact=False)
+
+
+def weighted_share(df: DataFrame, share: str, weight: str) -> DataFrame:
+    """One row: n and the average of ``share`` by ``weight``."""
+    return df.agg(F.sum(weight).alias("n"), F.try_divide(F.sum(F.col(share) * F.col(weight)), F.sum(weight)).alias(share))
+
+
+def twin_report(nearest: DataFrame, random: DataFrame, labels: DataFrame, value: str) -> DataFrame:
+    """relation, n, share, n_labelled, corr, mean_abs_diff of a label between sample rows and their partners.
+
+    ``nearest`` has s_e, s_q, t_e, t_q, relation; ``random`` s_e, s_q, t_e, t_q;
+    ``labels`` entity, quarter and ``value``.  Shares are among all nearest, or all random, partners.
+    """
+    cols = ["s_e", "s_q", "t_e", "t_q"]
+    pairs = nearest.select(*cols, "relation").unionByName(random.select(*cols).withColumn("relation", F.lit("random")))
+    a = labels.select(F.col("entity").alias("s_e"), F.col("quarter").alias("s_q"), F.col(value).alias("x"))
+    b = labels.select(F.col("entity").alias("t_e"), F.col("quarter").alias("t_q"), F.col(value).alias("y"))
+    j = pairs.join(a, ["s_e", "s_q"], "left").join(b, ["t_e", "t_q"], "left")
+    g = j.groupBy("relation").agg(F.count("*").alias("n"), F.count_if(F.col("x").isNotNull() & F.col("y").isNotNull()).alias("n_labelled"), safe_corr(F.col("x"), F.col("y")).alias("corr"), F.avg(F.abs(F.col("x") - F.col("y"))).alias("mean_abs_diff"))
+    return g.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.col("relation") == "random")))

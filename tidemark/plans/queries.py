@@ -638,9 +638,13 @@ def _(s, d):
 
 @query("history_presence", "SELECT b.entity, b.quarter, count(*) FILTER (p.date > b.date - 372) AS n_12m, count(*) AS n_36m FROM snap b JOIN px p ON p.entity = b.entity AND p.date > b.date - 1116 AND p.date <= b.date WHERE b.kind = 'median' GROUP BY b.entity, b.quarter", "snap", "px")
 def _(s, d):
+    return _print_counts(World(s, d))
+
+
+def _print_counts(w) -> DataFrame:
+    """Prints of the 12 and 36 months up to each median snapshot."""
     from tidemark.operators.asof import band_join
 
-    w = World(s, d)
     day = lambda c: F.datediff(c, F.lit("1990-01-01").cast("date"))
     a = w.snaps.where("kind = 'median'").select("entity", "quarter", day(F.col("date")).alias("s_day"))
     j = band_join(a, w.prices.withColumn("day", day(F.col("date"))), ["entity"], "s_day", "day", 1115, [])
@@ -796,6 +800,60 @@ for _name in fam.FAMILIES:
     query(f"family_{_name}", _full_sql(_name), "full_x")(_full_family(_name))
 
 
+# -- more reports -------------------------------------------------------------------------------------------
+
+_LAG_FLAGS = f"SELECT b.entity, b.quarter, b.kind, b.date, b.datekey IS NOT NULL AS has_t0, {', '.join(f'coalesce(p.has_t{k}, false) AS has_t{k}' for k in (1, 2, 3))} FROM base b LEFT JOIN (SELECT {_K}, {', '.join(f'bool_or(abs(gap - {k} * 365) <= 30) AS has_t{k}' for k in (1, 2, 3))} FROM known GROUP BY {_K}) p USING (entity, quarter, kind, date)"
+_PRINTS = "SELECT b.entity, b.quarter, count(*) FILTER (p.date > b.date - 372) AS n_12m, count(*) AS n_36m FROM snap b JOIN px p ON p.entity = b.entity AND p.date > b.date - 1116 AND p.date <= b.date WHERE b.kind = 'median' GROUP BY b.entity, b.quarter"
+
+
+@query("lag_presence", _LAG_FLAGS, "base", "known")
+def _(s, d):
+    w = World(s, d)
+    return fu.lag_presence(w.known, w.filings, KEY)
+
+
+@query("tier_coverage", f"SELECT l.entity, l.quarter, has_t0 AS t0, has_t0 AND has_t1 AS t1, has_t0 AND has_t1 AND has_t2 AS t2, has_t0 AND has_t1 AND has_t2 AND has_t3 AS t3, coalesce(n_12m >= 40, false) AS p12, coalesce(n_36m >= 120, false) AS p36 FROM ({_LAG_FLAGS}) l LEFT JOIN ({_PRINTS}) p USING (entity, quarter) WHERE kind = 'median'", "base", "known", "snap", "px")
+def _(s, d):
+    w = World(s, d)
+    flags = fu.lag_presence(w.known.where("kind = 'median'"), w.filings, KEY).join(_print_counts(w), ["entity", "quarter"], "left")
+    return qr.tier_flags(flags, 40, 120).select("entity", "quarter", "t0", "t1", "t2", "t3", "p12", "p36")
+
+
+_DIMENSIONS = "(SELECT entity, datekey, reportperiod, CASE WHEN f = 1 THEN 'ARQ' ELSE 'MRQ' END AS dimension, rev * f AS revenue FROM fv)"
+_NEWEST = f"(SELECT entity, datekey, reportperiod, dimension, revenue FROM (SELECT *, row_number() OVER (PARTITION BY dimension, entity, datekey ORDER BY reportperiod DESC) AS rn FROM {_DIMENSIONS}) WHERE rn = 1)"
+
+
+def _dimensions(w) -> DataFrame:
+    f = bind.full_filings(w.spark, w.dir, keep=["f"])
+    return f.select("entity", "datekey", "reportperiod", F.when(F.col("f") == 1, "ARQ").otherwise("MRQ").alias("dimension"), "revenue")
+
+
+@query("newest_by_dimension", f"SELECT entity, datekey, reportperiod, dimension, round(revenue, 6) + 0.0::DOUBLE AS revenue FROM {_NEWEST}", "fv")
+def _(s, d):
+    return qr.newest_by_dimension(_dimensions(World(s, d)), ("ARQ", "MRQ"))
+
+
+@query("two_sided_base", f"SELECT p.entity, p.date, a.datekey AS datekey_arq, round(a.revenue, 6) + 0.0::DOUBLE AS revenue_arq, m.datekey AS datekey_mrq, round(m.revenue, 6) + 0.0::DOUBLE AS revenue_mrq FROM px p ASOF JOIN (SELECT * FROM {_NEWEST} WHERE dimension = 'ARQ') a ON p.entity = a.entity AND p.date > a.datekey ASOF LEFT JOIN (SELECT * FROM {_NEWEST} WHERE dimension = 'MRQ') m ON p.entity = m.entity AND p.date > m.datekey", "px", "fv")
+def _(s, d):
+    w = World(s, d)
+    f = materialized(qr.newest_by_dimension(_dimensions(w), ("ARQ", "MRQ")))
+    return qr.two_sided(w.prices.select("entity", "date"), f, "ARQ", "MRQ", "revenue")
+
+
+@query("levels_with_flows", "SELECT entity, datekey, reportperiod, round(assets, 6) + 0.0::DOUBLE AS assets, round(debt, 6) + 0.0::DOUBLE AS debt, round(CASE WHEN lines > 3 THEN revenue END, 6) + 0.0::DOUBLE AS revenue, round(CASE WHEN lines > 3 THEN ncfo END, 6) + 0.0::DOUBLE AS ncfo FROM (SELECT f.*, v.lines FROM fullf f JOIN fv v USING (entity, datekey, reportperiod))", "fullf", "fv")
+def _(s, d):
+    """Quarter rows (ARQ) hold levels, rows of the same key (ART) flows; the latter are missing where a quarter has few lines."""
+    f = bind.full_filings(s, d, keep=["lines"]).select("entity", "datekey", "reportperiod", "assets", "debt", "revenue", "ncfo", "lines")
+    rows = f.withColumn("dimension", F.explode(F.when(F.col("lines") > 3, F.array(F.lit("ARQ"), F.lit("ART"))).otherwise(F.array(F.lit("ARQ")))))
+    return fu.levels_with_flows(rows, "ARQ", "ART", ["assets", "debt"], ["revenue", "ncfo"])
+
+
+@query("lag_verdict", "SELECT sum(n)::BIGINT AS n, round(sum(share_late * n) / sum(n), 6) + 0.0::DOUBLE AS share_late FROM (SELECT count(lag) AS n, avg((lag > 35)::INT) AS share_late FROM (SELECT o.o_orderdate, l.l_shipdate::DATE - o.o_orderdate::DATE AS lag FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey) GROUP BY year(o_orderdate))")
+def _(s, d):
+    j = bind.table(s, d, "orders").join(bind.table(s, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return qr.weighted_share(qr.update_lag(j, F.datediff("l_shipdate", "o_orderdate"), F.year("o_orderdate")), "share_late", "n")
+
+
 # -- the wide panel -----------------------------------------------------------------------------------------
 
 _META = f"""SELECT {_K}, datekey AS fund_datekey, reportperiod AS fund_reportperiod, (date - datekey)::BIGINT AS fundamentals_age_days, coalesce(date - datekey <= 183, false) AS has_filing_183d, coalesce(date - datekey <= 365, false) AS has_filing_365d,
@@ -827,6 +885,15 @@ def _wide_sql(instead=None) -> str:
     return f"SELECT {_K}, {', '.join(reg.columns(late=False))} FROM ({of(names[0])}) f0 {joins} LEFT JOIN ({sql(_CLASSES, 'sup')}) c USING (entity)"
 
 
+def _twin_report(s, d):
+    w = World(s, d)
+    sp = materialized(wide.rank_space(wide.rounded(wide.Features(w).all())))
+    sample = materialized(qr.md5_sample(sp, 200, "entity", "quarter"))
+    near = qr.nearest_neighbours(sp, sample, wide.AXES, "entity", "quarter")
+    other = qr.random_partners(sample.select("entity", "quarter"), ["entity", "quarter"]).select(F.col("entity").alias("s_e"), F.col("quarter").alias("s_q"), F.col("p_entity").alias("t_e"), F.col("p_quarter").alias("t_q"))
+    return qr.twin_report(near, other, materialized(w.labels().where("h = 1 and kind = 'median'").select("entity", "quarter", "cagr")), "cagr")
+
+
 def _register_wide() -> None:
     wide_sql = _wide_sql()
     query("wide_panel", wide_sql)(lambda s, d: wide.Features(World(s, d)).all())
@@ -847,6 +914,20 @@ def _register_wide() -> None:
     query("panel_rank_audit", audit)(lambda s, d: pn.tie_audit(wide.rounded(wide.ranks(wide.rounded(wide.Features(World(s, d)).all()))), names, "quarter", "kind").drop("at_partition", "at_value"))
     query("panel_audit_gate", f'SELECT "column", max(max_key_share) AS worst, coalesce(max(max_key_share) > 0.02::DOUBLE, false) AS flagged FROM ({audit}) GROUP BY "column"')(lambda s, d: pn.audit_gate(pn.tie_audit(wide.rounded(wide.ranks(wide.rounded(wide.Features(World(s, d)).all()))), names, "quarter", "kind")))
 
+    axes = wide.AXES
+    rank = ", ".join(f"round(percent_rank() OVER (PARTITION BY quarter ORDER BY {c}), 9) AS {c}" for c in axes)
+    space = f"SELECT entity, quarter, {rank} FROM ({wide_sql}) WHERE kind = 'median' AND {' AND '.join(f'{c} IS NOT NULL' for c in axes)}"
+    query("rank_space", space)(lambda s, d: wide.rank_space(wide.rounded(wide.Features(World(s, d)).all())))
+    away = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in axes)
+    gap = "abs(12 * (year(s_q) - year(t_q)) + month(s_q) - month(t_q))"
+    lab = sql("SELECT entity, quarter, cagr FROM lab WHERE h = 1 AND kind = 'median'", "lab")
+    query("twin_report", f"""WITH space AS MATERIALIZED ({space}), picked AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY md5(entity::VARCHAR || '|' || quarter::VARCHAR), entity, quarter) AS rn, count(*) OVER () AS n FROM (SELECT * FROM space ORDER BY md5(entity::VARCHAR || '|' || quarter::VARCHAR), entity, quarter LIMIT 200)),
+near AS (SELECT s_e, s_q, t_e, t_q, CASE WHEN t_e = s_e AND {gap} <= 12 THEN 'same entity, near' WHEN t_e = s_e THEN 'same entity, far' WHEN t_q = s_q THEN 'same quarter' ELSE 'other' END AS relation FROM (
+  SELECT *, row_number() OVER (PARTITION BY s_e, s_q ORDER BY d2, t_e, t_q) AS k FROM (SELECT a.entity AS s_e, a.quarter AS s_q, b.entity AS t_e, b.quarter AS t_q, round({away}, 9) AS d2 FROM picked a JOIN space b ON a.entity <> b.entity OR a.quarter <> b.quarter)) WHERE k = 1),
+pairs AS (SELECT * FROM near UNION ALL SELECT a.entity, a.quarter, b.entity, b.quarter, 'random' FROM picked a JOIN picked b ON b.rn = 1 + ('0x' || substr(md5('p|' || a.entity::VARCHAR || '|' || a.quarter::VARCHAR), 1, 8))::BIGINT % a.n),
+lab1 AS MATERIALIZED ({lab}), met AS (SELECT p.relation, a.cagr AS x, b.cagr AS y FROM pairs p LEFT JOIN lab1 a ON a.entity = s_e AND a.quarter = s_q LEFT JOIN lab1 b ON b.entity = t_e AND b.quarter = t_q)
+SELECT relation, n, n_labelled, round(c, 6) + 0.0::DOUBLE AS corr, round(m, 6) + 0.0::DOUBLE AS mean_abs_diff, round(n::DOUBLE / sum(n) OVER (PARTITION BY relation = 'random'), 6) + 0.0::DOUBLE AS share FROM (
+  SELECT relation, count(*) AS n, count(*) FILTER (x IS NOT NULL AND y IS NOT NULL) AS n_labelled, covar_pop(x, y) / nullif(stddev_pop(x) FILTER (y IS NOT NULL) * stddev_pop(y) FILTER (x IS NOT NULL), 0) AS c, avg(abs(x - y)) AS m FROM met GROUP BY relation)""")(_twin_report)
     now = _wide_sql(filed_on_the_day((["px", "cal"], f"SELECT entity, quarter, 1::BIGINT AS n_days, kind, entry, date FROM {_latest_sql(60, _AS_OF)}")))
     query("inference_features", now)(lambda s, d: wide.Features(AsOf(s, d, _AS_OF, 60)).all())
     query("inference_ranks", _ranked_sql(reg.rank_specs(), "quarter, kind", f"({now})"))(lambda s, d: wide.ranks(wide.rounded(wide.Features(AsOf(s, d, _AS_OF, 60)).all())))

@@ -24,6 +24,9 @@ SPARSE = {"year": 15, "three": 45, "five": 75, "month": 2}  # least observations
 MOHANRAM = {"roa": True, "cfo_to_assets": True, "roa_variability_3y": False, "revenue_growth_variability_3y": False, "rnd_to_assets": True, "capex_to_assets": True}  # above (or below) the group's median
 
 
+AXES = ["earnings_yield", "sales_yield", "book_to_market", "ebit_to_ev", "gp_to_assets", "roa", "gross_margin", "net_margin", "asset_turnover", "current_ratio", "debt_to_equity", "log_assets"]  # of the rank space
+
+
 def _cap(price: str):
     c = F.col(price) * F.col("sharesbas") * F.col("sharefactor")
     return F.when(c > 0, c)
@@ -127,3 +130,10 @@ def mohanram(panel: DataFrame) -> DataFrame:
     for c, above in MOHANRAM.items():
         total = total + (F.col(c) > F.col(f"med_{c}") if above else F.col(c) < F.col(f"med_{c}")).cast("int")
     return j.select(*KEY, total.alias("mohanram_g7"))
+
+
+def rank_space(panel: DataFrame) -> DataFrame:
+    """Median snapshots that have all of ``AXES``, each feature as its rank in the quarter."""
+    full = panel.where("kind = 'median'").dropna(subset=AXES).select(*KEY, *AXES)
+    r = pn.cross_rank(full, KEY, dict.fromkeys(AXES), ["quarter"], guard=1)
+    return r.select("entity", "quarter", *[F.round(f"{c}_rank", 9).alias(c) for c in AXES])

@@ -92,10 +92,10 @@ FULL_FIELDS: dict[str, str] = {
 }
 
 
-def full_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """entity, datekey, reportperiod and all fields of ``functions.families``."""
+def full_filings(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
+    """entity, datekey, reportperiod and all fields of ``functions.families``; ``keep`` names inputs to keep, too."""
     q = _lines(spark, sf_dir).groupBy("entity", F.trunc("date", "quarter").alias("q")).agg((F.sum("cents") / F.lit(100.0)).alias("rev"), F.sum("qty").cast("double").alias("qty"), F.sum("back").cast("double").alias("back"), F.count("*").cast("double").alias("lines"))
     q = q.withColumn("reportperiod", F.date_sub(F.add_months("q", 3), 1))
     first = q.withColumn("datekey", F.date_add("reportperiod", 45)).withColumn("f", F.lit(1.0))
     again = q.where("(year(q) * 4 + quarter(q)) % 7 = 0").withColumn("datekey", F.date_add("reportperiod", 115)).withColumn("f", F.lit(1.25))
-    return first.unionByName(again).selectExpr("entity", "datekey", "reportperiod", *[f"CAST({e} AS DOUBLE) AS {n}" for n, e in FULL_FIELDS.items()])
+    return first.unionByName(again).selectExpr("entity", "datekey", "reportperiod", *[f"CAST({e} AS DOUBLE) AS {n}" for n, e in FULL_FIELDS.items()], *(keep or []))

@@ -68,6 +68,26 @@ def csv_report(df: DataFrame, path: str, order: list[str]) -> None:
     df.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_relation(df: DataFrame, name: str, parquet_dir: str, sort_by: list[str], csv_dir: str | None = None) -> int:
+    """A named relation as sorted Parquet and, if asked for, as one CSV file; the number of rows."""
+    n = sorted_parquet(df, f"{parquet_dir}/{name}", sort_by, "overwrite")
+    if csv_dir:
+        csv_report(df.sparkSession.read.parquet(f"{parquet_dir}/{name}"), f"{csv_dir}/{name}", sort_by)
+    return n
+
+
+def write_inference(df: DataFrame, root: str, as_of: str, columns: list[str], sort_by: list[str], stale: str) -> str:
+    """``root/inference_{as_of}`` with the panel, whose columns must be ``columns``, and a manifest: rows, rows whose flag or age ``stale`` is above 0."""
+    path = f"{root}/inference_{as_of}"
+    fs, p = _paths(df.sparkSession, path)
+    if fs.exists(p):
+        raise FileExistsError(path)
+    sorted_parquet(exact_columns(df, columns, "the panel"), f"{path}/panel", sort_by)
+    seen = df.sparkSession.read.parquet(f"{path}/panel").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(stale).cast("int") > 0).alias("n_stale"))
+    seen.select(F.lit(as_of).alias("as_of"), "*", F.array(*map(F.lit, columns)).alias("columns")).coalesce(1).write.json(f"{path}/manifest")
+    return path
+
+
 def require_columns(df: DataFrame, names: list[str], what: str = "table") -> DataFrame:
     missing = [n for n in names if n not in df.columns]
     if missing:
