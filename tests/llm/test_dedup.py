@@ -130,7 +130,7 @@ def test_blocks_of_a_large_group(spark, monkeypatch):
     assert got == brute_classes(rows, 4, 80)
 
 
-def test_weakly_alike_documents_are_no_candidates(spark):
+def test_weakly_alike_documents(spark):
     # many documents of similarity 0.2 to 0.5 with one another, and some true pairs among them
     rng = random.Random(6)
     fresh = lambda n: [f"x{rng.randrange(10**9)}" for _ in range(n)]
@@ -148,7 +148,6 @@ def test_weakly_alike_documents_are_no_candidates(spark):
 
 def test_a_group_in_which_not_all_link_with_the_smallest(spark, monkeypatch):
     monkeypatch.setattr(minhash_dedup, "BLOCK", 6)
-    monkeypatch.setattr(minhash_dedup, "STARS", 1)
     rng = random.Random(2)
     fresh = lambda n: [f"y{rng.randrange(10**9)}" for _ in range(n)]
     words, rows = fresh(300), []
@@ -171,6 +170,7 @@ def test_components_of_a_long_chain(spark):
 
 def test_join_of_frequent_keys(spark, monkeypatch):
     monkeypatch.setattr(common, "HOT", 4)
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
     left = spark.createDataFrame([(1, i) for i in range(60)] + [(k, k) for k in range(2, 40)], "k int, x int")
     right = left.groupBy("k").agg(F.count("*").alias("n")).where("k <> 7")
     assert sorted(map(tuple, common.join_counted(left, right, ["k"], "n").select("k", "x", "n").collect())) == sorted(map(tuple, left.join(right, "k").select("k", "x", "n").collect()))

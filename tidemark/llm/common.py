@@ -131,6 +131,7 @@ def stream_by(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Record
 
 
 HOT = 1_000  # a key with more than a HOT-th of all rows is joined by broadcast; there are fewer than HOT such keys
+HOT_ROWS = 1_000  # but none with fewer rows than these
 
 
 def join_counted(left: DataFrame, right: DataFrame, keys: list[str], count: str) -> DataFrame:
@@ -138,14 +139,16 @@ def join_counted(left: DataFrame, right: DataFrame, keys: list[str], count: str)
 
     Keys with more than a ``HOT``-th of all rows are joined where their left
     rows are, by a broadcast of fewer than ``HOT`` rows; the others are
-    shuffled.  So no task gets all rows of a frequent key.  Both sides are read
-    twice and should be written or cheap.
+    shuffled.  So no task gets all rows of a frequent key.  Both sides may be
+    read twice and should be written or cheap.
     """
-    total = right.agg(F.sum(count).alias("__total"))
-    marked = right.crossJoin(F.broadcast(total)).withColumn("__hot", F.col(count) * HOT > F.col("__total")).drop("__total")
-    hot = marked.where("__hot").drop("__hot")
+    top = right.agg(F.sum(count).alias("all"), F.max(count).alias("most")).first()
+    bound = max(HOT_ROWS, (top["all"] or 0) / HOT)
+    if (top["most"] or 0) <= bound:
+        return left.join(right, keys)
+    hot = right.where(F.col(count) > bound)
     often = left.join(F.broadcast(hot), keys)
-    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(marked.where("not __hot").drop("__hot"), keys)
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right.where(F.col(count) <= bound), keys)
     return often.unionByName(rest)
 
 
@@ -167,41 +170,46 @@ def spanning_edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return ids[node], ids[label[node]]
 
 
+BY_ID = 2  # rounds of components
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of undirected ``edges`` as (node, component).
 
     ``component`` is the smallest node reachable.  In every round each node
-    points to the first of itself and its neighbours in an order by hash, a new
-    one for each round; pointers are followed once more, and the graph is
-    contracted along them: edges get the pointed-to ends, and those within one
-    node go.  Whatever ids a long chain has, a round leaves a fraction of it.
+    points to the first of itself and its neighbours; pointers are followed
+    once more, and the graph is contracted along them: edges get the pointed-to
+    ends, and those within one node go.  The first ``BY_ID`` rounds go by id,
+    which settles stars around small ids, the others by hash, a new one for
+    each round: whatever ids a long chain has, such a round leaves a fraction.
     Every round takes at least the neighbours of the first node away, so the
     rounds end.  Self-loops and null ends are ignored.  An empty input gives no
     rows.
     """
     e = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
     e = written(e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    labels = None
-    turn = 0
-    while True:
-        order = lambda c, t=turn: F.struct(F.xxhash64(c, F.lit(t)).alias("o"), F.col(c).alias("x"))
+    rounds: list[DataFrame] = []
+    while not rounds or not e.isEmpty():
+        turn = F.lit(len(rounds))
+        order = lambda c, t=turn, h=len(rounds) >= BY_ID: F.struct((F.xxhash64(c, t) if h else F.lit(0)).alias("o"), F.col(c).alias("x"))
         both = e.union(e.select("v", "u"))
         near = both.groupBy("u").agg(F.min(order("v")).alias("m"), F.count("*").alias("n"))
         near = written(near.select(F.col("u").alias("node"), F.least(F.col("m"), order("u"))["x"].alias("p"), "n"))
         # at most the neighbours of a node and itself point to it
-        far = near.select(F.col("node").alias("p"), F.col("p").alias("to"), (F.col("n") + 1).alias("n"))
-        point = written(join_counted(near.select("node", "p"), far, ["p"], "n").select("node", "to").join(near.select("node", "n"), "node"))
-        if labels is None:
-            labels = point.select("node", F.col("to").alias("component"))
-        else:
-            sizes = labels.groupBy("component").agg(F.count("*").alias("n"))
-            step = sizes.join(point.select(F.col("node").alias("component"), "to"), "component", "left")
-            labels = written(join_counted(labels, written(step), ["component"], "n").select("node", F.coalesce("to", "component").alias("component")))
+        far = near.select(F.col("node").alias("p"), F.col("p").alias("to"), (F.col("n") + 1).alias("m"))
+        point = written(join_counted(near, far, ["p"], "m").select("node", "to", "n"))
+        rounds.append(point)
         ends = [point.select(F.col("node").alias(x), F.col("to").alias(f"to_{x}"), "n") for x in ("u", "v")]
         moved = join_counted(join_counted(e, ends[0], ["u"], "n").drop("n"), ends[1], ["v"], "n").where("to_u <> to_v")
         e = written(moved.select(F.least("to_u", "to_v").alias("u"), F.greatest("to_u", "to_v").alias("v")).distinct())
-        if e.limit(1).count() == 0:
-            break
-        turn += 1
+    # from the last round back: where a node of each round ends
+    n_rounds = len(rounds)
+    labels = rounds.pop().select("node", F.col("to").alias("component"))
+    for point in reversed(rounds):
+        sizes = point.groupBy("to").agg(F.count("*").alias("n"))
+        ends_at = sizes.join(labels.select(F.col("node").alias("to"), "component"), "to", "left").select("to", "n", F.coalesce("component", "to").alias("component"))
+        labels = written(join_counted(point.select("node", "to"), ends_at, ["to"], "n").select("node", "component"))
+    if n_rounds <= BY_ID:
+        return labels  # the smallest node never pointed elsewhere
     least = written(labels.groupBy("component").agg(F.min("node").alias("least"), F.count("*").alias("n")))
     return join_counted(labels, least, ["component"], "n").select("node", F.col("least").alias("component"))

@@ -1,28 +1,23 @@
 """Near-duplicate documents by MinHash with tensored banding, confirmed on full shingle sets.
 
 1. One pass makes the distinct word shingles of every text, a digest of the
-   set, two small collections of band keys (``m`` keys of ``r`` minima each)
-   and a byte of each minimum as a sketch.  Documents with equal sets collapse
-   to one representative.
+   set, and two small collections of band keys (``m`` keys of ``r`` minima
+   each).  Documents with equal sets collapse to one representative.
 2. The keys of the ``m * m`` tables pair a key of the first collection with
    one of the second, so ``2 * m * r`` minima serve ``m * m`` tables of
    ``2 * r`` minima.  In each table a representative meets the smallest id
-   that has its key (a star, not all pairs).  The sketches of the two say how
-   alike they are: from ``JOIN`` on they are candidates, below it the meeting
-   was by chance; those below ``LEAVE`` meet the next smallest id of the table
-   among themselves.  What ``STARS`` such rounds leave become candidates unseen.
-   The candidates' components are the groups.
+   that has its key (a star, not all pairs); the stars' components are the
+   candidate groups.
 3. Within a group, blocks of representatives compare their full sets exactly
-   (inverted index over a block's shingles), each with the group's smallest one
-   in it; of the links found, only a spanning forest leaves the task.  Most of
-   a group links with its smallest one; whoever doesn't is compared with all of
-   the group, in pairs of blocks.  No task holds more than two blocks.
+   (inverted index over the block pair's shingles); of the links found, only
+   a spanning forest leaves the task.  A large group is cut into blocks and
+   block pairs, so no task holds more than two blocks.
 4. The components of the confirmed links give the classes.
 
 A pair of similarity s shares no table with probability about
-1 - (1 - (1 - s**r)**m)**2: 0.0001 at s = 0.8 for r = 3 and m = 14.  Two
-partners of which only one leaves a table early have the same smallest id near
-both: 1 - 0.8 and what ``LEAVE`` allows add up to less than 1 - ``JOIN``.
+1 - (1 - (1 - s**r)**m)**2: 0.0004 at s = 0.8 for r = 3 and m = 12, less than
+0.00001 at s = 0.85.  As all pairs of a group are compared, a pair that shares no table
+is found still if others of its group link them.
 """
 
 from __future__ import annotations
@@ -37,9 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bounded_batches, components, cut, join_counted, join_null_safe, stream_by, written
 from tidemark.llm.hashing import PLACE, mix, shingle_sets
 
-BANDS, ROWS = 14, 3
-JOIN, LEAVE = 0.45, 0.8  # estimated similarity from which two are candidates, and from which one leaves the table
-STARS = 3
+BANDS, ROWS = 12, 3
 BLOCK = 256
 COLUMNS = 4096  # shingles counted at once
 PART = 400  # texts hashed at once; bounds a worker's memory
@@ -49,18 +42,16 @@ _A = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**64, 256, dtype=np.uint64)
 
 
-def _band_keys(flat: np.ndarray, off: np.ndarray, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """2 * bands keys, and a byte of each of their minima, for each set that isn't empty."""
+def _band_keys(flat: np.ndarray, off: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """2 * bands keys for each set that isn't empty."""
     out = np.empty((len(off) - 1, 2 * bands), dtype=np.uint64)
-    sketch = np.empty((len(off) - 1, 2 * bands * rows), dtype=np.uint8)
     for band in range(2 * bands):
         key = np.full(len(off) - 1, band, dtype=np.uint64)
         for k in range(band * rows, (band + 1) * rows):
             least = np.minimum.reduceat((flat * _A[k] + _B[k]) >> np.uint64(8), off[:-1])
-            sketch[:, k] = mix(least) & np.uint64(255)
             key = mix(key * PLACE[0] + least)
         out[:, band] = key
-    return out, sketch
+    return out
 
 
 def _digests(flat: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +60,7 @@ def _digests(flat: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _signatures(width: int, bands: int, rows: int):
-    names = ["doc_id", "n_shingles", "d1", "d2", "keys", "sketch"]
+    names = ["doc_id", "n_shingles", "d1", "d2", "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -80,15 +71,13 @@ def _signatures(width: int, bands: int, rows: int):
                 full = np.flatnonzero(n > 0)
                 short = np.concatenate([off[:-1][full], off[-1:]])
                 d = np.zeros((2, len(n)), dtype=np.int64)
-                keys, sketch = np.zeros((0, 2 * bands), dtype=np.uint64), [None] * len(n)
+                keys = np.zeros((0, 2 * bands), dtype=np.uint64)
                 if len(full):
                     for k, x in enumerate(_digests(flat, short)):
                         d[k, full] = x.view(np.int64)
-                    keys, bytes_ = _band_keys(flat, short, bands, rows)
-                    for r, x in zip(full, bytes_, strict=True):
-                        sketch[r] = x.tobytes()
+                    keys = _band_keys(flat, short, bands, rows)
                 to = np.concatenate([[0], np.cumsum(np.where(n > 0, 2 * bands, 0))]).astype(np.int32)
-                yield pa.record_batch([b.column(0), pa.array(n), pa.array(d[0]), pa.array(d[1]), pa.ListArray.from_arrays(pa.array(to), pa.array(keys.ravel().view(np.int64))), pa.array(sketch, pa.binary())], names=names)
+                yield pa.record_batch([b.column(0), pa.array(n), pa.array(d[0]), pa.array(d[1]), pa.ListArray.from_arrays(pa.array(to), pa.array(keys.ravel().view(np.int64)))], names=names)
 
     return run
 
@@ -101,7 +90,7 @@ def _sets(width: int):
                 flat, off = shingle_sets(b.column(1), width)
                 raw = flat.tobytes()
                 sets = pa.array([raw[i * 8 : j * 8] for i, j in zip(off[:-1], off[1:], strict=True)], pa.binary())
-                yield pa.record_batch([b.column(0), sets, *b.columns[2:]], names=["rep", "set", *b.schema.names[2:]])
+                yield pa.record_batch([b.column(0), sets, *b.columns[2:]], names=["rep", "set", "grp", "blocks"])
 
     return run
 
@@ -145,49 +134,18 @@ def forest(link: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _compare(need: int, out_of: int):
     def run(group: pa.Table) -> pa.RecordBatch | None:
-        # one may have come twice (as the group's smallest, or in both blocks); one id may have two sets
-        rows = sorted({*zip(group.column("rep").to_pylist(), group.column("set").to_pylist(), strict=True)})
-        if len(rows) < 2:
+        if group.num_rows < 2:
             return None
-        ids = np.array([r for r, _ in rows])
-        a, b = forest(linked([np.frombuffer(x, dtype=np.uint64) for _, x in rows], need, out_of), ids)
+        order = np.argsort(group.column("rep").to_numpy())
+        ids = group.column("rep").to_numpy()[order]
+        raw = group.column("set").to_pylist()
+        link = linked([np.frombuffer(raw[i], dtype=np.uint64) for i in order], need, out_of)
+        a, b = forest(link, ids)
         return pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return run
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Estimated similarity of pairs (a, b, sketch of a, sketch of b): the share of equal minima."""
-    for b in batches:
-        if b.num_rows:
-            x, y = (np.frombuffer(b"".join(c.to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1) for c in b.columns[2:4])
-            yield pa.record_batch([b.column(0), b.column(1), pa.array((x == y).mean(1))], names=["a", "b", "alike"])
-
-
-def candidates(reps: DataFrame, bands: int) -> DataFrame:
-    """Edges (a, b) between representatives (rep, keys, sketch), so that partners that share a table are in one component."""
-    tables = F.expr(f"flatten(transform(slice(keys, 1, {bands}), (a, i) -> transform(slice(keys, {bands + 1}, {bands}), (b, j) -> xxhash64(a, b, i, j))))")
-    open_ = reps.select("rep", F.explode(tables).alias("key"))
-    kept = None
-    for turn in range(STARS + 1):
-        roots = written(open_.groupBy("key").agg(F.min("rep").alias("root"), F.max("rep").alias("most"), F.count("*").alias("n")).where("root < most").select("key", "root", "n"))
-        stars = join_counted(open_, roots, ["key"], "n").where("rep <> root").select("key", "rep", "root")
-        stars = stars.select(F.col("rep").alias("a"), F.col("root").alias("b")).distinct() if turn == STARS else written(stars)
-        if turn == STARS:
-            return kept.unionByName(stars)
-        pairs = written(stars.select(F.col("rep").alias("a"), F.col("root").alias("b")).distinct())
-        told = pairs.join(reps.select(F.col("rep").alias("a"), F.col("sketch").alias("x")), "a")
-        per = pairs.groupBy("b").agg(F.count("*").alias("n")).join(reps.select(F.col("rep").alias("b"), F.col("sketch").alias("y")), "b")
-        told = written(join_counted(told, written(per), ["b"], "n").select("a", "b", "x", "y").mapInArrow(_alike, "a long, b long, alike double"))
-        near = told.where(F.col("alike") >= JOIN).select("a", "b")
-        kept = near if kept is None else kept.unionByName(near)
-        far = told.where(F.col("alike") < LEAVE).select(F.col("a").alias("rep"), F.col("b").alias("root"))
-        open_ = written(stars.join(far, ["rep", "root"], "left_semi").select("rep", "key"))
-        if open_.limit(1).count() == 0:
-            return kept
-    return kept
-
-
 def classes(docs: DataFrame, width: int = 5, need: int = 80, out_of: int = 100, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document.
 
@@ -204,35 +162,25 @@ def classes(docs: DataFrame, width: int = 5, need: int = 80, out_of: int = 100,
     are ignored; an empty table gives no rows.
     """
     d = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sig = written(d.mapInArrow(_signatures(width, bands, rows), "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>, sketch binary"))
-    n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a representative becomes two hundred rows in place
+    sig = written(d.mapInArrow(_signatures(width, bands, rows), "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>"))
+    n = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a representative becomes over a hundred rows in place
     named = sig.where("doc_id is not null and n_shingles > 0")
     same = ["d1", "d2", "n_shingles"]
-    one = named.groupBy(*same).agg(F.min_by(F.struct("doc_id", "keys", "sketch"), "doc_id").alias("x"), F.count("*").alias("copies"))
-    reps = cut(one.select(*same, "copies", F.col("x.doc_id").alias("rep"), F.col("x.keys").alias("keys"), F.col("x.sketch").alias("sketch")).repartition(n, "rep"))
-    groups = written(components(candidates(reps, bands)))
+    one = named.groupBy(*same).agg(F.min_by(F.struct("doc_id", "keys"), "doc_id").alias("x"), F.count("*").alias("copies"))
+    reps = cut(one.select(*same, "copies", F.col("x.doc_id").alias("rep"), F.col("x.keys").alias("keys")).repartition(n, "rep"))
+    tables = F.expr(f"flatten(transform(slice(keys, 1, {bands}), (a, i) -> transform(slice(keys, {bands + 1}, {bands}), (b, j) -> xxhash64(a, b, i, j))))")
+    entries = reps.select("rep", F.explode(tables).alias("key"))
+    roots = entries.groupBy("key").agg(F.min("rep").alias("root"), F.max("rep").alias("most")).where("root < most").select("key", "root")
+    stars = entries.join(roots, "key").where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")).distinct()
+    groups = written(components(stars))
     sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("n"))
-    sized = written(join_counted(groups, written(sizes), ["component"], "n").select(F.col("node").alias("doc_id"), F.col("component").alias("grp"), "blocks"))
-    sets_of = lambda ids: d.where("doc_id is not null").join(ids, "doc_id").select("doc_id", "text", *[c for c in ids.columns if c != "doc_id"])
-    of = "rep long, set binary, grp long, blocks int"
-    sets = sets_of(sized).mapInArrow(_sets(width), of).where(F.length("set") > 0)
-    own = F.expr("cast(pmod(xxhash64(rep), blocks) as int)")
-    first = F.when(F.col("rep") == F.col("grp"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
-    found = written(stream_by(sets.select("grp", F.explode(first).alias("i"), "rep", "set"), ["grp", "i"], _compare(need, out_of), "a long, b long"))
-    joined = written(components(found))
-    apart = sized.where("blocks > 1").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").where(F.coalesce("component", "doc_id") != F.col("grp")).select("doc_id", "grp", "blocks")
-    apart = written(apart)
-    if apart.limit(1).count():
-        # of groups that have any: all others in blocks j, those apart in blocks i
-        some = written(apart.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"), F.max("blocks").cast("long").alias("b"), (F.max("blocks") * BLOCK).cast("long").alias("n")))
-        every = written(join_counted(sized.where("blocks > 1"), some, ["grp"], "n").select("doc_id", "grp", "blocks", "parts"))
-        away = every.join(apart.select("doc_id", F.lit(True).alias("apart")), "doc_id", "left").withColumn("apart", F.coalesce("apart", F.lit(False)))
-        again = sets_of(away).mapInArrow(_sets(width), of + ", parts int, apart boolean").where(F.length("set") > 0)
-        part = F.expr("cast(pmod(xxhash64(rep, 1), parts) as int)")
-        left = again.where("apart").select("grp", part.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), "rep", "set")
-        right = again.select("grp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), own.alias("j"), "rep", "set")
-        more = stream_by(left.unionByName(right), ["grp", "i", "j"], _compare(need, out_of), "a long, b long")
-        joined = written(components(written(found.unionByName(more))))
+    sized = join_counted(groups, sizes, ["component"], "n").select(F.col("node").alias("doc_id"), F.col("component").alias("grp"), "blocks")
+    texts = d.where("doc_id is not null").join(sized, "doc_id").select("doc_id", "text", "grp", "blocks")
+    sets = texts.mapInArrow(_sets(width), "rep long, set binary, grp long, blocks int").where(F.length("set") > 0)
+    own = F.expr("pmod(xxhash64(rep), blocks)").cast("int")
+    pairs = sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = pairs.select("grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "set")
+    joined = components(stream_by(pairs, ["grp", "i", "j"], _compare(need, out_of), "a long, b long"))
     known = written(reps.select(*same, "copies", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(*same, "copies", F.coalesce("component", "rep").alias("component")))
     doc_class = join_counted(named.select("doc_id", *same), known, same, "copies").select(F.col("doc_id").alias("a"), "component")
     doc_class = doc_class.groupBy("a").agg(F.min("component").alias("component")).withColumnRenamed("a", "doc_id")
