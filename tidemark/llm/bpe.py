@@ -252,8 +252,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     The whole text is encoded without special tokens added, and decoded with
     none skipped.  A null or empty text has no ids and an empty decoded text;
-    rows that repeat an id are encoded each; a null id stays null; other
-    columns are ignored; an empty table gives no rows.
+    rows that repeat an id are encoded each; a null id stays null; a very long
+    text is one row of one task, encoded by its distinct words; ties between
+    pairs go to the smaller rank; other columns are ignored; an empty table
+    gives no rows.
     """
     return bounded_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_encoded(_share(docs.sparkSession, path), False), "doc_id long, n_tokens long, ids array<int>, decoded string")
 

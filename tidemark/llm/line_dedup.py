@@ -170,8 +170,10 @@ def line_keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Edge cases: a null or empty text is one empty line that stays; rows with a
     null id count as one document, smaller than all others; rows that repeat an
     id and a text get the same decision, rows that repeat only the id are told
-    apart by ``row_hash`` and count once for the frequency; other columns of
-    ``docs`` are ignored; an empty table gives no rows.
+    apart by ``row_hash`` and count once for the frequency; of equal lines in
+    the largest document all stay; a very long text is split whole, in one
+    task, and its bitmap has a bit for each line; other columns of ``docs`` are
+    ignored; an empty table gives no rows.
     """
     rows = _rows(docs, id_col, text_col)
     lines = rows.mapInArrow(_line_rows(min_chars), "k1 long, k2 long, doc long, row_hash long, pos int")

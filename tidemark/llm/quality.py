@@ -219,8 +219,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = 20_000, thre
     The score is the probability of label 1; ``labels`` (doc_id, quality) give
     the training rows and nothing else.  Null or empty texts score as a text
     whose features are all zero; a null id is scored and never learnt from;
-    repeated rows are scored each; an empty ``labels`` gives 0.5 everywhere;
-    other columns are ignored; an empty table gives no rows.
+    repeated rows are scored each; a very long text is read whole, in one
+    task; a score of exactly 0.3 is predicted 1; an empty ``labels`` gives 0.5
+    everywhere; other columns are ignored; an empty table gives no rows.
     """
     known = cut(features(docs))
     model = json.dumps(asdict(train(known, labels, sample)))

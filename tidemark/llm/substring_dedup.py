@@ -173,7 +173,9 @@ def repeated_passages(docs: DataFrame, least_bytes: int = RUN, id_col: str = "do
     Edge cases: null and empty texts have no passage; a passage must stand in
     two ids, so rows that repeat an id don't make one (``row_hash`` tells their
     texts apart); rows with a null id count as one document, smaller than all
-    others; other columns are ignored; an empty table gives no rows.
+    others; a very long text is cut whole, in slices of some MB, and its
+    windows are sorted in one task; ties between partners go to the smallest
+    id; other columns are ignored; an empty table gives no rows.
     """
     rows = bounded_batches(docs).where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row_hash"), F.col(text_col).alias("text"))
     windows = rows.mapInArrow(_windows(least_bytes), "digest long, doc long, row_hash long, place long")
