@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, embedding_dedup, fingerprint, license_scan, line_dedup, minhash_dedup, mixing, quality, substring_dedup, toxicity
+from tidemark.llm import bpe, embedding_dedup, fingerprint, license_scan, line_dedup, minhash_dedup, mixing, quality, search_queries, substring_dedup, toxicity
 from tidemark.llm.common import table
 
 
@@ -63,7 +63,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_dedup, op2_licenses, op3_substring_dedup, op4_quality, op5_mixing, op6_embeddings, op7_fingerprint, op8_minhash, op9_toxicity, op10_bpe)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_licenses, op3_substring_dedup, op4_quality, op5_mixing, op6_embeddings, op7_fingerprint, op8_minhash, op9_toxicity, op10_bpe)} | search_queries.queries()
 
 
 ORACLES: dict[str, str] = {}
@@ -147,4 +147,4 @@ SELECT a AS doc_id, (SELECT n FROM sized WHERE doc_id = a)::BIGINT AS n_shingles
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | search_queries.ORACLES
