@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import url_filter
+from tidemark.llm import lexical_search, url_filter
 from tidemark.llm.common import table
 
 
@@ -12,8 +12,12 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"), limit=50)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op12_url_filter,)}
+    return {f.__name__: f for f in (op12_url_filter, op13_lexical_search)}
 
 
 ORACLES: dict[str, str] = {}
@@ -64,3 +68,22 @@ FROM marked m LEFT JOIN standing s ON s.host = m.host AND m.host <> ''
 
 
 ORACLES["op12_url_filter"] = url_filter_sql()
+
+ORACLES["op13_lexical_search"] = rf"""
+WITH doc_terms AS (
+  SELECT doc_id, regexp_extract_all(translate(text, '{url_filter.UPPER}', '{url_filter.LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents WHERE text IS NOT NULL),
+docs AS (SELECT row_number() OVER () AS k, doc_id, terms, len(terms)::BIGINT AS n FROM doc_terms WHERE len(terms) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM docs),
+asked AS (
+  SELECT k, item_id, unnest(list_distinct(regexp_extract_all(translate(text, '{url_filter.UPPER}', '{url_filter.LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+  FROM (SELECT row_number() OVER () AS k, * FROM benchmark)),
+tf AS (SELECT k, term, count(*)::BIGINT AS tf FROM (SELECT k, unnest(terms) AS term FROM docs) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term), total),
+parts AS (
+  SELECT tf.k, tf.term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total.terms))) AS part
+  FROM tf JOIN docs ON docs.k = tf.k JOIN weights ON weights.term = tf.term, total),
+scores AS (SELECT asked.k AS item, any_value(item_id) AS item_id, parts.k, sum(part)::BIGINT AS score FROM asked JOIN parts ON parts.term = asked.term GROUP BY asked.k, parts.k)
+SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST))::INTEGER AS rank, doc_id, score
+FROM scores JOIN docs ON docs.k = scores.k WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST) <= 50
+"""
