@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import lexical_search, url_filter
+from tidemark.llm import conversation_repair, lexical_search, url_filter
 from tidemark.llm.common import table
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.report(conversation_repair.damage(rows), every=rows)
+
+
 def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -17,7 +22,7 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op12_url_filter, op13_lexical_search)}
+    return {f.__name__: f for f in (op11_conversation_repair, op12_url_filter, op13_lexical_search)}
 
 
 ORACLES: dict[str, str] = {}
