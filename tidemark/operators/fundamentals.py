@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.exprs import row_stddev, safe_div, safe_ln
 from tidemark.operators.asof import asof_join, latest_by
+from tidemark.operators.bands import band_stats, slope, spread
 
 QUARTER_DAYS, YEAR_DAYS, SLACK = 91.3125, 365.25, 30
 
@@ -205,33 +206,43 @@ def benchmark_returns(bench: DataFrame, calendar: DataFrame) -> DataFrame:
 TECHNICAL_LEAST = {"year": 200, "three": 600, "five": 1000, "month": 15}
 
 
+REFERENCES = (21, 126, 252, 756)  # days back of reference prices
+
+
 def window_features(snaps: DataFrame, series: DataFrame, bench: DataFrame, calendar: DataFrame, lookback: int = 1260, least: dict[str, int] | None = None) -> DataFrame:
     """Momentum, reversal, highs, beta, volatility and liquidity over up to ``lookback`` trading days.
 
     A reference price k days back is the last print in [k, k + 21] days back.
     Only returns from one trading day to the next count for max_ret_21d and
-    beta; windows with fewer than ``least`` observations give null.
+    beta; windows with fewer than ``least`` observations give null.  Everything
+    is read from running states at the ends of the windows (``band_stats``);
+    snapshots on one date of an entity share them.
     """
-    from tidemark.operators.asof import band_join
-
     need = {**TECHNICAL_LEAST, **(least or {})}
+    month, quarter_, year, three, five = 21, 63, 252, 756, min(1260, lookback)
     s = snaps.join(F.broadcast(calendar), "date").select("entity", "kind", "quarter", "date", "entry", F.col("ix").alias("s_ix"))
     d = series.join(F.broadcast(bench), "ix", "left")
-    j = band_join(s, d, ["entity"], "s_ix", "ix", lookback, ["close", "ret", "log_ret", "dollar", "one_day", "bench_log_ret"])
-    back = F.col("s_ix") - F.col("ix")
-    ref = lambda lo: F.max_by(F.when(back.between(lo, lo + 21), F.col("close")), F.when(back.between(lo, lo + 21), F.col("ix")))
-    only = lambda cond, c: F.when(cond, F.col(c))
-    month, quarter_, year, three, five = (back < n for n in (21, 63, 252, 756, 1260))
-    pair = year & F.col("one_day") & F.col("bench_log_ret").isNotNull()
-    quick = month & F.col("one_day")
-    sigma = lambda cond, n: F.when(F.count(only(cond, "log_ret")) >= n, F.stddev_samp(only(cond, "log_ret")) * F.sqrt(F.lit(252.0)))
-    enough = F.count(only(five, "close")) >= need["five"]
-    return j.groupBy("entity", "quarter", "kind", "date", "entry").agg(
-        (ref(21) / ref(252) - 1).alias("mom_12_2"), (ref(252) / ref(756) - 1).alias("mom_36_12"), (F.col("entry") / ref(126) - 1).alias("ret_6m"), (F.col("entry") / ref(21) - 1).alias("ret_1m"),
-        F.when(F.count_if(quick) >= need["month"], F.max(only(quick, "ret"))).alias("max_ret_21d"), sigma(year, need["year"]).alias("vol_12m"), sigma(three, need["three"]).alias("vol_36m"),
-        F.when(F.count_if(pair) >= need["year"], F.regr_slope(only(pair, "log_ret"), only(pair, "bench_log_ret"))).alias("beta_12m"),
-        (F.col("entry") / F.max(only(year, "close")) - 1).alias("dist_52w_high"), F.when(enough, F.col("entry") / F.max(only(five, "close")) - 1).alias("dist_5y_high"), F.when(enough, F.col("entry") / F.avg(only(five, "close")) - 1).alias("price_vs_5y_avg"),
-        F.median(only(quarter_, "dollar")).alias("dollar_volume_3m"), F.avg(F.when(year, F.try_divide(F.abs("ret"), F.col("dollar")))).alias("amihud_12m"), F.count("*").alias("n_obs"),
+    c, pair = F.col, F.col("one_day") & F.col("bench_log_ret").isNotNull()
+    both = pair & c("log_ret").isNotNull()
+    one = F.lit(1).cast("long")
+    measures = {
+        "print": one, "close": c("close"), "quick": F.when(c("one_day"), one), "quick_ret": F.when(c("one_day"), c("ret")), "log_ret": c("log_ret"), "log_ret2": c("log_ret") * c("log_ret"),
+        "pair": F.when(pair, one), "x": F.when(both, c("bench_log_ret")), "y": F.when(both, c("log_ret")), "xy": F.when(both, c("bench_log_ret") * c("log_ret")), "xx": F.when(both, c("bench_log_ret") * c("bench_log_ret")),
+        "illiquid": F.try_divide(F.abs("ret"), c("dollar")), "dollar": c("dollar"),
+    }
+    sums = {"print": [lookback + 1], "close": [five], "quick": [month], "log_ret": [year, three], "log_ret2": [year, three], "illiquid": [year], **{m: [year] for m in ("pair", "x", "y", "xy", "xx")}}
+    b = band_stats(s, d, ["entity"], "s_ix", "ix", measures, sums, {"close": [year, five], "quick_ret": [month]}, {"close": [(k, k + 21) for k in REFERENCES]}, {"dollar": [quarter_]})
+    ref = lambda k: c(f"close_last_{k}_{k + 21}")
+    sigma = lambda days, n: F.when(c(f"log_ret_n_{days}") >= n, spread(c(f"log_ret_n_{days}"), c(f"log_ret_sum_{days}"), c(f"log_ret2_sum_{days}")) * F.sqrt(F.lit(252.0)))
+    enough = c(f"close_n_{five}") >= need["five"]
+    j = s.join(b, ["entity", "s_ix"]).where(c(f"print_n_{lookback + 1}") > 0)
+    return j.select(
+        "entity", "quarter", "kind", "date", "entry",
+        (ref(21) / ref(252) - 1).alias("mom_12_2"), (ref(252) / ref(756) - 1).alias("mom_36_12"), (c("entry") / ref(126) - 1).alias("ret_6m"), (c("entry") / ref(21) - 1).alias("ret_1m"),
+        F.when(c(f"quick_n_{month}") >= need["month"], c(f"quick_ret_max_{month}")).alias("max_ret_21d"), sigma(year, need["year"]).alias("vol_12m"), sigma(three, need["three"]).alias("vol_36m"),
+        F.when(c(f"pair_n_{year}") >= need["year"], slope(*[c(f"{m}_{year}") for m in ("x_n", "x_sum", "y_sum", "xy_sum", "xx_sum")])).alias("beta_12m"),
+        (c("entry") / c(f"close_max_{year}") - 1).alias("dist_52w_high"), F.when(enough, c("entry") / c(f"close_max_{five}") - 1).alias("dist_5y_high"), F.when(enough, c("entry") * c(f"close_n_{five}") / c(f"close_sum_{five}") - 1).alias("price_vs_5y_avg"),
+        c(f"dollar_med_{quarter_}").alias("dollar_volume_3m"), (c(f"illiquid_sum_{year}") / c(f"illiquid_n_{year}")).alias("amihud_12m"), c(f"print_n_{lookback + 1}").alias("n_obs"),
     )
 
 

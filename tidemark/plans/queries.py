@@ -18,6 +18,7 @@ from tidemark.operators import panel as pn
 from tidemark.operators import quality_reports as qr
 from tidemark.operators import snapshots as sn
 from tidemark.operators.asof import asof_join, validity_join
+from tidemark.operators.bands import band_stats
 from tidemark.plans import wide
 from tidemark.plans.sql_base import filed_on_the_day, sql
 from tidemark.sources import binding as bind
@@ -643,12 +644,10 @@ def _(s, d):
 
 def _print_counts(w) -> DataFrame:
     """Prints of the 12 and 36 months up to each median snapshot."""
-    from tidemark.operators.asof import band_join
-
     day = lambda c: F.datediff(c, F.lit("1990-01-01").cast("date"))
     a = w.snaps.where("kind = 'median'").select("entity", "quarter", day(F.col("date")).alias("s_day"))
-    j = band_join(a, w.prices.withColumn("day", day(F.col("date"))), ["entity"], "s_day", "day", 1115, [])
-    return j.groupBy("entity", "quarter").agg(F.count_if(F.col("day") > F.col("s_day") - 372).alias("n_12m"), F.count("*").alias("n_36m"))
+    b = band_stats(a, w.prices.withColumn("day", day(F.col("date"))), ["entity"], "s_day", "day", {"print": F.lit(1)}, {"print": [372, 1116]})
+    return a.join(b, ["entity", "s_day"]).where("print_n_1116 > 0").select("entity", "quarter", F.col("print_n_372").alias("n_12m"), F.col("print_n_1116").alias("n_36m"))
 
 
 _NULLS = " UNION ALL ".join(f"SELECT '{c}' AS field, year(date)::BIGINT AS year, sector, count(*) AS n, round(avg(({c} IS NULL)::INT), 6) + 0.0::DOUBLE AS null_rate FROM (SELECT f.*, s.sector FROM fam f JOIN sup s ON f.entity = s.entity) GROUP BY 2, 3" for c in ("earnings_yield", "ebit_to_ev", "revenue_growth_1y", "revenue_t3"))
