@@ -9,8 +9,9 @@ from pyspark.sql.window import Window
 from tidemark.functions.exprs import row_stddev, safe_div, safe_ln
 from tidemark.operators.asof import asof_join, latest_by
 from tidemark.operators.bands import band_stats, slope, spread
+from tidemark.operators.bitemporal import lagged_asof
 
-QUARTER_DAYS, YEAR_DAYS, SLACK = 91.3125, 365.25, 30
+QUARTER_DAYS, YEAR_DAYS, YEAR = 91.3125, 365.25, 365.0  # lags count years of 365 days
 
 
 def latest_period(filings: DataFrame) -> DataFrame:
@@ -23,14 +24,6 @@ def fund_base(snaps: DataFrame, filings: DataFrame, carry: list[str], allow_exac
     return asof_join(snaps, latest_period(filings), ["entity"], "date", "datekey", ["reportperiod", *carry], allow_exact=allow_exact)
 
 
-def _known(base: DataFrame, filings: DataFrame, key: list[str], values: list[str], allow_exact: bool = False) -> DataFrame:
-    """Filings known before each snapshot (at it, with ``allow_exact``), at or before the base period (some hundred per entity at most)."""
-    b = base.select(*key, F.col("reportperiod").alias("t0")).where(F.col("t0").isNotNull())
-    f = filings.select("entity", F.col("datekey").alias("k_date"), F.col("reportperiod").alias("period"), *values)
-    known = F.col("k_date") <= F.col("date") if allow_exact else F.col("k_date") < F.col("date")
-    return b.join(f, "entity").where(known & (F.col("period") <= F.col("t0"))).withColumn("gap", F.datediff("t0", "period"))
-
-
 def levels_with_flows(filings: DataFrame, level_dim: str, flow_dim: str, levels: list[str], flows: list[str]) -> DataFrame:
     """Filings of ``level_dim`` with the flows of the row of ``flow_dim`` that has the same key; without one the flows are null."""
     key = ["entity", "datekey", "reportperiod"]
@@ -41,8 +34,8 @@ def levels_with_flows(filings: DataFrame, level_dim: str, flow_dim: str, levels:
 
 def lag_presence(base: DataFrame, filings: DataFrame, key: list[str], lags: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """``key``, has_t0 and has_t{k}: whether a filing of k years before the base period was known."""
-    k = _known(base, filings, key, [])
-    near = k.groupBy(*key).agg(*[F.bool_or(F.abs(F.col("gap") - n * 365) <= SLACK).alias(f"has_t{n}") for n in lags])
+    k = lagged_asof(base, filings, key, [], lags, YEAR)
+    near = k.groupBy(*key).agg(*[F.bool_or(F.col("lag") == n).alias(f"has_t{n}") for n in lags])
     out = base.select(*key, F.col("datekey").isNotNull().alias("has_t0")).join(near, key, "left")
     return out.select(*key, "has_t0", *[F.coalesce(f"has_t{n}", F.lit(False)).alias(f"has_t{n}") for n in lags])
 
@@ -50,9 +43,8 @@ def lag_presence(base: DataFrame, filings: DataFrame, key: list[str], lags: tupl
 def lag_match(base: DataFrame, filings: DataFrame, key: list[str], value: str | list[str], lags: tuple[int, ...] = (1, 2, 3), allow_exact: bool = False) -> DataFrame:
     """Values k years before the base period, within 30 days, newest version known; columns value_t1, ..."""
     values = [value] if isinstance(value, str) else value
-    k = _known(base, filings, key, values, allow_exact).withColumn("k", F.round(F.col("gap") / 365).cast("int")).where(F.col("k").isin(*lags) & (F.abs(F.col("gap") - F.col("k") * 365) <= SLACK))
-    best = latest_by(k, [*key, "k"], F.col("k_date").desc(), F.col("period").desc())
-    wide = best.groupBy(*key).agg(*[F.max(F.when(F.col("k") == n, F.col(v))).alias(f"{v}_t{n}") for v in values for n in lags])
+    best = lagged_asof(base, filings, key, values, lags, YEAR, allow_exact=allow_exact)
+    wide = best.groupBy(*key).agg(*[F.max(F.when(F.col("lag") == n, F.col(v))).alias(f"{v}_t{n}") for v in values for n in lags])
     return base.select(*key).join(wide, key, "left")
 
 
@@ -61,9 +53,7 @@ def history_buckets(base: DataFrame, filings: DataFrame, key: list[str], values:
 
     ``prev_*`` is null unless the next older bucket is the very next one.
     """
-    k = _known(base, filings, key, values, allow_exact).withColumn("off", F.round(F.col("gap") / spacing).cast("int"))
-    k = k.where((F.col("off") < n) & (F.abs(F.col("gap") - F.col("off") * spacing) <= SLACK))
-    best = latest_by(k, [*key, "off"], F.col("k_date").desc(), F.col("period").desc())
+    best = lagged_asof(base, filings, key, values, range(n), spacing, allow_exact=allow_exact).withColumnRenamed("lag", "off")
     w = Window.partitionBy(*key).orderBy(F.col("off").desc())
     next_off = F.lag("off").over(w)
     return best.select(*key, "off", *values, *[F.when(next_off == F.col("off") + 1, F.lag(v).over(w)).alias(f"prev_{v}") for v in values])
