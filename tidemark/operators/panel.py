@@ -67,6 +67,32 @@ def tie_audit(df: DataFrame, rank_cols: list[str], partition: str, group: str) -
     ).select("column", F.col("g").alias(group), "n_rows", "n_partitions", "n_values", "n_pairs", "tie_mass", "keyed_mass", "max_key_share", F.col("at.p").alias("at_partition"), F.col("at.value").alias("at_value"))
 
 
+def audit_summary(audit: DataFrame, most: float = 0.02) -> DataFrame:
+    """column, tie_mass, keyed_mass and max_key_share of the worst group, and whether that is above ``most``."""
+    g = audit.groupBy("column").agg(*[F.max(c).alias(c) for c in ("tie_mass", "keyed_mass", "max_key_share")])
+    return g.withColumn("flagged", F.coalesce(F.col("max_key_share") > most, F.lit(False)))
+
+
+def audit_detail(df: DataFrame, raw: dict[str, str], partition: str, group: str, most: float = 0.02, k: int = 1) -> DataFrame:
+    """Of every flagged (rank column, group) the ``k`` ties that give most away: column, group, place, share, key_partition, key_rank, key_raw.
+
+    A tie is keyed if its value stands in one partition of the group only;
+    ``share`` is its rows over the partition's.  A column and group is flagged
+    if its largest share is above ``most``.  Worst first: by share, then later
+    partition, then larger value.  ``raw`` names the feature behind each rank
+    column; key_raw is its smallest value in the tie.  The best of each task
+    are picked before they are shuffled, so no task sorts all ties of a column.
+    """
+    rows = df.select(F.col(partition).alias("p"), F.col(group).alias("g"), F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), F.col(x).cast("double").alias("raw")) for c, x in raw.items()]))).where("value is not null")
+    pairs = rows.groupBy("column", "g", "p", "value").agg(F.count("*").alias("n"), F.min("raw").alias("raw"))
+    pairs = pairs.withColumn("spread", F.count("*").over(Window.partitionBy("column", "g", "value"))).withColumn("size", F.sum("n").over(Window.partitionBy("column", "g", "p")))
+    keyed = pairs.where("n > 1 and spread = 1").withColumn("share", F.col("n") / F.col("size"))
+    order = Window.partitionBy("column", "g").orderBy(F.desc("share"), F.desc("p"), F.desc("value"))
+    best = keyed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    worst = F.max("share").over(Window.partitionBy("column", "g"))
+    return best.withColumn("__worst", worst).where(F.col("__worst") > most).select("column", F.col("g").alias(group), "place", "share", F.col("p").alias("key_partition"), F.col("value").alias("key_rank"), F.col("raw").alias("key_raw"))
+
+
 def audit_gate(audit: DataFrame, most: float = 0.02) -> DataFrame:
     """The worst group of each column and whether it is above ``most``."""
     return audit.groupBy("column").agg(F.max("max_key_share").alias("worst")).withColumn("flagged", F.coalesce(F.col("worst") > most, F.lit(False)))

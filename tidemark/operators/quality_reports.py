@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.exprs import add_years, md5_number, month_gap, safe_corr
+from tidemark.operators.quantiles import exact_quantiles
+from tidemark.sources.io import materialized
 
 
 def null_rates(df: DataFrame, by: list[str], fields: list[str]) -> DataFrame:
@@ -37,7 +39,11 @@ def staleness_by_year(df: DataFrame, age: str, date: str, limit: int = 135) -> D
 
 
 def update_lag(df: DataFrame, lag: Column, year: Column, limit: int = 35) -> DataFrame:
-    return df.select(year.alias("year"), lag.alias("lag")).groupBy("year").agg(F.count("lag").alias("n"), F.median("lag").alias("median_lag"), F.percentile("lag", 0.95).alias("p95_lag"), F.avg((F.col("lag") > limit).cast("double")).alias("share_late"))
+    """year, n, median and 95th percentile of ``lag``, share above ``limit``; years without a lag stay, with n = 0."""
+    rows = df.select(year.alias("year"), lag.alias("lag"))
+    q = exact_quantiles(rows, ["year"], "lag", {"median_lag": 0.5, "p95_lag": 0.95}).drop("n")
+    g = rows.groupBy("year").agg(F.count("lag").alias("n"), F.avg((F.col("lag") > limit).cast("double")).alias("share_late"))
+    return g.join(q.withColumnRenamed("year", "y"), F.col("year").eqNullSafe(F.col("y")), "left").select("year", "n", "median_lag", "p95_lag", "share_late")
 
 
 def md5_sample(df: DataFrame, n: int, *cols: str) -> DataFrame:
@@ -47,11 +53,20 @@ def md5_sample(df: DataFrame, n: int, *cols: str) -> DataFrame:
 
 
 def replication_error(df: DataFrame, reported: str, computed: str) -> DataFrame:
-    """Scale between two sources (median ratio) and the error left after it."""
-    ok = df.where((F.col(reported) > 0) & (F.col(computed) > 0))
-    scale = ok.agg(F.median(F.col(reported) / F.col(computed)).alias("scale"))
-    err = ok.crossJoin(F.broadcast(scale)).withColumn("err", F.abs(F.col(reported) / (F.col(computed) * F.col("scale")) - 1))
-    return err.groupBy("scale").agg(F.count("*").alias("n"), F.median("err").alias("median_err"), F.percentile("err", 0.9).alias("p90_err"), F.avg((F.col("err") <= 0.01).cast("double")).alias("within_1pct"), F.avg((F.col("err") <= 0.05).cast("double")).alias("within_5pct"))
+    """Scale between two sources (median ratio) and the error left after it; no row without a pair above 0."""
+    ok = df.where((F.col(reported) > 0) & (F.col(computed) > 0)).select(F.col(reported).alias("r"), F.col(computed).alias("c"))
+    scale = exact_quantiles(ok.select((F.col("r") / F.col("c")).alias("ratio")), [], "ratio", {"scale": 0.5}).select("scale")
+    err = materialized(ok.crossJoin(F.broadcast(scale)).select("scale", F.abs(F.col("r") / (F.col("c") * F.col("scale")) - 1).alias("err")))  # one row of scale
+    q = exact_quantiles(err, [], "err", {"median_err": 0.5, "p90_err": 0.9})
+    g = err.groupBy("scale").agg(F.avg((F.col("err") <= 0.01).cast("double")).alias("within_1pct"), F.avg((F.col("err") <= 0.05).cast("double")).alias("within_5pct"))
+    return g.crossJoin(F.broadcast(q)).select("scale", "n", "median_err", "p90_err", "within_1pct", "within_5pct")
+
+
+def coverage(df: DataFrame, by: str, age: str, rates: dict[str, Column]) -> DataFrame:
+    """by, n, median of ``age`` and the share of rows of each of ``rates`` (a null is no)."""
+    g = df.groupBy(by).agg(F.count("*").alias("n"), *[F.avg(F.coalesce(c, F.lit(False)).cast("double")).alias(k) for k, c in rates.items()])
+    q = exact_quantiles(df.select(F.col(by).alias("__by"), F.col(age).alias("__age")), ["__by"], "__age", {"median_age": 0.5}).drop("n")
+    return g.join(q, F.col(by).eqNullSafe(F.col("__by")), "left").select(by, "n", "median_age", *rates)
 
 
 def source_discrimination(df: DataFrame, reported: str, first: str, latest: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.exprs import add_years
-from tidemark.operators.asof import asof_join, latest_by
+from tidemark.operators.asof import asof_join
 from tidemark.sources.io import materialized
 
 KINDS = ("median", "low", "high")
@@ -131,10 +131,10 @@ def bench_stats(windows: DataFrame, bench: DataFrame) -> DataFrame:
     return ends.join(F.broadcast(entry), "date")
 
 
-def label_wide(long: DataFrame, snaps: DataFrame, horizons: tuple[int, ...] = HORIZONS, cols: tuple[str, ...] = ("cagr", "excess", "beat")) -> DataFrame:
-    """One row per snapshot with a column per horizon; snapshots without any label stay, all null."""
+def label_wide(long: DataFrame, snaps: DataFrame, horizons: tuple[int, ...] = HORIZONS, cols: tuple[str, ...] = ("cagr", "excess", "beat"), carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per snapshot, with its ``carry``, and a column per horizon; snapshots without any label stay, all null."""
     aggs = [F.max(F.when(F.col("h") == h, F.col(c))).alias(f"{c}_{h}y") for h in horizons for c in cols]
-    return snaps.select("entity", "quarter", "kind", "date").join(long.groupBy("entity", "quarter", "kind").agg(*aggs), ["entity", "quarter", "kind"], "left")
+    return snaps.select("entity", "quarter", "kind", "date", *carry).join(long.groupBy("entity", "quarter", "kind").agg(*aggs), ["entity", "quarter", "kind"], "left")
 
 
 def delisted_in_window(long: DataFrame, ends: DataFrame) -> DataFrame:
@@ -177,7 +177,3 @@ def max_drawdown(prices: DataFrame, spans: DataFrame) -> DataFrame:
     seg = seg.withColumn("peak", F.max("hi").over(before))
     fold = seg.groupBy(*key).agg(F.max(F.greatest("dd", F.coalesce(1 - F.col("lo") / F.col("peak"), F.lit(0.0)))).alias("max_drawdown"), F.min("lo").alias("lowest"))
     return fold.unionByName(short).select(*key, F.greatest("max_drawdown", F.lit(0.0)).alias("max_drawdown"), F.greatest(1 - F.col("lowest") / F.col("entry"), F.lit(0.0)).alias("fall_from_entry"))
-
-
-def dedup_by_date(df: DataFrame, by: list[str], date: str, newest: str) -> DataFrame:
-    return latest_by(df, [*by, date], F.col(newest).desc())

@@ -19,6 +19,7 @@ from tidemark.operators import quality_reports as qr
 from tidemark.operators import snapshots as sn
 from tidemark.operators.asof import asof_join, validity_join
 from tidemark.operators.bands import band_stats
+from tidemark.operators.paths import path_days, path_stats, paths, price_runs
 from tidemark.plans import wide
 from tidemark.plans.sql_base import filed_on_the_day, sql
 from tidemark.sources import binding as bind
@@ -28,7 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 RECIPES: dict[str, tuple[str, tuple[str, ...]]] = {}  # body of the SQL and the expressions that it needs
 KEY = ["entity", "quarter", "kind", "date"]
-EXACT = {"close", "volume", "entry", "last_close"}  # quotients of whole numbers, equal in any engine; rounding would meet ties
+EXACT = {"close", "volume", "entry", "last_close", "price", "min_price", "max_price", "last_price", *[f"{c}_{h}y" for c in ("last_end", "min_end", "max_end") for h in sn.HORIZONS]}  # quotients of whole numbers, equal in any engine; rounding would meet ties
 
 
 def tidy(df: DataFrame) -> DataFrame:
@@ -94,6 +95,24 @@ class World:
         stats = sn.terminal_prices(self.snaps, self.ends, self.prices, self.calendar)
         return sn.label_long(stats, sn.bench_stats(self.windows, bind.benchmark(self.spark, self.dir)), tie=tie)
 
+    def drawdowns(self) -> DataFrame:
+        spans = self.snaps.select("entity", "kind", "date", "entry").join(F.broadcast(self.ends), "date").select("entity", "kind", "date", "entry", "h", "end_date")
+        return sn.max_drawdown(self.prices, spans).select("entity", "kind", "date", "h", "max_drawdown", "fall_from_entry")
+
+    def wide_labels(self) -> DataFrame:
+        """Every label column of every horizon, with n_days and entry of the snapshot; snapshots without labels stay."""
+        long = sn.delisted_in_window(self.flagged(), _reasons(self)).join(self.drawdowns(), ["entity", "kind", "date", "h"], "left")
+        return sn.label_wide(long, self.snaps, cols=tuple(_WIDE_LABEL), carry=("n_days", "entry"))
+
+    @cached_property
+    def runs(self) -> DataFrame:
+        return materialized(price_runs(self.prices, self.calendar))
+
+    def path_asks(self, window: int = 21) -> DataFrame:
+        """The last ``window`` trading days of each horizon of each snapshot."""
+        asks = self.snaps.select("entity", "quarter", "kind", "date").join(F.broadcast(self.ends.select("date", "h", "end_ix")), "date")
+        return asks.withColumn("start_ix", F.greatest(F.col("end_ix") - (window - 1), F.lit(1)))
+
     @cached_property
     def filings(self) -> DataFrame:
         return materialized(bind.filings(self.spark, self.dir))
@@ -245,13 +264,27 @@ def _(s, d):
     return sn.delisted_in_window(w.labels(), _reasons(w)).select("entity", "quarter", "kind", "h", "end_date", "ended")
 
 
-_WIDE_LABEL = [*_GROWTH, *LADDER, "ended"]
+_ENDS = ["avg_end", "last_end", "min_end", "max_end"]
+_FALLS = ["max_drawdown", "fall_from_entry"]
+_WIDE_LABEL = [*_ENDS, *_GROWTH, *_FALLS, *LADDER, "ended"]
+_DRAWDOWN = """SELECT entity, kind, date, h::BIGINT AS h, round(max(dd), 6) + 0.0::DOUBLE AS max_drawdown, round(greatest(1 - min(close) / any_value(entry), 0), 6) + 0.0::DOUBLE AS fall_from_entry FROM (
+  SELECT s.entity, s.kind, s.date, s.entry, e.h, p.close, 1 - p.close / max(p.close) OVER (PARTITION BY s.entity, s.kind, s.date, e.h ORDER BY p.date) AS dd
+  FROM snap s JOIN ends e ON s.date = e.date JOIN px p ON p.entity = s.entity AND p.date BETWEEN s.date AND e.end_date) GROUP BY entity, kind, date, h"""
+
+
+def _wide_label(h: int, c: str) -> str:
+    v = f"max({'d' if c in _FALLS else 'l'}.{c}) FILTER (l.h = {h})"
+    return (f"round({v}, 6) + 0.0::DOUBLE" if c in ("avg_end", *_GROWTH, *_FALLS) else v) + f" AS {c}_{h}y"
+
 
+_LABEL_WIDE = f"""SELECT s.entity, s.quarter, s.kind, s.date, s.n_days, s.entry, {', '.join(_wide_label(h, c) for h in sn.HORIZONS for c in _WIDE_LABEL)}
+FROM snap s LEFT JOIN labx l ON s.entity = l.entity AND s.quarter = l.quarter AND s.kind = l.kind LEFT JOIN ({_DRAWDOWN}) d ON d.entity = l.entity AND d.kind = l.kind AND d.date = l.date AND d.h = l.h
+GROUP BY s.entity, s.quarter, s.kind, s.date, s.n_days, s.entry"""
 
-@query("label_wide", f"SELECT s.entity, s.quarter, s.kind, s.date, {', '.join((f'round(max(l.{c}) FILTER (l.h = {h}), 6) + 0.0::DOUBLE' if c in _GROWTH else f'max(l.{c}) FILTER (l.h = {h})') + f' AS {c}_{h}y' for h in sn.HORIZONS for c in _WIDE_LABEL)} FROM snap s LEFT JOIN labx l ON s.entity = l.entity AND s.quarter = l.quarter AND s.kind = l.kind GROUP BY s.entity, s.quarter, s.kind, s.date", "snap", "labx")
+
+@query("label_wide", _LABEL_WIDE, "snap", "labx", "ends", "px")
 def _(s, d):
-    w = World(s, d)
-    return sn.label_wide(sn.delisted_in_window(w.flagged(), _reasons(w)), w.snaps, cols=tuple(_WIDE_LABEL))
+    return World(s, d).wide_labels()
 
 
 @query("label_summary", f"SELECT h::BIGINT AS h, count(*) AS n, count(*) FILTER (ended <> 'false') AS n_ended, {', '.join(f'count(*) FILTER ({c}) AS n_{c}' for c in LADDER)}, round(avg(cagr), 6) + 0.0::DOUBLE AS mean_cagr FROM labx GROUP BY h", "labx")
@@ -265,13 +298,27 @@ def _(s, d):
     return sn.snapshot_summary(World(s, d).snaps)
 
 
-@query("max_drawdown", """SELECT entity, kind, date, h::BIGINT AS h, round(max(dd), 6) + 0.0::DOUBLE AS max_drawdown, round(greatest(1 - min(close) / any_value(entry), 0), 6) + 0.0::DOUBLE AS fall_from_entry FROM (
-  SELECT s.entity, s.kind, s.date, s.entry, e.h, p.close, 1 - p.close / max(p.close) OVER (PARTITION BY s.entity, s.kind, s.date, e.h ORDER BY p.date) AS dd
-  FROM snap s JOIN ends e ON s.date = e.date JOIN px p ON p.entity = s.entity AND p.date BETWEEN s.date AND e.end_date) GROUP BY ALL""".replace(" GROUP BY ALL", " GROUP BY entity, kind, date, h"), "snap", "ends", "px")
+@query("max_drawdown", _DRAWDOWN, "snap", "ends", "px")
+def _(s, d):
+    return World(s, d).drawdowns()
+
+
+@query("forward_paths", """SELECT p.entity, p.quarter, p.kind, p.h::BIGINT AS h, p.pos, p.day, p.close AS price, p.day > l.last AS is_extension
+FROM path p JOIN (SELECT entity, max(date) AS last FROM px GROUP BY entity) l ON l.entity = p.entity""", "path", "px")
 def _(s, d):
     w = World(s, d)
-    spans = w.snaps.select("entity", "kind", "date", "entry").join(F.broadcast(w.ends), "date").select("entity", "kind", "date", "entry", "h", "end_date")
-    return sn.max_drawdown(w.prices, spans).select("entity", "kind", "date", "h", "max_drawdown", "fall_from_entry")
+    key = ["entity", "quarter", "kind", "h", "end_ix"]
+    p = path_days(paths(w.path_asks(), w.runs, key), w.calendar)
+    return p.select("entity", "quarter", "kind", "h", (F.col("ix") - F.col("end_ix") + 20).alias("pos"), "day", "price", "is_extension")
+
+
+@query("path_stats", """SELECT p.entity, p.quarter, p.kind, p.h::BIGINT AS h, count(*) AS n_days, round(avg(p.close), 6) + 0.0::DOUBLE AS avg_price, min(p.close) AS min_price,
+  max(p.close) AS max_price, max_by(p.close, p.pos) AS last_price, count(*) FILTER (p.day > l.last) AS n_extension
+FROM path p JOIN (SELECT entity, max(date) AS last FROM px GROUP BY entity) l ON l.entity = p.entity GROUP BY p.entity, p.quarter, p.kind, p.h""", "path", "px")
+def _(s, d):
+    w = World(s, d)
+    key = ["entity", "quarter", "kind", "h"]
+    return path_stats(paths(w.path_asks(), w.runs, key), key)
 
 
 # -- fundamentals -------------------------------------------------------------------------------------------
@@ -627,14 +674,31 @@ def _median_base(s, d):
     return World(s, d).base().where("kind = 'median'").join(bind.entities(s, d).select("entity", "sector"), "entity").withColumn("age", F.datediff("date", "datekey"))
 
 
-@query("coverage_by_year", f"SELECT year(date)::BIGINT AS year, count(*) AS n, round(median(age), 6) + 0.0::DOUBLE AS median_age, round(avg((datekey IS NOT NULL)::INT), 6) + 0.0::DOUBLE AS with_filing, round(avg((coalesce(age <= 135, false))::INT), 6) + 0.0::DOUBLE AS fresh FROM {_MED} GROUP BY 1", "base", "sup")
-def _(s, d):
-    return _median_base(s, d).groupBy(F.year("date").alias("year")).agg(F.count("*").alias("n"), F.median("age").alias("median_age"), F.avg(F.col("datekey").isNotNull().cast("double")).alias("with_filing"), F.avg(F.coalesce(F.col("age") <= 135, F.lit(False)).cast("double")).alias("fresh"))
+_RATES = ["with_filing", "fresh", "fresh_183", "fresh_365", "t1", "t2", "t3", "p12", "p36"]
 
 
-@query("coverage_by_sector", f"SELECT sector, count(*) AS n, round(median(age), 6) + 0.0::DOUBLE AS median_age, round(avg((datekey IS NOT NULL)::INT), 6) + 0.0::DOUBLE AS with_filing FROM {_MED} GROUP BY 1", "base", "sup")
-def _(s, d):
-    return _median_base(s, d).groupBy("sector").agg(F.count("*").alias("n"), F.median("age").alias("median_age"), F.avg(F.col("datekey").isNotNull().cast("double")).alias("with_filing"))
+def _coverage_sql(by: str) -> str:
+    rates = ", ".join(f"round(avg(coalesce({c}, false)::INT), 6) + 0.0::DOUBLE AS {c}" for c in _RATES)
+    lag = lambda k: f"coalesce(age <= 365, false) AND {' AND '.join(f'has_t{i}' for i in range(1, k + 1))} AS t{k}"
+    return f"""SELECT {by}, count(*) AS n, round(median(age), 6) + 0.0::DOUBLE AS median_age, {rates} FROM (
+  SELECT m.*, year(m.date)::BIGINT AS year, datekey IS NOT NULL AS with_filing, age <= 135 AS fresh, age <= 183 AS fresh_183, age <= 365 AS fresh_365, {lag(1)}, {lag(2)}, {lag(3)}, n_12m >= 40 AS p12, n_36m >= 120 AS p36
+  FROM {_MED} m JOIN ({_LAG_FLAGS}) l USING (entity, quarter, kind, date) LEFT JOIN ({_PRINTS}) p USING (entity, quarter)) GROUP BY 1"""
+
+
+def _coverage(s, d, by: str):
+    """Rates of filings, freshness, lags (with a filing of 365 days or less) and prints by year or sector of the median snapshots."""
+    w = World(s, d)
+    med = materialized(w.known.where("kind = 'median'"))
+    lags = fu.lag_presence(med, w.filings, KEY)
+    rows = med.join(lags, KEY).join(_print_counts(w), ["entity", "quarter"], "left").join(bind.entities(s, d).select("entity", "sector"), "entity")
+    rows = materialized(rows.withColumn("age", F.datediff("date", "datekey")).withColumn("year", F.year("date").cast("long")))
+    c = F.col
+    rates = {"with_filing": c("datekey").isNotNull(), "fresh": c("age") <= 135, "fresh_183": c("age") <= 183, "fresh_365": c("age") <= 365}
+    ok = c("age") <= 365
+    for k in (1, 2, 3):
+        ok = ok & c(f"has_t{k}")
+        rates[f"t{k}"] = ok
+    return qr.coverage(rows, by, "age", rates | {"p12": c("n_12m") >= 40, "p36": c("n_36m") >= 120})
 
 
 @query("history_presence", "SELECT b.entity, b.quarter, count(*) FILTER (p.date > b.date - 372) AS n_12m, count(*) AS n_36m FROM snap b JOIN px p ON p.entity = b.entity AND p.date > b.date - 1116 AND p.date <= b.date WHERE b.kind = 'median' GROUP BY b.entity, b.quarter", "snap", "px")
@@ -811,6 +875,10 @@ def _(s, d):
     return fu.lag_presence(w.known, w.filings, KEY)
 
 
+for _by in ("year", "sector"):
+    query(f"coverage_by_{_by}", _coverage_sql(_by), "base", "sup", "known", "snap", "px")(lambda s, d, by=_by: _coverage(s, d, by))
+
+
 @query("tier_coverage", f"SELECT l.entity, l.quarter, has_t0 AS t0, has_t0 AND has_t1 AS t1, has_t0 AND has_t1 AND has_t2 AS t2, has_t0 AND has_t1 AND has_t2 AND has_t3 AS t3, coalesce(n_12m >= 40, false) AS p12, coalesce(n_36m >= 120, false) AS p36 FROM ({_LAG_FLAGS}) l LEFT JOIN ({_PRINTS}) p USING (entity, quarter) WHERE kind = 'median'", "base", "known", "snap", "px")
 def _(s, d):
     w = World(s, d)
@@ -884,39 +952,73 @@ def _wide_sql(instead=None) -> str:
     return f"SELECT {_K}, {', '.join(reg.columns(late=False))} FROM ({of(names[0])}) f0 {joins} LEFT JOIN ({sql(_CLASSES, 'sup')}) c USING (entity)"
 
 
+def _features(s, d) -> wide.Features:
+    """Features with the least observations that suit the few prints of the test tables."""
+    return wide.Features(World(s, d), wide.SPARSE)
+
+
+_LABELS = [f"{c}_{h}y" for h in sn.HORIZONS for c in _WIDE_LABEL]
+
+
+def _full_panel(s, d):
+    w = World(s, d)
+    panel = wide.rounded(wide.Features(w, wide.SPARSE).all())
+    labels = w.wide_labels().select("entity", "quarter", "kind", "n_days", "entry", *_LABELS)
+    return wide.full_panel(panel, wide.ranks(panel), labels, _weights(s, d), sn.HORIZONS)
+
+
 def _twin_report(s, d):
     w = World(s, d)
-    sp = materialized(wide.rank_space(wide.rounded(wide.Features(w).all())))
+    sp = materialized(wide.rank_space(wide.rounded(wide.Features(w, wide.SPARSE).all())))
     sample = materialized(qr.md5_sample(sp, 200, "entity", "quarter"))
     near = qr.nearest_neighbours(sp, sample, wide.AXES, "entity", "quarter")
     other = qr.random_partners(sample.select("entity", "quarter"), ["entity", "quarter"]).select(F.col("entity").alias("s_e"), F.col("quarter").alias("s_q"), F.col("p_entity").alias("t_e"), F.col("p_quarter").alias("t_q"))
     return qr.twin_report(near, other, materialized(w.labels().where("h = 1 and kind = 'median'").select("entity", "quarter", "cagr")), "cagr")
 
 
+def _audit_detail(s, d):
+    panel = wide.rounded(_features(s, d).all())
+    both = panel.join(wide.rounded(wide.ranks(panel)), KEY)
+    return pn.audit_detail(both, {f"{c}_rank": c for c in reg.rank_specs()}, "quarter", "kind", k=3)
+
+
 def _register_wide() -> None:
     wide_sql = _wide_sql()
-    query("wide_panel", wide_sql)(lambda s, d: wide.Features(World(s, d)).all())
-    query("panel_ranks", _ranked_sql(reg.rank_specs(), "quarter, kind", f"({wide_sql})"))(lambda s, d: wide.ranks(wide.rounded(wide.Features(World(s, d)).all())))
-    query("panel_sector_ranks", _ranked_sql(reg.sector_specs(), "quarter, kind, sector", f"({wide_sql})"))(lambda s, d: wide.sector_ranks(wide.rounded(wide.Features(World(s, d)).all())))
+    query("wide_panel", wide_sql)(lambda s, d: _features(s, d).all())
+    query("panel_ranks", _ranked_sql(reg.rank_specs(), "quarter, kind", f"({wide_sql})"))(lambda s, d: wide.ranks(wide.rounded(_features(s, d).all())))
+    query("panel_sector_ranks", _ranked_sql(reg.sector_specs(), "quarter, kind, sector", f"({wide_sql})"))(lambda s, d: wide.sector_ranks(wide.rounded(_features(s, d).all())))
     used = {c: reg.rank_specs()[c] for c in ("vol_36m", "mom_12_2", "net_payout_yield", "ebit_to_ev", "roc_greenblatt")}
     first = _ranked_sql(used, "quarter, kind", f"({wide_sql})")
     scores = f"SELECT {_K}, round((1 - vol_36m_rank) + mom_12_2_rank + net_payout_yield_rank, 9) AS conservative_score, round(ebit_to_ev_rank + roc_greenblatt_rank, 9) AS magic_formula_score FROM ({first})"
     both = f"SELECT * FROM ({scores}) x JOIN ({_ranked_sql(dict.fromkeys(['conservative_score', 'magic_formula_score']), 'quarter, kind', f'({scores})')}) y USING (entity, quarter, kind, date)"
-    query("panel_composites", f"SELECT {_K}, {r6('conservative_score', 'magic_formula_score')}, conservative_score_rank, magic_formula_score_rank FROM ({both})")(lambda s, d: wide.composites(wide.ranks(wide.rounded(wide.Features(World(s, d)).all()), list(used))))
+    query("panel_composites", f"SELECT {_K}, {r6('conservative_score', 'magic_formula_score')}, conservative_score_rank, magic_formula_score_rank FROM ({both})")(lambda s, d: wide.composites(wide.ranks(wide.rounded(_features(s, d).all()), list(used))))
     med = ", ".join(f"CASE WHEN count({c}) >= 5 THEN median({c}) END AS m_{c}" for c in wide.MOHANRAM)
     beats = " + ".join(f"(w.{c} {'>' if up else '<'} m.m_{c})::INT" for c, up in wide.MOHANRAM.items())
-    query("mohanram_g7", f"SELECT w.entity, w.quarter, w.kind, w.date, ({beats} + (w.cfo_to_assets > w.roa)::INT)::BIGINT AS mohanram_g7 FROM ({wide_sql}) w LEFT JOIN (SELECT quarter, kind, famaindustry, {med} FROM ({wide_sql}) GROUP BY ALL) m ON w.quarter = m.quarter AND w.kind = m.kind AND w.famaindustry = m.famaindustry")(lambda s, d: wide.mohanram(wide.rounded(wide.Features(World(s, d)).all())))
+    query("mohanram_g7", f"SELECT w.entity, w.quarter, w.kind, w.date, ({beats} + (w.cfo_to_assets > w.roa)::INT)::BIGINT AS mohanram_g7 FROM ({wide_sql}) w LEFT JOIN (SELECT quarter, kind, famaindustry, {med} FROM ({wide_sql}) GROUP BY ALL) m ON w.quarter = m.quarter AND w.kind = m.kind AND w.famaindustry = m.famaindustry")(lambda s, d: wide.mohanram(wide.rounded(_features(s, d).all())))
     ranks = _ranked_sql(reg.rank_specs(), "quarter, kind", f"({wide_sql})")
     names = [f"{c}_rank" for c in reg.rank_specs()]
     long = f"(SELECT quarter, kind, unnest([{', '.join(repr(n) for n in names)}]) AS \"column\", unnest([{', '.join(names)}]) AS value FROM ({ranks}))"
     audit = _AUDIT.replace(_TIES, f"(SELECT * FROM {long} WHERE value IS NOT NULL)")
-    query("panel_rank_audit", audit)(lambda s, d: pn.tie_audit(wide.rounded(wide.ranks(wide.rounded(wide.Features(World(s, d)).all()))), names, "quarter", "kind").drop("at_partition", "at_value"))
-    query("panel_audit_gate", f'SELECT "column", max(max_key_share) AS worst, coalesce(max(max_key_share) > 0.02::DOUBLE, false) AS flagged FROM ({audit}) GROUP BY "column"')(lambda s, d: pn.audit_gate(pn.tie_audit(wide.rounded(wide.ranks(wide.rounded(wide.Features(World(s, d)).all()))), names, "quarter", "kind")))
+    query("panel_rank_audit", audit)(lambda s, d: pn.tie_audit(wide.rounded(wide.ranks(wide.rounded(_features(s, d).all()))), names, "quarter", "kind").drop("at_partition", "at_value"))
+    query("panel_audit_gate", f'SELECT "column", max(max_key_share) AS worst, coalesce(max(max_key_share) > 0.02::DOUBLE, false) AS flagged FROM ({audit}) GROUP BY "column"')(lambda s, d: pn.audit_gate(pn.tie_audit(wide.rounded(wide.ranks(wide.rounded(_features(s, d).all()))), names, "quarter", "kind")))
+
+    query("audit_summary", f'SELECT "column", max(tie_mass) AS tie_mass, max(keyed_mass) AS keyed_mass, max(max_key_share) AS max_key_share, coalesce(max(max_key_share) > 0.02::DOUBLE, false) AS flagged FROM ({audit}) GROUP BY "column"')(lambda s, d: pn.audit_summary(pn.tie_audit(wide.rounded(wide.ranks(wide.rounded(_features(s, d).all()))), names, "quarter", "kind")))
+    raw = [n.removesuffix("_rank") for n in names]
+    both_long = f"(SELECT quarter, kind, unnest([{', '.join(repr(n) for n in names)}]) AS \"column\", unnest([{', '.join(names)}]) AS value, unnest([{', '.join(f'{x}::DOUBLE' for x in raw)}]) AS raw FROM ({ranks}) r JOIN ({wide_sql}) x USING ({_K}))"
+    query("audit_detail", f"""SELECT "column", kind, place, round(share, 6) + 0.0::DOUBLE AS share, key_partition, key_rank, round(raw, 6) + 0.0::DOUBLE AS key_raw FROM (
+  SELECT "column", kind, quarter AS key_partition, value AS key_rank, raw, n::DOUBLE / size AS share, row_number() OVER (PARTITION BY "column", kind ORDER BY n::DOUBLE / size DESC, quarter DESC, value DESC) AS place, max(n::DOUBLE / size) OVER (PARTITION BY "column", kind) AS worst FROM (
+    SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY "column", kind, value) AS spread, sum(n) OVER (PARTITION BY "column", kind, quarter) AS size FROM (SELECT "column", kind, quarter, value, count(*) AS n, min(raw) AS raw FROM {both_long} WHERE value IS NOT NULL GROUP BY ALL)) WHERE n > 1 AND spread = 1))
+WHERE place <= 3 AND worst > 0.02::DOUBLE""")(_audit_detail)
+    labelled = ", ".join(f"l.{c}" for c in ("n_days", "entry", *_LABELS))
+    weighted = ", ".join(f"max(weight) FILTER (h = {h}) AS weight_{h}y" for h in sn.HORIZONS)
+    query("full_panel", f"""SELECT w.*, r.* EXCLUDE ({_K}), {labelled}, {', '.join(f'u.weight_{h}y' for h in sn.HORIZONS)} FROM ({wide_sql}) w JOIN ({ranks}) r ON r.entity = w.entity AND r.quarter = w.quarter AND r.kind = w.kind
+LEFT JOIN ({sql(_LABEL_WIDE, 'snap', 'labx', 'ends', 'px')}) l ON l.entity = w.entity AND l.quarter = w.quarter AND l.kind = w.kind
+LEFT JOIN (SELECT entity, quarter, kind, {weighted} FROM ({sql(_WEIGHTS, 'obs')}) GROUP BY ALL) u ON u.entity = w.entity AND u.quarter = w.quarter AND u.kind = w.kind""")(_full_panel)
 
     axes = wide.AXES
     rank = ", ".join(f"round(percent_rank() OVER (PARTITION BY quarter ORDER BY {c}), 9) AS {c}" for c in axes)
     space = f"SELECT entity, quarter, {rank} FROM ({wide_sql}) WHERE kind = 'median' AND {' AND '.join(f'{c} IS NOT NULL' for c in axes)}"
-    query("rank_space", space)(lambda s, d: wide.rank_space(wide.rounded(wide.Features(World(s, d)).all())))
+    query("rank_space", space)(lambda s, d: wide.rank_space(wide.rounded(_features(s, d).all())))
     away = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in axes)
     gap = "abs(12 * (year(s_q) - year(t_q)) + month(s_q) - month(t_q))"
     lab = sql("SELECT entity, quarter, cagr FROM lab WHERE h = 1 AND kind = 'median'", "lab")
@@ -928,8 +1030,8 @@ lab1 AS MATERIALIZED ({lab}), met AS (SELECT p.relation, a.cagr AS x, b.cagr AS
 SELECT relation, n, n_labelled, round(c, 6) + 0.0::DOUBLE AS corr, round(m, 6) + 0.0::DOUBLE AS mean_abs_diff, round(n::DOUBLE / sum(n) OVER (PARTITION BY relation = 'random'), 6) + 0.0::DOUBLE AS share FROM (
   SELECT relation, count(*) AS n, count(*) FILTER (x IS NOT NULL AND y IS NOT NULL) AS n_labelled, covar_pop(x, y) / nullif(stddev_pop(x) FILTER (y IS NOT NULL) * stddev_pop(y) FILTER (x IS NOT NULL), 0) AS c, avg(abs(x - y)) AS m FROM met GROUP BY relation)""")(_twin_report)
     now = _wide_sql(filed_on_the_day((["px", "cal"], f"SELECT entity, quarter, 1::BIGINT AS n_days, kind, entry, date FROM {_latest_sql(60, _AS_OF)}")))
-    query("inference_features", now)(lambda s, d: wide.Features(AsOf(s, d, _AS_OF, 60)).all())
-    query("inference_ranks", _ranked_sql(reg.rank_specs(), "quarter, kind", f"({now})"))(lambda s, d: wide.ranks(wide.rounded(wide.Features(AsOf(s, d, _AS_OF, 60)).all())))
+    query("inference_features", now)(lambda s, d: wide.Features(AsOf(s, d, _AS_OF, 60), wide.SPARSE).all())
+    query("inference_ranks", _ranked_sql(reg.rank_specs(), "quarter, kind", f"({now})"))(lambda s, d: wide.ranks(wide.rounded(wide.Features(AsOf(s, d, _AS_OF, 60), wide.SPARSE).all())))
 
 
 _register_wide()

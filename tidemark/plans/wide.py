@@ -15,7 +15,7 @@ from tidemark.operators import fundamentals as fu
 from tidemark.operators import panel as pn
 from tidemark.operators.asof import asof_join
 from tidemark.sources import binding as bind
-from tidemark.sources.io import exact_columns, materialized
+from tidemark.sources.io import bucketed, exact_columns, materialized
 
 KEY = ["entity", "quarter", "kind", "date"]
 SERIES = {"revenue": "revenue", "tangibles": "tangibles", "ncfo": "ocf"}
@@ -42,8 +42,9 @@ def technical(w, **least: int) -> DataFrame:
 class Features:
     """The families of the snapshots of ``w``; what several of them need is written once."""
 
-    def __init__(self, w):
+    def __init__(self, w, least: dict[str, int] | None = None):
         self.w = w
+        self.least = fu.TECHNICAL_LEAST if least is None else least  # observations that window features need
 
     @cached_property
     def filings(self) -> DataFrame:
@@ -94,10 +95,10 @@ class Features:
         """``KEY`` and every feature that isn't made from ranks, in the registry's order, which is checked."""
         exprs = [f"{e} AS {n}" for f in FAMILIES.values() for n, e in f.items()]
         out = self.inputs.selectExpr(*KEY, *exprs)
-        for part in (self.meta(), self.trend(), self.dividends(), self.relvalue(), technical(self.w, **SPARSE).drop("n_obs")):
+        for part in (self.meta(), self.trend(), self.dividends(), self.relvalue(), technical(self.w, **self.least).drop("n_obs")):
             out = out.join(part, KEY, "left")
         names = reg.columns(late=False)
-        return exact_columns(out.join(F.broadcast(self.classes()), "entity", "left").select(*KEY, *names), [*KEY, *names], "the panel")
+        return exact_columns(out.join(self.classes(), "entity", "left").select(*KEY, *names), [*KEY, *names], "the panel")
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
@@ -132,6 +133,25 @@ def mohanram(panel: DataFrame) -> DataFrame:
     return j.select(*KEY, total.alias("mohanram_g7"))
 
 
+def full_panel(features: DataFrame, ranked: DataFrame, labels: DataFrame, weights: DataFrame, horizons: tuple[int, ...]) -> DataFrame:
+    """Features, ranks, labels and weights of every snapshot as one dataset, in this order of column groups, which is checked.
+
+    ``labels`` has one row a snapshot and a column for each label and horizon,
+    ``weights`` (entity, quarter, kind, h, weight) becomes weight_{h}y; what
+    isn't observable yet is null.  The parts are bucketed by the snapshot once,
+    so joining them shuffles nothing.
+    """
+    snap = ["entity", "quarter", "kind"]
+    wide = weights.groupBy(*snap).agg(*[F.max(F.when(F.col("h") == h, F.col("weight"))).alias(f"weight_{h}y") for h in horizons])
+    parts = [features, ranked.drop("date"), labels.drop("date"), wide]
+    names = [*KEY, *[c for i, x in enumerate(parts) for c in x.columns if c not in (KEY if i == 0 else snap)]]
+    out = None
+    for x in parts:
+        x = bucketed(x, snap)
+        out = x if out is None else out.join(x, snap, "left")
+    return exact_columns(out.select(*names), names, "the full panel")
+
+
 def rank_space(panel: DataFrame) -> DataFrame:
     """Median snapshots that have all of ``AXES``, each feature as its rank in the quarter."""
     full = panel.where("kind = 'median'").dropna(subset=AXES).select(*KEY, *AXES)

@@ -47,22 +47,43 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, out_path: str, spec: Tabl
     return sorted_parquet(read_csv(spark, csv_path, spec), out_path, list(spec.sort_by), mode)
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder ``spark.checkpoint.dir`` and read back, for relations that many steps of a query use.
-
-    Only a local session that has no such folder gets a temporary one.
-    """
-    sc = df.sparkSession.sparkContext
+def _shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; only a local session that has none gets a temporary folder."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         set_to = sc.getConf().get("spark.checkpoint.dir", None)
         if set_to is None and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(set_to or tempfile.mkdtemp(prefix="tidemark-"))
-    path = f"{sc.getCheckpointDir()}/relation-{uuid.uuid4().hex}"
+    return sc.getCheckpointDir()
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder ``spark.checkpoint.dir`` and read back, for relations that many steps of a query use.
+
+    Only a local session that has no such folder gets a temporary one.
+    """
+    path = f"{_shared_folder(df.sparkSession)}/relation-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, by: list[str], buckets: int | None = None) -> DataFrame:
+    """``df`` written once, dealt into ``buckets`` by ``by`` and sorted in them: joins of such tables on ``by`` shuffle nothing.
+
+    ``buckets`` is the session's number of shuffle partitions unless given;
+    tables that are to be joined need the same.  The table lies in the shared
+    folder under a name of its own and is dropped from the catalog with the
+    session (its files stay, as those of ``materialized``).
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"bucketed_{uuid.uuid4().hex}"
+    # a task writes one bucket, so there are as many files as buckets
+    df.repartition(n, *by).write.bucketBy(n, *by).sortBy(*by).format("parquet").option("path", f"{_shared_folder(spark)}/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
 def csv_report(df: DataFrame, path: str, order: list[str]) -> None:
     """A small report as one CSV file with a header."""
     df.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
