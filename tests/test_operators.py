@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import row_stddev, safe_corr, safe_div, safe_ln
-from tidemark.functions.registry import Feature, columns, rank_specs, validate
+from tidemark.functions.registry import columns, faults, rank_specs
 from tidemark.operators import panel as pn
 from tidemark.operators import snapshots as sn
 from tidemark.operators.asof import asof_join, band_join, validity_join
@@ -109,7 +109,7 @@ def test_horizons_are_whole_years(spark):
 
 
 def test_registry():
-    validate()
+    assert faults() == []
     assert "roa" in columns("profitability") and "f_score" not in rank_specs()
-    with pytest.raises(ValueError):
-        Feature("x", "y", "pinned")
+    assert faults(["x", "x"], {"x"}, {"x"}, set(), set()) == ["x stands twice"]
+    assert faults(["x"], set(), {"x"}, {"y"}, {"z"}) == ["ranked: x", "pinned: y", "sector: z"]
