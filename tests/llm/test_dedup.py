@@ -298,8 +298,10 @@ def test_many_passages_are_found_whole(spark):
     assert {r.doc_id for r in got} <= set(planted)
 
 
-def test_no_text_is_lost(spark):
+@pytest.mark.parametrize("hot", [1_000, 2])  # rows of a window from which on it is split
+def test_no_text_is_lost(spark, monkeypatch, hot):
     """Overlapping passages of many documents: whatever goes from a document stays in a smaller one."""
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
     rng = random.Random(3)
     pool = [words_of(rng, 60) + rng.choice(["é", "日本", ""]) for _ in range(6)]
     rows = [(i, "é".join(rng.choice(pool) if rng.random() < 0.6 else words_of(rng, 25) for _ in range(rng.randint(1, 5)))) for i in range(60)]

@@ -201,7 +201,7 @@ def _to_true_ends(spans: DataFrame, first: DataFrame, rows: DataFrame) -> DataFr
     n = ends.groupBy("digest", "holder").agg(F.count("*").alias("n"))
     place = first.groupBy("digest", F.col("doc").alias("holder")).agg(F.min(F.struct("row_hash", "place")).alias("w")).join(n, ["digest", "holder"])
     place = place.select("digest", "holder", "n", F.col("w.row_hash").alias("h_row"), F.shiftright("w.place", 32).cast("int").alias("w_at"), F.col("w.place").bitwiseAND(0xFFFFFFFF).cast("int").alias("w_size"))
-    met = written(join_counted(ends, written(place), ["digest", "holder"], "n").withColumn("h_at", F.col("w_at") + F.when(F.col("side") == 1, F.col("w_size")).otherwise(0)))
+    met = written(join_counted(ends, written(place), ["digest", "holder"], "n").drop("n").withColumn("h_at", F.col("w_at") + F.when(F.col("side") == 1, F.col("w_size")).otherwise(0)))
     own = met.select("doc", "row_hash", "at", "side")
     theirs = met.select(F.col("holder").alias("doc"), F.col("h_row").alias("row_hash"), F.col("h_at").alias("at"), "side")
     asked = own.unionByName(theirs).distinct().groupBy("doc", "row_hash").agg(F.collect_list(F.struct("at", "side")).alias("asked"))
