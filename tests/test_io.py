@@ -63,3 +63,37 @@ def test_splits_table(spark, tmp_path):
     assert back.count() == 3 and {(r.scheme, r.h, r.role, r.n) for r in pn.role_summary(back).collect()} == {("holdout", 1, "train", 1), ("holdout", 1, "test", 1), ("random_kfold", 2, "test", 1)}
     folds = pn.diagnostic_folds((1, 5), tags)
     assert folds.count() == 12 and folds.where("test_start is not null").count() == 0
+
+
+def csv_of(tmp_path, name, text):
+    p = tmp_path / name
+    p.write_text(text)
+    return str(p)
+
+
+SPEC = io.TableSpec("t", {"id": "bigint", "day": "date", "gone": "string"}, ("id",))
+
+
+def test_bad_records_are_kept_apart(spark, tmp_path):
+    src = csv_of(tmp_path, "a.csv", "id,day,x,more\n3,2001-02-03,1.5,2\nnot a number,2001-01-01,1,2\n2,2001-13-45,1,2\n1,,,\n4,2001-01-01,1\n5,2001-01-01,1,2,9\n")
+    good, bad = io.read_csv_checked(spark, src, SPEC)
+    assert [r.id for r in good.orderBy("id").collect()] == [1, 3] and good.columns == ["id", "day", "x", "more"]
+    assert sorted(r[io.REJECTED] for r in bad.collect()) == ["2,2001-13-45,1,2", "4,2001-01-01,1", "5,2001-01-01,1,2,9", "not a number,2001-01-01,1,2"]
+    out = str(tmp_path / "out")
+    with pytest.raises(ValueError, match="4 lines"):
+        io.ingest_csv(spark, src, out, SPEC, most_rejected=3)
+    assert not (tmp_path / "out").exists() and spark.read.parquet(out + ".rejected").count() == 4
+    got = io.ingest_csv(spark, src, out, SPEC, most_rejected=4)
+    assert got == {"n_rows": 2, "n_rejected": 4, "drift": {"absent": ["gone"], "unsorted": [], "twice": []}}
+    assert [r.id for r in spark.read.parquet(out).collect()] == [1, 3]
+
+
+def test_a_failed_ingest_leaves_the_old_table(spark, tmp_path):
+    out = str(tmp_path / "t")
+    io.ingest_csv(spark, csv_of(tmp_path, "a.csv", "id,day,x\n7,2001-01-01,1\n"), out, SPEC)
+    for i, (text, why) in enumerate([("day,x\n2001-01-01,1\n", "no id"), ("id,x,x\n1,2,3\n", "twice x"), ("id,x\nz,1\n", "1 lines")]):
+        with pytest.raises(ValueError, match=why):
+            io.ingest_csv(spark, csv_of(tmp_path, f"b{i}.csv", text), out, SPEC)
+        assert [r.id for r in spark.read.parquet(out).collect()] == [7]
+    assert io.ingest_csv(spark, csv_of(tmp_path, "c.csv", "id,extra\n8,2\n9,\n"), out, SPEC)["n_rows"] == 2
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [8, 9] and not (tmp_path / "t.staging").exists() and not (tmp_path / "t.replaced").exists()

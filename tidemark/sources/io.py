@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType, _parse_datatype_string
 
 
 @dataclass(frozen=True)
@@ -43,6 +43,66 @@ def sorted_parquet(df: DataFrame, path: str, sort_by: list[str], mode: str = "er
     return int(seen.get["n"])
 
 
+REJECTED = "_rejected_line"
+
+
+def header_drift(spark: SparkSession, path: str, spec: TableSpec) -> dict[str, list[str]]:
+    """What the header of a CSV file lacks of the spec: typed columns that are ``absent``, and ``unsorted`` ones that rows should be sorted by; names that stand ``twice``."""
+    names = spark.read.text(path).first()  # the reader renames repeated names, so the line itself is split
+    raw = [] if names is None else [n.strip().strip('"') for n in names[0].split(",")]
+    return {
+        "absent": [c for c in spec.types if c not in raw],
+        "unsorted": [c for c in spec.sort_by if c not in raw],
+        "twice": sorted({n for n in raw if raw.count(n) > 1}),
+    }
+
+
+def read_csv_checked(spark: SparkSession, path: str, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit the spec, and the rest: every column as far as it could be read, with the line itself in ``REJECTED``.
+
+    A line is rejected if a cell doesn't parse as its column's type or if it
+    has more or fewer cells than the header; empty cells are null and fit.
+    """
+    fields = [StructField(c, _parse_datatype_string(spec.types[c]) if c in spec.types else DoubleType()) for c in csv_columns(spark, path)]
+    schema = StructType([*fields, StructField(REJECTED, StringType())])
+    rows = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECTED).csv(path)
+    good = rows.where(F.col(REJECTED).isNull()).select(*[F.col(f"`{f.name}`") for f in fields])
+    return good, rows.where(F.col(REJECTED).isNotNull())
+
+
+def ingest_csv(spark: SparkSession, csv_path: str, out_path: str, spec: TableSpec, most_rejected: int = 0) -> dict:
+    """Publish a CSV file as sorted Parquet in one step: n_rows, n_rejected, drift.
+
+    Rows go to a staging folder beside ``out_path``, rejected lines to
+    ``{out_path}.rejected`` (as Parquet, replaced each time).  More than
+    ``most_rejected`` of them, or a column missing that rows are sorted by or
+    one that stands twice, raise ValueError and leave what stood at
+    ``out_path`` as it was.  Else the staging folder takes its place by
+    renames, so that readers that open it later see the old table or the new
+    one.  Typed columns that the file lacks are reported, not made.
+    """
+    drift = header_drift(spark, csv_path, spec)
+    if drift["unsorted"] or drift["twice"]:
+        raise ValueError(f"{csv_path}: no {', '.join(drift['unsorted']) or 'column missing'}; twice {', '.join(drift['twice']) or 'none'}")
+    good, bad = read_csv_checked(spark, csv_path, spec)
+    seen = Observation()
+    bad.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{out_path}.rejected")
+    n_bad = int(seen.get["n"])
+    if n_bad > most_rejected:
+        raise ValueError(f"{csv_path}: {n_bad} lines don't fit, {most_rejected} may; see {out_path}.rejected")
+    staging, old = f"{out_path}.staging", f"{out_path}.replaced"
+    n = sorted_parquet(good, staging, list(spec.sort_by), "overwrite")
+    fs, to = _paths(spark, out_path)
+    fs.delete(_paths(spark, old)[1], True)
+    if fs.exists(to) and not fs.rename(to, _paths(spark, old)[1]):
+        raise OSError(f"{out_path} can't be moved away")
+    if not fs.rename(_paths(spark, staging)[1], to):
+        fs.rename(_paths(spark, old)[1], to)
+        raise OSError(f"{staging} can't be renamed")
+    fs.delete(_paths(spark, old)[1], True)
+    return {"n_rows": n, "n_rejected": n_bad, "drift": drift}
+
+
 def csv_to_parquet(spark: SparkSession, csv_path: str, out_path: str, spec: TableSpec, mode: str = "errorifexists") -> int:
     return sorted_parquet(read_csv(spark, csv_path, spec), out_path, list(spec.sort_by), mode)
 
