@@ -15,8 +15,8 @@
 4. The components of the confirmed links give the classes.
 
 A pair of similarity s shares no table with probability about
-1 - (1 - (1 - s**r)**m)**2: 0.0004 at s = 0.8 for r = 3 and m = 12, less than
-0.00001 at s = 0.85.  As all pairs of a group are compared, a pair that shares no table
+1 - (1 - (1 - s**r)**m)**2: 0.0004 at s = 0.8 for r = 4 and m = 16, 0.00002 at
+s = 0.85.  As all pairs of a group are compared, a pair that shares no table
 is found still if others of its group link them.
 """
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bounded_batches, components, cut, join_counted, join_null_safe, stream_by, written
 from tidemark.llm.hashing import PLACE, mix, shingle_sets
 
-BANDS, ROWS = 12, 3
+BANDS, ROWS = 16, 4
 BLOCK = 256
 COLUMNS = 4096  # shingles counted at once
 PART = 400  # texts hashed at once; bounds a worker's memory
@@ -168,14 +168,20 @@ def classes(docs: DataFrame, width: int = 5, need: int = 80, out_of: int = 100,
     same = ["d1", "d2", "n_shingles"]
     one = named.groupBy(*same).agg(F.min_by(F.struct("doc_id", "keys"), "doc_id").alias("x"), F.count("*").alias("copies"))
     reps = cut(one.select(*same, "copies", F.col("x.doc_id").alias("rep"), F.col("x.keys").alias("keys")).repartition(n, "rep"))
-    tables = F.expr(f"flatten(transform(slice(keys, 1, {bands}), (a, i) -> transform(slice(keys, {bands + 1}, {bands}), (b, j) -> xxhash64(a, b, i, j))))")
-    entries = reps.select("rep", F.explode(tables).alias("key"))
-    roots = entries.groupBy("key").agg(F.min("rep").alias("root"), F.max("rep").alias("most")).where("root < most").select("key", "root")
-    stars = entries.join(roots, "key").where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")).distinct()
+    # a table's key is shared only if both keys that it pairs are, so others needn't become rows
+    singles = reps.select("rep", F.posexplode("keys").alias("at", "half"))
+    several = lambda df, key: df.groupBy(key).agg(F.min("rep").alias("root"), F.max("rep").alias("most"), F.count("*").alias("n")).where("root < most").drop("most")
+    halves = join_counted(singles, written(several(singles, "half").select("half", "n")), ["half"], "n").drop("n")
+    lists = written(halves.groupBy("rep").agg(F.collect_list(F.when(F.col("at") < bands, F.col("half"))).alias("a"), F.collect_list(F.when(F.col("at") >= bands, F.col("half"))).alias("b")).where("size(a) > 0 and size(b) > 0"))
+    # a half tells its place in its collection, too
+    entries = lists.repartition(n, "rep").select("rep", F.explode(F.expr("flatten(transform(a, x -> transform(b, y -> xxhash64(x, y))))")).alias("key"))
+    roots = written(several(entries, "key"))
+    stars = join_counted(entries, roots, ["key"], "n").where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")).distinct()
     groups = written(components(stars))
     sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("n"))
     sized = join_counted(groups, sizes, ["component"], "n").select(F.col("node").alias("doc_id"), F.col("component").alias("grp"), "blocks")
-    texts = d.where("doc_id is not null").join(sized, "doc_id").select("doc_id", "text", "grp", "blocks")
+    # at any size the same join, of texts with the ids that have candidates
+    texts = d.where("doc_id is not null").join(sized.hint("merge"), "doc_id").select("doc_id", "text", "grp", "blocks")
     sets = texts.mapInArrow(_sets(width), "rep long, set binary, grp long, blocks int").where(F.length("set") > 0)
     own = F.expr("pmod(xxhash64(rep), blocks)").cast("int")
     pairs = sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
