@@ -1,8 +1,10 @@
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.plans.assemble import check_aligned
 from tidemark.sources import io
+from tidemark.sources.checks import checked
 
 
 def test_csv_to_parquet_keeps_types(spark, tmp_path):
@@ -97,3 +99,14 @@ def test_a_failed_ingest_leaves_the_old_table(spark, tmp_path):
         assert [r.id for r in spark.read.parquet(out).collect()] == [7]
     assert io.ingest_csv(spark, csv_of(tmp_path, "c.csv", "id,extra\n8,2\n9,\n"), out, SPEC)["n_rows"] == 2
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [8, 9] and not (tmp_path / "t.staging").exists() and not (tmp_path / "t.replaced").exists()
+
+
+def test_needs_fail_the_job_that_reads_the_row(spark):
+    df = spark.createDataFrame([(1, 2.0, "a"), (2, -1.0, "b"), (None, 3.0, "c")], "k int, v double, t string")
+    with pytest.raises(ValueError, match="prices lacks day"):
+        checked(df, "prices", ["k", "day"])
+    ok = checked(df.where("k = 1"), "prices", ["k", "t"], {"v above 0": F.col("v") > 0})
+    assert ok.columns == df.columns and [tuple(r) for r in ok.collect()] == [(1, 2.0, "a")]
+    for rows, why in ((df.where("k is null"), "prices: k is null"), (df.where("k = 2"), "prices: not so: v above 0")):
+        with pytest.raises(PySparkException, match=why):
+            checked(rows, "prices", ["k"], {"v above 0": F.col("v") > 0}).select("k").collect()

@@ -23,6 +23,7 @@ from tidemark.operators.paths import path_days, path_stats, paths, price_runs
 from tidemark.plans import wide
 from tidemark.plans.sql_base import filed_on_the_day, sql
 from tidemark.sources import binding as bind
+from tidemark.sources.checks import checked
 from tidemark.sources.io import materialized
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,7 +70,7 @@ class World:
 
     @cached_property
     def prices(self) -> DataFrame:
-        return materialized(bind.prices(self.spark, self.dir))
+        return materialized(checked(bind.prices(self.spark, self.dir), "prices", ["entity", "date"]))
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -115,7 +116,7 @@ class World:
 
     @cached_property
     def filings(self) -> DataFrame:
-        return materialized(bind.filings(self.spark, self.dir))
+        return materialized(checked(bind.filings(self.spark, self.dir), "filings", ["entity", "datekey", "reportperiod"]))
 
     def base(self, allow_exact: bool = False) -> DataFrame:
         f = self.filings
