@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.bitemporal import lagged_asof, versions
+from tidemark.operators.bitemporal import lagged_asof, lagged_at_filing, versions
 
 D0 = dt.date(2000, 1, 1)
 day = lambda n: D0 + dt.timedelta(n)
@@ -81,3 +81,14 @@ def test_rows_grow_with_lags_asked_only(spark):
     assert got.count() == 6000
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1  # periods with filings, by day bucket
+
+
+@pytest.mark.parametrize(("seed", "lags", "spacing"), [(5, range(12), 91.3125), (6, (1, 2, 3), 365.0)])
+def test_what_a_filing_day_knows(spark, seed, lags, spacing):
+    """Said once for each day on which an entity files, however many rows look back on it."""
+    filings, _ = tables(seed)
+    f = spark.createDataFrame(filings, "entity int, datekey date, reportperiod date, v double")
+    days = {(e, d): max(p for e2, d2, p, _ in filings if (e2, d2) == (e, d) and p) for e, d, p, _ in filings if e is not None and d and p}
+    base = [(e, 0, d, t0) for (e, d), t0 in days.items()]
+    got = lagged_at_filing(f, ["v"], lags, spacing).collect()
+    assert sorted((r[0], 0, *r[1:]) for r in got) == brute(filings, base, list(lags), spacing, True)
