@@ -55,3 +55,36 @@ def test_distances_are_compiled(spark):
     near = qr.nearest_neighbours(sp, sp, ["x", "y"], "e", "q")
     assert "lambda" not in near._jdf.queryExecution().optimizedPlan().toString()
     assert sorted((r.s_e, r.t_e, r.d2) for r in near.collect()) == [(1, 2, 1.0), (2, 1, 1.0)]
+
+
+def _exchanges(df) -> list[str]:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
+
+
+def test_lines_are_dealt_out_twice_for_prices_and_summed_first_for_filings(spark):
+    from tidemark.sources import binding as bind
+
+    sf = "/root/testdata/sf0.001"
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where suppliers are many
+    try:
+        # lines by entity and by ticker; suppliers for either join
+        assert len(_exchanges(bind.prices(spark, sf))) == 4
+        plan = bind.full_filings(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Join LeftSemi") < plan.index("Aggregate")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_band_measures_are_made_behind_the_shuffle(spark):
+    from tidemark.operators.bands import band_stats
+
+    series = spark.createDataFrame([(1, i, float(i)) for i in range(5)], "e int, ix int, p double")
+    asks = spark.createDataFrame([(1, 4)], "e int, at int")
+    measures = {"a": F.col("p"), "b": F.col("p") * 2, "one": F.lit(1)}
+    got = band_stats(asks, series, ["e"], "at", "ix", measures, {m: [3] for m in measures})
+    assert [(r.a_sum_3, r.b_sum_3, r.one_sum_3, r.one_n_3) for r in got.collect()] == [(9.0, 18.0, 3, 3)]
+    plan = band_stats(asks, series, ["e"], "at", "ix", measures, {m: [3] for m in measures})._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    dealt = next(i for i, x in enumerate(plan) if "RepartitionByExpression" in x)
+    assert any("__m_b" in x for x in plan[:dealt]) and not any("__m_b" in x for x in plan[dealt:])
