@@ -88,3 +88,12 @@ def test_band_measures_are_made_behind_the_shuffle(spark):
     plan = band_stats(asks, series, ["e"], "at", "ix", measures, {m: [3] for m in measures})._jdf.queryExecution().optimizedPlan().toString().split("\n")
     dealt = next(i for i, x in enumerate(plan) if "RepartitionByExpression" in x)
     assert any("__m_b" in x for x in plan[:dealt]) and not any("__m_b" in x for x in plan[dealt:])
+
+
+def test_a_query_makes_its_prices_once(spark, monkeypatch):
+    from tidemark.plans import queries as q
+
+    made, prices = [], q.bind.prices
+    monkeypatch.setattr(q.bind, "prices", lambda *a: made.append(1) or prices(*a))
+    q.QUERIES["assembled_panel"](spark, "/root/testdata/sf0.001")
+    assert len(made) == 1
