@@ -2,9 +2,11 @@
 
 A multinomial logistic regression over binary word n-grams (1 to 3 words) is
 fitted on windows of public licence notices, one class for each family, and on
-ordinary paragraphs of the corpus and sentences with licence words as the
-unknown class.  A threshold on the probability is calibrated on paragraphs of
-the kind that is scored and that the fit has not seen.  A prediction stands
+all ordinary paragraphs of the corpus and sentences with licence words as the
+unknown class.  Paragraphs that look the same to the model are one row with
+their number; their weights are scaled so that a large corpus doesn't drown the
+notices.  A threshold on the probability is calibrated on all paragraphs of
+the kind that is scored and that the fit has not seen, a fifth by hash.  A prediction stands
 only if the paragraph also shares enough n-grams with a template of that
 family; otherwise the paragraph is unknown.
 
@@ -20,7 +22,7 @@ from __future__ import annotations
 import re
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,9 +100,10 @@ OTHER: list[str] = [
     "A copy of the licence was sent to the applicant.", "He was licensed under the act of 1902.", "The conditions are met in every case.", "Available under the counter.", "The copyright holder of the song is not known.",
 ]
 UNKNOWN = "unknown"
-SAMPLE = 4_000  # ordinary paragraphs in training, at most
+WEIGHT = 4_000  # paragraphs that all ordinary ones together count as in training, at most
 ORDINARY = 0.3  # paragraphs that share less with every template are surely ordinary
 FALSE_ALARMS = 0.01  # share of unseen ordinary paragraphs that may pass the threshold
+STEPS = 1 << 12  # probabilities of these are counted in so many steps
 SHARED = 0.6  # pairs and triples of words in common with a template, of the smaller side, from which a prediction is confirmed
 
 Model = tuple[DataFrame, DataFrame, float]
@@ -181,42 +184,62 @@ def _wordings(cases: DataFrame) -> DataFrame:
     return written(lines.join(best, "h"))
 
 
-def _fit(spark: SparkSession, wordings: DataFrame, sample: int) -> Model:
+def _ordinary(wordings: DataFrame, counts: CountVectorizerModel) -> DataFrame:
+    """x, unseen, n: how many ordinary wordings have the same known n-grams and are, or aren't, left to calibration."""
     best = F.array_max(F.map_values("shares"))
-    ordinary = wordings.where(best < ORDINARY)
-    # the hash range holds a little more than the sample, so that no task sends rows that the limit would drop
-    part = int(min(1.0, 1.3 * sample / max(ordinary.count(), 1) + 1e-5) * (1 << 20))
-    plain = ordinary.where(F.pmod(F.xxhash64(F.lit(7), "h"), F.lit(1 << 20)) < part).orderBy("h").limit(sample).select(F.lit(UNKNOWN).alias("family"), F.col("line").alias("text"))
+    lines = wordings.where(best < ORDINARY).select(word_ngrams(F.col("line")).alias("grams"), _unseen(F.col("line")).alias("unseen")).where(F.size("grams") > 0)
+    return counts.transform(lines).groupBy("x", "unseen").agg(F.count("*").alias("n"))
+
+
+def _unseen(text: Column) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(5)) == 0
+
+
+def _threshold(sure: DataFrame) -> float:
+    """The lowest step that paragraphs of at most ``FALSE_ALARMS`` of the weight reach, of p and weight; the driver gets a row a step."""
+    steps = sure.groupBy(F.ceil(F.col("p") * STEPS).alias("step")).agg(F.sum("weight").alias("weight")).collect()
+    left = FALSE_ALARMS * sum(r.weight for r in steps)
+    for r in sorted(steps, reverse=True):
+        left -= r.weight
+        if left < 0:
+            return r.step / STEPS  # p lies at or below its step
+    return 0.0
+
+
+def _fit(spark: SparkSession, wordings: DataFrame, weight: float) -> Model:
     singles = sorted({x for w in _template_words() for x in w})
     other = spark.range(1).select(F.explode(F.array(*map(F.lit, OTHER + singles))).alias("text")).select(F.lit(UNKNOWN).alias("family"), "text")
     index = F.array_position(F.array(*map(F.lit, classes())), F.col("family")) - 1
-    rows = _windows(_templates(spark)).unionByName(other).unionByName(plain)
-    rows = rows.select("family", word_ngrams(F.col("text")).alias("grams"), index.cast("double").alias("y"), (F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("unseen")).where(F.size("grams") > 0)
-    rows = written(rows)
-    named = rows.where(F.col("family") != UNKNOWN).select("grams").unionByName(other.select(word_ngrams(F.col("text")).alias("grams")))
+    given = _windows(_templates(spark)).unionByName(other).select("family", word_ngrams(F.col("text")).alias("grams"), index.cast("double").alias("y"), _unseen(F.col("text")).alias("unseen")).where(F.size("grams") > 0)
+    given = written(given)
+    named = given.where(F.col("family") != UNKNOWN).select("grams").unionByName(other.select(word_ngrams(F.col("text")).alias("grams")))
     counts = CountVectorizer(inputCol="grams", outputCol="x", binary=True, vocabSize=1 << 14).fit(named)
-    seen = counts.transform(rows.where("not unseen or family <> 'unknown'")).select("x", "y")
-    model = LogisticRegression(featuresCol="x", labelCol="y", family="multinomial", regParam=0.002, maxIter=80).fit(seen)
+    plain = written(_ordinary(wordings, counts))
+    each = min(1.0, weight / max(plain.agg(F.sum("n").alias("n")).first().n or 0, 1))
+    unknown = float(len(classes()) - 1)
+    rows = counts.transform(given).select("x", "y", "unseen", F.lit(1.0).alias("weight")).unionByName(plain.select("x", F.lit(unknown).alias("y"), "unseen", (F.col("n") * F.lit(each)).alias("weight")))
+    seen = rows.where(~F.col("unseen") | (F.col("y") != unknown))
+    model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="weight", family="multinomial", regParam=0.002, maxIter=80).fit(seen)
     # how sure of a family the model is of paragraphs of the unknown class that it hasn't seen
     surest = F.array_max(F.slice(vector_to_array(F.col("probability")), 1, len(classes()) - 1))
-    sure = model.transform(counts.transform(rows.where("unseen and family = 'unknown'"))).agg(F.percentile(surest, 1 - FALSE_ALARMS).alias("p")).first().p
+    sure = _threshold(model.transform(rows.where(F.col("unseen") & (F.col("y") == unknown))).select(surest.alias("p"), "weight"))
     w, b = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
     weights = spark.createDataFrame([(g, [float(x) for x in w[:, i]]) for i, g in enumerate(counts.vocabulary)], "gram string, w array<double>")
     g = F.split("gram", " ")
     hashed = F.when(F.size(g) == 1, F.xxhash64(g[0])).when(F.size(g) == 2, F.xxhash64(g[0], F.get(g, F.lit(1)))).otherwise(F.xxhash64(g[0], F.get(g, F.lit(1)), F.get(g, F.lit(2))))
-    return written(weights.select(hashed.alias("gram"), "w")), spark.range(1).select(F.array(*[F.lit(float(x)) for x in b]).alias("b")), max(0.5, float(sure if sure is not None else 0.5))
+    return written(weights.select(hashed.alias("gram"), "w")), spark.range(1).select(F.array(*[F.lit(float(x)) for x in b]).alias("b")), max(0.5, sure)
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
+def train(docs: DataFrame, weight: float = WEIGHT) -> Model:
     """Weights (gram, a hash, and w), intercepts (one row, b) and the probability threshold; columns follow ``classes()``.
 
     The unknown class is ``OTHER``, the single words of the templates (such a
-    text shares all it has with a template), and ordinary lines: of all lines
-    that would be scored and share less than ``ORDINARY`` with every template
-    some by hash, ``sample`` at most.
+    text shares all it has with a template), and ordinary lines: all that would
+    be scored and share less than ``ORDINARY`` with every template, each wording
+    once.  If there are more than ``weight``, together they count as so many.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return _fit(docs.sparkSession, _wordings(_cases(d)), sample)
+    return _fit(docs.sparkSession, _wordings(_cases(d)), weight)
 
 
 def classes() -> list[str]:
@@ -239,7 +262,7 @@ def scan_paragraphs(docs: DataFrame, model: Model | None = None, id_col: str = "
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     cases = _cases(d)
     wordings = _wordings(cases)
-    weights, bias, threshold = model or _fit(docs.sparkSession, wordings, SAMPLE)
+    weights, bias, threshold = model or _fit(docs.sparkSession, wordings, WEIGHT)
     k = len(classes())
     found = wordings.select("h", F.explode(gram_hashes(F.col("line"))).alias("gram")).join(F.broadcast(weights), "gram")
     sums = found.groupBy("h").agg(*[F.sum(F.col("w")[i]).alias(f"s{i}") for i in range(k)])
